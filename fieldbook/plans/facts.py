@@ -19,7 +19,7 @@ from fieldbook.functions.ratios import norm_completion_pct
 from fieldbook.operators.balance import running_balance
 from fieldbook.operators.joins import lookup_join, null_safe_join, self_parent_join
 from fieldbook.operators.predicates import positive, strict_active, tolerant_active
-from fieldbook.operators.upsert import append_absent, new_rows
+from fieldbook.operators.upsert import append_absent
 
 
 def header_lines(headers: DataFrame, lines: DataFrame, header_cols: list[str], line_cols: list[str]) -> DataFrame:
@@ -185,18 +185,12 @@ def harvest_fact_rows(enriched: DataFrame, dim_field: DataFrame, dim_nom: DataFr
                     F.col("src_doc_id").cast("string").alias("src_doc_ref"))
 
 
-def load_harvest_fact(existing: DataFrame, enriched: DataFrame, dim_field: DataFrame, dim_nom: DataFrame,
-                      dim_crop: DataFrame) -> DataFrame:
+def append_harvest(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """Insert-if-absent by source document: already loaded documents are not
     changed by corrected re-loads."""
-    rows = harvest_fact_rows(enriched, dim_field, dim_nom, dim_crop)
     return append_absent(existing, rows, ["src_doc_ref"])
 
 
-def harvest_fact_new(existing: DataFrame, rows: DataFrame) -> DataFrame:
-    return new_rows(existing, rows, ["src_doc_ref"])
-
-
 def material_usage(writeoff: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
     """Field material usage from write-offs: quantity per field, item and unit."""
     it = items.select(F.col("_id").alias("__it"), F.col("description").alias("item_name"))

@@ -26,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     return v
