@@ -43,6 +43,7 @@ NOMENCLATURE_TECH_KIND = "Техническая запись"
 NOMENCLATURE_TECH_CATEGORY = "Номенклатура не загружена из 1С"
 UNRESOLVED_ITEM_PREFIX = "[Не загружено из 1С] "
 UNRESOLVED_UNIT = "Не определена"
+TOTAL_LABEL = "Итого"
 
 # --- fixed values: weighing kinds and field resolution ---------------------
 WEIGHING_FROM_FIELD = "СПоля"

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from fieldbook.functions.ratios import ratio_of_sums_pct, yield_t_ha
 from fieldbook.operators.allocation import allocate_by_share
-from fieldbook.operators.dedup import first_per_key
 
 
 def harvest_by_field_year(harvest: DataFrame) -> DataFrame:
@@ -15,21 +14,37 @@ def harvest_by_field_year(harvest: DataFrame) -> DataFrame:
 
 
 def field_history_match(totals: DataFrame, history: DataFrame) -> DataFrame:
-    """Field-year totals -> field history row: the row of the same year wins,
-    else a year-0 row whose validity covers the year.  Candidates per
-    field-year are the field's history rows (a handful), reduced to one."""
-    h = history.select(F.col("field_id").alias("__f"), F.col("year").alias("__y"), "sown_area_ha",
-                       "crop", "valid_from", "valid_to", F.col("line_number").alias("__ln"))
-    j = totals.join(h, totals["pole_id"] == h["__f"], "left")
-    yr = F.col("god_urozhaya")
-    ok = (F.col("__y") == yr) | ((F.col("__y") == 0) & (F.year("valid_from") <= yr)
-                                 & (F.coalesce(F.year("valid_to"), F.lit(9999)) >= yr))
-    j = j.withColumn("__ok", F.coalesce(ok, F.lit(False)))
-    j = j.withColumn("__pri", F.when(F.col("__ok") & (F.col("__y") == yr), 0).when(F.col("__ok"), 1).otherwise(2))
-    best = first_per_key(j, ["pole_id", "god_urozhaya"], [F.col("__pri").asc(), F.col("__ln").asc()])
-    return best.select("pole_id", "god_urozhaya", "weight_kg",
-                       F.when(F.col("__ok"), F.col("sown_area_ha")).alias("sown_area_ha"),
-                       F.when(F.col("__ok"), F.col("crop")).alias("crop"))
+    """Field-year totals -> one field-history row: the row of the same year
+    wins (lowest line number), else a year-0 row whose validity covers the
+    year.
+
+    No field-year x history pairs are formed: year rows are reduced to one per
+    (field, year); year-0 rows are expanded into the calendar years their
+    validity covers (a few per row), reduced the same way, and both are
+    equi-joined.
+    """
+    keep = ["sown_area_ha", "crop"]
+    pick = lambda df: df.groupBy("__f", "__y").agg(
+        F.min_by(F.struct(*keep), F.col("line_number")).alias("__h"))
+    exact = pick(history.where(F.col("year") != 0).select(F.col("field_id").alias("__f"),
+                                                          F.col("year").alias("__y"), "line_number", *keep))
+    # only years that occur in the totals matter: clip the validity to them
+    y0 = totals.agg(F.min("god_urozhaya")).scalar()
+    y1 = totals.agg(F.max("god_urozhaya")).scalar()
+    lo = F.greatest(F.year("valid_from"), y0)
+    hi = F.least(F.coalesce(F.year("valid_to"), y1), y1)
+    spans = (history.where((F.col("year") == 0) & F.col("valid_from").isNotNull())
+             .select(F.col("field_id").alias("__f"), lo.alias("__lo"), hi.alias("__hi"), "line_number", *keep)
+             .where(F.col("__lo") <= F.col("__hi"))
+             .select("__f", F.explode(F.sequence("__lo", "__hi")).alias("__y"), "line_number", *keep))
+    ranged = pick(spans).withColumnRenamed("__h", "__r")
+    j = totals.join(exact, (totals["pole_id"] == exact["__f"]) & (totals["god_urozhaya"] == exact["__y"]), "left") \
+        .drop("__f", "__y")
+    j = j.join(ranged, (j["pole_id"] == ranged["__f"]) & (j["god_urozhaya"] == ranged["__y"]), "left") \
+        .drop("__f", "__y")
+    h = F.coalesce(F.col("__h"), F.col("__r"))
+    return j.select("pole_id", "god_urozhaya", "weight_kg",
+                    h.getField("sown_area_ha").alias("sown_area_ha"), h.getField("crop").alias("crop"))
 
 
 def yield_by_field_year(harvest: DataFrame, history: DataFrame) -> DataFrame:

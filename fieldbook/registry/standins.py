@@ -50,6 +50,8 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "CASE o_orderpriority WHEN '5-LOW' THEN TRUE WHEN '4-NOT SPECIFIED' THEN NULL ELSE FALSE END AS _deletionmark",
         "o_custkey AS person_id",
         "o_orderpriority AS priority",
+        "CASE WHEN o_orderpriority = '1-URGENT' THEN 'Поле ' || CAST(o_custkey % 30 AS STRING) "
+        "ELSE CAST(o_custkey % 40 AS STRING) || ', склад ГСМ' END AS sender_text",
         "CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount",
         "CAST(o_totalprice AS DECIMAL(12,3)) AS fuel_issued",
         "CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(FLOOR(o_totalprice / 10000) AS DECIMAL(12,3)) END AS fuel_returned",
