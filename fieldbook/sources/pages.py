@@ -19,6 +19,10 @@ from fieldbook.operators.dedup import dedup_first_seen
 from fieldbook.operators.joins import anti_join, semi_join
 
 
+# microsecond timestamps survive the JSON round trip (the default keeps millis)
+PAGE_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def envelope_schema(doc_schema: StructType) -> StructType:
     return StructType([StructField("value", ArrayType(doc_schema), True)])
 
@@ -30,14 +34,18 @@ def read_pages(spark: SparkSession, path: str, doc_schema: StructType,
     The schema is declared (no inference) and limited to the columns asked
     for, so the scan prunes everything else.  Empty pages yield no rows.
     """
-    r = spark.read.schema(envelope_schema(doc_schema))
+    r = (spark.read.schema(envelope_schema(doc_schema))
+         .option("timestampNTZFormat", PAGE_TS_FORMAT).option("timestampFormat", PAGE_TS_FORMAT + "XXX"))
     if multi_line:
         r = r.option("multiLine", True)
     raw = r.json(path).select(F.col("_metadata.file_path").alias("_file"),
+                              F.col("_metadata.file_block_start").alias("_block"),
                               F.monotonically_increasing_id().alias("_line"), "value")
-    docs = raw.select("_file", "_line", F.posexplode("value").alias("_pos", "doc"))
-    return docs.select(F.concat_ws("#", "_file", F.lpad(F.col("_line").cast("string"), 20, "0")).alias("_page"),
-                       "_pos", "doc.*")
+    docs = raw.select("_file", "_block", "_line", F.posexplode("value").alias("_pos", "doc"))
+    # page order: file, split offset inside the file, line inside the split
+    page = F.concat_ws("#", "_file", F.lpad(F.col("_block").cast("string"), 20, "0"),
+                       F.lpad((F.col("_line").bitwiseAND(F.lit((1 << 33) - 1))).cast("string"), 12, "0"))
+    return docs.select(page.alias("_page"), "_pos", "doc.*")
 
 
 def project_entity(df: DataFrame, mapping: dict[str, Column | str]) -> DataFrame:
@@ -108,3 +116,21 @@ def probe_schema(df: DataFrame, expected: list[str]) -> DataFrame:
     rows = [(c, "missing") for c in expected if c not in have] + \
            [(c, "extra") for c in df.columns if c not in set(expected) and not c.startswith("_")]
     return spark.createDataFrame(rows, "column string, status string")
+
+
+def write_pages(docs: DataFrame, path: str, page_col: str, doc_col: str = "doc") -> str:
+    """Land documents as JSON Lines pages ``{"value": [doc, ...]}``, one page
+    per line.  ``page_col`` must bound the page size (e.g. a key range), so
+    a page is a bounded group."""
+    (docs.groupBy(page_col).agg(F.collect_list(doc_col).alias("value"))
+         .select("value").write.mode("overwrite")
+         .option("timestampNTZFormat", PAGE_TS_FORMAT).option("timestampFormat", PAGE_TS_FORMAT + "XXX")
+         .json(path))
+    return path
+
+
+def lookback_column(run_ts, hours: int = LOOKBACK_HOURS) -> Column:
+    """Column form of ``lookback`` for a run timestamp known only to Spark
+    (e.g. the latest loaded timestamp as a scalar subquery)."""
+    ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    return ts - F.expr(f"INTERVAL {int(hours)} HOURS")
