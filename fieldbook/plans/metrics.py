@@ -77,14 +77,14 @@ def resolved_share(df: DataFrame, group: list[str], flag: str) -> DataFrame:
                                   (F.count_if(F.col(flag)) / F.count(F.lit(1))).alias("resolved_share"))
 
 
-def freshness(tables: dict[str, DataFrame], ts_col: str = "_loaded_at", fill_cols: dict | None = None) -> DataFrame:
-    """Last load, row count and fill rate of chosen columns per table."""
+def freshness(specs: dict[str, tuple[DataFrame, str, str | None]]) -> DataFrame:
+    """Per table: last load / event time, row count and fill rate of one
+    column; ``specs`` maps a name to (table, time column, fill column)."""
     from functools import reduce
     parts = []
-    for name, df in tables.items():
-        fc = (fill_cols or {}).get(name)
-        fill = F.avg(F.col(fc).isNotNull().cast("double")) if fc else F.lit(None).cast("double")
-        last = F.max(ts_col) if ts_col in df.columns else F.lit(None).cast("timestamp")
-        parts.append(df.agg(last.alias("last_loaded_at"), F.count(F.lit(1)).alias("rows"), fill.alias("fill_rate"))
+    for name, (df, ts_col, fill_col) in specs.items():
+        fill = (F.count(fill_col) / F.count(F.lit(1))) if fill_col else F.lit(None).cast("double")
+        parts.append(df.agg(F.max(ts_col).cast("string").alias("last_loaded_at"),
+                            F.count(F.lit(1)).alias("rows"), fill.alias("fill_rate"))
                        .select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)

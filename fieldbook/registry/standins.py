@@ -138,6 +138,15 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "CAST(NULL AS BIGINT) AS parent_id",
         "'GR' || CAST(r_regionkey AS STRING) AS operation_kind",
     ]),
+    "sd_field_history": ("supplier", [
+        "'F-' || CAST(s_nationkey AS STRING) AS field_id",
+        "s_suppkey AS line_number",
+        "CASE WHEN s_suppkey % 4 = 0 THEN 0 ELSE 1995 + s_suppkey % 7 END AS year",
+        "CASE WHEN s_acctbal < 100 THEN CAST(0 AS DECIMAL(12,4)) ELSE CAST(s_acctbal AS DECIMAL(12,4)) END AS sown_area_ha",
+        "'C' || CAST(s_suppkey AS STRING) AS crop",
+        "make_date(CAST(1995 + s_suppkey % 5 AS INT), 1, 1) AS valid_from",
+        "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE make_date(CAST(1997 + s_suppkey % 5 AS INT), 12, 31) END AS valid_to",
+    ]),
     "sd_events": ("events", [
         "event_id", "ts", "user_id", "event_type",
         "CAST(value AS DECIMAL(18,2)) AS value",
