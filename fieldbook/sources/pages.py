@@ -118,12 +118,12 @@ def probe_schema(df: DataFrame, expected: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "column string, status string")
 
 
-def write_pages(docs: DataFrame, path: str, page_col: str, doc_col: str = "doc") -> str:
+def write_pages(docs: DataFrame, path: str, page_col: str, doc_col: str = "doc", mode: str = "overwrite") -> str:
     """Land documents as JSON Lines pages ``{"value": [doc, ...]}``, one page
     per line.  ``page_col`` must bound the page size (e.g. a key range), so
     a page is a bounded group."""
     (docs.groupBy(page_col).agg(F.collect_list(doc_col).alias("value"))
-         .select("value").write.mode("overwrite")
+         .select("value").write.mode(mode)
          .option("timestampNTZFormat", PAGE_TS_FORMAT).option("timestampFormat", PAGE_TS_FORMAT + "XXX")
          .json(path))
     return path
