@@ -29,7 +29,7 @@ RAW_LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_exten
 
 
 @query("dedup_first_page", None, """
-SELECT * EXCLUDE (rn) FROM (
+SELECT * EXCLUDE (rn, l_shipdate), CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY
       l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS rn
   FROM lineitem)
