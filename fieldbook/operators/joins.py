@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldbook.constants import LOOKUP_BROADCAST_MAX_ROWS
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after checking the row count (an aggregate; no
@@ -39,15 +41,24 @@ def _pairs(on) -> list[tuple[str, str]]:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                split_null_keys: bool = False) -> DataFrame:
+                split_null_keys: bool = False, broadcast: bool | None = None) -> DataFrame:
     """Fact -> dimension lookup on (fact_col, dim_col) pairs; dim key columns
     are dropped from the output.
 
+    ``broadcast``: None (default) counts the dimension and broadcasts it only
+    when it has at most ``LOOKUP_BROADCAST_MAX_ROWS`` rows, which keeps the
+    fact side from being shuffled at all; False leaves the choice to Spark
+    (statistics and AQE); True is for tables of fixed, tiny size.
+
     ``split_null_keys`` routes rows whose key is NULL around the join (they can
     never match) so that a key that is NULL on most rows does not land in one
     shuffle partition when the dimension is too large to broadcast.
     """
     pairs = _pairs(on)
+    if broadcast is None:
+        dim = broadcast_if_small(dim, LOOKUP_BROADCAST_MAX_ROWS)
+    elif broadcast:
+        dim = F.broadcast(dim)
     dim_keys = [r for _, r in pairs]
     dim_alias = dim.select(*[F.col(c).alias(f"__k{i}") if c in dim_keys else F.col(c)
                              for i, c in enumerate(dim.columns)])

@@ -137,17 +137,29 @@ def storage_balance(movement: DataFrame, warehouse_col: str, item_col: str, day_
 CROP_CODE_MAP = (("Ка", "Картофель"),)   # fixed value: crop prefix -> crop
 
 
-def harvest_enriched(base: DataFrame, items: DataFrame, crop_codes=CROP_CODE_MAP) -> DataFrame:
+def harvest_enriched(base: DataFrame, items: DataFrame, party_names: DataFrame | None = None,
+                     crop_codes=CROP_CODE_MAP) -> DataFrame:
     """Harvest rows with item name and the crop attributes parsed from the
-    item name first, then from the party name; tonnes = kg / 1000."""
+    item name first, then from the party name; tonnes = kg / 1000.
+
+    Names are parsed where they live - once per catalog row (items, party
+    names) - and the parsed attributes are joined to the harvest rows, so
+    the regular expressions run at catalog, not fact, cardinality.
+    ``party_names`` is the catalog the party names come from (one column
+    ``description``); without it the distinct names of ``base`` are used.
+    """
     spark = base.sparkSession
-    it = items.select(F.col("_id").alias("__it"), F.col("description").alias("nomenklatura_name"))
+    it = items.select(F.col("_id").alias("__it"), F.col("description").alias("nomenklatura_name"),
+                      parse_item_name("description").alias("__i"))
+    names = (party_names.select(F.col("description").alias("__pp")) if party_names is not None
+             else base.select(F.col("pole_party_name").alias("__pp"))).where(F.col("__pp").isNotNull()).distinct()
+    codes = spark.createDataFrame(list(crop_codes), "__code string, kultura string")
+    pp = names.withColumn("__p", parse_party_name("__pp"))
+    pp = (pp.withColumn("__code", F.substring(F.col("__p.crop_code"), 1, 2))
+            .join(F.broadcast(codes), "__code", "left").drop("__code"))
     h = lookup_join(base, it, [("nomenklatura_id", "__it")])
-    h = h.withColumn("__i", parse_item_name("nomenklatura_name")).withColumn("__p", parse_party_name("pole_party_name"))
+    h = lookup_join(h, pp, [("pole_party_name", "__pp")])
     code = F.col("__p.crop_code")
-    codes = spark.createDataFrame(list(crop_codes), "__code string, kultura string")
-    h = h.withColumn("__code", F.substring(code, 1, 2))
-    h = h.join(F.broadcast(codes), "__code", "left")
     party_sort = F.when(F.length(code) > 2, F.expr("substring(__p.crop_code, 3)"))
     return h.select(
         *base.columns, "nomenklatura_name", "kultura",
@@ -176,7 +188,9 @@ def harvest_fact_rows(enriched: DataFrame, dim_field: DataFrame, dim_nom: DataFr
     h = crop_attributes(enriched)
     f = dim_field.where(F.col("is_current")).select(F.col("field_code_1c").alias("__f"), "field_sk")
     n = dim_nom.select(F.col("ref_key_1c").alias("__n"), "nom_sk")
-    h = h.join(f, h["pole_id"].cast("string") == f["__f"]).join(n, h["nomenklatura_id"].cast("string") == n["__n"])
+    h = h.withColumn("__pf", F.col("pole_id").cast("string")).withColumn("__nf", F.col("nomenklatura_id").cast("string"))
+    h = lookup_join(lookup_join(h, f, [("__pf", "__f")], how="inner"), n, [("__nf", "__n")], how="inner") \
+        .drop("__pf", "__nf")
     h = null_safe_join(h, dim_crop.select("variety", "color", "reproduction", "irrigation", "crop_sk"),
                        ["variety", "color", "reproduction", "irrigation"], "inner")
     return h.select(F.to_date("doc_date").alias("date_day"), "field_sk", "crop_sk", "nom_sk",

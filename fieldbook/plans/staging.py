@@ -20,14 +20,19 @@ def field_lookup(fields: DataFrame) -> DataFrame:
     return fields.select(F.col("description").alias("pole_nomer"), F.col("_id").alias("pole_id"))
 
 
+def resolved_structure(structure: DataFrame, fields: DataFrame) -> DataFrame:
+    """Company-structure catalog -> name, parsed field number and field id.
+    Parsing and the field lookup run once per catalog row."""
+    cs = structure.select(F.col("_id").alias("__cs_id"), F.col("description").alias("otkuda_name"),
+                          field_number_any("description").alias("pole_nomer"))
+    return lookup_join(cs, field_lookup(fields), [("pole_nomer", "pole_nomer")])
+
+
 def stg_weighing(weighings: DataFrame, structure: DataFrame, fields: DataFrame) -> DataFrame:
     """Weighings not deleted (NULL mark = kept) with the sender's structure
     name, the field number parsed from it and the field it resolves to."""
     w = tolerant_not_deleted(weighings)
-    cs = structure.select(F.col("_id").alias("__cs_id"), F.col("description").alias("otkuda_name"))
-    w = lookup_join(w, cs, [("otkuda_id", "__cs_id")])
-    w = w.withColumn("pole_nomer", field_number_any("otkuda_name"))
-    w = lookup_join(w, field_lookup(fields), [("pole_nomer", "pole_nomer")])
+    w = lookup_join(w, resolved_structure(structure, fields), [("otkuda_id", "__cs_id")])
     return (w.withColumn("god_urozhaya", F.year("doc_date"))
              .withColumn("pole_resolution_method",
                          F.when(F.col("pole_id").isNotNull(), F.lit(RESOLVED_BY_STRUCTURE))

@@ -13,6 +13,7 @@ from fieldbook.operators.predicates import dim_not_deleted
 from fieldbook.plans import dims, facts, quality, reports, staging
 from fieldbook.registry.base import query
 from fieldbook.registry.standins import Tables
+from fieldbook.session import materialize
 
 H_SD = ["sd_weighings", "sd_structure", "sd_fields", "sd_items"]
 REPORT_YEAR = 1997
@@ -29,7 +30,7 @@ def harvest_base(t: Tables) -> DataFrame:
 
 
 def enriched(t: Tables) -> DataFrame:
-    return facts.harvest_enriched(harvest_base(t), items_view(t))
+    return facts.harvest_enriched(harvest_base(t), items_view(t), t.sd_structure.select("description"))
 
 
 # --- SQL oracle building blocks -----------------------------------------
@@ -332,8 +333,9 @@ def missing_item_technical_records(t: Tables) -> DataFrame:
 
 
 def harvest_star(t: Tables):
-    """Dimensions and fact rows of one harvest load."""
-    e = enriched(t)
+    """Dimensions and fact rows of one harvest load.  The enriched rows feed
+    four dimension/fact steps, so they are written once and re-read."""
+    e = materialize(enriched(t))
     crop_old = existing_crop_dim(t, e)
     crop_dim = crop_old.unionByName(dims.dim_crop_new(e, crop_old))
     field_dim = dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk") \
@@ -371,7 +373,7 @@ def harvest_fact(t: Tables) -> DataFrame:
     documents not present yet."""
     e, field_dim, nom_dim, crop_dim = harvest_star(t)
     rows = facts.harvest_fact_rows(e, field_dim, nom_dim, crop_dim)
-    existing = facts.harvest_fact_rows(e.where(F.col("god_urozhaya") == 1995), field_dim, nom_dim, crop_dim)
+    existing = rows.where(F.year("date_day") == 1995)
     return facts.append_harvest(existing, rows)
 
 

@@ -166,6 +166,24 @@ def standin_cte(names: list[str]) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+# document key of each driver table: the per-document window and the
+# header/line joins partition on it
+DISTRIBUTION_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
+def ensure_parallelism(df: DataFrame, key: str | None) -> DataFrame:
+    """A file read as fewer splits than the cluster runs at once (a small file
+    with one row group) is hash-distributed once by its document key; later
+    per-document windows and joins reuse that partitioning.  On large inputs
+    (many splits) nothing changes."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key) if key else df.repartition(n)
+
+
 @dataclass
 class Tables:
     """Lazy access to driver tables and stand-ins of one scale-factor folder."""
@@ -176,7 +194,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         key = ("raw", name)
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            df = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            if name in DISTRIBUTION_KEYS:
+                df = ensure_parallelism(df, DISTRIBUTION_KEYS[name])
+            self._cache[key] = df
         return self._cache[key]
 
     def __getattr__(self, name: str) -> DataFrame:

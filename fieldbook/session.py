@@ -16,6 +16,7 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -51,3 +52,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from the
+    written copy: a dataset read several times by one job is computed once,
+    its lineage is cut, and losing an executor does not recompute it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
