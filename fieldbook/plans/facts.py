@@ -66,10 +66,11 @@ def waybill_work_fact(headers: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def work_report(fact: DataFrame, equipment: DataFrame, employees: DataFrame,
-                operations: DataFrame) -> DataFrame:
+                operations: DataFrame, positive_only: bool = True) -> DataFrame:
     """Field-work dataset for dashboards: labels for machine, driver,
-    operation and operation group; norm completion; only rows with work."""
-    f = positive(fact, "obem_rabot_ga")
+    operation and operation group; norm completion; only rows with work
+    (``positive_only=False`` keeps every fact row: the BI view of the fact)."""
+    f = positive(fact, "obem_rabot_ga") if positive_only else fact
     eq = equipment.select(F.col("code_1c").alias("__eq"), F.col("name").alias("__eq_name"),
                           F.col("eq_type").alias("__eq_type"))
     emp = employees.select(F.col("individual_id").alias("__emp"), F.col("description").alias("__emp_name"))
@@ -125,6 +126,16 @@ def tmc_movement(stg_lines: DataFrame, items: DataFrame, units: DataFrame | None
     return m.drop("__it_name", "__it_unit")
 
 
+def movement_fact_bi(fact: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
+    """BI view of a movement fact: every fact row kept, item and unit labels
+    attached by left lookups."""
+    it = items.select(F.col("_id").alias("__it"), F.col("description").alias("__it_name"))
+    u = units.select(F.col("_id").alias("__u"), F.col("description").alias("uom_name"))
+    f = lookup_join(lookup_join(fact, it, [("nomenklatura_id", "__it")]), u, [("edinica_id", "__u")])
+    return (f.withColumn("nomenclature", unresolved_item_label("__it_name", "nomenklatura_id"))
+             .withColumn("uom_name", F.coalesce("uom_name", F.lit(UNRESOLVED_UNIT))).drop("__it_name"))
+
+
 def storage_balance(movement: DataFrame, warehouse_col: str, item_col: str, day_col: str = "doc_date",
                     qty_col: str = "quantity_signed", densify: bool = False) -> DataFrame:
     """Balance per warehouse and item after each movement day (or every day

@@ -209,3 +209,27 @@ def field_material_usage(t: Tables) -> DataFrame:
     items = t.sd_items.select("_id", "description")
     units = t.sd_items.select("_id", F.col("unit_name").alias("description"))
     return facts.material_usage(w, items, units)
+
+
+@query("harvest_receipt_bi", M_SD, """,
+iv AS (SELECT _id, description, unit_name FROM sd_items WHERE _deletionmark = FALSE),
+f AS (SELECT d._id AS doc_id, l.line_number, l.item_id AS nomenklatura_id, l.qty AS kolichestvo
+      FROM sd_docs d JOIN sd_lines l ON l.doc_id = d._id
+      WHERE d._posted = TRUE AND d._deletionmark = FALSE AND l.operaciya = 'ПередачаПродукцииИзПроизводства')
+SELECT f.doc_id, f.line_number, CAST(f.kolichestvo AS DOUBLE) AS kolichestvo,
+       COALESCE(it.description, '[Не загружено из 1С] ' || CAST(f.nomenklatura_id AS VARCHAR)) AS nomenclature,
+       COALESCE(u.unit_name, 'Не определена') AS uom_name
+FROM f LEFT JOIN iv it ON it._id = f.nomenklatura_id LEFT JOIN iv u ON u._id = f.nomenklatura_id""")
+def harvest_receipt_bi(t: Tables) -> DataFrame:
+    """M-18: BI view of the harvest-receipt fact (all fact rows kept)."""
+    f = facts.split_movement(movement_headers(t), movement_lines(t))["harvest_receipt"]
+    items, units = catalogs(t)
+    return facts.movement_fact_bi(f, items, units).select("doc_id", "line_number", "kolichestvo", "nomenclature",
+                                                          "uom_name")
+
+
+@query("load_counters", ["sd_docs", "sd_lines"], """
+SELECT (SELECT COUNT(*) FROM sd_docs) AS docs, (SELECT COUNT(*) FROM sd_lines) AS lines""")
+def load_counters(t: Tables) -> DataFrame:
+    """G-13 / Q-01: documents and lines of a load."""
+    return quality.load_counts(t.sd_docs, t.sd_lines)

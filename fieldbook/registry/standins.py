@@ -177,8 +177,11 @@ def ensure_parallelism(df: DataFrame, key: str | None) -> DataFrame:
     per-document windows and joins reuse that partitioning.  On large inputs
     (many splits) nothing changes."""
     spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= want:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave the read as is
         return df
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, key) if key else df.repartition(n)

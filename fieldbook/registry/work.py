@@ -294,3 +294,26 @@ def conditional_counts(t: Tables) -> DataFrame:
     return d.agg(F.count(F.lit(1)).alias("total"), count_if(F.col("_deletionmark") == F.lit(False)).alias("active"),
                  count_if(F.col("_deletionmark").isNull()).alias("unknown_mark"),
                  count_if(P.strict_active_flag()).alias("posted_active"))
+
+
+@query("waybill_work_bi", WORK_SD, "," + FACT_SQL.replace("  WHERE f.obem_rabot_ga > 0)", "  )") + """
+SELECT document_no, line_number, equipment, equipment_type, employee, operation_name, operation_group,
+       CAST(work_area_ha AS DOUBLE) AS work_area_ha, CAST(norm_completion_pct AS DOUBLE) AS norm_completion_pct
+FROM w""")
+def waybill_work_bi(t: Tables) -> DataFrame:
+    """M-18: BI view of the waybill-work fact: every active line, labelled."""
+    fact = facts.waybill_work_fact(waybill_headers(t), waybill_lines(t))
+    w = facts.work_report(fact, equipment(t), t.sd_people, t.tech_operations(), positive_only=False)
+    return w.select("document_no", "line_number", "equipment", "equipment_type", "employee", "operation_name",
+                    "operation_group", "work_area_ha", "norm_completion_pct")
+
+
+@query("dim_equipment", ["sd_machines"], """
+SELECT code_1c, name, eq_type, dense_rank() OVER (ORDER BY code_1c NULLS FIRST) AS eq_sk
+FROM (SELECT _id AS code_1c, name, eq_type FROM sd_machines WHERE eq_type IS DISTINCT FROM 'heavy')""")
+def dim_equipment(t: Tables) -> DataFrame:
+    """M-10 / M-11: equipment dimension from the machine catalog (rows marked
+    deleted dropped) with dense surrogate keys."""
+    from fieldbook.plans import dims
+    cat = t.sd_machines.withColumn("_deletionmark", F.coalesce(F.col("eq_type") == "heavy", F.lit(False)))
+    return dims.simple_dim(cat, {"code_1c": "_id", "name": "name", "eq_type": "eq_type"}, ["code_1c"], "eq_sk")

@@ -20,7 +20,7 @@ from fieldbook.operators.joins import anti_join, semi_join
 
 
 # microsecond timestamps survive the JSON round trip (the default keeps millis)
-PAGE_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+PAGE_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 
 
 def envelope_schema(doc_schema: StructType) -> StructType:
