@@ -17,11 +17,12 @@ def dense_keys(df: DataFrame, natural: list[str], sk_col: str = "sk",
                start_after: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
     """Distinct ``natural`` tuples numbered 1.. in ascending order (NULLs first),
     shifted by ``start_after`` (e.g. the current maximum key of a dimension)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c).asc_nulls_first() for c in natural]
     d = df.select(*natural).distinct()
-    s = (d.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without an explicit count AQE may merge adjacent small ranges; merged
+    # partitions stay in key order, and ids/positions are taken per task
+    ranged = d.repartitionByRange(num_partitions, *order) if num_partitions else d.repartitionByRange(*order)
+    s = (ranged.sortWithinPartitions(*order)
           .withColumn("__p", F.spark_partition_id())
           .withColumn("__m", F.monotonically_increasing_id()))
     stats = s.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__m0"))

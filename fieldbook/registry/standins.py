@@ -183,8 +183,8 @@ def ensure_parallelism(df: DataFrame, key: str | None) -> DataFrame:
             return df
     except Exception:  # noqa: BLE001 - no RDD view (remote session): leave the read as is
         return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, key) if key else df.repartition(n)
+    # no explicit count: AQE may coalesce the partitions to the data size
+    return df.repartition(key) if key else df.repartition()
 
 
 @dataclass

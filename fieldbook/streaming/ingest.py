@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import os
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,25 @@ from fieldbook.operators.dedup import last_writer_wins
 from fieldbook.operators.upsert import upsert
 from fieldbook.sources.sinks import publish_version, read_current
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """State partitions of a stateful stream are fixed when it first starts
+    (then kept in its checkpoint).  The in-watermark dedup state grows with
+    the input, so it is sized to the cluster's parallelism rather than to
+    whatever the session's batch setting happens to be."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    try:
+        want = n or spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session: keep the session value
+        want = int(old)
+    spark.conf.set(key, str(want))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 LOAD_LOG_SCHEMA = "entity string, batch_id long, rows_read long, loaded_at timestamp"
 
 
@@ -107,8 +127,9 @@ def stream_daily_volume(spark: SparkSession, source_dir: str, schema: StructType
         r = r.option("pathGlobFilter", glob)
     agg = daily_volume(r.parquet(source_dir), ts, kind, value, key)
     merge = _merge_batch(target_dir, ["day", kind], [], log_dir, "daily_volume")
-    return (agg.writeStream.outputMode("update").foreachBatch(merge)
-            .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    with state_partitions(spark):
+        return (agg.writeStream.outputMode("update").foreachBatch(merge)
+                .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
 
 
 def run_to_end(q: StreamingQuery, timeout_s: int | None = None) -> None:
