@@ -20,9 +20,10 @@ from fieldbook.constants import LOOKUP_BROADCAST_MAX_ROWS
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after checking the row count (an aggregate; no
-    rows reach the driver).  Above the bound the plain DataFrame is returned
-    and Spark picks a shuffle join."""
-    n = df.count()
+    rows reach the driver).  Counting stops at ``max_rows + 1``, so checking a
+    large table costs a bounded read.  Above the bound the plain DataFrame is
+    returned and Spark picks a shuffle join."""
+    n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -77,10 +78,14 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     return joined.unionByName(unmatched.select(*joined.columns))
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
+                   broadcast: bool | None = False) -> DataFrame:
     """``IS NOT DISTINCT FROM`` on every key pair.  Catalyst rewrites ``<=>``
-    into coalesce/isnull equi-keys, so this stays a hash or sort-merge join."""
+    into coalesce/isnull equi-keys, so this stays a hash or sort-merge join.
+    ``broadcast=None`` broadcasts ``right`` after a row-count check."""
     pairs = _pairs(on)
+    if broadcast is None:
+        right = broadcast_if_small(right, LOOKUP_BROADCAST_MAX_ROWS)
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in right.columns])
     rp = [(lk, f"__r_{rk}") for lk, rk in pairs]
     out = left.join(r, _cond(left, r, rp, True), how)
@@ -114,23 +119,50 @@ def self_parent_join(df: DataFrame, id_col: str, parent_col: str, cols: list[str
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
-              valid_from: str, payload: list[str]) -> DataFrame:
+              valid_from: str, payload: list[str], bucket: str | None = "month") -> DataFrame:
     """Attach to each fact the version of ``key`` valid at ``ts`` (the latest
     ``valid_from <= ts``).
 
-    Exact and linear: facts and version starts are unioned and sorted once
-    per key, and the version is carried forward with ``last(ignorenulls)``.
-    No fact x version pairs are generated.
+    Exact, linear and without fact x version pairs: facts and version starts
+    are unioned and scanned in time order with ``last(ignorenulls)``.  The scan
+    is partitioned by (key, time bucket), so a key holding a large share of the
+    facts is spread over as many tasks as it has buckets; the version in force
+    when a bucket starts comes from a small per-(key, bucket) table (at most
+    one row per key and bucket) scanned the same way.  ``bucket=None`` scans per
+    key only.
     """
-    tag = "__is_version"
-    v = versions.select(F.col(key).alias(key), F.col(valid_from).alias("__t"),
-                        F.lit(0).alias(tag), F.struct(*payload).alias("__v"))
+    tag = "__is_fact"
+    vstruct = F.struct(*[F.col(p) for p in payload])
+    v = versions.select(F.col(key).alias(key), F.col(valid_from).alias("__t"), F.lit(0).alias(tag),
+                        vstruct.alias("__v"))
     f = facts.select(F.col(key).alias(key), F.col(ts).alias("__t"), F.lit(1).alias(tag),
                      F.lit(None).cast(v.schema["__v"].dataType).alias("__v"),
-                     F.struct(*facts.columns).alias("__f"))
+                     F.struct(*[F.col(c) for c in facts.columns]).alias("__f"))
     v = v.withColumn("__f", F.lit(None).cast(f.schema["__f"].dataType))
-    w = (Window.partitionBy(key).orderBy(F.col("__t").asc(), F.col(tag).asc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    both = v.unionByName(f).withColumn("__cur", F.last("__v", ignorenulls=True).over(w))
-    out = both.where(F.col(tag) == 1)
+    both = v.unionByName(f)
+    if bucket is None:
+        w = (Window.partitionBy(key).orderBy(F.col("__t").asc(), F.col(tag).asc())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        out = both.withColumn("__cur", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 1)
+    else:
+        both = both.withColumn("__b", F.date_trunc(bucket, F.col("__t")))
+        # last version of every (key, bucket) that has versions ...
+        last_v = (both.where(F.col(tag) == 0).groupBy(key, "__b")
+                  .agg(F.max_by("__v", "__t").alias("__lv")))
+        # ... carried into every (key, bucket) that has facts, from strictly earlier buckets
+        fb = both.where(F.col(tag) == 1).select(key, "__b").distinct()
+        # a fact bucket sorts before the versions of its own bucket: it only
+        # sees versions of earlier buckets (its own are applied by the scan)
+        marks = (last_v.select(key, "__b", "__lv", F.lit(1).alias("__o"))
+                 .unionByName(fb.select(key, "__b", F.lit(None).cast(last_v.schema["__lv"].dataType).alias("__lv"),
+                                        F.lit(0).alias("__o"))))
+        wb = (Window.partitionBy(key).orderBy(F.col("__b").asc(), F.col("__o").asc())
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        carry = (marks.withColumn("__in", F.last("__lv", ignorenulls=True).over(wb))
+                 .where(F.col("__o") == 0).select(key, "__b", "__in"))
+        w = (Window.partitionBy(key, "__b").orderBy(F.col("__t").asc(), F.col(tag).asc())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        scanned = both.withColumn("__cur", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 1)
+        out = (scanned.join(carry, [key, "__b"], "left")
+               .withColumn("__cur", F.coalesce("__cur", "__in")))
     return out.select("__f.*", *[F.col(f"__cur.{p}").alias(p) for p in payload])

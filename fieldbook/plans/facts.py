@@ -203,7 +203,7 @@ def harvest_fact_rows(enriched: DataFrame, dim_field: DataFrame, dim_nom: DataFr
     h = lookup_join(lookup_join(h, f, [("__pf", "__f")], how="inner"), n, [("__nf", "__n")], how="inner") \
         .drop("__pf", "__nf")
     h = null_safe_join(h, dim_crop.select("variety", "color", "reproduction", "irrigation", "crop_sk"),
-                       ["variety", "color", "reproduction", "irrigation"], "inner")
+                       ["variety", "color", "reproduction", "irrigation"], "inner", broadcast=None)
     return h.select(F.to_date("doc_date").alias("date_day"), "field_sk", "crop_sk", "nom_sk",
                     F.col("uchastok_nomer").alias("plot_no"), F.lit(None).cast("decimal(10,2)").alias("area_ha"),
                     F.col("kolichestvo_kg").cast("decimal(18,2)").alias("weight_kg"),

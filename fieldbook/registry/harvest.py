@@ -334,17 +334,18 @@ def missing_item_technical_records(t: Tables) -> DataFrame:
 
 def harvest_star(t: Tables):
     """Dimensions and fact rows of one harvest load.  The enriched rows feed
-    four dimension/fact steps, so they are written once and re-read."""
-    e = materialize(enriched(t))
+    four dimension/fact steps, so they are written once and re-read; the
+    dimensions are published before the fact that references them."""
+    e = materialize(enriched(t), "harvest_enriched")
     crop_old = existing_crop_dim(t, e)
-    crop_dim = crop_old.unionByName(dims.dim_crop_new(e, crop_old))
-    field_dim = dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk") \
-        .withColumn("is_current", F.lit(True))
-    nom_ids = items_view(t).select(F.col("_id").alias("ref_key_1c")).unionByName(
-        dims.missing_nomenclature(e, items_view(t).select(F.col("_id").alias("ref_key_1c")), ["src_doc_id"])
-        .select("ref_key_1c"))
-    nom_dim = dense_keys(nom_ids.select(F.col("ref_key_1c").cast("string").alias("ref_key_1c")),
-                         ["ref_key_1c"], "nom_sk")
+    crop_dim = materialize(crop_old.unionByName(dims.dim_crop_new(e, crop_old)), "dim_crop")
+    field_dim = materialize(
+        dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk")
+        .withColumn("is_current", F.lit(True)), "dim_field")
+    known = items_view(t).select(F.col("_id").alias("ref_key_1c"))
+    nom_ids = known.unionByName(dims.missing_nomenclature(e, known, ["src_doc_id"]).select("ref_key_1c"))
+    nom_dim = materialize(dense_keys(nom_ids.select(F.col("ref_key_1c").cast("string").alias("ref_key_1c")),
+                                     ["ref_key_1c"], "nom_sk"), "dim_nomenclature")
     return e, field_dim, nom_dim, crop_dim
 
 

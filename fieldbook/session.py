@@ -57,9 +57,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from the
-    written copy: a dataset read several times by one job is computed once,
-    its lineage is cut, and losing an executor does not recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    continue from the written copy: a dataset read several times is computed
+    once (one job, unlike an eager RDD checkpoint which computes its input
+    twice), its lineage is cut, and a lost executor does not recompute it."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, os.path.join("tables", f"{name}-{uuid.uuid4().hex}"))
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -149,3 +149,19 @@ def test_scd2_versions(spark):
     v = scd2_versions(snaps, "key", "ts", ["attr"], ["seq"]).orderBy("valid_from").collect()
     assert [(r.attr, r.valid_from, r.valid_to, r.is_current) for r in v] == [
         ("A", date(2024, 1, 1), date(2024, 3, 1), False), ("C", date(2024, 3, 1), date(9999, 12, 31), True)]
+
+
+def test_asof_join_buckets_match_per_key_scan(spark):
+    import random
+    rnd = random.Random(7)
+    vs = [(k, date(2023, 1, 1).fromordinal(date(2023, 1, 1).toordinal() + rnd.randrange(0, 700)), f"v{i}")
+          for i, k in enumerate(rnd.choice([1, 1, 1, 2, 3]) for _ in range(40))]
+    fs = [(rnd.choice([1, 1, 1, 1, 2, 3, 4]), date(2023, 1, 1).fromordinal(date(2023, 1, 1).toordinal()
+                                                                         + rnd.randrange(-30, 760)))
+          for _ in range(500)]
+    versions = spark.createDataFrame(vs, "k int, vf date, attr string").dropDuplicates(["k", "vf"])
+    facts = spark.createDataFrame(fs, "k int, t date")
+    by_month = rows(asof_join(facts, versions, "k", "t", "vf", ["attr"], bucket="month"))
+    by_day = rows(asof_join(facts, versions, "k", "t", "vf", ["attr"], bucket="day"))
+    per_key = rows(asof_join(facts, versions, "k", "t", "vf", ["attr"], bucket=None))
+    assert by_month == per_key == by_day
