@@ -19,11 +19,11 @@ from fieldbook.constants import LOOKUP_BROADCAST_MAX_ROWS
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after checking the row count (an aggregate; no
-    rows reach the driver).  Counting stops at ``max_rows + 1``, so checking a
-    large table costs a bounded read.  Above the bound the plain DataFrame is
-    returned and Spark picks a shuffle join."""
-    n = df.limit(max_rows + 1).count()
+    """Hint a broadcast only after checking the row count (a partial
+    aggregate that reads no columns of a plain scan; only the number reaches
+    the driver).  Above the bound the plain DataFrame is returned and Spark
+    picks a shuffle join."""
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
