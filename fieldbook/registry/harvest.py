@@ -383,3 +383,27 @@ SELECT _id FROM sd_weighings WHERE ves_netto_kg <> ves_brutto_kg - ves_tary_kg""
 def net_weight_check(t: Tables) -> DataFrame:
     """Q-13: net must equal gross minus tare."""
     return quality.net_weight_mismatch(t.sd_weighings).select("_id")
+
+
+@query("harvest_by_season", H_SD, hq("""
+, cal AS (
+  SELECT CAST(d AS DATE) AS date_day,
+         CASE WHEN month(d) >= 7 THEN CAST(year(d) AS VARCHAR) || '-' || CAST(year(d) + 1 AS VARCHAR)
+              ELSE CAST(year(d) - 1 AS VARCHAR) || '-' || CAST(year(d) AS VARCHAR) END AS season_label,
+         ['хранение','хранение','подготовка','подготовка','посадка','вегетация','вегетация','вегетация',
+          'уборка','уборка','хранение','хранение'][month(d)] AS agro_phase
+  FROM (SELECT unnest(generate_series(CAST(MIN(doc_date) AS DATE), CAST(MAX(doc_date) AS DATE), INTERVAL 1 DAY)) AS d
+        FROM enr))
+SELECT c.season_label, c.agro_phase, COUNT(*) AS weighings,
+       ROUND(CAST(SUM(e.kolichestvo_kg) AS DOUBLE) / 1000, 6) AS tons
+FROM enr e JOIN cal c ON c.date_day = CAST(e.doc_date AS DATE)
+GROUP BY 1, 2"""))
+def harvest_by_season(t: Tables) -> DataFrame:
+    """J-15 / S-17 / S-18: harvest rows joined to the calendar dimension on the
+    day, reported by farm season and agronomic phase."""
+    e = enriched(t).withColumn("date_day", F.to_date("doc_date"))
+    bounds = e.agg(F.min("doc_date").alias("start"), F.max("doc_date").alias("end"))
+    cal = dims.dim_date(bounds).select("date_day", "season_label", "agro_phase")
+    j = e.join(cal, "date_day")
+    return j.groupBy("season_label", "agro_phase").agg(F.count(F.lit(1)).alias("weighings"),
+                                                       (F.sum("kolichestvo_kg") / 1000).alias("tons"))

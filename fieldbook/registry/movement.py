@@ -11,6 +11,7 @@ from fieldbook.constants import TOTAL_LABEL
 from fieldbook.operators.aggregates import with_total_row
 from fieldbook.operators.predicates import dim_not_deleted
 from fieldbook.plans import facts, quality, reports, staging
+from fieldbook.sources import pages
 from fieldbook.registry.base import query
 from fieldbook.registry.standins import Tables
 
@@ -65,13 +66,16 @@ tmc2 AS (SELECT *, kolichestvo * quantity_sign AS quantity_signed FROM tmc)
 
 
 @query("movement_lines_clean", ["sd_docs", "sd_lines"], """
-SELECT d._id AS doc_id, l.line_number, d._posted, d._deletionmark,
+SELECT d._id AS doc_id, l.line_number, CAST(d._id AS VARCHAR) || '_' || CAST(l.line_number AS VARCHAR) AS line_key,
+       d._posted, d._deletionmark,
        COALESCE(d._deletionmark, FALSE) = FALSE AND COALESCE(d._posted, FALSE) AS is_active
 FROM sd_docs d JOIN sd_lines l ON l.doc_id = d._id""")
 def movement_lines_clean(t: Tables) -> DataFrame:
-    """M-05: header x lines, flags carried, no filter (rows in = rows out)."""
+    """M-05 / I-08: header x lines, flags carried, no filter (rows in = rows
+    out), with the composite line key."""
     s = staging.stg_movement_lines(movement_headers(t), movement_lines(t))
-    return s.select("doc_id", "line_number", "_posted", "_deletionmark", "is_active")
+    return s.select("doc_id", "line_number", pages.line_key("doc_id", "line_number", "_").alias("line_key"),
+                    "_posted", "_deletionmark", "is_active")
 
 
 @query("split_by_operation", ["sd_docs", "sd_lines"], """,
@@ -118,7 +122,8 @@ g AS (SELECT movement_type, COUNT(*) AS rows, COUNT(*) FILTER (WHERE is_nomencla
              COUNT(uom_code) AS unit_resolved
       FROM tmc2 GROUP BY 1)
 SELECT * FROM g
-UNION ALL SELECT 'Итого', SUM(rows), SUM(item_resolved), SUM(item_unresolved), SUM(unit_resolved) FROM g""")
+UNION ALL SELECT 'Итого', CAST(SUM(rows) AS BIGINT), CAST(SUM(item_resolved) AS BIGINT),
+                 CAST(SUM(item_unresolved) AS BIGINT), CAST(SUM(unit_resolved) AS BIGINT) FROM g""")
 def movement_by_type(t: Tables) -> DataFrame:
     """G-09: movement by type with resolution counts and a total row."""
     g = tmc(t).groupBy("movement_type").agg(
@@ -147,7 +152,7 @@ def movement_summary(t: Tables) -> DataFrame:
 
 
 @query("top_items_per_unit", M_SD, MOVE_SQL + """
-SELECT uom_name, nomenclature, CAST(quantity AS DOUBLE) AS quantity, rank FROM (
+SELECT uom_name, nomenclature, CAST(quantity AS DOUBLE) AS quantity, CAST(rank AS INTEGER) AS rank FROM (
   SELECT uom_name, nomenclature, SUM(kolichestvo) AS quantity,
          row_number() OVER (PARTITION BY uom_name ORDER BY SUM(kolichestvo) DESC, nomenclature) AS rank
   FROM tmc2 WHERE is_nomenclature_resolved AND uom_name IS NOT NULL GROUP BY 1, 2)

@@ -43,7 +43,7 @@ PAGE_DOC = StructType([StructField("Ref_Key", LongType()), StructField("Kind", S
 
 @query("stream_upsert_pages", None, """
 SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END AS value,
-       CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS seq
+       CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS seq
 FROM events""")
 def stream_upsert_pages(t: Tables) -> DataFrame:
     """I-17 / W-01 / N8: two landed loads (all events, then corrected

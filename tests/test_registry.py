@@ -72,3 +72,14 @@ def test_filters_reach_the_scan(spark):
     plan = QUERIES["strict_active_docs"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string,o_orderdate:timestamp_ntz,o_orderpriority:string>" in plan
+
+
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_types_match_oracle(spark, con, name):
+    got = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+           for f in QUERIES[name](spark, SF).schema.fields}
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert got == want
