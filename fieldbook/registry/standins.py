@@ -166,6 +166,22 @@ def standin_cte(names: list[str]) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+# declared schemas of the driver tables: read without inference
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 @dataclass
 class Tables:
     """Lazy access to driver tables and stand-ins of one scale-factor folder."""
@@ -176,7 +192,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         key = ("raw", name)
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            r = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                r = r.schema(DRIVER_SCHEMAS[name])
+            self._cache[key] = r.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
         return self._cache[key]
 
     def __getattr__(self, name: str) -> DataFrame:
