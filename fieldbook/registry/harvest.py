@@ -155,7 +155,7 @@ def item_name_parse(t: Tables) -> DataFrame:
 @query("computed_key_left_lookup", H_SD, hq("""
 SELECT _id, otkuda_name, pole_nomer, pole_id, god_urozhaya, pole_resolution_method FROM stg2"""))
 def computed_key_left_lookup(t: Tables) -> DataFrame:
-    """M-01 / J-02 / J-03 / S-26: weighing -> structure name -> parsed field number -> field."""
+    """M-01 / J-02 / J-03 / S-26 / S-12: weighing -> structure name -> parsed field number -> field."""
     s = staging.stg_weighing(t.sd_weighings, t.sd_structure, t.sd_fields)
     return s.select("_id", "otkuda_name", "pole_nomer", "pole_id", "god_urozhaya", "pole_resolution_method")
 
@@ -174,10 +174,10 @@ def harvest_base_query(t: Tables) -> DataFrame:
 @query("coverage_by_year", H_SD, hq("""
 SELECT god_urozhaya, COUNT(*) AS rows, COUNT(pole_id) AS resolved,
        CAST(ROUND(100.0 * COUNT(pole_id) / COUNT(*), 1) AS DOUBLE) AS coverage_pct
-FROM base GROUP BY 1"""))
+FROM base GROUP BY 1 ORDER BY 1"""))
 def coverage_by_year(t: Tables) -> DataFrame:
-    """G-03 / K-04 / Q-07: link coverage by harvest year."""
-    return coverage_by(harvest_base(t), "god_urozhaya", "pole_id")
+    """G-03 / K-04 / Q-07 / T-01: link coverage by harvest year, ordered by year."""
+    return coverage_by(harvest_base(t), "god_urozhaya", "pole_id").orderBy("god_urozhaya")
 
 
 @query("harvest_enriched", H_SD, hq("""
@@ -309,7 +309,7 @@ crop_dim AS (SELECT * FROM old_dim UNION ALL SELECT * FROM new_dim)
 @query("dim_crop_new", H_SD, hq(EXISTING_CROP_SQL + """
 SELECT variety, color, reproduction, irrigation, crop_sk FROM new_dim"""))
 def dim_crop_new(t: Tables) -> DataFrame:
-    """M-08 / J-09 / G-01 / M-SK: new crop tuples (null-safe NOT EXISTS) with
+    """M-08 / J-09 / G-01 / M-SK / S-19 / S-20 / S-21: new crop tuples (null-safe NOT EXISTS) with
     keys continuing after the existing maximum."""
     e = enriched(t)
     return dims.dim_crop_new(e, existing_crop_dim(t, e))
@@ -369,7 +369,7 @@ UNION ALL
 SELECT date_day, field_sk, crop_sk, nom_sk, plot_no, area_ha, weight_kg, src_doc_ref FROM rows_ r
 WHERE NOT EXISTS (SELECT 1 FROM rows_ o WHERE o.god_urozhaya = 1995 AND o.src_doc_ref = r.src_doc_ref)"""))
 def harvest_fact(t: Tables) -> DataFrame:
-    """M-14 / J-06 / J-07 / J-08 / N12: fact rows keyed to the dimensions;
+    """M-14 / J-06 / J-07 / J-08 / N12 / S-19 / S-20 / S-21 / P-08: fact rows keyed to the dimensions;
     the first year is the already-loaded fact and the load only appends
     documents not present yet."""
     e, field_dim, nom_dim, crop_dim = harvest_star(t)

@@ -122,7 +122,7 @@ SELECT (SELECT COUNT(*) FROM h) AS headers,
        (SELECT COUNT(*) FROM sd_lines WHERE doc_id IN (SELECT _id FROM h)) AS kept_lines,
        (SELECT COUNT(*) FROM sd_lines WHERE doc_id NOT IN (SELECT _id FROM h)) AS orphan_lines""")
 def reconcile_orphans(t: Tables) -> DataFrame:
-    """I-07 / J-11 / Q-04: lines against headers read on another date;
+    """I-07 / J-11 / Q-04 / U-02: lines against headers read on another date;
     missing headers re-read (posted only), remaining orphans counted."""
     d = t.sd_docs
     h0 = d.where(F.col("doc_date") < F.lit("2000-01-01").cast("timestamp_ntz")).select("_id")

@@ -87,7 +87,7 @@ SELECT CASE operaciya WHEN 'ПередачаМатериаловВПроизво
        COUNT(*) AS rows, CAST(SUM(qty) AS DOUBLE) AS quantity, CAST(SUM(amount) AS DOUBLE) AS amount
 FROM act GROUP BY 1""")
 def split_by_operation(t: Tables) -> DataFrame:
-    """M-12: active lines split into material issue / harvest receipt / other."""
+    """M-12 / P-05: active lines split into material issue / harvest receipt / other."""
     parts = facts.split_movement(movement_headers(t), movement_lines(t))
     aggs = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum("kolichestvo").alias("quantity"),
                    F.sum("summa").alias("amount")).select(F.lit(name).alias("fact"), "*")
@@ -111,7 +111,7 @@ SELECT doc_id, line_number, movement_type, quantity_sign, CAST(quantity_signed A
        nomenclature, is_nomenclature_resolved, uom_name, uom_code
 FROM tmc2""")
 def tmc_movement(t: Tables) -> DataFrame:
-    """M-17 / S-30 / S-31 / S-32: classified active movement lines."""
+    """M-17 / J-12 / S-30 / S-31 / S-32: classified active movement lines."""
     return tmc(t).select("doc_id", "line_number", "movement_type", "quantity_sign", "quantity_signed",
                          "nomenclature", "is_nomenclature_resolved", "uom_name", "uom_code")
 

@@ -46,7 +46,7 @@ SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value + 1 EL
        CAST(CASE WHEN event_type = 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS seq
 FROM events""")
 def stream_upsert_pages(t: Tables) -> DataFrame:
-    """I-17 / W-01 / N8: two landed loads (all events, then corrected
+    """I-17 / W-01 / I-16 / M-24 / N8: two landed loads (all events, then corrected
     purchases) streamed into one table; the newest version of a key wins."""
     ev = t.raw("events")
     base = _base(t, "pages")

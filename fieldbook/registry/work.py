@@ -127,7 +127,7 @@ SELECT CAST(work_date AS VARCHAR) AS work_date, CAST(month AS VARCHAR) AS month,
        operation_code, operation_group_id, operation_group
 FROM w"""))
 def work_report(t: Tables) -> DataFrame:
-    """M-15 with J-04, J-05, S-13, S-22, S-23, P-07."""
+    """M-15 with J-04, J-05, S-13, S-14, S-22, S-23, P-07."""
     return work_dataset(t)
 
 

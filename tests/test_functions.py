@@ -92,3 +92,9 @@ def test_party_and_item_parsers(spark):
     it = spark.createDataFrame([("Урожай 2025 ГалаРС3 Белый с поливом., поле 318, уч.6",)], "t string")
     p = it.select(parse_item_name("t").alias("p")).first().p
     assert (p.year, p.sort, p.reproduction, p.irrigation, p.field, p.plot) == (2025, "Гала", "РС3", "С поливом", "318", 6)
+
+
+def test_passthrough_decimal(spark):
+    from fieldbook.functions.normalize import passthrough_decimal
+    df = spark.createDataFrame([("12.5",), ("null",), ("",), (None,)], "v string")
+    assert [r[0] for r in df.select(passthrough_decimal("v", 12, 4)).collect()] == [Decimal("12.5000"), None, None, None]
