@@ -103,3 +103,19 @@ def test_stream_matches_batch(spark):
     got = rows(sinks.read_current(spark, target).select("day", "event_type", "events", F.col("value").cast("double")))
     assert got == [(date(2024, 1, 1), "a", 2, 3.75), (date(2024, 1, 2), "b", 1, 4.0)]   # duplicate event dropped
     assert spark.read.parquet(log).count() >= 1
+
+
+def test_reports_pivot_share_and_enforce(spark):
+    import pytest as _pytest
+    from fieldbook.plans import metrics, quality, reports
+    w = spark.createDataFrame([("op1", date(2024, 5, 1), Decimal("10")), ("op1", date(2024, 6, 1), Decimal("5")),
+                               ("op2", date(2024, 5, 1), Decimal("3"))],
+                              "operation_name string, month date, work_area_ha decimal(12,4)")
+    wide = {r.operation_name: (r[1], r[2]) for r in
+            reports.heatmap_operation_month(w, months=[date(2024, 5, 1), date(2024, 6, 1)]).collect()}
+    assert wide == {"op1": (Decimal("10.0000"), Decimal("5.0000")), "op2": (Decimal("3.0000"), None)}
+    m = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "g string, ok boolean")
+    assert rows(metrics.resolved_share(m, ["g"], "ok")) == [("a", 2, 1, 0.5), ("b", 1, 1, 1.0)]
+    with _pytest.raises(quality.QualityError):
+        quality.enforce(m.where("NOT ok"), "unresolved")
+    assert quality.enforce(m.where("NOT ok"), "unresolved", severity="warn") == 1
