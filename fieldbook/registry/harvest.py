@@ -407,3 +407,17 @@ def harvest_by_season(t: Tables) -> DataFrame:
     j = e.join(cal, "date_day")
     return j.groupBy("season_label", "agro_phase").agg(F.count(F.lit(1)).alias("weighings"),
                                                        (F.sum("kolichestvo_kg") / 1000).alias("tons"))
+
+
+@query("combine_slips", ["sd_slips", "sd_weighings"], """
+SELECT s.doc_id, s.line_number, lower(s.pole_id) AS pole_id, CAST(s.massa_kg AS DOUBLE) AS massa_kg,
+       CAST(w.doc_date AS VARCHAR) AS doc_date, CAST(year(w.doc_date) AS INTEGER) AS god_urozhaya
+FROM sd_slips s JOIN sd_weighings w ON w._id = s.doc_id
+WHERE s.tip_talona = 'ТалонКомбайнера' AND s.pole_id IS NOT NULL
+  AND s.pole_id <> '00000000-0000-0000-0000-000000000000'""")
+def combine_slips(t: Tables) -> DataFrame:
+    """M-04 / P-06: combine-operator slips that carry a real field id, with
+    their weighing's date and harvest year."""
+    w = t.sd_weighings.select("_id", "doc_date", F.lit(None).cast("string").alias("doc_number"))
+    s = staging.stg_slips(t.sd_slips, w)
+    return s.select("doc_id", "line_number", "pole_id", "massa_kg", "doc_date", "god_urozhaya")

@@ -126,6 +126,14 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "CAST(l_quantity AS DECIMAL(18,3)) AS ves_tary_kg",
         "CAST(CAST(l_extendedprice AS DECIMAL(18,3)) + CAST(l_quantity AS DECIMAL(18,3)) AS DECIMAL(18,3)) AS ves_brutto_kg",
     ]),
+    "sd_slips": ("lineitem", [
+        f"CAST(l_orderkey AS STRING) || '-' || CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) AS STRING) AS doc_id",
+        "CAST(1 AS INT) AS line_number",
+        "CASE WHEN l_discount > 0.05 THEN 'F-' || CAST(l_suppkey % 25 AS STRING) "
+        "WHEN l_discount > 0.02 THEN '00000000-0000-0000-0000-000000000000' END AS pole_id",
+        "CASE WHEN l_returnflag = 'N' THEN 'ТалонКомбайнера' ELSE 'ТалонВодителя' END AS tip_talona",
+        "CAST(l_quantity AS DECIMAL(18,3)) AS massa_kg",
+    ]),
     "sd_operations": ("nation", [
         "CAST(n_nationkey AS BIGINT) AS _id",
         "n_name AS description",
