@@ -16,9 +16,10 @@ into equal fragments whose overlaps are counted separately and summed:
    a candidate pair's overlaps are counted fragment by fragment and summed.
 5. *Components.*  First each shared prefix shingle's most common class is
    paired with the others (linear), and links are closed to components; then
-   only pairs of different components are left, which the fragment size bound
-   ``sum(min(|A_f|, |B_f|))`` thins before they are counted.  A pair inside a
-   component cannot change the result, so no link that matters is lost.
+   only pairs of different components are left, which a bitmap bound (two
+   sets differ in at least as many shingles as their parity bitmaps differ in
+   bits) thins before they are counted.  A pair inside a component cannot
+   change the result, so no link that matters is lost.
 
 Defined cases: NULL, empty and wordless texts have an empty set and link with
 nothing; texts of fewer words than ``n`` have one shingle, their whole
@@ -42,10 +43,11 @@ from fieldbook.session import materialize
 WORDS_PER_SHINGLE = 5
 PERCENT = 80
 FRAGMENTS = 8           # overlaps are counted in so many parts of the hash order
-SIGNATURE = 64          # finer parts whose sizes bound an overlap
+SIGNATURE_LONGS = 8     # 64 bits each: the parity bitmap of a set
 
 _REQUEST = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("payload", pa.binary()), ("extra", pa.binary())])
-_SETS = "doc_id long, n long, cls long, cent double, prefix array<long>, frags array<array<long>>, sig array<int>"
+_SETS = ("doc_id long, n long, cls long, cent double, alone long, prefix array<long>, frags array<array<long>>, "
+         "sig array<long>")
 
 
 def shingle_sets(texts, n: int):
@@ -91,8 +93,8 @@ def _frequencies(table: pa.Table) -> pa.Table:
 
 def _reduced_sets(layout: Layout, n: int, percent: int):
     fields = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("cent", pa.float64()),
-                        ("prefix", pa.list_(pa.int64())), ("frags", pa.list_(pa.list_(pa.int64()))),
-                        ("sig", pa.list_(pa.int32()))])
+                        ("alone", pa.int64()), ("prefix", pa.list_(pa.int64())), ("frags", pa.list_(pa.list_(pa.int64()))),
+                        ("sig", pa.list_(pa.int64()))])
 
     def reduce(docs: pa.Table, told: pa.Table) -> pa.Table:
         order = np.argsort(told.column("bucket").to_numpy())
@@ -109,16 +111,18 @@ def _reduced_sets(layout: Layout, n: int, percent: int):
             # |A & B| >= percent / 100 * |A| for linked sets: one of these is shared
             want = size - -(-percent * size // 100) + 1 - (size - len(kept))
             if not len(kept) or want <= 0:
-                rows.append((ids[row], size, None, None, None, None, None))
+                rows.append((ids[row], size, None, None, None, None, None, None))
                 continue
             g = grades[at[known]]
             rare = kept[np.argsort(g, kind="stable")][:want]
             digest = int(mix(np.array([np.bitwise_xor.reduce(mix(s.copy())) + np.uint64(size)], np.uint64)).view(np.int64)[0])
             cuts = np.searchsorted(kept >> np.uint64(61), np.arange(1, FRAGMENTS, dtype=np.uint64))
             frags = [x.view(np.int64).tolist() for x in np.split(kept, cuts)]
-            sig = np.bincount((kept >> np.uint64(58)).astype(np.int64), minlength=SIGNATURE)
-            rows.append((ids[row], size, digest, float(g.sum()) / size, rare.view(np.int64).tolist(), frags, sig.tolist()))
-        return pa.table([[r[i] for r in rows] for i in range(7)], schema=fields)
+            bits = np.bincount((kept % np.uint64(64 * SIGNATURE_LONGS)).astype(np.int64), minlength=64 * SIGNATURE_LONGS) & 1
+            sig = np.packbits(bits.astype(np.uint8)).view(np.int64)
+            rows.append((ids[row], size, digest, float(g.sum()) / size, size - len(kept), rare.view(np.int64).tolist(),
+                         frags, sig.tolist()))
+        return pa.table([[r[i] for r in rows] for i in range(8)], schema=fields)
     return reduce
 
 
@@ -148,31 +152,36 @@ def near_duplicate_components(docs: DataFrame, n: int = WORDS_PER_SHINGLE, perce
 
     members = sets.where("cls is not null")
     classes = materialize(members.groupBy("cls").agg(
-        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("cent").alias("cent"),
+        F.min("doc_id").alias("least_id"), F.first("n").alias("n"), F.first("cent").alias("cent"), F.first("alone").alias("alone"),
         F.first("prefix").alias("prefix"), F.first("frags").alias("frags"), F.first("sig").alias("sig")), "shingle-classes")
-    entries = classes.select(F.explode("prefix").alias("tok"), "cls", "n", "cent")
+    # pos: the shingle's place in its set, rarest first; unique shingles come before all others
+    entries = classes.select("cls", "n", "cent", "alone", F.posexplode("prefix").alias("pos", "tok")).select(
+        "tok", "cls", "n", "cent", "alone", (F.col("alone") + F.col("pos")).alias("pos"))
 
     # each shared shingle's most common class with the others: linear in the entries
-    hubs = (entries.groupBy("tok").agg(F.count("*").alias("many"), F.max(F.struct("cent", "cls", "n")).alias("hub"))
-            .where("many > 1").select("tok", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n")))
-    stars = (entries.join(hubs, "tok").where("cls <> hub")
+    hubs = (entries.groupBy("tok").agg(F.count("*").alias("many"), F.max(F.struct("cent", "cls", "n", "pos")).alias("hub"))
+            .where("many > 1")
+            .select("tok", F.col("hub.cls").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos")))
+    stars = (entries.join(hubs, "tok").where((F.col("cls") != F.col("hub")) & _fit("n", "hub_n", "pos", "hub_pos", percent))
              .select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b"),
                      F.when(F.col("cls") < F.col("hub"), F.col("n")).otherwise(F.col("hub_n")).alias("na"),
                      F.when(F.col("cls") < F.col("hub"), F.col("hub_n")).otherwise(F.col("n")).alias("nb"))
-             .where(_sizes_fit("na", "nb", percent)).distinct())
+             .distinct())
     links = materialize(_linked(stars, classes, percent), "links")
     comps = components(links)
 
     # what is left: pairs of different components that share a prefix shingle
     named = entries.join(comps, entries.cls == comps.node, "left").select(
-        "tok", "cls", "n", F.coalesce("comp", "cls").alias("comp"))
+        "tok", "cls", "n", "pos", "alone", F.coalesce("comp", "cls").alias("comp"))
     named = materialize(named, "entries")
     mixed = named.groupBy("tok").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("tok")
     named = named.join(mixed, "tok", "left_semi").join(classes.select("cls", "sig"), "cls")
-    left, right = (named.select("tok", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "comp", "sig")]) for s in "ab")
-    bound = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    rest = (left.join(right, "tok").where((F.col("comp_a") < F.col("comp_b")) & _sizes_fit("n_a", "n_b", percent)
-                                          & (100 * bound >= percent * (F.col("n_a") + F.col("n_b") - bound)))
+    left, right = (named.select("tok", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "pos", "alone", "comp", "sig")]) for s in "ab")
+    differ = F.col("alone_a") + F.col("alone_b")        # unique shingles differ from everything
+    for i in range(SIGNATURE_LONGS):
+        differ += F.bit_count(F.col("sig_a")[i].bitwiseXOR(F.col("sig_b")[i]))
+    rest = (left.join(right, "tok").where((F.col("comp_a") < F.col("comp_b")) & _fit("n_a", "n_b", "pos_a", "pos_b", percent)
+                                          & ((100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))))
             .select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), F.col("n_a").alias("na"), F.col("n_b").alias("nb"))
             .distinct())
     links = links.unionByName(_linked(rest, classes, percent))
@@ -187,6 +196,8 @@ def near_duplicate_components(docs: DataFrame, n: int = WORDS_PER_SHINGLE, perce
         F.col("cls").alias("class_id"))
 
 
-def _sizes_fit(a: str, b: str, percent: int):
-    """Linked sets differ in size by no more than the threshold."""
-    return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
+def _fit(a: str, b: str, pos_a: str, pos_b: str, percent: int):
+    """Whether two sets can link whose first common shingle stands at these
+    places: only shingles from there on can be common."""
+    most = F.least(F.col(a) - F.col(pos_a), F.col(b) - F.col(pos_b))
+    return 100 * most >= percent * (F.col(a) + F.col(b) - most)
