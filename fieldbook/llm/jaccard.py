@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldbook.llm.exchange import Layout, chunked, lookup, pack, plan_layout, unpack
+from fieldbook.llm.exchange import PACKED, Layout, chunked, lookup, pack, plan_layout, unpack
 from fieldbook.llm.frames import columns, components
 from fieldbook.llm.words import LOWER_ASCII, SPACE_WORDS, WordSlice, mix, row_slices, shingle_set, text_buffers, windows
 from fieldbook.session import materialize
@@ -145,8 +145,8 @@ def near_duplicate_components(docs: DataFrame, n: int = WORDS_PER_SHINGLE, perce
     docs = columns(docs, [key, text]).toDF("doc_id", "text")
     layout = plan_layout(docs)
     chunks = chunked(docs, layout, "doc_id")
-    asked = chunks.groupBy("chunk").applyInArrow(_request(layout, n), "bucket int, chunk int, payload binary, extra binary")
-    told = asked.groupBy("bucket").applyInArrow(_frequencies, "bucket int, chunk int, payload binary, extra binary")
+    asked = chunks.groupBy("chunk").applyInArrow(_request(layout, n), PACKED)
+    told = asked.groupBy("bucket").applyInArrow(_frequencies, PACKED)
     sets = chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_reduced_sets(layout, n, percent), _SETS)
     sets = materialize(sets, "shingle-sets")
 

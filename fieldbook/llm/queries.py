@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldbook.llm import jaccard
+from fieldbook.llm import decontam, jaccard, substring
 from fieldbook.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,16 @@ def query(fn):
 @query
 def op5_ngram_jaccard_join(spark, sf_dir):
     return jaccard.near_duplicate_components(table(spark, sf_dir, "documents")).drop("class_id")
+
+
+@query
+def op9_substring_dedup(spark, sf_dir):
+    out = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
