@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, substring
+from fieldbook.llm import decontam, jaccard, substring, urls
 from fieldbook.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op6_benchmark_decontamination(spark, sf_dir):
     out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    return urls.judged(table(spark, sf_dir, "pages"))
