@@ -3,13 +3,16 @@ SQL can express it."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, packing, substring, topk, urls
 from fieldbook.llm.frames import table
+from fieldbook.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,3 +62,17 @@ s AS (
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def tokens_of(docs, tokenizer="byte_bpe_50k.json"):
+    """Write ``docs`` as token files, read them back and digest each document."""
+    spark = docs.sparkSession
+    folder = scratch_path(spark, f"tokens/{uuid.uuid4().hex}")
+    packing.write_tokens(docs, folder, public_tokenizers.path(tokenizer))
+    return packing.read_tokens(spark, folder).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_token_id_output(spark, sf_dir):
+    return tokens_of(table(spark, sf_dir, "documents"))
