@@ -171,39 +171,34 @@ def _pieces(window: int):
     return cut
 
 
-_HITS = "doc_id long, text string, n_words long, spans array<array<long>>, items array<string>"
-
-
-def _scan(matcher: Matcher):
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
-                        ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
-
-    def scan(batches):
-        for batch in batches:
-            offsets, data = text_buffers(batch.column("text"))
-            n_words, spans, items = [], batch.column("spans").to_pylist(), batch.column("items").to_pylist()
-            for lo, hi in row_slices(offsets):
-                w = WordSlice(offsets, data, lo, hi, ALNUM_WORDS, LOWER_ASCII)
-                at, known = lookup(matcher.hashes, w.hashes)
-                coded = np.where(known, matcher.ids[at], -1) if len(matcher.ids) else np.full(len(at), -1)
-                hit = lookup(matcher.runs, windows(w.hashes, matcher.run))[1]
-                n_words += w.counts().tolist()
-                edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
-                for begin, end in edge.reshape(-1, 2).tolist():     # runs of known word runs
-                    if end - begin < matcher.least - matcher.run + 1:
-                        continue
-                    row, last = (int(np.searchsorted(w.first, x, "right")) - 1 for x in (begin, end + matcher.run - 2))
-                    for r in range(row, last + 1):                  # a run may reach over the end of a text
-                        a, b = int(w.first[r]), int(w.first[r + 1])
-                        found: set = set()
-                        got = matcher.spans(coded, max(a, begin), min(b, end + matcher.run - 1), found)
-                        if got:
-                            spans[lo + r] = _merged(spans[lo + r] + [[s - a, e - a] for s, e in got])
-                            items[lo + r] = sorted({*items[lo + r], *(matcher.names[i] for i in found if i is not None)})
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()),
-                                              pa.array(n_words, pa.int64()), pa.array(spans, schema.field("spans").type),
-                                              pa.array(items, schema.field("items").type)], schema=schema)
-    return scan
+_HITS_TYPE = "struct<n_words: bigint, spans: array<array<bigint>>, items: array<string>>"
+_HIT_TYPE = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+
+
+def _scan(matcher: Matcher, texts: pa.Array, spans: list, items: list) -> pa.Array:
+    """Hit ranges and items of every text, added to those found before."""
+    offsets, data = text_buffers(texts)
+    n_words: list[int] = []
+    for lo, hi in row_slices(offsets):
+        w = WordSlice(offsets, data, lo, hi, ALNUM_WORDS, LOWER_ASCII)
+        at, known = lookup(matcher.hashes, w.hashes)
+        coded = np.where(known, matcher.ids[at], -1) if len(matcher.ids) else np.full(len(at), -1)
+        hit = lookup(matcher.runs, windows(w.hashes, matcher.run))[1]
+        n_words += w.counts().tolist()
+        edge = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
+        for begin, end in edge.reshape(-1, 2).tolist():     # stretches of known word runs
+            if end - begin < matcher.least - matcher.run + 1:
+                continue
+            row, last = (int(np.searchsorted(w.first, x, "right")) - 1 for x in (begin, end + matcher.run - 2))
+            for r in range(row, last + 1):                  # a stretch may reach over the end of a text
+                a, b = int(w.first[r]), int(w.first[r + 1])
+                found: set = set()
+                got = matcher.spans(coded, max(a, begin), min(b, end + matcher.run - 1), found)
+                if got:
+                    spans[lo + r] = _merged(spans[lo + r] + [[s - a, e - a] for s, e in got])
+                    items[lo + r] = sorted({*items[lo + r], *(matcher.names[i] for i in found if i is not None)})
+    rows = [{"n_words": n, "spans": s, "items": i} for n, s, i in zip(n_words, spans, items, strict=True)]
+    return pa.array(rows, _HIT_TYPE)
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -216,9 +211,9 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = COVERAGE_PERCENT,
-                  key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``text``, ``n_words``, ``spans`` (hit
+def flagged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, percent: int = COVERAGE_PERCENT,
+            text: str = "text", item: str = "item_id", item_text: str = "text", into: str = "contamination") -> DataFrame:
+    """``docs`` with the struct column ``into``: ``n_words``, ``spans`` (hit
     word ranges), ``n_hit``, ``items`` (ids with occurring windows, as sorted
     strings) and ``contaminated`` (hit words reach ``percent`` of all)."""
     spark = docs.sparkSession
@@ -227,21 +222,38 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     total = pieces.agg(F.sum("n")).first()[0] or 0
     shards = total // AUTOMATON_WORDS + 1
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("text", "item"), F.lit(shards)))
-    out = columns(docs, [key, text]).toDF("doc_id", "text").select(
-        F.col("doc_id").cast("long"), "text", F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<array<long>>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    found = None
     for shard in range(shards):
         own = pieces.where(F.col("shard") == shard).select("item", "text").collect()   # bounded by AUTOMATON_WORDS
         matcher = spark.sparkContext.broadcast(Matcher([(r.item, r.text.encode().split()) for r in own], window))
-        out = out.mapInArrow(_scan_broadcast(matcher), _HITS)
-        if shard + 1 < shards:                     # one automaton at a time in a task's memory
-            out = materialize(out, "contamination")
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
-    return out.withColumn("n_hit", hit).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (100 * F.col("n_hit") >= percent * F.col("n_words")))
+        if found is None:
+            docs = docs.withColumn(into, _first_scan(matcher)(F.col(f"`{text}`")))
+        else:                                      # one automaton at a time in a task's memory
+            docs = materialize(docs, "contamination")
+            docs = docs.withColumn(into, _next_scan(matcher)(F.col(f"`{text}`"), F.col(f"`{into}`.spans"), F.col(f"`{into}`.items")))
+        found = True
+    c = F.col(f"`{into}`")
+    hit = F.aggregate(c["spans"], F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return docs.withColumn(into, F.struct(c["n_words"].alias("n_words"), c["spans"].alias("spans"), hit.alias("n_hit"),
+                                          c["items"].alias("items"),
+                                          ((hit > 0) & (100 * hit >= percent * c["n_words"])).alias("contaminated")))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One row per document: its id and the fields of ``flagged``."""
+    docs = columns(docs, [key, text]).toDF("doc_id", "text")
+    return flagged(docs, benchmark, **options).select("doc_id", "contamination.*")
+
+
+def _first_scan(matcher):
+    @F.arrow_udf(_HITS_TYPE)
+    def scan(texts: pa.Array) -> pa.Array:
+        return _scan(matcher.value, texts, [[] for _ in range(len(texts))], [[] for _ in range(len(texts))])
+    return scan
 
 
-def _scan_broadcast(matcher):
-    def scan(batches):
-        yield from _scan(matcher.value)(batches)
+def _next_scan(matcher):
+    @F.arrow_udf(_HITS_TYPE)
+    def scan(texts: pa.Array, spans: pa.Array, items: pa.Array) -> pa.Array:
+        return _scan(matcher.value, texts, spans.to_pylist(), items.to_pylist())
     return scan

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, packing, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, mixing, packing, substring, topk, urls
 from fieldbook.llm.frames import table
 from fieldbook.session import scratch_path
 
@@ -76,3 +76,8 @@ def tokens_of(docs, tokenizer="byte_bpe_50k.json"):
 @query
 def op7_token_id_output(spark, sf_dir):
     return tokens_of(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mixing_to_targets(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("chance")
