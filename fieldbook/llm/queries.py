@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, mixing, packing, substring, topk, urls
-from fieldbook.llm.frames import table
+from fieldbook.llm import decontam, jaccard, langid, mixing, packing, substring, topk, urls
+from fieldbook.llm.frames import columns, table
 from fieldbook.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,10 @@ def op7_token_id_output(spark, sf_dir):
 @query
 def op10_mixing_to_targets(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("chance")
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    docs = columns(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang"]).withColumn("held_out", langid.held_out(F.col("doc_id")))
+    out = langid.predicted(docs, langid.fit(docs.where(~F.col("held_out"))))
+    return out.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
