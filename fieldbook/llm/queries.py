@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, langid, mixing, packing, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, langid, mixing, packing, quality, substring, topk, urls
 from fieldbook.llm.frames import columns, table
 from fieldbook.session import scratch_path
 
@@ -88,3 +88,11 @@ def op2_language_id(spark, sf_dir):
     docs = columns(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang"]).withColumn("held_out", langid.held_out(F.col("doc_id")))
     out = langid.predicted(docs, langid.fit(docs.where(~F.col("held_out"))))
     return out.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query
+def op3_quality_classifier(spark, sf_dir):
+    docs = columns(table(spark, sf_dir, "documents"), ["doc_id", "text"]).withColumn("held_out", quality.held_out(F.col("doc_id")))
+    trees = quality.fit(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id"))))
+    return quality.scored(docs, trees).select("doc_id", "held_out", "score",
+                                              (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
