@@ -52,14 +52,18 @@ def _token_cell(texts: pa.Array) -> pa.Array:
     return pa.array(out, pa.struct([("tokens", pa.int64()), ("topic", pa.string())]))
 
 
-def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
-    """(doc_id, source, lang, topic, tokens, chance) of every document;
-    ``chance`` is uniform in [0, 1) and depends on id and text alone."""
+def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
+             whole: bool = False) -> DataFrame:
+    """(doc_id, source, lang, topic, tokens, chance) of every document, with
+    its columns as a struct ``_whole`` if asked for; ``chance`` is uniform in
+    [0, 1) and depends on id and text alone."""
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")] if whole else []
     cell = _token_cell(F.col(f"`{text}`"))
     chance = F.shiftrightunsigned(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"), F.lit("mixing")), 11) / float(2**53)
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"),
-                       chance.alias("chance"), cell.alias("cell")).select(
-        "doc_id", "source", "lang", F.col("cell.topic").alias("topic"), F.col("cell.tokens").alias("tokens"), "chance")
+                       chance.alias("chance"), cell.alias("cell"), *rest).select(
+        "doc_id", "source", "lang", F.col("cell.topic").alias("topic"), F.col("cell.tokens").alias("tokens"), "chance",
+        *["_whole"] * whole)
 
 
 def _targets(cells: DataFrame, dimension: str, given: DataFrame | None) -> DataFrame:
@@ -98,15 +102,31 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) -
     return cells
 
 
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.withColumns({f"_{d}": F.coalesce(F.col(d).cast("string"), F.lit(_NULL)) for d in DIMENSIONS})
+
+
+def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
+    """(_source, _lang, _topic, probability) of every cell of ``measured`` rows."""
+    cells = _keyed(rows).groupBy(*[F.col(f"_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("tokens").alias("tokens"))
+    cells = materialize(cells, "cells")
+    cells = raked(cells, {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}, keep)
+    probability = F.round(F.col("weight") / F.col("tokens"), 9)     # sums may differ in their last bits
+    return cells.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], probability.alias("probability"))
+
+
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, **names) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, probability, kept) of every
     document; ``targets`` gives (value, share) tables by dimension."""
     rows = materialize(measured(docs, **names), "token-cells")
-    keyed = rows.select(*[F.coalesce(F.col(d).cast("string"), F.lit(_NULL)).alias(d) for d in DIMENSIONS], "tokens")
-    cells = materialize(keyed.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "cells")
-    cells = raked(cells, {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}, keep)
-    probability = F.round(F.col("weight") / F.col("tokens"), 9)     # sums may differ in their last bits
-    cells = cells.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], probability.alias("probability"))
-    same = [F.coalesce(F.col(d).cast("string"), F.lit(_NULL)) == F.col(f"_{d}") for d in DIMENSIONS]
-    return rows.join(cells, same).select("doc_id", "source", "lang", "topic", "tokens", "probability",
-                                         (F.col("chance") < F.col("probability")).alias("kept"), "chance")
+    cells = probabilities(rows, targets, keep)
+    return _keyed(rows).join(cells, [f"_{d}" for d in DIMENSIONS]).select(
+        "doc_id", "source", "lang", "topic", "tokens", "probability", (F.col("chance") < F.col("probability")).alias("kept"))
+
+
+def sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, **names) -> DataFrame:
+    """The documents kept, with all their columns."""
+    cells = probabilities(measured(docs, **names), targets, keep)
+    marked = measured(docs, whole=True, **names)
+    return _keyed(marked).join(cells, [f"_{d}" for d in DIMENSIONS]).where(
+        F.col("chance") < F.col("probability")).select("_whole.*")

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, langid, mixing, packing, quality, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, langid, mixing, packing, pseudo, quality, substring, topk, urls
 from fieldbook.llm.frames import columns, table
 from fieldbook.session import scratch_path
 
@@ -80,7 +80,7 @@ def op7_token_id_output(spark, sf_dir):
 
 @query
 def op10_mixing_to_targets(spark, sf_dir):
-    return mixing.mixed(table(spark, sf_dir, "documents")).drop("chance")
+    return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -96,3 +96,11 @@ def op3_quality_classifier(spark, sf_dir):
     trees = quality.fit(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels").where(~quality.held_out(F.col("doc_id"))))
     return quality.scored(docs, trees).select("doc_id", "held_out", "score",
                                               (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op4_pseudo_likelihood(spark, sf_dir):
+    docs = columns(table(spark, sf_dir, "documents"), ["doc_id", "text"])
+    out = pseudo.scored(docs, *pseudo.fit(docs)).select("doc_id", "pseudo.*")
+    return out.select("doc_id", "n_words", F.col("total").alias("log_likelihood"),
+                      F.when(F.col("n_words") > 0, F.col("total") / F.col("n_words")).otherwise(0.0).alias("score"))
