@@ -8,8 +8,8 @@ unpacked with numpy without reading what stands before it.  The files are
 Parquet tables of such blocks plus a small table with the ids before each part.
 
 Encoding cuts a text at single spaces between two non-space characters, where
-the tokenizer cuts too, and keeps the ids of pieces it has met (bounded per
-worker); the ids are those of the whole text.
+the byte-level tokenizer cuts too, and keeps the ids of pieces it has met
+(bounded per worker); the ids are those of the whole text.
 
 Defined cases: NULL and empty texts are the end id alone; NULL document ids
 come first; rows of one id stand in the order of their texts; an empty table
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.frames import columns
+from fieldbook.llm.words import row_slices, text_buffers
 
 BLOCK_IDS = 1 << 16             # a block ends after the document that fills it
 PART_BYTES = 16 << 20           # text of one file part
-CACHED_PIECES = 300_000         # pieces kept by one worker
+CACHED_PIECES = 1_000_000       # pieces kept by one worker
 PIECE_CHARS = 64                # longer pieces are not kept
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s | \s")
+_ODD_SPACE = re.compile(r"[^\S ] | [^\S ]")
+_BREAK = re.compile(r"\S\n\S")          # a line break alone between signs is a piece
+_MARKS = frozenset(".,;:!?")            # never the start of a contraction
 _WORKER: dict = {}
 
 _FORMAT = ("part int, block int, before long, bits int, n_ids long, doc_ids array<long>, offsets array<long>, "
@@ -65,6 +69,38 @@ def unpack_ids(payload: bytes, bits: int, begin: int, end: int) -> np.ndarray:
     return (planes.reshape(-1, bits).astype("<u4") << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype="<u4")
 
 
+class _Pieces(dict):
+    """Ids (as bytes) of the pieces met, encoded when first asked for.
+
+    A word before its punctuation and the two sides of a line break are pieces
+    of their own, as the tokenizer cuts there as well.  The dictionary is
+    bounded: when it is full it becomes the older half, whose pieces come back
+    when asked for, and a new one begins.
+    """
+
+    def __init__(self, tokenizer, lead: str):
+        super().__init__()
+        self.tokenizer, self.lead, self.older, self.bare = tokenizer, lead, {}, self
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            word, mark = piece[:-1], piece[-1:]
+            if mark in _MARKS and word.isalpha():
+                ids = self[word] + self.bare[mark]
+            elif "\n" in piece and (at := _BREAK.search(piece)):
+                ids = self[piece[:at.start() + 1]] + self.bare["\n"] + self.bare[piece[at.end() - 1:]]
+            else:
+                found = self.tokenizer.encode_batch_fast([self.lead + piece], add_special_tokens=False)
+                ids = array("I", found[0].ids).tobytes()
+        if len(piece) <= PIECE_CHARS:
+            if len(self) >= CACHED_PIECES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts as little-endian bytes, with a bounded store of pieces."""
 
@@ -73,25 +109,13 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.kept: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.first, self.inner = _Pieces(self.tokenizer, ""), _Pieces(self.tokenizer, " ")
+        self.inner.bare = self.first
 
     def encode(self, text: str) -> bytes:
-        first, *rest = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        if len(self.kept) > CACHED_PIECES:
-            self.kept.clear()
-        new = [p for p in set(rest).difference(self.kept) if len(p) <= PIECE_CHARS]
-        if new:
-            self.kept.update(zip(new, self._ids([" " + p for p in new]), strict=True))
-        head = self._ids([first])[0] if first else b""
-        try:
-            return head + b"".join(map(self.kept.__getitem__, rest))
-        except KeyError:
-            long = {p: self._ids([" " + p])[0] for p in set(rest) if len(p) > PIECE_CHARS}
-            return head + b"".join([long[p] if p in long else self.kept[p] for p in rest])
+        odd = "  " in text or _ODD_SPACE.search(text)
+        first, *rest = _CUT.split(text) if odd else text.split(" ")
+        return (self.first[first] if first else b"") + b"".join(map(self.inner.__getitem__, rest))
 
 
 def _encoder(path: str) -> Encoder:
@@ -121,13 +145,15 @@ def _write_blocks(path: str, end_id: int, block_ids: int):
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                ids = encoder.encode(text.as_py() or "") + end
-                docs.append(doc_id.as_py())
-                raw.append(ids)
-                n += len(ids) // 4
-                if n >= block_ids:
-                    yield flush()
+            texts = batch.column("text")
+            for lo, hi in row_slices(text_buffers(texts)[0]):
+                own = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
+                for doc_id, text in zip(own, texts.slice(lo, hi - lo).to_pylist(), strict=True):
+                    docs.append(doc_id)
+                    raw.append(encoder.encode(text or "") + end)
+                    n += len(raw[-1]) // 4
+                    if n >= block_ids:
+                        yield flush()
         if docs:
             yield flush()
     return write
