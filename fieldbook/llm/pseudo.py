@@ -38,7 +38,7 @@ EDGE = CLASSES                  # the sign beyond either end of a text
 HIDDEN = 32
 PASSES, MASKED = 2, 16
 BATCH, STEP = 1024, 0.05
-STRIP = 8192
+STRIP = 512             # positions scored at once: their scores stay in the processor's cache
 FAN_IN = 16
 
 
@@ -104,6 +104,12 @@ class Network:
         cuts = np.cumsum([int(np.prod(s)) for s in self.SHAPES])[:-1]
         self.tables, self.bias, self.out, self.base = (
             part.reshape(s) for part, s in zip(np.split(self.flat, cuts), self.SHAPES, strict=True))
+        self.small = False
+
+    def _bound(self) -> None:
+        """Hidden values lie in [-1, 1]: with small enough weights no
+        exponential can overflow, and the greatest logit need not be taken off."""
+        self.small = bool((np.abs(self.out).sum(axis=0) + np.abs(self.base)).max() < 80)
 
     def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hidden = self.bias + self.tables[0][context[:, 0]]
@@ -112,11 +118,13 @@ class Network:
         np.tanh(hidden, out=hidden)
         logits = hidden @ self.out
         logits += self.base
-        logits -= logits.max(axis=1, keepdims=True)
+        if not self.small:
+            logits -= logits.max(axis=1, keepdims=True)
         return hidden, logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         out = np.empty(len(target))
+        self._bound()
         for at in range(0, len(target), STRIP):
             _, logits = self._forward(context[at:at + STRIP])
             own = logits[np.arange(len(logits)), target[at:at + STRIP]].astype(np.float64)
@@ -125,6 +133,7 @@ class Network:
 
     def train(self, context: np.ndarray, target: np.ndarray, past: np.ndarray) -> None:
         """One adaptive gradient step; ``past`` sums the squared gradients."""
+        self._bound()
         hidden, p = self._forward(context)
         np.exp(p, out=p)
         p /= p.sum(axis=1, keepdims=True)

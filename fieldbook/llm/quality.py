@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     # about ``rows`` ids, so small enough for every task
     sample = (texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", measure("text").alias("x")).toArrow())
     order = np.lexsort((sample.column("label").to_numpy(), sample.column("doc_id").to_numpy()))
-    x = sample.column("x").combine_chunks().flatten().to_numpy().reshape(len(sample), -1)[order]
+    x = sample.column("x").combine_chunks().flatten().to_numpy().reshape(len(sample), len(STATISTICS))[order]
     return grow(x, sample.column("label").to_numpy()[order])
 
 
