@@ -37,7 +37,6 @@ DIMENSIONS = ("source", "lang", "topic")
 _NULL = "\x00"          # stands for NULL among the cell keys
 
 
-@F.arrow_udf("struct<tokens: bigint, topic: string>")
 def _token_cell(texts: pa.Array) -> pa.Array:
     offsets, data = text_buffers(texts)
     out = []
@@ -58,7 +57,7 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
     its columns as a struct ``_whole`` if asked for; ``chance`` is uniform in
     [0, 1) and depends on id and text alone."""
     rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")] if whole else []
-    cell = _token_cell(F.col(f"`{text}`"))
+    cell = F.arrow_udf(_token_cell, "struct<tokens: bigint, topic: string>")(F.col(f"`{text}`"))
     chance = F.shiftrightunsigned(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"), F.lit("mixing")), 11) / float(2**53)
     return docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), F.col(f"`{lang}`").alias("lang"),
                        chance.alias("chance"), cell.alias("cell"), *rest).select(

@@ -22,7 +22,7 @@ Defined cases: vectors that are NULL, hold NULL or non-finite components (also
 after scaling) or have a NULL id take no part; vectors of different length
 are not compared, so a query without partners has no rows; an empty vector
 scores 0 with other empty ones; rows that repeat an id count once (the
-smallest vector); totals beyond the long range are reported as its ends.
+smallest vector); totals beyond the long range count as its ends.
 """
 
 from __future__ import annotations
@@ -128,9 +128,8 @@ def _resolve(k: int):
             none = [0.0] * len(parts)
             lows = np.array([none if c is None else c["lows"] for c in cuts]).reshape(len(cuts), len(parts))
             tau = np.array([0.0 if c is None else c["tau"] for c in cuts])
-            # rounding of bounds beyond 2**53 must not lose a row
-            slack = 0.0 if parts[0].dtype == np.float64 else 1e-9 * (np.abs(tau) + np.abs(lows).sum(axis=1) + 1)
-            cutoff = (tau - slack) / len(parts)
+            # bounds beyond 2**53 are rounded, so there every row is resolved
+            cutoff = tau / len(parts) if parts[0].dtype == np.float64 else np.full(len(cuts), -np.inf)
             seen, lower, upper = np.zeros(own.shape, bool), np.zeros(own.shape), np.zeros(own.shape)
             for s, part in enumerate(parts):
                 above = _floats(part) - lows[:, s, None]
@@ -142,7 +141,7 @@ def _resolve(k: int):
             if seen.shape[1] > k:                    # the block's own k-th lower bound
                 lower = np.where(seen, lower, -np.inf)
                 tau = np.maximum(tau, -np.partition(-lower, k - 1, axis=1)[:, k - 1])
-            keep = seen & (upper >= (tau - 2 * slack)[:, None])
+            keep = seen & (upper >= tau[:, None]) if parts[0].dtype == np.float64 else ~own
             for i, query in enumerate(q_ids.tolist()):
                 rest = np.flatnonzero(keep[i])
                 total = sum(part[i, rest] for part in parts)

@@ -118,15 +118,16 @@ def judged(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url"
 
 
 def _threshold(scored: DataFrame) -> int:
-    """The least step from which on URLs are allowed: a few thousand steps,
-    whatever the input, since log ratios per character are bounded."""
-    bins = (scored.groupBy(F.floor(F.col("score") * BINS_PER_NAT).alias("step"))
+    """The step from which on URLs are allowed, in the middle between the
+    labelled steps on its two sides.  There are a few thousand steps, whatever
+    the input, since log ratios per character are bounded."""
+    bins = (scored.where("yes + no > 0").groupBy(F.floor(F.col("score") * BINS_PER_NAT).alias("step"))
             .agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).orderBy("step").collect())
     all_yes, all_no = sum(b.yes for b in bins), sum(b.no for b in bins)
-    best, least, below_yes, below_no = -1, bins[0].step, 0, 0
+    best, least, below_yes, below_no, before = -1, bins[0].step, 0, 0, bins[0].step - 1
     for b in bins:
         gain = (all_yes - below_yes) * all_no + below_no * all_yes
         if gain > best:
-            best, least = gain, b.step
-        below_yes, below_no = below_yes + b.yes, below_no + b.no
+            best, least = gain, (before + 1 + b.step) // 2
+        below_yes, below_no, before = below_yes + b.yes, below_no + b.no, b.step
     return least
