@@ -249,11 +249,11 @@ def _first_scan(matcher):
     @F.arrow_udf(_HITS_TYPE)
     def scan(texts: pa.Array) -> pa.Array:
         return _scan(matcher.value, texts, [[] for _ in range(len(texts))], [[] for _ in range(len(texts))])
-    return scan
+    return scan.asNondeterministic()      # a filter on the result must not compute it twice
 
 
 def _next_scan(matcher):
     @F.arrow_udf(_HITS_TYPE)
     def scan(texts: pa.Array, spans: pa.Array, items: pa.Array) -> pa.Array:
         return _scan(matcher.value, texts, spans.to_pylist(), items.to_pylist())
-    return scan
+    return scan.asNondeterministic()      # a filter on the result must not compute it twice

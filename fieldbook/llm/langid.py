@@ -37,6 +37,7 @@ HASHES = 3
 SIZES = (3, 4)
 LANGS_PER_WORD = 62
 UNKNOWN = "und"
+SLICE = 1 << 18                 # bytes of text looked at together
 LEAST_COVERAGE = 0.25           # a text with less of its n-grams in its language is rejected
 
 _LETTER = np.zeros(256, bool)
@@ -91,15 +92,17 @@ def _count_grams(batches):
     for batch in batches:
         offsets, data = text_buffers(batch.column("text"))
         langs = np.array(batch.column("lang").to_pylist(), object)
-        found: dict[str, list[np.ndarray]] = {}
-        for lo, hi in row_slices(offsets):
+        found: dict[str, list[tuple]] = {}
+        for lo, hi in row_slices(offsets, SLICE):
             gram, row = _grams(offsets, data, lo, hi)
             pairs = np.unique((row.astype(np.uint64) << np.uint64(40)) | gram)
             row, gram = (pairs >> np.uint64(40)).astype(np.int64), pairs & np.uint64((1 << 40) - 1)
             for lang in set(langs[lo:hi]):
-                found.setdefault(lang, []).append(gram[np.isin(row, np.flatnonzero(langs[lo:hi] == lang))])
+                own = np.unique(gram[np.isin(row, np.flatnonzero(langs[lo:hi] == lang))], return_counts=True)
+                found.setdefault(lang, []).append(own)
         for lang, parts in found.items():
-            values, counts = np.unique(np.concatenate(parts), return_counts=True)
+            values, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([p[1] for p in parts]), len(values))
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(values), pa.string()), pa.array(values.astype(np.int64)),
                                               pa.array(counts.astype(np.int64))], names=["lang", "gram", "texts"])
 
@@ -141,7 +144,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
 def _decide(model: Filter, texts: pa.Array) -> pa.Array:
     offsets, data = text_buffers(texts)
     out = []
-    for lo, hi in row_slices(offsets):
+    for lo, hi in row_slices(offsets, SLICE):
         gram, row = _grams(offsets, data, lo, hi)
         order = np.argsort(row, kind="stable")
         gram, row = gram[order], row[order]
@@ -189,7 +192,8 @@ def predicted(docs: DataFrame, model: Filter, text: str = "text", into: str = "l
     def decide(texts: pa.Array) -> pa.Array:
         return _decide(shared.value, texts)
 
-    return docs.withColumn(into, decide(F.col(f"`{text}`")))
+    # a filter on the result must not compute it a second time
+    return docs.withColumn(into, decide.asNondeterministic()(F.col(f"`{text}`")))
 
 
 def held_out(key: Column, fold: int = 2, folds: int = 4) -> Column:

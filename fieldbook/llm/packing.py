@@ -33,7 +33,7 @@ from fieldbook.llm.words import row_slices, text_buffers
 
 BLOCK_IDS = 1 << 16             # a block ends after the document that fills it
 PART_BYTES = 16 << 20           # text of one file part
-CACHED_PIECES = 1_000_000       # pieces kept by one worker
+CACHED_PIECES = 400_000         # pieces kept by one worker
 PIECE_CHARS = 64                # longer pieces are not kept
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
