@@ -119,9 +119,11 @@ def self_parent_join(df: DataFrame, id_col: str, parent_col: str, cols: list[str
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
-              valid_from: str, payload: list[str], bucket: str | None = "month") -> DataFrame:
+              valid_from: str, payload: list[str], bucket: str | None = "month",
+              valid_to: str | None = None) -> DataFrame:
     """Attach to each fact the version of ``key`` valid at ``ts`` (the latest
-    ``valid_from <= ts``).
+    ``valid_from <= ts``, the greatest payload on a tie; with ``valid_to`` only
+    if the version is still open: ``ts < valid_to``, NULL is open).
 
     Exact, linear and without fact x version pairs: facts and version starts
     are unioned and scanned in time order with ``last(ignorenulls)``.  The scan
@@ -132,7 +134,8 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     key only.
     """
     tag = "__is_fact"
-    vstruct = F.struct(*[F.col(p) for p in payload])
+    end = F.col(valid_to).alias("__to") if valid_to else F.lit(None).cast("string").alias("__to")
+    vstruct = F.struct(*[F.col(p) for p in payload], end)
     v = versions.select(F.col(key).alias(key), F.col(valid_from).alias("__t"), F.lit(0).alias(tag),
                         vstruct.alias("__v"))
     f = facts.select(F.col(key).alias(key), F.col(ts).alias("__t"), F.lit(1).alias(tag),
@@ -141,14 +144,14 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     v = v.withColumn("__f", F.lit(None).cast(f.schema["__f"].dataType))
     both = v.unionByName(f)
     if bucket is None:
-        w = (Window.partitionBy(key).orderBy(F.col("__t").asc(), F.col(tag).asc())
+        w = (Window.partitionBy(key).orderBy(F.col("__t").asc(), F.col(tag).asc(), F.col("__v").asc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         out = both.withColumn("__cur", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 1)
     else:
         both = both.withColumn("__b", F.date_trunc(bucket, F.col("__t")))
         # last version of every (key, bucket) that has versions ...
         last_v = (both.where(F.col(tag) == 0).groupBy(key, "__b")
-                  .agg(F.max_by("__v", "__t").alias("__lv")))
+                  .agg(F.max(F.struct("__t", "__v"))["__v"].alias("__lv")))
         # ... carried into every (key, bucket) that has facts, from strictly earlier buckets
         fb = both.where(F.col(tag) == 1).select(key, "__b").distinct()
         # a fact bucket sorts before the versions of its own bucket: it only
@@ -160,9 +163,11 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         carry = (marks.withColumn("__in", F.last("__lv", ignorenulls=True).over(wb))
                  .where(F.col("__o") == 0).select(key, "__b", "__in"))
-        w = (Window.partitionBy(key, "__b").orderBy(F.col("__t").asc(), F.col(tag).asc())
+        w = (Window.partitionBy(key, "__b").orderBy(F.col("__t").asc(), F.col(tag).asc(), F.col("__v").asc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         scanned = both.withColumn("__cur", F.last("__v", ignorenulls=True).over(w)).where(F.col(tag) == 1)
         out = (scanned.join(carry, [key, "__b"], "left")
                .withColumn("__cur", F.coalesce("__cur", "__in")))
+    if valid_to:
+        out = out.withColumn("__cur", F.when(F.col("__cur.__to").isNull() | (F.col("__t") < F.col("__cur.__to")), F.col("__cur")))
     return out.select("__f.*", *[F.col(f"__cur.{p}").alias(p) for p in payload])

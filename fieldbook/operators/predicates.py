@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook.constants import UNRESOLVED_UNIT
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -67,8 +69,9 @@ def current_rows(df: DataFrame, flag="is_current") -> DataFrame:
 
 
 def safe_report_rows(df: DataFrame, resolved="is_nomenclature_resolved", unit="uom_name") -> DataFrame:
-    """Rows fit for quantity reports: resolved item and a known unit."""
-    return df.where((_c(resolved) == F.lit(True)) & _c(unit).isNotNull())
+    """Rows fit for quantity reports: resolved item and a known unit (the
+    movement view labels an unknown one)."""
+    return df.where((_c(resolved) == F.lit(True)) & _c(unit).isNotNull() & (_c(unit) != UNRESOLVED_UNIT))
 
 
 def apply_selectors(df: DataFrame, selectors: list[Column] | None) -> DataFrame:

@@ -78,7 +78,7 @@ def scd2_asof_join(t: Tables) -> DataFrame:
     f = t.sd_lines.join(t.sd_docs.select(F.col("_id").alias("doc_id"), F.col("person_id").alias("o_custkey")),
                         "doc_id").select("doc_id", "line_number", F.to_date("ship_date").alias("ship_day"),
                                          "o_custkey")
-    return asof_join(f, versions(t), "o_custkey", "ship_day", "valid_from", ["o_orderpriority"])
+    return asof_join(f, versions(t), "o_custkey", "ship_day", "valid_from", ["o_orderpriority"], valid_to="valid_to")
 
 
 @query("yield_by_history_year", H_SD + ["sd_field_history"], HARVEST_SQL.replace(

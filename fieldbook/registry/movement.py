@@ -155,7 +155,7 @@ def movement_summary(t: Tables) -> DataFrame:
 SELECT uom_name, nomenclature, CAST(quantity AS DOUBLE) AS quantity, CAST(rank AS INTEGER) AS rank FROM (
   SELECT uom_name, nomenclature, SUM(kolichestvo) AS quantity,
          row_number() OVER (PARTITION BY uom_name ORDER BY SUM(kolichestvo) DESC, nomenclature) AS rank
-  FROM tmc2 WHERE is_nomenclature_resolved AND uom_name IS NOT NULL GROUP BY 1, 2)
+  FROM tmc2 WHERE is_nomenclature_resolved AND uom_name IS NOT NULL AND uom_name <> 'Не определена' GROUP BY 1, 2)
 WHERE rank <= 15""")
 def top_items_per_unit(t: Tables) -> DataFrame:
     """R-19 / P-09: top items among resolved rows, per unit."""

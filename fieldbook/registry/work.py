@@ -39,36 +39,36 @@ def work_dataset(t: Tables) -> DataFrame:
 
 
 # SQL building blocks of the oracle
+# (labels of every catalog stand in one list; a line looks each of its ids up
+# there, a missing label falls back to the id, and the percentage is rounded
+# in whole numbers)
 FACT_SQL = """
-ops AS (SELECT * FROM sd_operations UNION ALL SELECT * FROM sd_operation_groups),
-fact AS (
-  SELECT d._id AS doc_id, d.doc_number, d.doc_date, d.person_id AS voditel_id, l.machine_id AS tehnika_id,
-         l.line_number, l.operation_id AS agr_operaciya_id, l.work_ha AS obem_rabot_ga, l.norm_ha AS norma_vyrabotki
-  FROM sd_docs d JOIN sd_lines l ON l.doc_id = d._id
-  WHERE d._posted = TRUE AND d._deletionmark = FALSE),
+ops AS (FROM sd_operations UNION ALL FROM sd_operation_groups),
+label AS (
+  SELECT 'machine' AS what, CAST(_id AS VARCHAR) AS id, name AS text, eq_type AS detail, NULL AS parent FROM sd_machines
+  UNION ALL SELECT 'person', CAST(individual_id AS VARCHAR), description, NULL, NULL FROM sd_people
+  UNION ALL SELECT 'operation', CAST(_id AS VARCHAR), description, CAST(operation_kind AS VARCHAR), CAST(parent_id AS VARCHAR) FROM ops),
+active AS (SELECT _id, doc_number, doc_date, person_id FROM sd_docs WHERE _posted IS TRUE AND _deletionmark IS FALSE),
+task AS (
+  SELECT active.*, line_number, work_ha, norm_ha, CAST(machine_id AS VARCHAR) AS machine,
+         CAST(person_id AS VARCHAR) AS person, CAST(operation_id AS VARCHAR) AS operation,
+         CAST(work_ha * 10000 AS BIGINT) AS work_u, CAST(norm_ha * 1000 AS BIGINT) AS norm_u
+  FROM sd_lines JOIN active ON doc_id = _id WHERE work_ha > 0),
 w AS (
-  SELECT CAST(f.doc_date AS DATE) AS work_date,
-         CAST(date_trunc('month', f.doc_date) AS DATE) AS month,
-         f.doc_number AS document_no, f.line_number,
-         CAST(f.tehnika_id AS VARCHAR) AS equipment_id,
-         COALESCE(eq.name, CAST(f.tehnika_id AS VARCHAR)) AS equipment,
-         COALESCE(eq.eq_type, 'Не определён') AS equipment_type,
-         CAST(f.voditel_id AS VARCHAR) AS employee_id,
-         COALESCE(emp.description, CAST(f.voditel_id AS VARCHAR)) AS employee,
-         CAST(f.agr_operaciya_id AS VARCHAR) AS operation_id,
-         f.obem_rabot_ga AS work_area_ha, f.norma_vyrabotki AS work_norm_ha,
-         CASE WHEN f.norma_vyrabotki > 0 THEN ROUND(100.0 * f.obem_rabot_ga / f.norma_vyrabotki, 1) END
-           AS norm_completion_pct,
-         CAST(f.doc_id AS VARCHAR) AS source_doc_id,
-         COALESCE(op.description, CAST(f.agr_operaciya_id AS VARCHAR)) AS operation_name,
-         op.operation_kind AS operation_code, op.parent_id AS operation_group_id,
-         COALESCE(p.description, 'Без группы') AS operation_group
-  FROM fact f
-  LEFT JOIN sd_machines eq ON eq._id = f.tehnika_id
-  LEFT JOIN sd_people emp ON emp.individual_id = f.voditel_id
-  LEFT JOIN ops op ON op._id = f.agr_operaciya_id
-  LEFT JOIN ops p ON p._id = op.parent_id
-  WHERE f.obem_rabot_ga > 0)
+  SELECT doc_date::DATE AS work_date, make_date(CAST(year(doc_date) AS BIGINT), CAST(month(doc_date) AS BIGINT), 1) AS month,
+         _id::VARCHAR AS source_doc_id, doc_number AS document_no, line_number,
+         work_ha AS work_area_ha, norm_ha AS work_norm_ha,
+         IF(norm_u > 0, (200 * work_u + norm_u) // (2 * norm_u) / 10.0::DOUBLE, NULL) AS norm_completion_pct,
+         machine AS equipment_id, IFNULL(m.text, machine) AS equipment, IFNULL(m.detail, 'Не определён') AS equipment_type,
+         person AS employee_id, IFNULL(h.text, person) AS employee,
+         operation AS operation_id, IFNULL(o.text, operation) AS operation_name,
+         o.detail AS operation_code, o.parent AS operation_group_id, IFNULL(g.text, 'Без группы') AS operation_group
+  FROM task
+  LEFT JOIN label g ON g.what = 'operation' AND g.id = (
+    SELECT any_value(x.parent) FROM label x WHERE x.what = 'operation' AND x.id = task.operation)
+  LEFT JOIN label o ON (o.what, o.id) = ('operation', operation)
+  LEFT JOIN label h ON (h.what, h.id) = ('person', person)
+  LEFT JOIN label m ON (m.what, m.id) = ('machine', machine))
 """
 
 
@@ -296,7 +296,7 @@ def conditional_counts(t: Tables) -> DataFrame:
                  count_if(P.strict_active_flag()).alias("posted_active"))
 
 
-@query("waybill_work_bi", WORK_SD, "," + FACT_SQL.replace("  WHERE f.obem_rabot_ga > 0)", "  )") + """
+@query("waybill_work_bi", WORK_SD, "," + FACT_SQL.replace(" WHERE work_ha > 0", "") + """
 SELECT document_no, line_number, equipment, equipment_type, employee, operation_name, operation_group,
        CAST(work_area_ha AS DOUBLE) AS work_area_ha, CAST(norm_completion_pct AS DOUBLE) AS norm_completion_pct
 FROM w""")

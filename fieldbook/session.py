@@ -38,11 +38,14 @@ def build_session(master: str = "local[8]", app: str = "fieldbook",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a private
-    folder is created.  Lineage is cut there with ``DataFrame.checkpoint()``.
+    The cluster names it.  Only a local master may leave it unset (tests): a
+    private folder is created then; elsewhere executors could not share it.
+    Lineage is cut by tables written there (``materialize``).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fieldbook-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:

@@ -1,9 +1,10 @@
 """Table sinks: stamped, partitioned parquet in run-versioned directories.
 
-A table directory holds ``v=<run id>/`` sub-folders and a ``_CURRENT`` pointer
-written last; readers resolve the pointer.  A new version is written next to
-the old one (never over what the same plan reads), so a failed run leaves the
-published version untouched and a retried run simply rewrites its own folder.
+A table directory holds ``v=<run id>/`` sub-folders and ``_PUBLISHED``, to
+which each publication adds a numbered line; readers take the highest.  A new
+version is written next to the published ones (never over one of them), so a
+failed run leaves the table untouched and a retried run rewrites only what was
+never published.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +30,34 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
-def _pointer(spark: SparkSession, table_dir: str) -> str:
-    return os.path.join(table_dir, "_CURRENT")
+def _published(spark: SparkSession, table_dir: str) -> list[str]:
+    """Published versions, oldest first.  Every publication adds one small
+    file and none is ever replaced, so there is no moment without a pointer.
+    A table that has versions but no record of them is an error, not empty."""
+    def missing(e: AnalysisException) -> bool:
+        return e.getCondition() == "PATH_NOT_FOUND"
+    try:
+        rows = spark.read.text(os.path.join(table_dir, "_PUBLISHED")).collect()  # one line per version
+    except AnalysisException as e:
+        if not missing(e):
+            raise
+        try:
+            spark.read.format("binaryFile").load(os.path.join(table_dir, "v=*")).schema  # noqa: B018 - resolves the path
+        except AnalysisException as none:
+            if missing(none):
+                return []
+            raise
+        raise RuntimeError(f"{table_dir} has versions, but its _PUBLISHED record is lost") from e
+    return [v for _, v in sorted((int(n), v) for n, v in (r[0].strip().split(" ", 1) for r in rows))]
 
 
 def current_version(spark: SparkSession, table_dir: str) -> str | None:
-    p = _pointer(spark, table_dir)
-    try:
-        rows = spark.read.text(p).collect()  # one line
-    except Exception:  # noqa: BLE001 - no version published yet
-        return None
-    return rows[0][0].strip() if rows else None
+    published = _published(spark, table_dir)
+    return published[-1] if published else None
+
+
+def is_published(spark: SparkSession, table_dir: str, run_id: str) -> bool:
+    return f"v={run_id}" in _published(spark, table_dir)
 
 
 def read_current(spark: SparkSession, table_dir: str, schema=None) -> DataFrame | None:
@@ -53,9 +72,14 @@ def read_current(spark: SparkSession, table_dir: str, schema=None) -> DataFrame
 
 def publish_version(df: DataFrame, table_dir: str, partition_by: list[str] | None = None,
                     run_id: str | None = None) -> str:
-    """Write ``df`` as a new version, then move the pointer to it."""
+    """Write ``df`` as a new version, then record it.  A run that was
+    published before gets a folder of its own, as ``df`` may read the old one."""
     spark = df.sparkSession
+    published = _published(spark, table_dir)
     v = f"v={run_id or uuid.uuid4().hex}"
+    again = sum(p == v or p.startswith(f"{v}~") for p in published)
+    v = f"{v}~{again}" if again else v
     write_table(df, os.path.join(table_dir, v), partition_by)
-    spark.createDataFrame([(v,)], "v string").coalesce(1).write.mode("overwrite").text(_pointer(spark, table_dir))
+    spark.createDataFrame([(f"{len(published)} {v}",)], "v string").coalesce(1).write.mode("append").text(
+        os.path.join(table_dir, "_PUBLISHED"))
     return v

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from fieldbook.constants import LOOKBACK_HOURS
 from fieldbook.operators.dedup import last_writer_wins
 from fieldbook.operators.upsert import upsert
-from fieldbook.sources.sinks import publish_version, read_current
+from fieldbook.sources.sinks import is_published, publish_version, read_current
 
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
@@ -48,11 +48,11 @@ LOAD_LOG_SCHEMA = "entity string, batch_id long, rows_read long, loaded_at times
 
 
 def append_load_log(batch: DataFrame, log_dir: str, entity: str, batch_id: int) -> None:
-    """One row per micro-batch: an aggregate of the batch, no rows to the driver."""
+    """One row per (entity, batch), rewritten when the batch is replayed; an
+    aggregate of the batch, no rows to the driver."""
     (batch.agg(F.count(F.lit(1)).alias("rows_read"))
-          .select(F.lit(entity).alias("entity"), F.lit(batch_id).cast("long").alias("batch_id"), "rows_read",
-                  F.current_timestamp().alias("loaded_at"))
-          .write.mode("append").parquet(log_dir))
+          .select("rows_read", F.current_timestamp().alias("loaded_at"))
+          .write.mode("overwrite").parquet(os.path.join(log_dir, f"entity={entity}", f"batch_id={batch_id}")))
 
 
 def merge_versions(current: DataFrame, updates: DataFrame, keys: list[str], seq_cols: list[str]) -> DataFrame:
@@ -67,7 +67,11 @@ def merge_versions(current: DataFrame, updates: DataFrame, keys: list[str], seq_
 def _merge_batch(target_dir: str, keys: list[str], seq_cols: list[str], log_dir: str | None, entity: str,
                  transform=None):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, run_id = batch.sparkSession, f"b{batch_id:012d}"
+        if is_published(spark, target_dir, run_id):      # a replay: the table has this batch
+            if log_dir:
+                append_load_log(batch, log_dir, entity, batch_id)
+            return
         rows = transform(batch) if transform else batch
         updates = last_writer_wins(rows, keys, seq_cols) if seq_cols else rows
         current = read_current(spark, target_dir, schema=updates.schema)
@@ -77,7 +81,7 @@ def _merge_batch(target_dir: str, keys: list[str], seq_cols: list[str], log_dir:
             merged = merge_versions(current, updates, keys, seq_cols)
         else:
             merged = upsert(current, updates, keys)
-        publish_version(merged, target_dir, run_id=f"b{batch_id:012d}")
+        publish_version(merged, target_dir, run_id=run_id)
         if log_dir:
             append_load_log(batch, log_dir, entity, batch_id)
     return run
@@ -86,10 +90,10 @@ def _merge_batch(target_dir: str, keys: list[str], seq_cols: list[str], log_dir:
 def stream_upsert(spark: SparkSession, landing: str, schema: StructType, target_dir: str, checkpoint_dir: str,
                   keys: list[str], seq_cols: list[str], fmt: str = "json", entity: str = "entity",
                   log_dir: str | None = None, glob: str | None = None,
-                  available_now: bool = True, transform=None) -> StreamingQuery:
+                  available_now: bool = True, transform=None, max_files: int = 64) -> StreamingQuery:
     """Landing folder -> upserted table (I-17 / W-01).  ``transform`` shapes
     each micro-batch (e.g. explodes page envelopes) before the merge."""
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
         r = r.option("pathGlobFilter", glob)
     src = r.format(fmt).load(landing)
@@ -119,13 +123,14 @@ def daily_volume(events: DataFrame, ts: str, kind: str, value: str, key: str,
 def stream_daily_volume(spark: SparkSession, source_dir: str, schema: StructType, target_dir: str,
                         checkpoint_dir: str, glob: str | None = None, log_dir: str | None = None,
                         ts: str = "ts", kind: str = "event_type", value: str = "value",
-                        key: str = "event_id") -> StreamingQuery:
+                        key: str = "event_id", max_files: int = 64,
+                        lookback_hours: int = LOOKBACK_HOURS) -> StreamingQuery:
     """W-02 / W-03 / W-04: windowed daily volume in update mode, merged into a
     table keyed by (day, kind) after every micro-batch."""
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64)
+    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    agg = daily_volume(r.parquet(source_dir), ts, kind, value, key)
+    agg = daily_volume(r.parquet(source_dir), ts, kind, value, key, lookback_hours)
     merge = _merge_batch(target_dir, ["day", kind], [], log_dir, "daily_volume")
     with state_partitions(spark):
         return (agg.writeStream.outputMode("update").foreachBatch(merge)
