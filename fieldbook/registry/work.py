@@ -62,7 +62,7 @@ w AS (
          machine AS equipment_id, IFNULL(m.text, machine) AS equipment, IFNULL(m.detail, 'Не определён') AS equipment_type,
          person AS employee_id, IFNULL(h.text, person) AS employee,
          operation AS operation_id, IFNULL(o.text, operation) AS operation_name,
-         o.detail AS operation_code, o.parent AS operation_group_id, IFNULL(g.text, 'Без группы') AS operation_group
+         o.detail AS operation_code, CAST(o.parent AS BIGINT) AS operation_group_id, IFNULL(g.text, 'Без группы') AS operation_group
   FROM task
   LEFT JOIN label g ON g.what = 'operation' AND g.id = (
     SELECT any_value(x.parent) FROM label x WHERE x.what = 'operation' AND x.id = task.operation)
