@@ -62,9 +62,9 @@ OPERATION_MATERIAL_ISSUE = MOVEMENT_KINDS[0][0]
 OPERATION_HARVEST_RECEIPT = MOVEMENT_KINDS[1][0]
 
 # --- operating limits (tuning, not reference values) -----------------------
-# a catalog is broadcast to the fact side only after its row count is checked
-# to be at most this; above it the lookup is a shuffle join (AQE splits hot keys)
-LOOKUP_BROADCAST_MAX_ROWS = 1_000_000
+# a catalog is broadcast to the fact side only after its size is checked to be
+# at most this; above it the lookup is a shuffle join (AQE splits hot keys)
+LOOKUP_BROADCAST_MAX_BYTES = 64 << 20
 
 # --- fixed values: operating defaults of the loaders -----------------------
 LOOKBACK_HOURS = 48

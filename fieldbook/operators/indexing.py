@@ -1,10 +1,12 @@
 """Dense surrogate keys without a single-partition window.
 
 ``dense_rank() OVER (ORDER BY natural key)`` with no PARTITION BY runs in one
-task.  Here the distinct keys are range-partitioned and sorted, each
-partition counts its rows (one tiny row per partition), the prefix sums of
-those counts are broadcast back, and a row's key is its partition offset plus
-its position inside the partition.
+task.  Here the distinct keys are range-partitioned, sorted and written once
+with their place, each partition's rows are counted in the written copy (one
+tiny row per partition), the prefix sums of those counts are broadcast back,
+and a row's key is its partition offset plus its position inside the
+partition.  Counting and numbering read the same copy, so a stage that runs
+again cannot give them different ranges.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldbook.session import materialize
+
 
 def dense_keys(df: DataFrame, natural: list[str], sk_col: str = "sk",
                start_after: Column | int = 0, num_partitions: int | None = None) -> DataFrame:
@@ -22,9 +26,9 @@ def dense_keys(df: DataFrame, natural: list[str], sk_col: str = "sk",
     # without an explicit count AQE may merge adjacent small ranges; merged
     # partitions stay in key order, and ids/positions are taken per task
     ranged = d.repartitionByRange(num_partitions, *order) if num_partitions else d.repartitionByRange(*order)
-    s = (ranged.sortWithinPartitions(*order)
-          .withColumn("__p", F.spark_partition_id())
-          .withColumn("__m", F.monotonically_increasing_id()))
+    s = materialize(ranged.sortWithinPartitions(*order)
+                    .withColumn("__p", F.spark_partition_id())
+                    .withColumn("__m", F.monotonically_increasing_id()), "dense_keys")
     stats = s.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__m").alias("__m0"))
     w = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
     offs = stats.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))

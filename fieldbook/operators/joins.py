@@ -1,11 +1,9 @@
 """Join forms used by the warehouse.
 
-Broadcast policy: lookups are not hinted by default.  Spark broadcasts a side
-only when its size (file statistics at plan time, shuffle statistics under
-AQE) is below ``spark.sql.autoBroadcastJoinThreshold``; above that it falls
-back to a shuffle join, and AQE's skew-join splitting handles hot keys.  An
-explicit hint is given only to tables whose size is fixed by construction
-(code maps) or checked with ``broadcast_if_small``.
+Broadcast policy: a lookup side is broadcast only after its size in bytes has
+been checked (``broadcast_if_small``), or when its size is fixed by
+construction (code maps).  Beyond the bound Spark plans a shuffle join, and
+AQE's skew-join splitting handles hot keys.
 """
 
 from __future__ import annotations
@@ -14,17 +12,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from fieldbook.constants import LOOKUP_BROADCAST_MAX_ROWS
+from fieldbook.constants import LOOKUP_BROADCAST_MAX_BYTES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after checking the row count (a partial
-    aggregate that reads no columns of a plain scan; only the number reaches
-    the driver).  Above the bound the plain DataFrame is returned and Spark
-    picks a shuffle join."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def _row_bytes(df: DataFrame) -> Column:
+    """Size of a row's values: text by its bytes, nested values by their JSON form."""
+    size = F.lit(16 * len(df.columns))
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        elif isinstance(f.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    return size
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Hint a broadcast only after checking the size in bytes (one partial
+    aggregate; only the number reaches the driver).  Above the bound the plain
+    DataFrame is returned and Spark picks a shuffle join."""
+    n = df.agg(F.sum(_row_bytes(df).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if n <= max_bytes else df
 
 
 def _cond(left: DataFrame, right: DataFrame, pairs, null_safe: bool) -> Column:
@@ -46,9 +56,9 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     """Fact -> dimension lookup on (fact_col, dim_col) pairs; dim key columns
     are dropped from the output.
 
-    ``broadcast``: None (default) counts the dimension and broadcasts it only
-    when it has at most ``LOOKUP_BROADCAST_MAX_ROWS`` rows, which keeps the
-    fact side from being shuffled at all; False leaves the choice to Spark
+    ``broadcast``: None (default) measures the dimension and broadcasts it only
+    when it has at most ``LOOKUP_BROADCAST_MAX_BYTES``, which keeps the fact
+    side from being shuffled at all; False leaves the choice to Spark
     (statistics and AQE); True is for tables of fixed, tiny size.
 
     ``split_null_keys`` routes rows whose key is NULL around the join (they can
@@ -57,7 +67,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     """
     pairs = _pairs(on)
     if broadcast is None:
-        dim = broadcast_if_small(dim, LOOKUP_BROADCAST_MAX_ROWS)
+        dim = broadcast_if_small(dim, LOOKUP_BROADCAST_MAX_BYTES)
     elif broadcast:
         dim = F.broadcast(dim)
     dim_keys = [r for _, r in pairs]
@@ -82,10 +92,10 @@ def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
                    broadcast: bool | None = False) -> DataFrame:
     """``IS NOT DISTINCT FROM`` on every key pair.  Catalyst rewrites ``<=>``
     into coalesce/isnull equi-keys, so this stays a hash or sort-merge join.
-    ``broadcast=None`` broadcasts ``right`` after a row-count check."""
+    ``broadcast=None`` broadcasts ``right`` after a size check."""
     pairs = _pairs(on)
     if broadcast is None:
-        right = broadcast_if_small(right, LOOKUP_BROADCAST_MAX_ROWS)
+        right = broadcast_if_small(right, LOOKUP_BROADCAST_MAX_BYTES)
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in right.columns])
     rp = [(lk, f"__r_{rk}") for lk, rk in pairs]
     out = left.join(r, _cond(left, r, rp, True), how)

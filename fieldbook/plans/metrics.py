@@ -9,48 +9,32 @@ from fieldbook.functions.ratios import ratio_of_sums_pct, yield_t_ha
 from fieldbook.operators.allocation import allocate_by_share
 
 
-def harvest_by_field_year(harvest: DataFrame) -> DataFrame:
-    return harvest.groupBy("pole_id", "god_urozhaya").agg(F.sum("kolichestvo_kg").alias("weight_kg"))
+def harvest_by_field_crop_year(harvest: DataFrame) -> DataFrame:
+    return harvest.groupBy("pole_id", "kultura", "god_urozhaya").agg(F.sum("kolichestvo_kg").alias("weight_kg"))
 
 
 def field_history_match(totals: DataFrame, history: DataFrame) -> DataFrame:
-    """Field-year totals -> one field-history row: the row of the same year
-    wins (lowest line number), else a year-0 row whose validity covers the
-    year.
-
-    No field-year x history pairs are formed: year rows are reduced to one per
-    (field, year); year-0 rows are expanded into the calendar years their
-    validity covers (a few per row), reduced the same way, and both are
-    equi-joined.
+    """Totals per field, crop and year -> the area sown with that crop: the
+    sum over the history lines of the same year, else over the year-0 lines
+    whose validity covers the year; NULL when there are none.
+
+    Both sides meet on field and crop, so a total is compared with the few
+    lines of its own field only, and the totals are computed once.
     """
-    keep = ["sown_area_ha", "crop"]
-    pick = lambda df: df.groupBy("__f", "__y").agg(
-        F.min_by(F.struct(*keep), F.col("line_number")).alias("__h"))
-    exact = pick(history.where(F.col("year") != 0).select(F.col("field_id").alias("__f"),
-                                                          F.col("year").alias("__y"), "line_number", *keep))
-    # only years that occur in the totals matter: clip the validity to them
-    y0 = totals.agg(F.min("god_urozhaya")).scalar()
-    y1 = totals.agg(F.max("god_urozhaya")).scalar()
-    lo = F.greatest(F.year("valid_from"), y0)
-    hi = F.least(F.coalesce(F.year("valid_to"), y1), y1)
-    spans = (history.where((F.col("year") == 0) & F.col("valid_from").isNotNull())
-             .select(F.col("field_id").alias("__f"), lo.alias("__lo"), hi.alias("__hi"), "line_number", *keep)
-             .where(F.col("__lo") <= F.col("__hi"))
-             .select("__f", F.explode(F.sequence("__lo", "__hi")).alias("__y"), "line_number", *keep))
-    ranged = pick(spans).withColumnRenamed("__h", "__r")
-    j = totals.join(exact, (totals["pole_id"] == exact["__f"]) & (totals["god_urozhaya"] == exact["__y"]), "left") \
-        .drop("__f", "__y")
-    j = j.join(ranged, (j["pole_id"] == ranged["__f"]) & (j["god_urozhaya"] == ranged["__y"]), "left") \
-        .drop("__f", "__y")
-    h = F.coalesce(F.col("__h"), F.col("__r"))
-    return j.select("pole_id", "god_urozhaya", "weight_kg",
-                    h.getField("sown_area_ha").alias("sown_area_ha"), h.getField("crop").alias("crop"))
-
-
-def yield_by_field_year(harvest: DataFrame, history: DataFrame) -> DataFrame:
+    year = F.col("god_urozhaya")
+    h = history.select(F.col("field_id").alias("__f"), F.col("crop").alias("__c"), F.col("year").alias("__y"),
+                       F.year("valid_from").alias("__from"), F.year("valid_to").alias("__to"), "sown_area_ha")
+    valid = (F.col("__y") == 0) & (F.col("__from") <= year) & F.coalesce(F.col("__to") >= year, F.lit(True))
+    on = (F.col("pole_id") == F.col("__f")) & (F.col("kultura") == F.col("__c")) & ((F.col("__y") == year) | valid)
+    dated = F.col("__y") != 0
+    area = F.when(F.count_if(dated) > 0, F.sum(F.when(dated, F.col("sown_area_ha")))).otherwise(F.sum("sown_area_ha"))
+    return totals.join(h, on, "left").groupBy(*totals.columns).agg(area.alias("sown_area_ha"))
+
+
+def yield_by_field_crop_year(harvest: DataFrame, history: DataFrame) -> DataFrame:
     """Yield t/ha = kg / (1000 x sown area); NULL when the area is unknown
     (the row is kept)."""
-    m = field_history_match(harvest_by_field_year(harvest), history)
+    m = field_history_match(harvest_by_field_crop_year(harvest), history)
     return m.withColumn("yield_t_ha", yield_t_ha("weight_kg", "sown_area_ha"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook.constants import AGRO_PHASES
 from fieldbook.functions.field_number import field_number_any, field_number_plain, field_number_prefixed
 from fieldbook.functions.parsers import parse_item_name, parse_party_name
 from fieldbook.operators.aggregates import control_totals, coverage_by
@@ -34,79 +35,106 @@ def enriched(t: Tables) -> DataFrame:
 
 
 # --- SQL oracle building blocks -----------------------------------------
-
-FIELD_ANY_SQL = (r"COALESCE(CASE WHEN regexp_matches({t}, '(?i)^Поле\s+') "
-                 r"THEN NULLIF(TRIM(regexp_replace({t}, '(?i)^Поле\s+', '')), '') END, "
-                 r"NULLIF(TRIM(split_part({t}, ',', 1)), ''))")
-
-HARVEST_SQL = r""",
-stg AS (
-  SELECT w.*, cs.description AS otkuda_name, """ + FIELD_ANY_SQL.format(t="cs.description") + r""" AS pole_nomer
-  FROM sd_weighings w LEFT JOIN sd_structure cs ON cs._id = w.otkuda_id
-  WHERE COALESCE(w._deletionmark, FALSE) = FALSE),
-stg2 AS (
-  SELECT s.*, f._id AS pole_id, CAST(year(s.doc_date) AS INTEGER) AS god_urozhaya,
-         CASE WHEN f._id IS NOT NULL THEN 'company_structure_description' ELSE 'unresolved' END
-           AS pole_resolution_method
-  FROM stg s LEFT JOIN sd_fields f ON f.description = s.pole_nomer),
+# (written from the naming rules without patterns: names are cut at fixed signs
+# by position, once per catalog row, and looked up by key)
+
+MARKS_SQL = "[" + ", ".join(f"'{m}'" for m in [*(f"РС{d}" for d in range(10)), "ЭС", "СЭ", "ОС"]) + "]"
+
+
+def digits_sql(text: str) -> str:
+    """The digits ``text`` begins with, as text ('' for none)."""
+    return f"substr({text}, 1, length({text}) - length(ltrim({text}, '0123456789')))"
+
+
+def after_sql(text: str, sign: str, low: bool = False) -> str:
+    """What follows ``sign`` in ``text``; NULL when it does not occur."""
+    where = f"strpos({f'lower({text})' if low else text}, '{sign}')"
+    return f"substr({text}, NULLIF({where}, 0) + {len(sign)})"
+
+
+def mark_sql(text: str) -> str:
+    """Position of the first reproduction mark after the first sign of ``text``."""
+    return f"list_min([p FOR p IN [strpos({text}, m) FOR m IN {MARKS_SQL}] IF p > 1])"
+
+
+def number_sql(text: str, form: str = "any") -> str:
+    plain = f"NULLIF(trim(split_part({text}, ',', 1)), '')"
+    named = f"IF(starts_with(lower({text}), 'поле '), NULLIF(trim(substr({text}, 6)), ''), NULL)"
+    return {"plain": plain, "named": named, "any": f"IFNULL({named}, {plain})"}[form]
+
+
+# one row per structure node: the parts of its name
+PARTY_SQL = f"""
+party_cut AS (
+  SELECT _id AS node, description AS label, ltrim(substr(description, strpos(description, ',') + 1)) AS tail,
+         strpos(description, ',') > 0 AS listed, {digits_sql(after_sql('description', 'Уч.'))} AS plot_text FROM sd_structure),
+party_mark AS (SELECT *, listed AND plot_text <> '' AS planted, {mark_sql('tail')} AS mark FROM party_cut),
+party_end AS (
+  SELECT *, IF(substr(tail, mark, 2) = 'РС', 2 + length({digits_sql('substr(tail, mark + 2)')}), 2) AS mark_length FROM party_mark),
+party AS (
+  SELECT node, label, {number_sql('label', 'plain')} AS plain_number, {number_sql('label')} AS field_number,
+         IF(planted, substr(tail, 1, mark - 1), NULL) AS crop_code,
+         IF(planted, substr(tail, mark, mark_length), NULL) AS reproduction,
+         IF(planted, NULLIF(trim(split_part(substr(tail, mark + mark_length), 'Уч.', 1)), ''), NULL) AS method,
+         TRY_CAST(NULLIF(plot_text, '') AS INTEGER) AS plot,
+         TRY_CAST(substr(label, NULLIF(strpos(label, ' г.'), 0) - 4, 4) AS INTEGER) AS year,
+         IF(listed AND plot_text IS NULL AND TRY_CAST(split_part(tail, ' ', 2) AS INTEGER) IS NOT NULL,
+            split_part(tail, ' ', 1), NULL) AS state,
+         string_split(substr({after_sql('label', 'не исп. с ')}, 1, 10), '.') AS unused
+  FROM party_end)"""
+
+# one row per item: the parts of its harvest name
+ITEM_SQL = f"""
+item_cut AS (
+  SELECT _id AS item, harvest_name AS label, _deletionmark IS FALSE AS listed, lower(harvest_name) AS low,
+         {after_sql('harvest_name', 'урожай ', True)} AS told FROM sd_items),
+item_word AS (SELECT *, {digits_sql('told')} AS year_text, split_part(told, ' ', 2) AS word FROM item_cut),
+item_mark AS (SELECT *, {mark_sql('word')} AS mark FROM item_word),
+item AS (
+  SELECT item, label, listed, TRY_CAST(year_text AS INTEGER) AS year, NULLIF(substr(word, 1, IFNULL(mark - 1, 100)), '') AS sort,
+         IF(substr(word, mark, 2) = 'РС', 'РС' || {digits_sql('substr(word, mark + 2)')}, substr(word, mark, 2)) AS reproduction,
+         IF(contains(low, 'с поливом'), 'С поливом', IF(contains(low, 'без полива'), 'Без полива', NULL)) AS irrigation,
+         NULLIF({digits_sql(after_sql('label', 'поле ', True))}, '') AS field,
+         TRY_CAST(NULLIF({digits_sql(f"ltrim({after_sql('label', 'уч.', True)})")}, '') AS INTEGER) AS plot
+  FROM item_mark)"""
+
+WEIGHED_SQL = "," + PARTY_SQL + "," + ITEM_SQL + """,
+place AS (SELECT party.*, sd_fields._id AS field_id FROM party LEFT JOIN sd_fields ON field_number = sd_fields.description),
+weighed AS (
+  SELECT sd_weighings._id AS ticket, doc_date AS at_time, CAST(year(doc_date) AS INTEGER) AS season_year, place.*,
+         nomenklatura_id AS item, kuda_id AS target, vid_vzveshivaniya AS kind, ves_netto_kg AS net_kg
+  FROM sd_weighings LEFT JOIN place ON node = otkuda_id WHERE _deletionmark IS NOT TRUE),
 base AS (
-  SELECT _id AS src_doc_id, doc_date, god_urozhaya, pole_id, pole_nomer, otkuda_name AS pole_party_name,
-         nomenklatura_id, ves_netto_kg AS kolichestvo_kg, ves_brutto_kg, ves_tary_kg, voditel_id,
-         kuda_id AS warehouse_id, pole_resolution_method, pole_id IS NOT NULL AS is_pole_resolved
-  FROM stg2 WHERE vid_vzveshivaniya = 'СПоля'),
-iv AS (SELECT _id, harvest_name AS description FROM sd_items WHERE _deletionmark = FALSE),
-parsed AS (
-  SELECT b.*, it.description AS nomenklatura_name,
-    CAST(NULLIF(regexp_extract(it.description, '(?i)урожай\s+(\d{4})', 1), '') AS INTEGER) AS i_year,
-    NULLIF(regexp_extract(it.description, '(?i)урожай\s+\d{4}\s+(\S+?)(?:РС\d+|ЭС|СЭ|ОС|\s)', 1), '') AS i_sort,
-    NULLIF(regexp_extract(it.description, '\d{4}\s+\S*?(РС\d+|ЭС|СЭ|ОС)', 1), '') AS i_repro,
-    CASE WHEN regexp_matches(it.description, '(?i)с поливом') THEN 'С поливом'
-         WHEN regexp_matches(it.description, '(?i)без полива') THEN 'Без полива' END AS i_irr,
-    CAST(NULLIF(regexp_extract(it.description, '(?i)уч\.\s*(\d+)', 1), '') AS INTEGER) AS i_plot,
-    CASE WHEN regexp_matches(b.pole_party_name, 'Уч\.(\d+)')
-         THEN NULLIF(regexp_extract(b.pole_party_name, '^[^,]*,\s*(.+?)(РС\d+|ЭС|СЭ|ОС)', 1), '') END AS p_code,
-    CASE WHEN regexp_matches(b.pole_party_name, 'Уч\.(\d+)')
-         THEN NULLIF(regexp_extract(b.pole_party_name, '(РС\d+|ЭС|СЭ|ОС)', 1), '') END AS p_repro,
-    CAST(NULLIF(regexp_extract(b.pole_party_name, 'Уч\.(\d+)', 1), '') AS INTEGER) AS p_plot,
-    CAST(NULLIF(regexp_extract(b.pole_party_name, '(\d{4}) г\.', 1), '') AS INTEGER) AS p_year
-  FROM base b LEFT JOIN iv it ON it._id = b.nomenklatura_id),
+  SELECT ticket AS src_doc_id, at_time AS doc_date, season_year AS god_urozhaya, field_id AS pole_id,
+         field_number AS pole_nomer, label AS pole_party_name, item AS nomenklatura_id, net_kg AS kolichestvo_kg,
+         target AS warehouse_id, crop_code, reproduction AS party_reproduction, plot AS party_plot, year AS party_year
+  FROM weighed WHERE kind = 'СПоля'),
 enr AS (
-  SELECT src_doc_id, doc_date, god_urozhaya, pole_id, pole_nomer, pole_party_name, nomenklatura_id,
-         kolichestvo_kg, ves_brutto_kg, ves_tary_kg, voditel_id, warehouse_id, pole_resolution_method,
-         is_pole_resolved, nomenklatura_name,
-         CASE WHEN substr(p_code, 1, 2) = 'Ка' THEN 'Картофель' END AS kultura,
-         COALESCE(i_sort, CASE WHEN length(p_code) > 2 THEN substr(p_code, 3) END) AS sort,
-         COALESCE(i_repro, p_repro, '') AS reproduktsiya,
-         COALESCE(i_irr, 'Не указан') AS poliv,
-         CAST(COALESCE(i_plot, p_plot) AS VARCHAR) AS uchastok_nomer,
-         COALESCE(i_year, p_year) AS god_1c,
-         kolichestvo_kg / 1000 AS kolichestvo_t
-  FROM parsed),
+  SELECT base.*, i.label AS nomenklatura_name, known.crop AS kultura, IFNULL(i.sort, NULLIF(substr(crop_code, 3), '')) AS sort,
+         IFNULL(IFNULL(i.reproduction, party_reproduction), '') AS reproduktsiya, IFNULL(i.irrigation, 'Не указан') AS poliv,
+         CAST(IFNULL(i.plot, party_plot) AS VARCHAR) AS uchastok_nomer, IFNULL(i.year, party_year) AS god_1c
+  FROM base LEFT JOIN (FROM item WHERE listed) i ON i.item = nomenklatura_id
+  LEFT JOIN (VALUES ('Ка', 'Картофель')) known(prefix, crop) ON starts_with(crop_code, prefix)),
 crops AS (
-  SELECT concat_ws(' / ', kultura, COALESCE(sort, 'Сорт не указан')) AS variety,
-         CASE WHEN nomenklatura_name ILIKE '%белый%' OR pole_party_name ILIKE '%белый%' THEN 'Белый'
-              WHEN nomenklatura_name ILIKE '%красный%' OR pole_party_name ILIKE '%красный%' THEN 'Красный'
-         END AS color,
-         NULLIF(reproduktsiya, '') AS reproduction, NULLIF(poliv, 'Не указан') AS irrigation, e.*
-  FROM enr e)
+  SELECT *, IF(kultura IS NULL, '', kultura || ' / ') || IFNULL(sort, 'Сорт не указан') AS variety,
+         (SELECT word FROM (VALUES (1, 'Белый'), (2, 'Красный')) shade(turn, word)
+          WHERE contains(lower(concat(nomenklatura_name, chr(10), pole_party_name)), lower(word)) ORDER BY turn LIMIT 1) AS color,
+         IF(reproduktsiya = '', NULL, reproduktsiya) AS reproduction, IF(poliv = 'Не указан', NULL, poliv) AS irrigation
+  FROM enr)
 """
 
 
 def hq(sql_tail: str) -> str:
-    return HARVEST_SQL + sql_tail
+    return WEIGHED_SQL + sql_tail
 
 
 TONS_SQL = "ROUND(CAST(SUM(kolichestvo_kg) AS DOUBLE) / 1000, 6) AS tons"
 
 
-@query("field_number_any", ["sd_structure", "sd_items"], r""",
+@query("field_number_any", ["sd_structure", "sd_items"], f""",
 texts AS (SELECT CAST(_id AS VARCHAR) AS src, description AS t FROM sd_structure
           UNION ALL SELECT 'item-' || CAST(_id AS VARCHAR), harvest_name FROM sd_items)
-SELECT src, t,
-  NULLIF(TRIM(split_part(t, ',', 1)), '') AS plain,
-  CASE WHEN regexp_matches(t, '(?i)^Поле\s+') THEN NULLIF(TRIM(regexp_replace(t, '(?i)^Поле\s+', '')), '') END
-    AS prefixed,
-  """ + FIELD_ANY_SQL.format(t="t") + r""" AS any_form
+SELECT src, t, {number_sql('t', 'plain')} AS plain, {number_sql('t', 'named')} AS prefixed, {number_sql('t')} AS any_form
 FROM texts""")
 def field_number_query(t: Tables) -> DataFrame:
     """S-08..S-10: plain, prefixed and combined field-number parsers."""
@@ -117,43 +145,25 @@ def field_number_query(t: Tables) -> DataFrame:
                         field_number_prefixed("t").alias("prefixed"), field_number_any("t").alias("any_form"))
 
 
-@query("party_name_parse", ["sd_structure"], r"""
-SELECT _id, NULLIF(TRIM(split_part(description, ',', 1)), '') AS field,
-  CASE WHEN regexp_matches(description, 'Уч\.(\d+)')
-       THEN NULLIF(regexp_extract(description, '^[^,]*,\s*(.+?)(РС\d+|ЭС|СЭ|ОС)', 1), '') END AS crop_code,
-  CASE WHEN regexp_matches(description, 'Уч\.(\d+)')
-       THEN NULLIF(regexp_extract(description, '(РС\d+|ЭС|СЭ|ОС)', 1), '') END AS reproduction,
-  CASE WHEN regexp_matches(description, 'Уч\.(\d+)')
-       THEN NULLIF(TRIM(regexp_extract(description, '(?:РС\d+|ЭС|СЭ|ОС)(.*?)Уч\.', 1)), '') END AS method,
-  CAST(NULLIF(regexp_extract(description, 'Уч\.(\d+)', 1), '') AS INTEGER) AS plot,
-  CAST(NULLIF(regexp_extract(description, '(\d{4}) г\.', 1), '') AS INTEGER) AS year,
-  CASE WHEN NOT regexp_matches(description, 'Уч\.(\d+)')
-       THEN NULLIF(regexp_extract(description, '^[^,]*,\s*(\S+) \d{4} г\.', 1), '') END AS state,
-  CAST(strptime(NULLIF(regexp_extract(description, 'не исп\. с (\d{2}\.\d{2}\.\d{4})', 1), ''), '%d.%m.%Y') AS DATE)::VARCHAR
-    AS unused_since
-FROM sd_structure""")
+@query("party_name_parse", ["sd_structure"], "," + PARTY_SQL + """
+SELECT node AS _id, plain_number AS field, crop_code, reproduction, method, plot, year, state,
+       unused[3] || '-' || unused[2] || '-' || unused[1] AS unused_since
+FROM party""")
 def party_name_parse(t: Tables) -> DataFrame:
     """S-27: party / department name parser."""
     return t.sd_structure.select("_id", parse_party_name("description").alias("p")).select("_id", "p.*")
 
 
-@query("item_name_parse", ["sd_items"], r"""
-SELECT _id,
-  CAST(NULLIF(regexp_extract(harvest_name, '(?i)урожай\s+(\d{4})', 1), '') AS INTEGER) AS year,
-  NULLIF(regexp_extract(harvest_name, '(?i)урожай\s+\d{4}\s+(\S+?)(?:РС\d+|ЭС|СЭ|ОС|\s)', 1), '') AS sort,
-  NULLIF(regexp_extract(harvest_name, '\d{4}\s+\S*?(РС\d+|ЭС|СЭ|ОС)', 1), '') AS reproduction,
-  CASE WHEN regexp_matches(harvest_name, '(?i)с поливом') THEN 'С поливом'
-       WHEN regexp_matches(harvest_name, '(?i)без полива') THEN 'Без полива' END AS irrigation,
-  NULLIF(regexp_extract(harvest_name, '(?i)поле\s+(\d+)', 1), '') AS field,
-  CAST(NULLIF(regexp_extract(harvest_name, '(?i)уч\.\s*(\d+)', 1), '') AS INTEGER) AS plot
-FROM sd_items""")
+@query("item_name_parse", ["sd_items"], "," + ITEM_SQL + """
+SELECT item AS _id, year, sort, reproduction, irrigation, field, plot FROM item""")
 def item_name_parse(t: Tables) -> DataFrame:
     """S-28: harvest item-name parser."""
     return t.sd_items.select("_id", parse_item_name("harvest_name").alias("p")).select("_id", "p.*")
 
 
 @query("computed_key_left_lookup", H_SD, hq("""
-SELECT _id, otkuda_name, pole_nomer, pole_id, god_urozhaya, pole_resolution_method FROM stg2"""))
+SELECT ticket AS _id, label AS otkuda_name, field_number AS pole_nomer, field_id AS pole_id, season_year AS god_urozhaya,
+       IF(field_id IS NULL, 'unresolved', 'company_structure_description') AS pole_resolution_method FROM weighed"""))
 def computed_key_left_lookup(t: Tables) -> DataFrame:
     """M-01 / J-02 / J-03 / S-26 / S-12: weighing -> structure name -> parsed field number -> field."""
     s = staging.stg_weighing(t.sd_weighings, t.sd_structure, t.sd_fields)
@@ -162,7 +172,7 @@ def computed_key_left_lookup(t: Tables) -> DataFrame:
 
 @query("harvest_base", H_SD, hq("""
 SELECT src_doc_id, CAST(doc_date AS VARCHAR) AS doc_date, god_urozhaya, pole_id, pole_nomer, pole_party_name,
-       nomenklatura_id, CAST(kolichestvo_kg AS DOUBLE) AS kolichestvo_kg, warehouse_id, is_pole_resolved
+       nomenklatura_id, CAST(kolichestvo_kg AS DOUBLE) AS kolichestvo_kg, warehouse_id, pole_id IS NOT NULL AS is_pole_resolved
 FROM base"""))
 def harvest_base_query(t: Tables) -> DataFrame:
     """M-02: from-field weighings only."""
@@ -291,23 +301,17 @@ def existing_crop_dim(t: Tables, e: DataFrame) -> DataFrame:
     return dense_keys(dims.crop_candidates(first), ["variety", "color", "reproduction", "irrigation"], "crop_sk")
 
 
+# tuples as lists, which compare NULL with NULL; the load numbers what the first year has not
 EXISTING_CROP_SQL = """,
-old AS (SELECT DISTINCT variety, color, reproduction, irrigation FROM crops WHERE god_urozhaya = 1995),
-old_dim AS (SELECT *, dense_rank() OVER (ORDER BY variety NULLS FIRST, color NULLS FIRST,
-                                                  reproduction NULLS FIRST, irrigation NULLS FIRST) AS crop_sk FROM old),
-cand AS (SELECT DISTINCT variety, color, reproduction, irrigation FROM crops c
-         WHERE NOT EXISTS (SELECT 1 FROM old_dim d WHERE d.variety = c.variety
-           AND d.color IS NOT DISTINCT FROM c.color AND d.reproduction IS NOT DISTINCT FROM c.reproduction
-           AND d.irrigation IS NOT DISTINCT FROM c.irrigation)),
-new_dim AS (SELECT *, (SELECT COALESCE(MAX(crop_sk), 0) FROM old_dim)
-                     + dense_rank() OVER (ORDER BY variety NULLS FIRST, color NULLS FIRST,
-                                          reproduction NULLS FIRST, irrigation NULLS FIRST) AS crop_sk FROM cand),
-crop_dim AS (SELECT * FROM old_dim UNION ALL SELECT * FROM new_dim)
+tuples AS (SELECT [variety, color, reproduction, irrigation] AS t, bool_or(god_urozhaya = 1995) AS loaded FROM crops GROUP BY 1),
+crop_dim AS (
+  SELECT t, loaded, row_number() OVER (ORDER BY loaded DESC, t[1] NULLS FIRST, t[2] NULLS FIRST, t[3] NULLS FIRST,
+                                                t[4] NULLS FIRST) AS crop_sk FROM tuples)
 """
 
 
 @query("dim_crop_new", H_SD, hq(EXISTING_CROP_SQL + """
-SELECT variety, color, reproduction, irrigation, crop_sk FROM new_dim"""))
+SELECT t[1] AS variety, t[2] AS color, t[3] AS reproduction, t[4] AS irrigation, crop_sk FROM crop_dim WHERE NOT loaded"""))
 def dim_crop_new(t: Tables) -> DataFrame:
     """M-08 / J-09 / G-01 / M-SK / S-19 / S-20 / S-21: new crop tuples (null-safe NOT EXISTS) with
     keys continuing after the existing maximum."""
@@ -316,15 +320,11 @@ def dim_crop_new(t: Tables) -> DataFrame:
 
 
 @query("missing_item_technical_records", H_SD, hq("""
-SELECT ref_key_1c, name_1c, nom_kind, category, is_active FROM (
-  SELECT nomenklatura_id AS ref_key_1c,
-         COALESCE(NULLIF(nomenklatura_name, ''), NULLIF(pole_party_name, ''),
-                  'Номенклатура из взвешивания без наименования') AS name_1c,
-         'Техническая запись' AS nom_kind, 'Номенклатура не загружена из 1С' AS category, TRUE AS is_active,
-         row_number() OVER (PARTITION BY nomenklatura_id ORDER BY doc_date DESC NULLS FIRST, src_doc_id) AS rn
-  FROM enr e
-  WHERE nomenklatura_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM iv n WHERE n._id = e.nomenklatura_id))
-WHERE rn = 1"""))
+SELECT nomenklatura_id AS ref_key_1c, first(told ORDER BY doc_date DESC NULLS FIRST, src_doc_id) AS name_1c,
+       'Техническая запись' AS nom_kind, 'Номенклатура не загружена из 1С' AS category, TRUE AS is_active
+FROM (SELECT *, [n FOR n IN [nomenklatura_name, pole_party_name, 'Номенклатура из взвешивания без наименования'] IF n <> ''][1]
+               AS told FROM enr)
+WHERE nomenklatura_id IS NOT NULL GROUP BY nomenklatura_id HAVING count(nomenklatura_name) = 0"""))
 def missing_item_technical_records(t: Tables) -> DataFrame:
     """M-09 / J-10 / G-02 / N13: technical item records for unknown item ids."""
     e = enriched(t)
@@ -339,9 +339,10 @@ def harvest_star(t: Tables):
     e = materialize(enriched(t), "harvest_enriched")
     crop_old = existing_crop_dim(t, e)
     crop_dim = materialize(crop_old.unionByName(dims.dim_crop_new(e, crop_old)), "dim_crop")
-    field_dim = materialize(
-        dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk")
-        .withColumn("is_current", F.lit(True)), "dim_field")
+    current = dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk")
+    # an earlier, closed version of every field under a key of its own
+    closed = current.select("field_code_1c", (-F.col("field_sk")).alias("field_sk"), F.lit(False).alias("is_current"))
+    field_dim = materialize(current.withColumn("is_current", F.lit(True)).unionByName(closed), "dim_field")
     known = items_view(t).select(F.col("_id").alias("ref_key_1c"))
     nom_ids = known.unionByName(dims.missing_nomenclature(e, known, ["src_doc_id"]).select("ref_key_1c"))
     nom_dim = materialize(dense_keys(nom_ids.select(F.col("ref_key_1c").cast("string").alias("ref_key_1c")),
@@ -350,24 +351,15 @@ def harvest_star(t: Tables):
 
 
 @query("harvest_fact", H_SD, hq(EXISTING_CROP_SQL + """,
-field_dim AS (SELECT _id AS field_code_1c, dense_rank() OVER (ORDER BY _id NULLS FIRST) AS field_sk FROM sd_fields),
-tech AS (SELECT DISTINCT nomenklatura_id FROM enr e
-         WHERE nomenklatura_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM iv n WHERE n._id = e.nomenklatura_id)),
-nom_ids AS (SELECT CAST(_id AS VARCHAR) AS ref_key_1c FROM iv UNION SELECT CAST(nomenklatura_id AS VARCHAR) FROM tech),
-nom_dim AS (SELECT ref_key_1c, dense_rank() OVER (ORDER BY ref_key_1c NULLS FIRST) AS nom_sk FROM nom_ids),
-rows_ AS (
-  SELECT CAST(CAST(c.doc_date AS DATE) AS VARCHAR) AS date_day, f.field_sk, d.crop_sk, n.nom_sk,
-         c.uchastok_nomer AS plot_no, CAST(NULL AS DOUBLE) AS area_ha, CAST(c.kolichestvo_kg AS DOUBLE) AS weight_kg,
-         CAST(c.src_doc_id AS VARCHAR) AS src_doc_ref, c.god_urozhaya
-  FROM crops c
-  JOIN field_dim f ON f.field_code_1c = CAST(c.pole_id AS VARCHAR)
-  JOIN nom_dim n ON n.ref_key_1c = CAST(c.nomenklatura_id AS VARCHAR)
-  JOIN crop_dim d ON d.variety = c.variety AND d.color IS NOT DISTINCT FROM c.color
-   AND d.reproduction IS NOT DISTINCT FROM c.reproduction AND d.irrigation IS NOT DISTINCT FROM c.irrigation)
-SELECT date_day, field_sk, crop_sk, nom_sk, plot_no, area_ha, weight_kg, src_doc_ref FROM rows_ WHERE god_urozhaya = 1995
-UNION ALL
-SELECT date_day, field_sk, crop_sk, nom_sk, plot_no, area_ha, weight_kg, src_doc_ref FROM rows_ r
-WHERE NOT EXISTS (SELECT 1 FROM rows_ o WHERE o.god_urozhaya = 1995 AND o.src_doc_ref = r.src_doc_ref)"""))
+field_no AS (SELECT _id, row_number() OVER (ORDER BY _id) AS field_sk FROM (SELECT DISTINCT _id FROM sd_fields)),
+item_ids AS (SELECT CAST(item AS VARCHAR) AS id FROM item WHERE listed
+             UNION SELECT CAST(nomenklatura_id AS VARCHAR) FROM enr WHERE nomenklatura_id IS NOT NULL),
+item_no AS (SELECT id, row_number() OVER (ORDER BY id) AS nom_sk FROM item_ids)
+SELECT CAST(CAST(doc_date AS DATE) AS VARCHAR) AS date_day, field_sk, crop_sk, nom_sk, uchastok_nomer AS plot_no,
+       NULL::DOUBLE AS area_ha, kolichestvo_kg::DOUBLE AS weight_kg, src_doc_id AS src_doc_ref
+FROM crops JOIN crop_dim ON t = [variety, color, reproduction, irrigation]
+JOIN item_no ON id = CAST(nomenklatura_id AS VARCHAR) JOIN field_no ON _id = pole_id
+QUALIFY god_urozhaya = 1995 OR NOT bool_or(god_urozhaya = 1995) OVER (PARTITION BY src_doc_id)"""))
 def harvest_fact(t: Tables) -> DataFrame:
     """M-14 / J-06 / J-07 / J-08 / N12 / S-19 / S-20 / S-21 / P-08: fact rows keyed to the dimensions;
     the first year is the already-loaded fact and the load only appends
@@ -379,24 +371,15 @@ def harvest_fact(t: Tables) -> DataFrame:
 
 
 @query("net_weight_check", ["sd_weighings"], """
-SELECT _id FROM sd_weighings WHERE ves_netto_kg <> ves_brutto_kg - ves_tary_kg""")
+SELECT _id FROM sd_weighings WHERE ves_brutto_kg NOT IN (ves_netto_kg + ves_tary_kg)""")
 def net_weight_check(t: Tables) -> DataFrame:
     """Q-13: net must equal gross minus tare."""
     return quality.net_weight_mismatch(t.sd_weighings).select("_id")
 
 
-@query("harvest_by_season", H_SD, hq("""
-, cal AS (
-  SELECT CAST(d AS DATE) AS date_day,
-         CASE WHEN month(d) >= 7 THEN CAST(year(d) AS VARCHAR) || '-' || CAST(year(d) + 1 AS VARCHAR)
-              ELSE CAST(year(d) - 1 AS VARCHAR) || '-' || CAST(year(d) AS VARCHAR) END AS season_label,
-         ['хранение','хранение','подготовка','подготовка','посадка','вегетация','вегетация','вегетация',
-          'уборка','уборка','хранение','хранение'][month(d)] AS agro_phase
-  FROM (SELECT unnest(generate_series(CAST(MIN(doc_date) AS DATE), CAST(MAX(doc_date) AS DATE), INTERVAL 1 DAY)) AS d
-        FROM enr))
-SELECT c.season_label, c.agro_phase, COUNT(*) AS weighings,
-       ROUND(CAST(SUM(e.kolichestvo_kg) AS DOUBLE) / 1000, 6) AS tons
-FROM enr e JOIN cal c ON c.date_day = CAST(e.doc_date AS DATE)
+@query("harvest_by_season", H_SD, hq(f"""
+SELECT concat(start, '-', start + 1) AS season_label, agro_phase, COUNT(*) AS weighings, {TONS_SQL}
+FROM (SELECT *, CAST(year(doc_date - INTERVAL 6 MONTH) AS BIGINT) AS start, {list(AGRO_PHASES)}[month(doc_date)] AS agro_phase FROM enr)
 GROUP BY 1, 2"""))
 def harvest_by_season(t: Tables) -> DataFrame:
     """J-15 / S-17 / S-18: harvest rows joined to the calendar dimension on the

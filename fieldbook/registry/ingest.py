@@ -21,7 +21,7 @@ from fieldbook.plans import facts
 from fieldbook.registry.base import query
 from fieldbook.registry.standins import Tables
 from fieldbook.registry.work import waybill_headers, waybill_lines
-from fieldbook.session import scratch_path
+from fieldbook.session import materialize, scratch_path
 from fieldbook.sources import pages
 
 RAW_LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
@@ -177,18 +177,21 @@ def pages_roundtrip(t: Tables) -> DataFrame:
         lines.withColumnRenamed("doc_id", "event_id"), "event_id")
 
 
-EXPECTED_EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props", "session_id"]
-
-
 @query("schema_probe", None, """
-SELECT 'session_id' AS column_name, 'missing' AS status
-WHERE 'session_id' NOT IN (SELECT column_name FROM (DESCRIBE events))
-UNION ALL
-SELECT column_name, 'extra' FROM (DESCRIBE events)
-WHERE column_name NOT IN ('event_id', 'ts', 'user_id', 'event_type', 'value', 'props', 'session_id')""")
+SELECT COALESCE(n.column_name, o.column_name) AS column_name,
+       CASE WHEN n.column_name IS NULL THEN 'missing' WHEN o.column_name IS NULL THEN 'extra' ELSE 'type' END AS status
+FROM (DESCRIBE events) o
+FULL JOIN (DESCRIBE SELECT * EXCLUDE (props) REPLACE (CAST(user_id AS VARCHAR) AS user_id), event_type AS session_id FROM events) n
+  ON n.column_name = o.column_name
+WHERE n.column_type IS DISTINCT FROM o.column_type""")
 def schema_probe(t: Tables) -> DataFrame:
-    """I-12 / Q-10: source schema drift against the expected column list."""
-    return pages.probe_schema(t.raw("events"), EXPECTED_EVENT_COLUMNS).withColumnRenamed("column", "column_name")
+    """I-12 / Q-10: a copy of the events that lost a column, got one and
+    changed the type of one, probed through its own file schema."""
+    drifted = t.raw("events").drop("props").withColumns(
+        {"user_id": F.col("user_id").cast("string"), "session_id": F.col("event_type")})
+    # t.raw reads with the declared schema, which is what is expected
+    return (pages.probe_schema(materialize(drifted, "drifted_events"), t.raw("events").schema)
+            .withColumnRenamed("column", "column_name"))
 
 
 @query("restore_from_backup", ["sd_items"], """

@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldbook.constants import AGRO_PHASES, DAY_NAMES, MONTH_NAMES
 from fieldbook.functions.ratios import productivity_kg_h, yield_t_ha
 from fieldbook.operators.indexing import dense_keys
 from fieldbook.operators.joins import asof_join
 from fieldbook.operators.scd2 import scd2_versions
 from fieldbook.plans import dims, metrics
 from fieldbook.registry.base import query
-from fieldbook.registry.harvest import H_SD, HARVEST_SQL, harvest_base
+from fieldbook.registry.harvest import H_SD, enriched, hq
 from fieldbook.registry.standins import Tables
 
-MONTHS_SQL = ("['Январь','Февраль','Март','Апрель','Май','Июнь','Июль','Август','Сентябрь','Октябрь',"
-              "'Ноябрь','Декабрь']")
-DAYS_SQL = "['Понедельник','Вторник','Среда','Четверг','Пятница','Суббота','Воскресенье']"
-PHASES_SQL = ("['хранение','хранение','подготовка','подготовка','посадка','вегетация','вегетация','вегетация',"
-              "'уборка','уборка','хранение','хранение']")
+MONTHS_SQL, DAYS_SQL, PHASES_SQL = (str(list(names)) for names in (MONTH_NAMES, DAY_NAMES, AGRO_PHASES))
 
 
 @query("calendar_dim", None, f"""
@@ -81,32 +78,25 @@ def scd2_asof_join(t: Tables) -> DataFrame:
     return asof_join(f, versions(t), "o_custkey", "ship_day", "valid_from", ["o_orderpriority"], valid_to="valid_to")
 
 
-@query("yield_by_history_year", H_SD + ["sd_field_history"], HARVEST_SQL.replace(
-    "stg AS (", "stg AS (", 1) + """,
-tot AS (SELECT pole_id, god_urozhaya, SUM(kolichestvo_kg) AS weight_kg FROM base GROUP BY 1, 2),
-ex AS (SELECT field_id, year, arg_min(struct_pack(sown_area_ha, crop), line_number) AS h
-       FROM sd_field_history WHERE year <> 0 GROUP BY 1, 2),
-yr AS (SELECT MIN(god_urozhaya) AS y0, MAX(god_urozhaya) AS y1 FROM tot),
-sp AS (SELECT field_id, unnest(generate_series(greatest(year(valid_from), y0),
-                                               least(COALESCE(year(valid_to), y1), y1))) AS year,
-              line_number, sown_area_ha, crop
-       FROM sd_field_history, yr
-       WHERE year = 0 AND valid_from IS NOT NULL AND greatest(year(valid_from), y0) <= least(COALESCE(year(valid_to), y1), y1)),
-rg AS (SELECT field_id, year, arg_min(struct_pack(sown_area_ha, crop), line_number) AS h FROM sp GROUP BY 1, 2),
-m AS (SELECT t.*, COALESCE(ex.h, rg.h) AS h FROM tot t
-      LEFT JOIN ex ON ex.field_id = t.pole_id AND ex.year = t.god_urozhaya
-      LEFT JOIN rg ON rg.field_id = t.pole_id AND rg.year = t.god_urozhaya),
-m2 AS (SELECT pole_id, god_urozhaya, weight_kg, h.sown_area_ha AS area, h.crop AS crop,
-              CAST(weight_kg * 1000 AS BIGINT) AS kg_m, CAST(h.sown_area_ha * 10000 AS BIGINT) AS area_u FROM m)
-SELECT pole_id, god_urozhaya, CAST(weight_kg AS DOUBLE) AS weight_kg, CAST(area AS DOUBLE) AS sown_area_ha, crop,
-       CASE WHEN area IS NULL OR area = 0 THEN NULL
-            ELSE CAST(sign(kg_m) * sign(area_u) * ((2 * abs(kg_m) + abs(area_u)) // (2 * abs(area_u))) AS DOUBLE) / 100
-       END AS yield_t_ha
-FROM m2""")
+@query("yield_by_history_year", H_SD + ["sd_field_history"], hq("""
+, tot AS (SELECT pole_id, kultura, god_urozhaya, SUM(kolichestvo_kg) AS weight_kg FROM enr GROUP BY ALL),
+years AS (
+  SELECT field_id, crop, sown_area_ha, year <> 0 AS dated,
+         unnest(IF(year <> 0, [year::BIGINT], range(year(valid_from), 1 + IFNULL(year(valid_to), 2100)))) AS y
+  FROM sd_field_history),
+area AS (
+  SELECT field_id, crop, y, CASE WHEN bool_or(dated) THEN SUM(sown_area_ha) FILTER (dated) ELSE SUM(sown_area_ha) END AS ha
+  FROM years GROUP BY 1, 2, 3),
+met AS (
+  SELECT tot.*, ha, CAST(weight_kg * 1000 AS HUGEINT) AS kg_m, CAST(ha * 10000 AS HUGEINT) AS area_u
+  FROM tot LEFT JOIN area ON (field_id, crop, y) = (pole_id, kultura, god_urozhaya))
+SELECT pole_id, kultura, god_urozhaya, CAST(weight_kg AS DOUBLE) AS weight_kg, CAST(ha AS DOUBLE) AS sown_area_ha,
+       IF(area_u > 0, CAST((2 * kg_m + area_u) // (2 * area_u) AS DOUBLE) / 100, NULL) AS yield_t_ha
+FROM met"""))
 def yield_by_history_year(t: Tables) -> DataFrame:
-    """K-01 / J-14 / S-24: yield per field and year against the field history
-    (same-year row first, else a year-0 row valid in that year)."""
-    return metrics.yield_by_field_year(harvest_base(t), t.sd_field_history)
+    """K-01 / J-14 / S-24: yield per field, crop and year against the areas of
+    the field history (lines of the year, else year-0 lines valid in it)."""
+    return metrics.yield_by_field_crop_year(enriched(t), t.sd_field_history)
 
 
 @query("fuel_allocation", ["sd_lines"], """,

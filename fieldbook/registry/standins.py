@@ -124,7 +124,8 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "l_orderkey AS voditel_id",
         "CAST(l_extendedprice AS DECIMAL(18,3)) AS ves_netto_kg",
         "CAST(l_quantity AS DECIMAL(18,3)) AS ves_tary_kg",
-        "CAST(CAST(l_extendedprice AS DECIMAL(18,3)) + CAST(l_quantity AS DECIMAL(18,3)) AS DECIMAL(18,3)) AS ves_brutto_kg",
+        "CAST(CAST(l_extendedprice AS DECIMAL(18,3)) + CAST(l_quantity AS DECIMAL(18,3)) "
+        "+ CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS DECIMAL(18,3)) AS ves_brutto_kg",
     ]),
     "sd_slips": ("lineitem", [
         f"CAST(l_orderkey AS STRING) || '-' || CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) AS STRING) AS doc_id",
@@ -151,7 +152,7 @@ STANDINS: dict[str, tuple[str, list[str]]] = {
         "s_suppkey AS line_number",
         "CASE WHEN s_suppkey % 4 = 0 THEN 0 ELSE 1995 + s_suppkey % 7 END AS year",
         "CASE WHEN s_acctbal < 100 THEN CAST(0 AS DECIMAL(12,4)) ELSE CAST(s_acctbal AS DECIMAL(12,4)) END AS sown_area_ha",
-        "'C' || CAST(s_suppkey AS STRING) AS crop",
+        "CASE WHEN s_suppkey % 3 = 0 THEN 'Пшеница' ELSE 'Картофель' END AS crop",
         "make_date(CAST(1995 + s_suppkey % 5 AS INT), 1, 1) AS valid_from",
         "CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE make_date(CAST(1997 + s_suppkey % 5 AS INT), 12, 31) END AS valid_to",
     ]),

@@ -109,13 +109,31 @@ def reconcile(headers: DataFrame, lines: DataFrame, repair: DataFrame | None = N
     return headers, kept, orphans
 
 
-def probe_schema(df: DataFrame, expected: list[str]) -> DataFrame:
-    """Schema drift: expected columns missing from the source and unexpected extra ones."""
-    spark = df.sparkSession
-    have = set(df.columns)
-    rows = [(c, "missing") for c in expected if c not in have] + \
-           [(c, "extra") for c in df.columns if c not in set(expected) and not c.startswith("_")]
-    return spark.createDataFrame(rows, "column string, status string")
+def probe_schema(source: DataFrame, expected: StructType | list[str]) -> DataFrame:
+    """Schema drift of ``source``, which must be read without a declared
+    schema: expected columns that are missing, columns not expected, and (for a
+    declared type) columns of another type.  Only the schema is read, no rows."""
+    types = {f.name: f.dataType.simpleString() for f in source.schema}
+    wanted = {f.name: f.dataType.simpleString() for f in expected} if isinstance(expected, StructType) else dict.fromkeys(expected)
+    rows = [(c, "missing") for c in wanted if c not in types]
+    rows += [(c, "extra") for c in types if c not in wanted and not c.startswith("_")]
+    rows += [(c, "type") for c, t in wanted.items() if t and types.get(c, t) != t]
+    return source.sparkSession.createDataFrame(rows, "column string, status string")
+
+
+def page_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Field names of the first record of landed JSON Lines pages, as sent
+    (one line is read)."""
+    first = spark.read.text(path).where(F.get_json_object("value", "$.value[0]").isNotNull()).limit(1)
+    return first.select(F.explode(F.json_object_keys(F.get_json_object("value", "$.value[0]"))).alias("column"))
+
+
+def probe_pages(spark: SparkSession, path: str, expected: list[str]) -> DataFrame:
+    """Mapped source fields that the pages do not send (a declared schema
+    would read them as NULL without an error), and fields sent but not mapped."""
+    sent, wanted = page_keys(spark, path), spark.createDataFrame([(c,) for c in expected], "column string")
+    return (wanted.join(sent, "column", "left_anti").withColumn("status", F.lit("missing"))
+            .unionByName(sent.join(wanted, "column", "left_anti").withColumn("status", F.lit("extra"))))
 
 
 def write_pages(docs: DataFrame, path: str, page_col: str, doc_col: str = "doc", mode: str = "overwrite") -> str:
