@@ -120,12 +120,24 @@ def tmc_movement(stg_lines: DataFrame, items: DataFrame, units: DataFrame | None
           .withColumn("is_nomenclature_resolved", F.col("__it_name").isNotNull()))
     if units is not None:
         u = units.select(F.col("_id").alias("__u"), F.col("description").alias("uom_name"),
-                         F.col("code").alias("uom_code"))
+                         F.col("code").alias("uom_code"), *[c for c in ("weight_kg", "volume_l") if c in units.columns])
         m = lookup_join(m, u, [("edinica_id", "__u")])
         m = m.withColumn("uom_name", F.coalesce("uom_name", F.lit(UNRESOLVED_UNIT)))
     return m.drop("__it_name", "__it_unit")
 
 
+def movement_links(movement: DataFrame, warehouses: DataFrame, cost_objects: DataFrame) -> DataFrame:
+    """Names of the sending and the receiving warehouse and of the cost object;
+    every line is kept.  ``posted_warehouse_id`` is where the signed quantity
+    counts: what leaves at the sender, what arrives at the recipient."""
+    m = movement
+    for key, catalog, name in (("sender_id", warehouses, "sender"), ("recipient_id", warehouses, "recipient"),
+                               ("cost_object_id", cost_objects, "cost_object")):
+        c = catalog.select(F.col("_id").alias(f"__{name}"), F.col("description").alias(name))
+        m = lookup_join(m, c, [(key, f"__{name}")])
+    return m.withColumn("posted_warehouse_id", F.when(F.col("quantity_sign") > 0, F.col("recipient_id")).otherwise(F.col("sender_id")))
+
+
 def movement_fact_bi(fact: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
     """BI view of a movement fact: every fact row kept, item and unit labels
     attached by left lookups."""

@@ -160,4 +160,6 @@ def unresolved_monitor(m: DataFrame, selectors: Sel = None) -> DataFrame:
     return d.groupBy("movement_type").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~F.col("is_nomenclature_resolved")).alias("unresolved"),
-    ).withColumn("unresolved_share", F.col("unresolved") / F.col("rows"))
+        F.count_if(F.col("uom_code").isNull()).alias("units_unresolved"),
+    ).withColumns({"unresolved_share": F.col("unresolved") / F.col("rows"),
+                   "units_unresolved_share": F.col("units_unresolved") / F.col("rows")})

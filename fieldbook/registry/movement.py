@@ -24,7 +24,8 @@ def movement_headers(t: Tables) -> DataFrame:
 
 def movement_lines(t: Tables) -> DataFrame:
     return t.sd_lines.select("doc_id", "line_number", F.col("item_id").alias("nomenklatura_id"),
-                             F.col("item_id").alias("edinica_id"), F.col("qty").alias("kolichestvo"),
+                             ((F.col("item_id") + F.col("machine_id")) % 50 + 1).alias("edinica_id"),
+                             F.col("qty").alias("kolichestvo"),
                              F.col("amount").alias("summa"), "operaciya",
                              F.col("machine_id").alias("warehouse_id"))
 
@@ -44,8 +45,8 @@ def tmc(t: Tables) -> DataFrame:
 
 MOVE_SQL = """,
 mv AS (SELECT d._id AS doc_id, d.doc_number, d.doc_date, d._posted, d._deletionmark, l.line_number,
-              l.item_id AS nomenklatura_id, l.item_id AS edinica_id, l.qty AS kolichestvo, l.amount AS summa,
-              l.operaciya, l.machine_id AS warehouse_id
+              l.item_id AS nomenklatura_id, (l.item_id + l.machine_id) % 50 + 1 AS edinica_id, l.qty AS kolichestvo,
+              l.amount AS summa, l.operaciya, l.machine_id AS warehouse_id
        FROM sd_docs d JOIN sd_lines l ON l.doc_id = d._id),
 iv AS (SELECT _id, description, unit_name, unit_code FROM sd_items WHERE _deletionmark = FALSE),
 tmc AS (
@@ -164,10 +165,11 @@ def top_items_per_unit(t: Tables) -> DataFrame:
 
 @query("unresolved_monitor", M_SD, MOVE_SQL + """
 SELECT movement_type, COUNT(*) AS rows, COUNT(*) FILTER (WHERE NOT is_nomenclature_resolved) AS unresolved,
-       CAST(COUNT(*) FILTER (WHERE NOT is_nomenclature_resolved) AS DOUBLE) / COUNT(*) AS unresolved_share
+       CAST(COUNT(*) FILTER (WHERE NOT is_nomenclature_resolved) AS DOUBLE) / COUNT(*) AS unresolved_share,
+       COUNT(*) - COUNT(uom_code) AS units_unresolved, CAST(COUNT(*) - COUNT(uom_code) AS DOUBLE) / COUNT(*) AS units_unresolved_share
 FROM tmc2 GROUP BY 1""")
 def unresolved_monitor(t: Tables) -> DataFrame:
-    """R-21 / K-06: unresolved item share by movement type."""
+    """R-21 / K-06: unresolved item and unit shares by movement type."""
     return reports.unresolved_monitor(tmc(t))
 
 
@@ -218,13 +220,14 @@ def field_material_usage(t: Tables) -> DataFrame:
 
 @query("harvest_receipt_bi", M_SD, """,
 iv AS (SELECT _id, description, unit_name FROM sd_items WHERE _deletionmark = FALSE),
-f AS (SELECT d._id AS doc_id, l.line_number, l.item_id AS nomenklatura_id, l.qty AS kolichestvo
+f AS (SELECT d._id AS doc_id, l.line_number, l.item_id AS nomenklatura_id, (l.item_id + l.machine_id) % 50 + 1 AS unit_id,
+             l.qty AS kolichestvo
       FROM sd_docs d JOIN sd_lines l ON l.doc_id = d._id
       WHERE d._posted = TRUE AND d._deletionmark = FALSE AND l.operaciya = 'ПередачаПродукцииИзПроизводства')
 SELECT f.doc_id, f.line_number, CAST(f.kolichestvo AS DOUBLE) AS kolichestvo,
        COALESCE(it.description, '[Не загружено из 1С] ' || CAST(f.nomenklatura_id AS VARCHAR)) AS nomenclature,
        COALESCE(u.unit_name, 'Не определена') AS uom_name
-FROM f LEFT JOIN iv it ON it._id = f.nomenklatura_id LEFT JOIN iv u ON u._id = f.nomenklatura_id""")
+FROM f LEFT JOIN iv it ON it._id = f.nomenklatura_id LEFT JOIN iv u ON u._id = f.unit_id""")
 def harvest_receipt_bi(t: Tables) -> DataFrame:
     """M-18: BI view of the harvest-receipt fact (all fact rows kept)."""
     f = facts.split_movement(movement_headers(t), movement_lines(t))["harvest_receipt"]

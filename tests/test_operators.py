@@ -165,3 +165,27 @@ def test_asof_join_buckets_match_per_key_scan(spark):
     by_day = rows(asof_join(facts, versions, "k", "t", "vf", ["attr"], bucket="day"))
     per_key = rows(asof_join(facts, versions, "k", "t", "vf", ["attr"], bucket=None))
     assert by_month == per_key == by_day
+
+
+def test_broadcast_is_bound_in_bytes(spark):
+    from fieldbook.operators.joins import broadcast_if_small
+    df = spark.createDataFrame([("x" * 500,), (None,)], "s string")
+    hinted = lambda limit: "broadcast" in broadcast_if_small(df, limit)._jdf.queryExecution().toString()
+    assert hinted(600) and not hinted(400)
+    assert "broadcast" in broadcast_if_small(df.where("false"), 0)._jdf.queryExecution().toString()
+
+
+def test_yield_takes_the_areas_of_the_crop(spark):
+    from datetime import date
+    from decimal import Decimal as D
+    from fieldbook.plans.metrics import yield_by_field_crop_year
+    harvest = spark.createDataFrame([("f", "a", 2024, D("6000")), ("f", "b", 2024, D("1000")), ("f", "a", 2023, D("4000")),
+                                     ("f", None, 2024, D("500")), ("g", "a", 2024, D("7"))],
+                                    "pole_id string, kultura string, god_urozhaya int, kolichestvo_kg decimal(18,3)")
+    history = spark.createDataFrame([
+        ("f", "a", 2024, None, None, D("2")), ("f", "a", 2024, None, None, D("1")), ("f", "b", 2024, None, None, D("0")),
+        ("f", "a", 0, date(2022, 5, 1), None, D("4")), ("g", "a", 0, date(2025, 1, 1), None, D("4"))],
+        "field_id string, crop string, year int, valid_from date, valid_to date, sown_area_ha decimal(12,4)")
+    got = {tuple(r[:3]): r.yield_t_ha for r in yield_by_field_crop_year(harvest, history).collect()}
+    assert got == {("f", "a", 2024): D("2.00"), ("f", "b", 2024): None, ("f", "a", 2023): D("1.00"),
+                   ("f", None, 2024): None, ("g", "a", 2024): None}

@@ -53,3 +53,16 @@ def test_reconcile_and_probe(spark):
 def test_drop_folders(spark):
     df = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "k string, IsFolder boolean")
     assert sorted(r.k for r in pages.drop_folders(df).collect()) == ["b", "c"]
+
+
+def test_probe_pages_lists_the_fields_as_sent(spark):
+    tmp = tempfile.mkdtemp(prefix="probe-")
+    with open(os.path.join(tmp, "p.json"), "w", encoding="utf-8") as f:
+        f.write(json.dumps({"value": []}) + "\n" + json.dumps({"value": [{"Ref_Key": "a", "New": 1}]}) + "\n")
+    assert rows(pages.probe_pages(spark, tmp, ["Ref_Key", "Weight"])) == [("New", "extra"), ("Weight", "missing")]
+
+
+def test_probe_schema_sees_types(spark):
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    declared = StructType([StructField("k", StringType()), StructField("n", StringType())])
+    assert rows(pages.probe_schema(df, declared)) == [("n", "type")]
