@@ -1,13 +1,14 @@
 """Scheduled incremental pulls re-aimed as micro-batch streams.
 
 * ``stream_upsert``    - landing folder -> table, idempotent: every micro-batch
-  is merged into the current table version (last writer by a sequence
-  column) and published as a new version.  Re-running a batch after a failure
-  produces the same version content, so the sink is effectively exactly-once.
+  is published as a delta over the table (last writer by a sequence column), so
+  a batch writes what it brings and not the whole table; a batch that was
+  published before is skipped, so the sink is effectively exactly-once.
 * ``stream_daily_volume`` - daily volume per kind with a watermark; the
   overlap of re-read windows (48 h lookback) is absorbed by
   ``dropDuplicatesWithinWatermark`` on the event key.
-* every batch appends a row to the load log (entity, batch, rows, time).
+* every batch has a row in the load log (entity, batch, rows read and written,
+  rows that lost against another of their key, status, time).
 """
 
 from __future__ import annotations
@@ -22,8 +23,7 @@ from pyspark.sql.types import StructType
 
 from fieldbook.constants import LOOKBACK_HOURS
 from fieldbook.operators.dedup import last_writer_wins
-from fieldbook.operators.upsert import upsert
-from fieldbook.sources.sinks import is_published, publish_version, read_current
+from fieldbook.sources.sinks import is_published, publish_delta
 
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
@@ -44,46 +44,32 @@ def state_partitions(spark: SparkSession, n: int | None = None):
         spark.conf.set(key, old)
 
 
-LOAD_LOG_SCHEMA = "entity string, batch_id long, rows_read long, loaded_at timestamp"
+LOAD_LOG_SCHEMA = ("entity string, batch_id long, rows_read long, rows_written long, rows_rejected long, status string, "
+                   "loaded_at timestamp")
 
 
-def append_load_log(batch: DataFrame, log_dir: str, entity: str, batch_id: int) -> None:
-    """One row per (entity, batch), rewritten when the batch is replayed; an
-    aggregate of the batch, no rows to the driver."""
+def append_load_log(batch: DataFrame, log_dir: str, entity: str, batch_id: int, written: int | None) -> None:
+    """One row per (entity, batch), rewritten when the batch is replayed (then
+    nothing is written to the table); an aggregate of the batch, no rows to the
+    driver."""
+    n = F.lit(written or 0).cast("long")
     (batch.agg(F.count(F.lit(1)).alias("rows_read"))
-          .select("rows_read", F.current_timestamp().alias("loaded_at"))
+          .select("rows_read", n.alias("rows_written"),
+                  F.lit(0).cast("long").alias("rows_rejected") if written is None else (F.col("rows_read") - n).alias("rows_rejected"),
+                  F.lit("replayed" if written is None else "loaded").alias("status"), F.current_timestamp().alias("loaded_at"))
           .write.mode("overwrite").parquet(os.path.join(log_dir, f"entity={entity}", f"batch_id={batch_id}")))
 
 
-def merge_versions(current: DataFrame, updates: DataFrame, keys: list[str], seq_cols: list[str]) -> DataFrame:
-    """Newest source version wins across batches, whatever order the batches
-    arrive in: the stored rows carry their sequence, and current and new rows
-    compete on it (a batch's row wins a tie)."""
-    both = (current.withColumn("__src", F.lit(0))
-            .unionByName(updates.select(*current.columns).withColumn("__src", F.lit(1))))
-    return last_writer_wins(both, keys, seq_cols + ["__src"]).drop("__src")
-
-
 def _merge_batch(target_dir: str, keys: list[str], seq_cols: list[str], log_dir: str | None, entity: str,
                  transform=None):
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark, run_id = batch.sparkSession, f"b{batch_id:012d}"
-        if is_published(spark, target_dir, run_id):      # a replay: the table has this batch
-            if log_dir:
-                append_load_log(batch, log_dir, entity, batch_id)
-            return
+        spark, run_id, written = batch.sparkSession, f"b{batch_id:012d}", None
         rows = transform(batch) if transform else batch
-        updates = last_writer_wins(rows, keys, seq_cols) if seq_cols else rows
-        current = read_current(spark, target_dir, schema=updates.schema)
-        if current is None:
-            merged = updates
-        elif seq_cols:
-            merged = merge_versions(current, updates, keys, seq_cols)
-        else:
-            merged = upsert(current, updates, keys)
-        publish_version(merged, target_dir, run_id=run_id)
+        if not is_published(spark, target_dir, run_id):      # else a replay: the table has this batch
+            updates = last_writer_wins(rows, keys, seq_cols) if seq_cols else rows
+            written = publish_delta(updates, target_dir, run_id, keys, seq_cols)
         if log_dir:
-            append_load_log(batch, log_dir, entity, batch_id)
+            append_load_log(rows, log_dir, entity, batch_id, written)
     return run
 
 

@@ -26,6 +26,25 @@ def test_replayed_batch_keeps_every_row(spark, seq):
     assert rows(spark.read.parquet(log).select("batch_id", "rows_read")) == [(0, 2), (1, 2)]
 
 
+def test_a_batch_writes_only_what_it_brings(spark):
+    base, log = tempfile.mkdtemp(prefix="delta-"), tempfile.mkdtemp(prefix="log-")
+    run = ingest._merge_batch(base, ["k"], ["seq"], log, "e")
+    batch = lambda *r: spark.createDataFrame(list(r), "k long, v string, seq long")
+    count = lambda name: spark.read.parquet(os.path.join(base, name)).count()
+    run(batch(*[(k, "old", 1) for k in range(20)]), 0)
+    run(batch((3, "new", 2), (3, "newer", 3), (4, "late", 0)), 1)
+    assert sorted(f for f in os.listdir(base) if "=" in f) == ["d=b000000000001", "v=b000000000000"]
+    assert count("d=b000000000001") == 2 and count("v=b000000000000") == 20
+    got = dict(rows(sinks.read_current(spark, base).select("k", "v")))
+    assert len(got) == 20 and got[3] == "newer" and got[4] == "old"      # a late row of an older version does not win
+    run(batch(*[(k, "again", 4) for k in range(10, 30)]), 2)             # as large as the table: both become the next version
+    assert sinks.current_version(spark, base) == "v=b000000000002-whole"
+    got = dict(rows(sinks.read_current(spark, base).select("k", "v")))
+    assert len(got) == 30 and got[3] == "newer" and got[4] == "old" and got[10] == "again"
+    assert rows(spark.read.parquet(log).select("batch_id", "rows_read", "rows_written", "rows_rejected", "status")) == [
+        (0, 20, 20, 0, "loaded"), (1, 3, 2, 1, "loaded"), (2, 20, 20, 0, "loaded")]
+
+
 def test_a_lost_record_is_an_error(spark):
     base = tempfile.mkdtemp(prefix="lost-")
     assert sinks.read_current(spark, base) is None
