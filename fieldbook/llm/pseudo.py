@@ -3,9 +3,13 @@
 A bidirectional window network predicts every word from the ``REACH`` words on
 both sides; the summed conditional log-probabilities of a text are its score.
 
-* *Vocabulary*: words are counted over the whole corpus; the ``WORDS`` most
-  frequent have a class of their own, all others share ``BUCKETS`` hashed
-  classes, so every word of every text is predicted and none is skipped.
+* *Vocabulary*: every word of the whole corpus, with its count.  The network
+  predicts one of ``CLASSES`` classes: the ``WORDS`` most frequent words have
+  one of their own, all others are dealt to ``BUCKETS`` hashed ones.  A word
+  of these has, besides, its share of its class in the whole corpus, so the
+  probability summed is always the word's own: P(class | context) x
+  P(word | class).  The counts grow with the distinct words; they lie in
+  ranges of hashes, and each chunk of texts asks the ranges for its words.
 * *Training* (numpy): in each pass every text has a hashed one in ``MASKED``
   of its positions predicted, another part in each pass.  Each input partition
   trains its own copy from the common weights; the copies are averaged by
@@ -13,10 +17,14 @@ both sides; the summed conditional log-probabilities of a text are its score.
   and not the driver holds more than that many.
 * *Scoring*: all positions of all texts, in strips of bounded size.
 
+The network's width (``CLASSES``, ``HIDDEN``) is fixed: among the words of one
+hashed class the context does not decide, only their counts do.
+
 The weights depend on how the input is partitioned (as any averaged training
 does), not on the order of tasks.  Defined cases: NULL and wordless texts have
 no words, a sum and a mean of 0; words next to the ends of a text see an edge
-sign there; on an empty corpus nothing is trained.
+sign there; on an empty corpus nothing is trained; a word that the corpus of
+``fit`` does not have counts as half an occurrence in its class.
 """
 
 from __future__ import annotations
@@ -26,8 +34,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from fieldbook.llm.exchange import lookup
+from fieldbook.llm.exchange import PACKED, Layout, chunked, lookup, pack, plan_layout, unpack
 from fieldbook.llm.words import ALNUM_WORDS, LOWER_ASCII, WordSlice, mix, row_slices, text_buffers
 from fieldbook.session import materialize
 
@@ -40,6 +49,8 @@ PASSES, MASKED = 2, 16
 BATCH, STEP = 1024, 0.05
 STRIP = 512             # positions scored at once: their scores stay in the processor's cache
 FAN_IN = 16
+COUNTED = 1 << 20       # words of a partition counted at once
+UNSEEN = 0.5            # occurrences of a word that was not counted
 
 
 def _slices(texts):
@@ -48,35 +59,92 @@ def _slices(texts):
         yield WordSlice(offsets, data, lo, hi, ALNUM_WORDS, LOWER_ASCII)
 
 
-def _count_words(batches):
-    """(word hash, occurrences) of each batch."""
-    for batch in batches:
-        found = [np.unique(w.hashes, return_counts=True) for w in _slices(batch.column("text"))]
-        words = np.concatenate([f[0] for f in found] or [np.zeros(0, np.uint64)])
-        words, place = np.unique(words, return_inverse=True)
-        counts = np.bincount(place, np.concatenate([f[1] for f in found] or [np.zeros(0)]), len(words)).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], names=["word", "n"])
+def _packed(layout: Layout, chunk: int, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    rows = [(b, chunk, pack(words[r]), counts[r].tobytes()) for b, r in layout.cut(words)]
+    types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)],
+                                      names=["bucket", "chunk", "payload", "extra"])
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the ``WORDS`` most frequent words of the whole corpus."""
-    counts = docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    return np.array([r.word for r in top], np.int64).view(np.uint64)
+def _count_words(layout: Layout):
+    """Distinct words and their occurrences, by ranges of hashes."""
+    def count(batches):
+        found, n = [], 0
+        for batch in batches:
+            for w in _slices(batch.column("text")):
+                found.append(w.hashes)
+                n += len(w.hashes)
+                if n >= COUNTED:
+                    yield _packed(layout, 0, *np.unique(np.concatenate(found), return_counts=True))
+                    found, n = [], 0
+        if n:
+            yield _packed(layout, 0, *np.unique(np.concatenate(found), return_counts=True))
+    return count
+
+
+def _sum_counts(table: pa.Table) -> pa.Table:
+    """One range: its words with their occurrences in the whole corpus, those
+    that may be among the most frequent, and the sums by hashed class."""
+    words = np.concatenate([unpack(p.as_py()) for p in table.column("payload")])
+    counts = np.concatenate([np.frombuffer(e.as_py(), np.int64) for e in table.column("extra")])
+    order = np.argsort(words, kind="stable")
+    words, counts = words[order], counts[order]
+    begin = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
+    words, counts = words[begin], np.add.reduceat(counts, begin)
+    top = np.lexsort((words.view(np.int64), -counts))[:WORDS]
+    sums = np.zeros(BUCKETS, np.int64)
+    np.add.at(sums, (words % np.uint64(BUCKETS)).astype(np.int64), counts)
+    longs = pa.list_(pa.int64())
+    return pa.table({"bucket": table.column("bucket").slice(0, 1), "payload": [pack(words)], "extra": [counts.tobytes()],
+                     "top": pa.array([words[top].view(np.int64).tolist()], longs), "n": pa.array([counts[top].tolist()], longs),
+                     "sums": pa.array([sums.tolist()], longs)})
+
+
+def vocabulary(docs: DataFrame) -> Coder:
+    """All words of the corpus with their counts (a table, by ranges of
+    hashes) and the ``WORDS`` most frequent."""
+    layout = plan_layout(docs)
+    layout = Layout(layout.chunks, layout.buckets, 64)
+    counts = docs.select("text").mapInArrow(_count_words(layout), PACKED).groupBy("bucket").applyInArrow(
+        _sum_counts, "bucket int, payload binary, extra binary, top array<long>, n array<long>, sums array<long>")
+    counts = materialize(counts, "word-counts")
+    top = (counts.select(F.explode(F.arrays_zip("top", "n")).alias("w")).select(F.col("w.top").alias("word"), "w.n")
+           .orderBy(F.desc("n"), "word").limit(WORDS).collect())
+    words = np.array([r.word for r in top], np.int64).view(np.uint64)
+    shared = np.zeros(BUCKETS, np.int64)
+    for r in counts.select(F.posexplode("sums").alias("k", "n")).groupBy("k").agg(F.sum("n").alias("n")).collect():
+        shared[r.k] = r.n
+    np.subtract.at(shared, (words % np.uint64(BUCKETS)).astype(np.int64), np.array([r.n for r in top], np.int64))
+    return Coder(words, shared, layout, counts.select("bucket", "payload", "extra"))
 
 
 class Coder:
-    """Classes of words."""
+    """Classes of words: ``words`` have their own; ``shared`` holds the
+    occurrences of all others by hashed class.  The table of all counts stays
+    with the driver's copy."""
 
-    def __init__(self, words: np.ndarray):
+    def __init__(self, words: np.ndarray, shared: np.ndarray, layout: Layout, counts: DataFrame | None = None):
         self.order = np.argsort(words)
         self.words = words[self.order]
+        self.shared, self.layout, self.counts = shared, layout, counts
+
+    def __getstate__(self):
+        return {**self.__dict__, "counts": None}
 
     def classes(self, hashes: np.ndarray) -> np.ndarray:
         at, known = lookup(self.words, hashes)
         rare = WORDS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
         return np.where(known, self.order[at], rare) if len(self.words) else rare
 
+    def within(self, hashes: np.ndarray, classes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Log-probabilities of words within their classes, from the counts
+        of ``words`` (sorted hashes) in the whole corpus."""
+        out, rare = np.zeros(len(hashes)), classes >= WORDS
+        at, known = lookup(words, hashes[rare])
+        n = np.where(known, counts[at], 0) if len(words) else np.zeros(len(at))
+        out[rare] = np.log(np.where(n > 0, n, UNSEEN)) - np.log(self.shared + UNSEEN)[classes[rare] - WORDS]
+        return out
+
 
 def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(words, 2 * REACH) classes around each word within its text."""
@@ -207,7 +275,7 @@ def _averaged(copies: DataFrame) -> np.ndarray | None:
 def fit(docs: DataFrame) -> tuple[Coder, Network]:
     """Vocabulary and network of a corpus (column ``text``)."""
     context = docs.sparkSession.sparkContext
-    coder, weights = Coder(vocabulary(docs)), Network().flat
+    coder, weights = vocabulary(docs), Network().flat
     known = context.broadcast(coder)
     for turn in range(PASSES):
         shared = context.broadcast(weights)                     # fixed size
@@ -217,23 +285,71 @@ def fit(docs: DataFrame) -> tuple[Coder, Network]:
     return coder, Network(weights)
 
 
-def log_likelihoods(coder: Coder, net: Network, texts: pa.Array) -> pa.Array:
-    """Words and summed conditional log-probabilities of every text."""
+_NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+
+def log_likelihoods(coder: Coder, net: Network, texts: pa.Array, words: np.ndarray = _NONE[0],
+                    counts: np.ndarray = _NONE[1]) -> pa.Array:
+    """Words and summed conditional log-probabilities of every text;
+    ``counts`` are those of the ``words`` (sorted hashes) in the corpus."""
     out = []
     for w in _slices(texts):
         classes = coder.classes(w.hashes)
-        logs = np.r_[0.0, np.cumsum(net.log_probabilities(contexts(classes, w.first), classes))]
+        each = net.log_probabilities(contexts(classes, w.first), classes) + coder.within(w.hashes, classes, words, counts)
+        logs = np.r_[0.0, np.cumsum(each)]
         out += [{"n_words": n, "total": t} for n, t in zip(w.counts().tolist(), np.diff(logs[w.first]).tolist(), strict=True)]
     return pa.array(out, pa.struct([("n_words", pa.int64()), ("total", pa.float64())]))
 
 
+def _texts(table: pa.Table, text: str) -> pa.Array:
+    return pa.chunked_array([c.field(text) for c in table.column("doc").chunks], table.schema.field("doc").type.field(text).type)
+
+
+def _rare(coder: Coder, texts: pa.Array) -> np.ndarray:
+    """Sorted distinct hashes of the words without a class of their own."""
+    found = [np.unique(w.hashes) for w in _slices(texts)]
+    words = np.unique(np.concatenate([_NONE[0], *found]))
+    return words[coder.classes(words) >= WORDS]
+
+
+def _ask(shared, text: str):
+    """The rare words of a chunk, to the ranges that have their counts."""
+    def ask(table: pa.Table) -> pa.Table:
+        coder, _ = shared.value
+        words = _rare(coder, _texts(table, text))
+        return pa.Table.from_batches([_packed(coder.layout, table.column("chunk")[0].as_py(), words, _NONE[1])])
+    return ask
+
+
+def _answer(asked: pa.Table, counted: pa.Table) -> pa.Table:
+    """Each chunk's words of one range -> their counts, 0 if not counted."""
+    words = np.concatenate([_NONE[0], *[unpack(p.as_py()) for p in counted.column("payload")]])
+    counts = np.concatenate([_NONE[1], *[np.frombuffer(e.as_py(), np.int64) for e in counted.column("extra")]])
+    answers = []
+    for p in asked.column("payload"):
+        at, known = lookup(words, unpack(p.as_py()))
+        answers.append((np.where(known, counts[at], 0) if len(words) else np.zeros(len(at), np.int64)).tobytes())
+    return asked.select(["bucket", "chunk"]).append_column("payload", pa.array([b""] * len(answers), pa.binary())).append_column(
+        "extra", pa.array(answers, pa.binary()))
+
+
 def scored(docs: DataFrame, coder: Coder, net: Network, text: str = "text", into: str = "pseudo") -> DataFrame:
     """``docs`` with the struct column ``into``: ``n_words`` and ``total``."""
     shared = docs.sparkSession.sparkContext.broadcast((coder, net.flat))
-
-    @F.arrow_udf("struct<n_words: bigint, total: double>")
-    def score(texts: pa.Array) -> pa.Array:
-        words, flat = shared.value
-        return log_likelihoods(words, Network(flat), texts)
-
-    return docs.withColumn(into, score(F.col(f"`{text}`")))
+    # rows are numbered and written once: chunks hold rows of any id, equal ones too
+    rows = materialize(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "pseudo-texts")
+    chunks = chunked(rows, plan_layout(rows, f"doc.`{text}`"), "row")
+    answers = (chunks.groupBy("chunk").applyInArrow(_ask(shared, text), PACKED).groupBy("bucket")
+               .cogroup(coder.counts.groupBy("bucket")).applyInArrow(_answer, PACKED))
+
+    def score(table: pa.Table, answered: pa.Table) -> pa.Table:
+        coder, flat = shared.value
+        texts = _texts(table, text)
+        counts = [np.frombuffer(e.as_py(), np.int64) for e in answered.sort_by("bucket").column("extra")]
+        found = log_likelihoods(coder, Network(flat), texts, _rare(coder, texts), np.concatenate([_NONE[1], *counts]))
+        return pa.table({"doc": table.column("doc"), "found": found})
+
+    shape = StructType([rows.schema["doc"], StructField("found", StructType([StructField("n_words", LongType()),
+                                                                             StructField("total", DoubleType())]))])
+    out = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, shape)
+    return out.select(*[F.col(f"doc.`{c}`") for c in docs.columns if c != into], F.col("found").alias(into))

@@ -268,3 +268,34 @@ def test_pseudo_likelihood(spark):
     assert pseudo.scored(frame(spark, [(1, "a b")]), coder, net).first().pseudo.n_words == 2
 
 
+def test_pseudo_likelihood_sums_each_words_own_probability(spark):
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(900)]
+    rows = [(k % 40 or None, " ".join(rng.choice(words) for _ in range(60))) for k in range(80)]
+    rows += [(900 + k, f"r{k} r{k}" + " r0" * 5 * (k == 1)) for k in range(600)]
+    docs = frame(spark, rows)
+    coder, net = pseudo.fit(docs)
+    counts = {}
+    for _, t in rows:
+        for w in t.split():
+            counts[w] = counts.get(w, 0) + 1
+    hashes = dict(zip(counts, next(pseudo._slices(pa.array([" ".join(counts)]))).hashes.tolist(), strict=True))
+    classes = dict(zip(counts, coder.classes(np.array(list(hashes.values()), np.uint64)).tolist(), strict=True))
+    rare = [w for w in counts if classes[w] >= pseudo.WORDS]
+    assert len(rare) == len(counts) - pseudo.WORDS and max(counts[w] for w in rare) <= min(counts[w] for w in counts if w not in set(rare))
+    in_class = {}
+    for w in rare:
+        in_class[classes[w]] = in_class.get(classes[w], 0) + counts[w]
+    own = {w: np.log(counts[w] / (in_class[classes[w]] + pseudo.UNSEEN)) for w in rare}
+    # the class part alone: every rare word is then as likely as its class
+    whole = pseudo.Coder(coder.words, np.zeros(pseudo.BUCKETS), coder.layout)
+    whole.order = coder.order
+    flat = {t: r["total"] for t, r in zip([r[1] for r in rows], pseudo.log_likelihoods(whole, net, pa.array([r[1] for r in rows])).to_pylist(), strict=True)}
+    got = pseudo.scored(docs, coder, net).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in got) == sorted((i is None, i or 0, t) for i, t in rows)
+    for r in got:
+        assert abs(r.pseudo.total - (flat[r.text] + sum(own.get(w, 0.0) for w in r.text.split()))) < 1e-3 * abs(r.pseudo.total)
+    # a word the corpus does not have is less likely than any word of its class
+    unseen = next(f"z{k}" for k in range(10**6) if coder.classes(next(pseudo._slices(pa.array([f"z{k}"]))).hashes)[0] == classes[rare[0]])
+    pair = {r.text: r.pseudo.total for r in pseudo.scored(frame(spark, [(1, rare[0]), (2, unseen)]), coder, net).collect()}
+    assert pair[rare[0]] > pair[unseen] + 0.5
