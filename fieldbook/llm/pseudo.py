@@ -10,8 +10,9 @@ both sides; the summed conditional log-probabilities of a text are its score.
   probability summed is always the word's own: P(class | context) x
   P(word | class).  The counts grow with the distinct words; they lie in
   ranges of hashes, and each chunk of texts asks the ranges for its words.
-* *Training* (numpy): in each pass every text has a hashed one in ``MASKED``
-  of its positions predicted, another part in each pass.  Each input partition
+* *Training* (numpy): every position of every text is predicted in one of the
+  ``PASSES`` passes, the one that a hash of word, place and text names, so all
+  of the corpus is a target once.  Each input partition
   trains its own copy from the common weights; the copies are averaged by
   their number of predictions in a tree of groups of ``FAN_IN``, so no task
   and not the driver holds more than that many.
@@ -45,7 +46,7 @@ WORDS, BUCKETS = 448, 64
 CLASSES = WORDS + BUCKETS
 EDGE = CLASSES                  # the sign beyond either end of a text
 HIDDEN = 32
-PASSES, MASKED = 2, 16
+PASSES = 2
 BATCH, STEP = 1024, 0.05
 STRIP = 512             # positions scored at once: their scores stay in the processor's cache
 FAN_IN = 16
@@ -219,6 +220,15 @@ class Network:
         self.flat -= STEP * grad.flat / (np.sqrt(past) + 1e-6)
 
 
+def turns(w: WordSlice) -> np.ndarray:
+    """The pass in which each position is predicted; it differs between texts
+    that have the same word at the same place."""
+    place = np.arange(len(w.hashes)) - np.repeat(w.first[:-1], w.counts())
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(w.hashes, dtype=np.uint64)])
+    text = np.repeat(mix(total[w.first[1:]] - total[w.first[:-1]]), w.counts())
+    return (mix(w.hashes ^ text ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) % np.uint64(PASSES)).astype(np.int64)
+
+
 def _train(shared, coder, turn: int):
     """Weights trained on one input partition: (part, n, weights)."""
     def local(batches):
@@ -240,8 +250,7 @@ def _train(shared, coder, turn: int):
         for batch in batches:
             for w in _slices(batch.column("text")):
                 classes = coder.value.classes(w.hashes)
-                place = np.arange(len(classes)) - np.repeat(w.first[:-1], w.counts())
-                chosen = mix(w.hashes ^ (place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) % np.uint64(MASKED) == turn
+                chosen = turns(w) == turn
                 if chosen.any():
                     waiting.append((contexts(classes, w.first)[chosen], classes[chosen]))
                 if sum(len(t) for _, t in waiting) >= BATCH:

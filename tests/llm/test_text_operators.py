@@ -299,3 +299,17 @@ def test_pseudo_likelihood_sums_each_words_own_probability(spark):
     unseen = next(f"z{k}" for k in range(10**6) if coder.classes(next(pseudo._slices(pa.array([f"z{k}"]))).hashes)[0] == classes[rare[0]])
     pair = {r.text: r.pseudo.total for r in pseudo.scored(frame(spark, [(1, rare[0]), (2, unseen)]), coder, net).collect()}
     assert pair[rare[0]] > pair[unseen] + 0.5
+
+
+def test_pseudo_likelihood_trains_on_every_position(spark):
+    texts = [f"same words here d{k}" for k in range(200)] + ["one", "a b", "", None]
+    w = next(pseudo._slices(pa.array(texts)))
+    turns = pseudo.turns(w)
+    assert ((turns >= 0) & (turns < pseudo.PASSES)).all()
+    assert {len({int(turns[w.first[k] + at]) for k in range(200)}) for at in range(3)} == {pseudo.PASSES}   # not the same in all texts
+    context = spark.sparkContext
+    known, shared = context.broadcast(pseudo.vocabulary(frame(spark, list(enumerate(texts))))), context.broadcast(pseudo.Network().flat)
+    one = frame(spark, list(enumerate(texts))).select("text").coalesce(1)
+    seen = [r.n for turn in range(pseudo.PASSES) for r in
+            one.mapInArrow(pseudo._train(shared, known, turn), "part long, n long, weights binary").collect()]
+    assert sum(seen) == len(w.hashes)
