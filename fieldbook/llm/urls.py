@@ -12,9 +12,12 @@ characters runs, so their size follows the alphabet and not the row count;
 URLs meet them in one equi-join.  Log ratios are kept as whole millionths, so
 sums do not depend on their order.
 
-Defined cases: NULL and URLs without ``://`` have an empty host and path, fit
-no rule, and are judged by the models as the empty string; with no accepted or
-no rejected rows there is no model, the score is NULL and the verdict
+Rules see host and path; the models see the whole URL with its query and
+fragment, the host in lower case, and the scheme unless it is ``http``.
+
+Defined cases: NULL and URLs without ``://`` have an empty host and path and
+fit no rule; the models judge such a URL by all its characters, and NULL as the
+empty string; with no accepted or no rejected rows there is no model, the score is NULL and the verdict
 ``allow``; repeated rows are judged alike.
 """
 
@@ -48,6 +51,14 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def shown(url: Column) -> Column:
+    """What the models see of a URL: all of it, with nothing for ``http://``."""
+    at, (host, _) = F.instr(url, "://"), host_and_path(url)
+    scheme = F.when(url.startswith("http://"), "").otherwise(F.substr(url, F.lit(1), at + 2))
+    after = F.substr(url, at + 3 + F.length(host))
+    return F.coalesce(F.when(at > 0, F.concat(scheme, host, after)).otherwise(url), F.lit(""))
+
+
 def fitting_rule(host: Column, path: Column, rules) -> Column:
     """(size, rule, verdict) of the longest rule that fits; NULL if none does."""
     found = [F.when(((host == r[:r.index("/")]) | host.endswith("." + r[:r.index("/")])) & path.startswith(r[r.index("/"):]),
@@ -93,10 +104,10 @@ def judged(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url"
     and ``score`` (log-likelihood difference per character)."""
     pages = columns(pages, [key, url]).toDF("page_id", "url")
     host, path = host_and_path(F.col("url"))
-    pages = (pages.select("page_id", F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
+    pages = (pages.select("page_id", shown(F.col("url")).alias("shown"), F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path"))
              .withColumn("fit", fitting_rule(F.col("host"), F.col("path"), rules))
              .select("page_id", "host", "path", F.col("fit.rule").alias("rule"), F.col("fit.verdict").alias("ruled"),
-                     F.concat("host", "path").alias("shown")))
+                     "shown"))
     pages = materialize(pages, "urls")
     texts = pages.groupBy("shown").agg(F.count(F.when(F.col("ruled") == "allow", 1)).alias("yes"),
                                        F.count(F.when(F.col("ruled") == "block", 1)).alias("no"))

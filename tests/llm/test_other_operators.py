@@ -91,6 +91,19 @@ def test_url_model_is_witten_bell(spark):
     assert abs(r.score - total / (len(p) - 4)) < 1e-5 and r.verdict == "block"
 
 
+def test_url_models_see_the_whole_url(spark):
+    rows = [(k, f"https://h{k % 7}.{'org/fr' if k % 2 else 'net'}/?{'good' if k % 2 else 'spam'}={k % 5}") for k in range(60)]
+    odd = ["https://x.com/a?good=1", "https://x.com/a?spam=1", "https://x.com/a#good=1", "x.com/a?good=1", "x.com/a?spam=1", "", None]
+    out = {r.page_id: r for r in urls.judged(spark.createDataFrame(rows + [(100 + k, u) for k, u in enumerate(odd)], "page_id long, url string")).collect()}
+    assert len(out) == len(rows) + len(odd) and not any(out[100 + k].rule for k in range(len(odd)))
+    assert out[100].verdict == "allow" and out[101].verdict == "block"              # they differ in the query only
+    assert out[103].score > out[104].score and (out[103].host, out[103].path) == ("", "")
+    assert out[100].score != out[102].score and out[105].score == out[106].score != out[104].score
+    cases = ["http://A.b/C?D#e", "HTTPS://A.b?x://y", "a/B?c", "x://", None]
+    seen = spark.createDataFrame([(u,) for u in cases], "url string").select("url", urls.shown(F.col("url")).alias("s")).collect()
+    assert {r.url: r.s for r in seen} == dict(zip(cases, ["a.b/C?D#e", "HTTPS://a.b?x://y", "a/B?c", "x://", ""], strict=True))
+
+
 def test_mixing_meets_its_targets(spark):
     rng = random.Random(3)
     rows = [(k, " ".join(rng.choices("abcdefgh", k=rng.randint(1, 40))), rng.choice(["s0"] * 6 + ["s1", "s2", None]),
