@@ -27,8 +27,8 @@ SELECT CAST(CAST(date_trunc('day', ts) AS DATE) AS VARCHAR) AS day, event_type,
        CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
 FROM events GROUP BY 1, 2""")
 def stream_daily_volume(t: Tables) -> DataFrame:
-    """W-01..W-04: events streamed from the landing folder, de-duplicated in
-    the 48 h watermark, aggregated per day and kind, merged per batch."""
+    """W-01..W-04: events streamed from the landing folder, de-duplicated by
+    key, aggregated per day and kind, merged per batch; late events count."""
     events = t.raw("events")
     schema = events.schema
     target, ckpt, log = ingest.stream_paths(_base(t, "daily_volume"))

@@ -4,9 +4,11 @@
   is published as a delta over the table (last writer by a sequence column), so
   a batch writes what it brings and not the whole table; a batch that was
   published before is skipped, so the sink is effectively exactly-once.
-* ``stream_daily_volume`` - daily volume per kind with a watermark; the
-  overlap of re-read windows (48 h lookback) is absorbed by
-  ``dropDuplicatesWithinWatermark`` on the event key.
+* ``stream_daily_volume`` - daily volume per kind; the overlap of re-read
+  windows is absorbed by the event key.  There is no watermark: an event counts
+  in its day however late it lands, so the result depends neither on the order
+  nor on the number of files.  The state keeps every event key (in RocksDB, on
+  the executors' disks) and one sum per day and kind, and grows with the input.
 * every batch has a row in the load log (entity, batch, rows read and written,
   rows that lost against another of their key, status, time).
 """
@@ -21,27 +23,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from fieldbook.constants import LOOKBACK_HOURS
 from fieldbook.operators.dedup import last_writer_wins
 from fieldbook.sources.sinks import is_published, publish_delta
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None = None):
     """State partitions of a stateful stream are fixed when it first starts
-    (then kept in its checkpoint).  The in-watermark dedup state grows with
-    the input, so it is sized to the cluster's parallelism rather than to
-    whatever the session's batch setting happens to be."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
+    (then kept in its checkpoint).  The dedup state grows with the input, so it
+    is sized to the cluster's parallelism rather than to whatever the session's
+    batch setting happens to be, and lies on disk, not in memory."""
+    key, provider = "spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.providerClass"
+    old, old_provider = spark.conf.get(key), spark.conf.get(provider)
     try:
         want = n or spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - remote session: keep the session value
         want = int(old)
     spark.conf.set(key, str(want))
+    spark.conf.set(provider, ROCKSDB)
     try:
         yield
     finally:
         spark.conf.set(key, old)
+        spark.conf.set(provider, old_provider)
 
 
 LOAD_LOG_SCHEMA = ("entity string, batch_id long, rows_read long, rows_written long, rows_rejected long, status string, "
@@ -90,33 +96,24 @@ def stream_upsert(spark: SparkSession, landing: str, schema: StructType, target_
 
 
 def daily_volume(events: DataFrame, ts: str, kind: str, value: str, key: str,
-                 lookback_hours: int = LOOKBACK_HOURS, value_type: str = "decimal(18,2)") -> DataFrame:
-    """Streaming aggregate: events and value per day and kind.  Re-read
-    overlaps are dropped by key inside the watermark; state older than the
-    watermark is released."""
-    wm = f"{int(lookback_hours)} hours"
-    # watermarks need TIMESTAMP; zone-less sources are read as session-zone
-    # (UTC, see session.BASE_CONF) wall-clock time, so day windows match dates
-    if dict(events.dtypes)[ts] == "timestamp_ntz":
-        events = events.withColumn(ts, F.col(ts).cast("timestamp"))
-    e = events.withWatermark(ts, wm).dropDuplicatesWithinWatermark([key])
-    return (e.groupBy(F.window(ts, "1 day").alias("w"), kind)
-             # exact decimal sums: the result does not depend on batch or row order
-             .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col(value).cast(value_type)).alias("value"))
-             .select(F.to_date("w.start").alias("day"), kind, "events", "value"))
+                 value_type: str = "decimal(18,2)") -> DataFrame:
+    """Streaming aggregate: events and value per day and kind, every key once
+    and no event left out for being late."""
+    return (events.dropDuplicates([key]).groupBy(F.to_date(ts).alias("day"), kind)
+            # exact decimal sums: the result does not depend on batch or row order
+            .agg(F.count(F.lit(1)).alias("events"), F.sum(F.col(value).cast(value_type)).alias("value")))
 
 
 def stream_daily_volume(spark: SparkSession, source_dir: str, schema: StructType, target_dir: str,
                         checkpoint_dir: str, glob: str | None = None, log_dir: str | None = None,
                         ts: str = "ts", kind: str = "event_type", value: str = "value",
-                        key: str = "event_id", max_files: int = 64,
-                        lookback_hours: int = LOOKBACK_HOURS) -> StreamingQuery:
-    """W-02 / W-03 / W-04: windowed daily volume in update mode, merged into a
+                        key: str = "event_id", max_files: int = 64) -> StreamingQuery:
+    """W-02 / W-03 / W-04: daily volume in update mode, merged into a
     table keyed by (day, kind) after every micro-batch."""
     r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    agg = daily_volume(r.parquet(source_dir), ts, kind, value, key, lookback_hours)
+    agg = daily_volume(r.parquet(source_dir), ts, kind, value, key)
     merge = _merge_batch(target_dir, ["day", kind], [], log_dir, "daily_volume")
     with state_partitions(spark):
         return (agg.writeStream.outputMode("update").foreachBatch(merge)

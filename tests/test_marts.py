@@ -105,6 +105,23 @@ def test_stream_matches_batch(spark):
     assert spark.read.parquet(log).count() >= 1
 
 
+def test_daily_stream_counts_late_events_of_many_files(spark):
+    from fieldbook.streaming import ingest
+    src, base = tempfile.mkdtemp(prefix="late-src-"), tempfile.mkdtemp(prefix="late-")
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    target, ckpt, log = ingest.stream_paths(base)
+
+    def land(month):                        # five files, and the first event of the other load once more
+        found = [(100 * month + k, datetime(2024, month, 1 + k), "a", 1.5) for k in range(10)] + [(600, datetime(2024, 6, 1), "a", 1.5)] * 2
+        spark.createDataFrame(found, schema).repartition(5).write.mode("append").parquet(src)
+        ingest.run_to_end(ingest.stream_daily_volume(spark, src, spark.createDataFrame([], schema).schema, target, ckpt, log_dir=log, max_files=2))
+
+    for month in (6, 1, 3):                 # newest first, several micro-batches each
+        land(month)
+    got = rows(sinks.read_current(spark, target).select("day", "event_type", "events", F.col("value").cast("double")))
+    assert got == sorted([(date(2024, m, 1 + k), "a", 1, 1.5) for m in (1, 3, 6) for k in range(10)], key=repr)
+
+
 def test_reports_pivot_share_and_enforce(spark):
     import pytest as _pytest
     from fieldbook.plans import metrics, quality, reports
