@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, langid, mixing, packing, pseudo, quality, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, langid, mixing, packing, phrases, pseudo, quality, substring, topk, urls
 from fieldbook.llm.frames import columns, table
 from fieldbook.session import scratch_path
 
@@ -104,3 +104,39 @@ def op4_pseudo_likelihood(spark, sf_dir):
     out = pseudo.scored(docs, *pseudo.fit(docs)).select("doc_id", "pseudo.*")
     return out.select("doc_id", "n_words", F.col("total").alias("log_likelihood"),
                       F.when(F.col("n_words") > 0, F.col("total") / F.col("n_words")).otherwise(0.0).alias("score"))
+
+
+@query
+def op11_phrase_collocations(spark, sf_dir):
+    return phrases.top_collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+spans AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+grams AS (SELECT lang, list_slice(ws, i, i + k - 1) AS g FROM spans, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, g, count(*) AS c FROM grams GROUP BY lang, g),
+cand AS (SELECT * FROM f WHERE len(g) > 1 AND c >= 100),
+cuts AS (SELECT lang, g, c, unnest(range(1, len(g))) AS k FROM cand),
+scored AS (
+  SELECT cuts.lang, cuts.g, cuts.c AS a, cuts.k, x.c AS l, y.c AS r, t.n,
+         (CAST(1000 AS HUGEINT) * cuts.c * t.n) // (CAST(x.c AS HUGEINT) * y.c) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = list_slice(cuts.g, 1, cuts.k)
+  JOIN f y ON y.lang = cuts.lang AND y.g = list_slice(cuts.g, cuts.k + 1, len(cuts.g))
+  JOIN totals t ON t.lang = cuts.lang),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM scored),
+inner_parts AS (
+  SELECT c.lang, c.c, list_slice(c.g, i, i + k - 1) AS g
+  FROM cand c, (SELECT unnest(range(1, 6)) AS i), (SELECT unnest(range(2, 6)) AS k)
+  WHERE k < len(c.g) AND i + k - 1 <= len(c.g)),
+absorbed AS (SELECT DISTINCT p.lang, p.g FROM inner_parts p JOIN cand c ON c.lang = p.lang AND c.g = p.g AND 100 * p.c >= 100 * c.c),
+ranked AS (
+  SELECT s.lang, array_to_string(s.g, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM lowest s LEFT JOIN absorbed b ON b.lang = s.lang AND b.g = s.g WHERE place = 1 AND b.g IS NULL),
+final AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
+SELECT lang, rank, phrase, a, l, r, n, score FROM final WHERE rank <= 2000"""
