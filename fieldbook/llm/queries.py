@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, langid, mixing, packing, phrases, pseudo, quality, substring, topk, urls
+from fieldbook.llm import decontam, jaccard, langid, mixing, packing, phrases, pseudo, quality, substring, topk, trie, urls
 from fieldbook.llm.frames import columns, table
-from fieldbook.session import scratch_path
+from fieldbook.session import materialize, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,57 @@ ranked AS (
   FROM lowest s LEFT JOIN absorbed b ON b.lang = s.lang AND b.g = s.g WHERE place = 1 AND b.g IS NULL),
 final AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM ranked)
 SELECT lang, rank, phrase, a, l, r, n, score FROM final WHERE rank <= 2000"""
+
+
+def rebuilt(turns, first=20, most=4):
+    """Numbered turns and ids of the rebuilt conversations: c begins with the
+    first h turns of conversation ``c - c % first``, h being the CRC-32 of c
+    modulo ``most``, and goes on with its own turns after its first h."""
+    h = F.crc32(F.col("conv_id").cast("string")) % most
+    turns = materialize(turns, "numbered")
+    heads = turns.where((F.col("conv_id") % first == 0) & (F.col("depth") < most)).withColumnRenamed("conv_id", "begun")
+    known = heads.groupBy("begun").agg(F.count(F.lit(1)).alias("n"))
+    convs = turns.select("conv_id").distinct().withColumns({"h": h, "begun": F.col("conv_id") - F.col("conv_id") % first})
+    convs = materialize(convs.join(known, "begun", "left").withColumn("lead", F.least("h", F.coalesce("n", F.lit(0)))).drop("n"), "rebuilt")
+    own = turns.where(F.col("depth") > h).join(convs, "conv_id").withColumn("depth", F.col("depth") - F.col("h") + F.col("lead"))
+    begin = convs.join(heads, "begun").where("depth <= lead")
+    return own.select(*turns.columns).unionByName(begin.select(*turns.columns)), convs.select("conv_id")
+
+
+@query
+def op13_conversation_trie(spark, sf_dir):
+    return trie.prefix_trie(*rebuilt(trie.numbered(table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_conversation_trie"] = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS s FROM t GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], list_transform(range(8), lambda i: CAST(i AS BIGINT))),
+        lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))), 4294967295) % 4 AS h
+  FROM own),
+built AS (
+  SELECT o.conv_id, list_concat(list_slice(coalesce(p.s, []), 1, h), list_slice(o.s, h + 1, len(o.s))) AS s
+  FROM own o JOIN crc USING (conv_id) LEFT JOIN own p ON p.conv_id = o.conv_id - o.conv_id % 20),
+member AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS depth FROM built),
+named AS (SELECT conv_id, depth, len(s) = depth AS ends, list_slice(s, 1, depth) AS node, CASE WHEN depth > 0 THEN list_slice(s, 1, depth - 1) END AS parent FROM member),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends_sha256
+  FROM named GROUP BY node),
+fan AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+own_totals AS (
+  SELECT n.node, n.depth, n.n_convs, coalesce(f.n_children, 0) AS n_children, CASE WHEN f.node IS NULL THEN 1 ELSE 0 END AS leaf,
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '[^ 	-]+')) END AS saved
+  FROM nodes n LEFT JOIN fan f ON f.node = n.node),
+below AS (SELECT node, leaf, saved, unnest(range(depth + 1)) AS d FROM own_totals),
+upward AS (SELECT list_slice(node, 1, d) AS node, leaf, saved FROM below),
+totals AS (SELECT node, CAST(sum(leaf) AS BIGINT) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM upward GROUP BY node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(n.n_convs AS BIGINT) AS n_convs,
+       CAST(o.n_children AS BIGINT) AS n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM nodes n JOIN own_totals o ON o.node = n.node JOIN totals t ON t.node = n.node LEFT JOIN nodes p ON p.node = n.parent"""
