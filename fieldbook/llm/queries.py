@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbook.llm import decontam, jaccard, langid, mixing, packing, phrases, pseudo, quality, substring, topk, trie, urls
+from fieldbook.llm import bestfit, decontam, jaccard, langid, mixing, packing, phrases, pseudo, quality, substring, topk, trie, urls
 from fieldbook.llm.frames import columns, table
 from fieldbook.session import materialize, scratch_path
 
@@ -142,6 +142,13 @@ final AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a, l, r, n, score FROM final WHERE rank <= 2000"""
 
 
+@query
+def op12_best_fit_packing(spark, sf_dir):
+    cut = bestfit.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return bestfit.packed(cut.drop("ids")).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+                                                  "ids_crc32", "sequence_id", "offset")
+
+
 def rebuilt(turns, first=20, most=4):
     """Numbered turns and ids of the rebuilt conversations: c begins with the
     first h turns of conversation ``c - c % first``, h being the CRC-32 of c
@@ -186,7 +193,8 @@ nodes AS (
 fan AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
 own_totals AS (
   SELECT n.node, n.depth, n.n_convs, coalesce(f.n_children, 0) AS n_children, CASE WHEN f.node IS NULL THEN 1 ELSE 0 END AS leaf,
-         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '[^ 	-]+')) END AS saved
+         CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(n.node[n.depth].text, '[^ 	-
+]+')) END AS saved
   FROM nodes n LEFT JOIN fan f ON f.node = n.node),
 below AS (SELECT node, leaf, saved, unnest(range(depth + 1)) AS d FROM own_totals),
 upward AS (SELECT list_slice(node, 1, d) AS node, leaf, saved FROM below),
