@@ -48,7 +48,7 @@ CAPACITY = 2048
 SMALL = 3                 # a piece of at most capacity // SMALL tokens is small
 GROUPS = 256
 MOST_RUNS = 1 << 20       # rows of a plan; far above what CAPACITY lengths can need
-EPSILON, NEAR = 1e-9, 1e-4
+EPSILON, NEAR, STEPS = 1e-9, 1e-4, 20
 
 _PIECES = ("doc_id long, piece int, start long, length int, ids binary, ids_crc32 long, part int, place long")
 _WORKER: dict = {}
@@ -94,28 +94,29 @@ def _best_configuration(sizes: np.ndarray, worth: np.ndarray, capacity: int) ->
 
 
 def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
-    """Whole multiples of the configurations of the cutting-stock programme's
-    optimum to within ``NEAR`` (column generation, revised simplex); no demand
-    is exceeded."""
+    """Whole multiples of the configurations of a near-optimal solution of the
+    cutting-stock programme (column generation, revised simplex): it stops when
+    a better one would save less than ``NEAR`` of the sequences or half a
+    sequence, or after ``STEPS`` exchanges a size.  No demand is exceeded."""
     m = len(sizes)
     basis = np.diag(np.maximum(1, capacity // sizes)).astype(float)
-    inverse, amount = np.diag(1 / basis.diagonal()), demand / basis.diagonal()
-    for step in range(1, 200 * m):
+    # demands a little apart: equal ones could go round in circles
+    inverse, amount = np.diag(1 / basis.diagonal()), demand * (1 + np.arange(m) * 1e-7) / basis.diagonal()
+    for _ in range(STEPS * m):
         duals = inverse.sum(axis=0)
         column = _best_configuration(sizes, np.maximum(duals, 0), capacity)
-        if column @ duals <= 1 + NEAR:              # then no solution is better by more than that factor
+        # no solution is better than this one by more than the factor worth
+        worth = float((column * np.maximum(duals, 0)).sum())
+        if amount.sum() * (1 - 1 / max(worth, 1)) <= max(0.5, NEAR * amount.sum()):
             break
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)      # no threads of a matrix library on the driver
         ratio = np.where(direction > EPSILON, amount / np.where(direction > EPSILON, direction, 1), np.inf)
         out = int(ratio.argmin())
         amount = np.maximum(amount - ratio[out] * direction, 0)
         amount[out], basis[:, out] = ratio[out], column
-        if step % 100:
-            row = inverse[out] / direction[out]
-            inverse -= np.outer(direction, row)
-            inverse[out] = row
-        else:
-            inverse = np.linalg.inv(basis)          # rounding errors do not add up
+        row = inverse[out] / direction[out]
+        inverse -= direction[:, None] * row
+        inverse[out] = row
     left, used = demand.astype(np.int64).copy(), []
     for j in np.argsort(-amount):
         column = basis[:, j].astype(np.int64)
