@@ -72,29 +72,34 @@ def _names(turns: DataFrame) -> DataFrame:
 
 
 def _cut(rows: DataFrame, level: int) -> DataFrame:
-    """One round: pieces of 2**level depths become pieces of half of that."""
-    piece = F.shiftright(F.col("depth") - 1, level)
-    rows = rows.withColumn("piece", piece)
-    lower = F.shiftright(F.col("depth") - 1, level - 1) % 2 == 1
-    upper, below = rows.where(~lower), rows.where(lower)
+    """One round: pieces of 2**level depths become pieces of half of that.
+    Sequences that end above their piece's cut wait for a later round."""
+    rows = rows.withColumn("piece", F.shiftright(F.col("depth") - 1, level))
+    rows = rows.withColumn("at", F.shiftleft("piece", level) + (1 << level - 1))
+    longer, above = F.col("last") > F.col("at"), F.col("depth") <= F.col("at")
+    upper, below = rows.where(longer & above), rows.where(longer & ~above)
     cut = (upper.groupBy("piece", "seq", "r1", "r2", "weight").agg(F.bit_xor("h1").alias("x1"), F.bit_xor("h2").alias("x2"))
            .select("piece", "seq", F.col("r1").bitwiseXOR(F.col("x1")).alias("n1"),
                    F.col("r2").bitwiseXOR(F.col("x2")).alias("n2"), "weight"))
     kept = cut.groupBy("piece", *_NAME).agg(F.min("seq").alias("seq"), F.sum("weight").alias("weight")).drop(*_NAME)
-    top = upper.drop("weight").join(kept, ["piece", "seq"])
+    top = upper.drop("weight").join(kept, ["piece", "seq"]).withColumn("last", F.col("at"))
     hung = below.drop("r1", "r2").join(cut.drop("weight"), ["piece", "seq"])
-    top = top.withColumns({f"a{level}": F.lit(None).cast("long"), f"b{level}": F.lit(None).cast("long")})
+    none = {f"a{level}": F.lit(None).cast("long"), f"b{level}": F.lit(None).cast("long")}
     hung = hung.withColumns({f"a{level}": F.col("n1"), f"b{level}": F.col("n2")}).withColumnsRenamed({"n1": "r1", "n2": "r2"})
-    return top.unionByName(hung).drop("piece")
+    return top.withColumns(none).unionByName(hung).unionByName(rows.where(~longer).withColumns(none)).drop("piece", "at")
 
 
 def _graft(nodes: DataFrame, level: int) -> DataFrame:
-    """What the lower forests of one round hold is added to the nodes they hang on."""
+    """What the lower forests of one round hold is added to the nodes they
+    hang on, which all stand at the round's cuts."""
     held = (nodes.where(f"a{level} is not null").groupBy(F.col(f"a{level}").alias("n1"), F.col(f"b{level}").alias("n2"))
             .agg(F.sum("n_leaves").alias("more_leaves"), F.sum("saved").alias("more_saved")))
-    return (nodes.drop(f"a{level}", f"b{level}").join(held, _NAME, "left")
-            .withColumn("n_leaves", F.col("n_leaves") + F.coalesce("more_leaves", F.lit(0)))
-            .withColumn("saved", F.col("saved") + F.coalesce("more_saved", F.lit(0))).drop("more_leaves", "more_saved"))
+    nodes = nodes.drop(f"a{level}", f"b{level}")
+    at_cut = F.col("depth") % (1 << level) == 1 << level - 1
+    grown = nodes.where(at_cut).join(held, _NAME, "left").withColumns({
+        "n_leaves": F.col("n_leaves") + F.coalesce("more_leaves", F.lit(0)),
+        "saved": F.col("saved") + F.coalesce("more_saved", F.lit(0))})
+    return nodes.where(~at_cut).unionByName(grown.drop("more_leaves", "more_saved"))
 
 
 def _pieces(batches):
@@ -157,7 +162,8 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     least, n_convs, longest = ends.agg(F.min("conv_id"), F.count(F.lit(1)), F.max("length")).first()
     if not n_convs:
         return spark.createDataFrame([], _NODE)
-    classes = ends.groupBy(*_NAME).agg(F.min("conv_id").alias("seq"), F.count(F.lit(1)).alias("weight")).drop(*_NAME)
+    classes = ends.groupBy(*_NAME, F.col("length").alias("last")).agg(
+        F.min("conv_id").alias("seq"), F.count(F.lit(1)).alias("weight")).drop(*_NAME)
     zero = F.lit(0).cast("long")
     rows = materialize(seq.join(classes, "seq").withColumns({"r1": zero, "r2": zero}), "pieces")
     levels = range(max(longest - 1, 0).bit_length(), 0, -1)
