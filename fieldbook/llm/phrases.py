@@ -36,13 +36,14 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.exchange import lookup, pack, unpack
-from fieldbook.llm.words import LOWER_ASCII, WordSlice, mix, row_slices, text_buffers
+from fieldbook.llm.words import LOWER_ASCII, SAME_BYTES, WordSlice, mix, row_slices, text_buffers
 from fieldbook.session import materialize
 
 LEAST, LONGEST, TOP = 100, 5, 2000
@@ -59,24 +60,25 @@ WORD_BYTES = ~BREAKS
 WORD_BYTES[[9, 32]] = False
 
 _CHUNK, _TOTAL, _WORD = -1, -2, -3             # rows of a level's table that are no exchange rows
-_STATE = ("bucket int, chunk long, codes binary, counts binary, seq binary, words binary, sizes binary, "
-          "lang string, n long")
+_STATE = "bucket int, chunk long, codes binary, counts binary, seq binary, words binary, lang string, n long"
 _TOLD = "chunk long, codes binary, ids binary, counts binary, first binary"
 _STATE_ROWS = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("codes", pa.binary()), ("counts", pa.binary()),
-                         ("seq", pa.binary()), ("words", pa.binary()), ("sizes", pa.binary()), ("lang", pa.string()),
-                         ("n", pa.int64())])
+                         ("seq", pa.binary()), ("words", pa.binary()), ("lang", pa.string()), ("n", pa.int64())])
 _TOLD_ROWS = pa.schema([("chunk", pa.int64()), ("codes", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary()),
                         ("first", pa.binary())])
 
 
 def _squeeze(values: np.ndarray) -> bytes:
-    """Whole numbers from 0 in the narrowest type, compressed."""
+    """Whole numbers from 0 in the narrowest type, byte plane by byte plane, compressed."""
     kind = np.min_scalar_type(int(values.max(initial=0)))
-    return kind.char.encode() + zstandard.compress(values.astype(kind).tobytes(), 1)
+    planes = values.astype(kind).view(np.uint8).reshape(-1, kind.itemsize).T
+    return kind.char.encode() + zstandard.compress(planes.tobytes(), 1)
 
 
 def _loose(payload: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(payload[1:]), payload[:1].decode()).astype(np.int64)
+    kind = np.dtype(payload[:1].decode())
+    planes = np.frombuffer(zstandard.decompress(payload[1:]), np.uint8).reshape(kind.itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel().astype(np.int64)
 
 
 def _codes(payload: bytes) -> np.ndarray:
@@ -132,7 +134,7 @@ def _striped(chunk: int, codes: np.ndarray, counts: np.ndarray, buckets: int) ->
     bucket = codes % buckets
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    return [(b, chunk, _packed(codes[own]), _squeeze(counts[own]), None, None, None, None, None)
+    return [(b, chunk, _packed(codes[own]), _squeeze(counts[own]), None, None, None, None)
             for b in range(buckets) if len(own := order[edges[b]:edges[b + 1]])]
 
 
@@ -155,9 +157,8 @@ class _Chunk:
 
     def add(self, words: WordSlice, langs: list[str]) -> None:
         own = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int64)
-        salt = mix(np.array([hash_of(x) for x in langs], np.uint64))
         per_row, n = words.counts(), len(words.starts)
-        hashes = (mix(words.hashes + np.repeat(salt, per_row)) >> np.uint64(1)).astype(np.int64)
+        hashes = _of_language(words.hashes, np.repeat(_salts(langs), per_row))
         cuts = np.cumsum(BREAKS[words.data]) if len(words.data) else np.zeros(0, np.int64)
         piece = cuts[words.starts] if n else np.zeros(0, np.int64)
         gap = np.ones(n, bool)                       # before each word that begins a piece or a text
@@ -181,23 +182,30 @@ class _Chunk:
             counts[own] += np.bincount(which, minlength=len(distinct))
         sizes = np.concatenate([p[4] for p in self.parts])
         data = np.concatenate([p[3] for p in self.parts])
-        words = _gather(data, (np.cumsum(sizes) - sizes)[at], sizes[at])
+        # words by falling frequency, so a sequence is mostly small numbers
+        order = np.argsort(-counts, kind="stable")
+        number = np.empty(len(codes) + 1, np.int64)
+        number[0], number[order + 1] = 0, np.arange(1, len(codes) + 1)
+        at = at[order]
+        words = np.full(int(sizes[at].sum()) + len(at), ord(" "), np.uint8)
+        words[np.arange(len(words) - len(at)) + np.repeat(np.arange(len(at)), sizes[at])] = _gather(
+            data, (np.cumsum(sizes) - sizes)[at], sizes[at])
         totals = np.zeros(len(self.langs), np.int64)
         for p in self.parts:
             totals[:len(p[6])] += p[6]
-        out = [(_TOTAL, None, None, None, None, None, None, lang, int(n)) for lang, n in zip(self.langs, totals, strict=True)]
-        out.append((_CHUNK, chunk, _packed(codes), _squeeze(np.concatenate([p[5] for p in self.parts])[at]),
-                    _squeeze(np.concatenate(seq)), zstandard.compress(words.tobytes(), 1), _squeeze(sizes[at]),
-                    json.dumps(list(self.langs)), None))
+        out = [(_TOTAL, None, None, None, None, None, lang, int(n)) for lang, n in zip(self.langs, totals, strict=True)]
+        out.append((_CHUNK, chunk, None, _squeeze(np.concatenate([p[5] for p in self.parts])[at]),
+                    _squeeze(number[np.concatenate(seq)]), zstandard.compress(words.tobytes(), 1), json.dumps(list(self.langs)), None))
         return out + _striped(chunk, codes, counts, buckets)
 
 
-def hash_of(name: str) -> int:
-    """64-bit hash of a language's name."""
-    h = 0xCBF29CE484222325
-    for b in name.encode():
-        h = (h ^ b) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return h
+def _salts(langs: list[str]) -> np.ndarray:
+    """64-bit hashes of the names of languages."""
+    return np.array([xxhash.xxh64_intdigest(x) for x in langs], np.uint64)
+
+
+def _of_language(hashes: np.ndarray, salts: np.ndarray) -> np.ndarray:
+    return (mix(hashes + salts) >> np.uint64(1)).astype(np.int64)
 
 
 def _read(buckets: int):
@@ -256,16 +264,16 @@ def _renumber(buckets: int, level: int):
         codes, ids, counts, first = _answers(told)
         seq, out = _loose(row["seq"]) - 1, []
         if level == 1:
-            own = _codes(row["codes"])
+            langs, names = _loose(row["counts"]), json.loads(row["lang"])
+            offsets, data = text_buffers(pa.array([zstandard.decompress(row["words"])], pa.binary()))
+            words = WordSlice(offsets, data, 0, 1, WORD_BYTES, SAME_BYTES)
+            own = _of_language(words.hashes, _salts(names)[langs])
             at, known = lookup(codes, own)
             named = np.where(known, ids[at], -1) if len(ids) else np.full(len(own), -1)
             ranked = np.where(seq >= 0, named[seq], -1) if len(own) else seq
-            sizes, langs = _loose(row["sizes"]), _loose(row["counts"])
-            data, ends, names = zstandard.decompress(row["words"]), np.cumsum(sizes), json.loads(row["lang"])
             for i in np.flatnonzero(known):
                 if first[at[i]]:
-                    out.append((_WORD, int(ids[at[i]]), None, None, None, data[ends[i] - sizes[i]:ends[i]], None,
-                                names[langs[i]], int(counts[at[i]])))
+                    out.append((_WORD, int(ids[at[i]]), None, None, None, words.word(i), names[langs[i]], int(counts[at[i]])))
         else:
             both = (seq[:-1] >= 0) & (seq[1:] >= 0)
             ranked = np.full(max(len(seq) - 1, 0), -1)
@@ -273,7 +281,7 @@ def _renumber(buckets: int, level: int):
             ranked[both] = np.where(known, ids[at], -1) if len(ids) else -1
         ranked = ranked[(ranked >= 0) | np.r_[False, ranked[:-1] >= 0]]          # one gap is enough
         both = (ranked[:-1] >= 0) & (ranked[1:] >= 0)
-        out.append((_CHUNK, row["chunk"], None, None, _squeeze(ranked + 1), None, None, None, None))
+        out.append((_CHUNK, row["chunk"], None, None, _squeeze(ranked + 1), None, None, None))
         out += _striped(row["chunk"], *tile_counts(pair_codes(ranked[:-1][both], ranked[1:][both])), buckets)
         return pa.Table.from_batches([_state(out)])
     return apply
