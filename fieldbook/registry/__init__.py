@@ -9,5 +9,5 @@ Spark plan built from the library plus an independent SQL oracle.
 def load_all() -> None:
     """Import every query module (registration happens at import)."""
     import importlib
-    for m in ("work", "harvest", "movement", "ingest", "model", "checks", "streams", "marts"):
+    for m in ("work", "harvest", "movement", "ingest", "model", "checks", "streams", "marts", "entities"):
         importlib.import_module(f"fieldbook.registry.{m}")

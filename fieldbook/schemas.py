@@ -1,9 +1,8 @@
-"""Declared schemas of the raw entities and their source -> target mappings.
+"""Declared schemas of the raw entities, their keys and foreign keys.
 
 The ERP source has no usable metadata endpoint, so every entity is read with
-a declared schema (no inference) restricted to the columns listed here
-(source column pruning, ``$select``).  ``ENTITIES`` maps each raw table to its
-source entity columns; ``sources.pages.project_entity`` applies a mapping.
+a declared schema (no inference); ``sources.entities`` maps source fields to
+these columns.
 """
 
 from __future__ import annotations
@@ -90,34 +89,6 @@ RAW = {
                              ("master", S), ("shift_code", S), ("reason_group", S)),
 }
 
-# --- source entities: raw table -> {target column: source field} ------------
-# (the source field names follow the ERP's OData naming; table parts are
-#  arrays of structs exploded by ``sources.pages.explode_lines``)
-_CAT = {"_id": "Ref_Key", "_deletionmark": "DeletionMark", "description": "Description"}
-ENTITIES = {
-    "units": {**_CAT, "code": "Code", "weight_kg": "Weight", "volume_l": "Volume"},
-    "fields": {**_CAT, "parent_id": "Parent_Key", "farm_id": "Organization_Key"},
-    "crops": {**_CAT, "parent_id": "Parent_Key", "crop_kind": "Kind"},
-    "fuel_cards": {**_CAT, "card_number": "Code", "owner_id": "Owner_Key"},
-    "employees": {**_CAT, "individual_id": "Individual_Key"},
-    "company_structure": {**_CAT, "parent_id": "Parent_Key", "node_type": "NodeType"},
-    "equipment": {**_CAT, "model_id": "Model_Key", "reg_number": "RegNumber", "equipment_type": "Type"},
-    "tech_operations": {**_CAT, "parent_id": "Parent_Key", "operation_kind": "Code"},
-    "movement": {"_id": "Ref_Key", "_deletionmark": "DeletionMark", "_posted": "Posted", "doc_number": "Number",
-                 "doc_date": "Date", "operaciya": "Operation", "sender_id": "Sender_Key",
-                 "recipient_id": "Recipient_Key", "cost_object_id": "CostObject_Key"},
-    "weighing": {"_id": "Ref_Key", "_deletionmark": "DeletionMark", "_posted": "Posted", "doc_number": "Number",
-                 "doc_date": "Date", "vid_vzveshivaniya": "Kind", "otkuda_id": "From_Key", "kuda_id": "To_Key",
-                 "nomenklatura_id": "Item_Key", "ves_tary_kg": "Tare", "ves_brutto_kg": "Gross", "ves_netto_kg": "Net"},
-    # field history: four table parts of the field catalog read as entity sets
-    "field_history": {"field_id": "Ref_Key", "line_number": "LineNumber", "year": "Year", "crop": "Crop_Key",
-                      "total_area_ha": "Area", "sown_area_ha": "SownArea", "contour_area_ha": "ContourArea",
-                      "valid_from": "ValidFrom", "valid_to": "ValidTo", "unused": "NotUsed"},
-    "production_stages": {"_id": "Ref_Key", "doc_number": "Number", "doc_date": "Date",
-                          "organization_id": "Organization_Key", "podrazdelenie_text": "Department",
-                          "status": "Status"},
-}
-
 KEYS = {name: (["doc_id", "line_number"] if name.endswith("_lines") or name == "weighing_slips"
                else ["field_id", "line_number"] if name == "field_history" else ["_id"])
         for name in RAW if not name.startswith("sheet_")}
@@ -130,13 +101,3 @@ FOREIGN_KEYS = [
     ("writeoff_lines", "doc_id", "writeoff", "_id"),
     ("fuel_summary_lines", "doc_id", "fuel_summary", "_id"),
 ]
-
-
-def page_schema(entity: str, source_types: dict | None = None) -> StructType:
-    """Schema of one source document of ``entity`` limited to the mapped
-    fields (the read prunes every other field)."""
-    mapping = ENTITIES[entity]
-    target = RAW[entity]
-    types = {f.name: f.dataType for f in target.fields}
-    return StructType([StructField(src, (source_types or {}).get(src, types[tgt]), True)
-                       for tgt, src in mapping.items()])

@@ -77,20 +77,6 @@ def test_versioned_publish(spark):
     assert sinks.read_current(spark, base).count() == 5
 
 
-def test_entity_schema_prunes_source_columns(spark):
-    d = tempfile.mkdtemp(prefix="ent-")
-    doc = {"Ref_Key": "A", "DeletionMark": False, "Posted": True, "Number": "1", "Date": "2025-09-01T10:00:00",
-           "Kind": "СПоля", "From_Key": "s1", "To_Key": "w", "Item_Key": "i", "Tare": 1.5, "Gross": 11.5,
-           "Net": 10.0, "Unrelated": "x"}
-    with open(os.path.join(d, "p.json"), "w", encoding="utf-8") as f:
-        json.dump({"value": [doc]}, f, ensure_ascii=False)
-    raw = pages.read_pages(spark, d, schemas.page_schema("weighing"))
-    w = pages.project_entity(raw, schemas.ENTITIES["weighing"])
-    r = w.first()
-    assert "Unrelated" not in raw.columns and r._id == "A" and r.vid_vzveshivaniya == "СПоля"
-    assert float(r.ves_netto_kg) == 10.0 and r.doc_date == datetime(2025, 9, 1, 10, 0)
-
-
 def test_stream_matches_batch(spark):
     from fieldbook.streaming import ingest
     src = tempfile.mkdtemp(prefix="stream-src-")
