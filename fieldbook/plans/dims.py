@@ -12,9 +12,9 @@ from fieldbook.constants import (
 from fieldbook.functions.calendar import calendar_columns
 from fieldbook.operators.dedup import latest_per_key
 from fieldbook.operators.indexing import dense_keys
-from fieldbook.operators.joins import anti_join
+from fieldbook.operators.joins import anti_join, null_safe_join
 from fieldbook.operators.predicates import dim_not_deleted
-from fieldbook.operators.scd2 import scd2_versions
+from fieldbook.operators.scd2 import Scd2, scd2_load, scd2_versions
 from fieldbook.plans.facts import crop_attributes
 
 
@@ -67,17 +67,24 @@ def missing_nomenclature(enriched: DataFrame, dim_nom: DataFrame, tiebreak: list
                     F.lit(True).alias("is_active"))
 
 
+FIELD_ATTRS = ["field_name", "department", "area_ha", "organization", "is_active"]
+
+
 def dim_field_versions(snapshots: DataFrame, tiebreak: list[str]) -> DataFrame:
-    """SCD2 field dimension from dated catalog snapshots."""
-    return scd2_versions(snapshots, "field_code_1c", "snapshot_date",
-                         ["field_name", "department", "area_ha"], tiebreak)
+    """SCD2 field dimension from all dated catalog snapshots."""
+    return scd2_versions(snapshots, "field_code_1c", "snapshot_date", FIELD_ATTRS, tiebreak)
+
+
+def load_dim_field(loaded: Scd2 | None, snapshots: DataFrame, tiebreak: list[str]) -> Scd2:
+    """One load of the field dimension: closes, splits and inserts versions."""
+    return scd2_load(loaded, snapshots, "field_code_1c", "snapshot_date", FIELD_ATTRS, tiebreak, "field_sk")
 
 
 def simple_dim(catalog: DataFrame, mapping: dict[str, str], natural: list[str], sk: str) -> DataFrame:
-    """Catalog view (deleted rows dropped) with dense surrogate keys."""
+    """Catalog view (deleted rows dropped) with dense surrogate keys; a NULL
+    part of the natural key is a value like any other."""
     v = dim_not_deleted(catalog).select(*[F.col(s).alias(t) for t, s in mapping.items()])
-    keys = dense_keys(v, natural, sk)
-    return v.join(keys, natural)
+    return null_safe_join(v, dense_keys(v, natural, sk), natural, "inner")
 
 
 def field_sections(enriched: DataFrame) -> DataFrame:

@@ -15,11 +15,12 @@ from fieldbook.functions.labels import (
 )
 from fieldbook.functions.movement import movement_type, quantity_sign
 from fieldbook.functions.parsers import parse_item_name, parse_party_name
-from fieldbook.functions.ratios import norm_completion_pct
+from fieldbook.functions.ratios import norm_completion_pct, yield_t_ha
 from fieldbook.operators.balance import running_balance
 from fieldbook.operators.joins import lookup_join, null_safe_join, self_parent_join
 from fieldbook.operators.predicates import positive, strict_active, tolerant_active
 from fieldbook.operators.upsert import append_absent
+from fieldbook.sources.sinks import stamp
 
 
 def header_lines(headers: DataFrame, lines: DataFrame, header_cols: list[str], line_cols: list[str]) -> DataFrame:
@@ -222,6 +223,44 @@ def harvest_fact_rows(enriched: DataFrame, dim_field: DataFrame, dim_nom: DataFr
                     F.col("src_doc_id").cast("string").alias("src_doc_ref"))
 
 
+HARVEST_KEYS = ["doc_date", "pole_id", "nomenklatura_id", "variety", "color", "reproduction", "irrigation",
+                "uchastok_nomer", "kolichestvo_kg", "src_doc_id"]
+
+
+def route_harvest(rows: DataFrame, dim_field: DataFrame, dim_nom: DataFrame, dim_crop: DataFrame) -> DataFrame:
+    """Every harvest row once, keyed to the dimensions as far as they go, with
+    all ``reasons`` why it is no fact row (none: it is one).  ``rows`` are
+    enriched rows, or rejects of an earlier run: those keep what the lookups
+    need, so a dimension row that arrives late turns them into facts.  The yield
+    is NULL without an area (the field version's, if it has one)."""
+    h = rows if "variety" in rows.columns else crop_attributes(rows)
+    h = h.select(*HARVEST_KEYS, F.col("pole_id").cast("string").alias("__pf"), F.col("nomenklatura_id").cast("string").alias("__nf"))
+    area = F.col("area_ha") if "area_ha" in dim_field.columns else F.lit(None)
+    f = dim_field.where(F.col("is_current")).select(F.col("field_code_1c").alias("__f"), "field_sk", area.cast("decimal(10,2)").alias("area_ha"))
+    n = dim_nom.select(F.col("ref_key_1c").alias("__n"), "nom_sk")
+    h = lookup_join(lookup_join(h, f, [("__pf", "__f")]), n, [("__nf", "__n")]).drop("__pf", "__nf")
+    h = null_safe_join(h, dim_crop.select("variety", "color", "reproduction", "irrigation", "crop_sk"),
+                       ["variety", "color", "reproduction", "irrigation"], "left", broadcast=None)
+    why = {"no date": F.col("doc_date").isNull(), "no field": F.col("pole_id").isNull(),
+           "unknown field": F.col("pole_id").isNotNull() & F.col("field_sk").isNull(), "no item": F.col("nomenklatura_id").isNull(),
+           "unknown item": F.col("nomenklatura_id").isNotNull() & F.col("nom_sk").isNull(), "unknown crop": F.col("crop_sk").isNull()}
+    weight = F.col("kolichestvo_kg").cast("decimal(18,2)")
+    return h.select(*HARVEST_KEYS, F.to_date("doc_date").alias("date_day"), "field_sk", "crop_sk", "nom_sk",
+                    F.col("uchastok_nomer").alias("plot_no"), "area_ha", weight.alias("weight_kg"),
+                    yield_t_ha(weight, F.col("area_ha")).alias("yield_t_ha"), F.col("src_doc_id").cast("string").alias("src_doc_ref"),
+                    F.array_compact(F.array(*[F.when(c, F.lit(w)) for w, c in why.items()])).alias("reasons"))
+
+
+def harvest_facts(routed: DataFrame) -> DataFrame:
+    """The fact rows of routed rows, with the load stamp."""
+    return stamp(routed.where(F.size("reasons") == 0).drop("reasons", *HARVEST_KEYS))
+
+
+def harvest_rejects(routed: DataFrame) -> DataFrame:
+    """The rejected rows with their reasons, fit to be routed again."""
+    return routed.where(F.size("reasons") > 0).select(*HARVEST_KEYS, "reasons")
+
+
 def append_harvest(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """Insert-if-absent by source document: already loaded documents are not
     changed by corrected re-loads."""

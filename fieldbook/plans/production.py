@@ -12,11 +12,11 @@ from fieldbook.operators.joins import lookup_join, null_safe_join
 
 
 def dim_shift(shifts: DataFrame, downtime: DataFrame | None = None) -> DataFrame:
-    """(master, shift code) pairs of both sheets with dense keys."""
+    """(master, shift code) pairs of both sheets with dense keys; a shift whose
+    master is not noted is one of its own."""
     pairs = shifts.select("master", "shift_code")
     if downtime is not None:
         pairs = pairs.unionByName(downtime.select("master", "shift_code"))
-    pairs = pairs.where(F.col("master").isNotNull())
     return dense_keys(pairs, ["master", "shift_code"], "shift_sk")
 
 
@@ -52,11 +52,11 @@ def downtime_fact(downtime: DataFrame, shift_dim: DataFrame, reason_dim: DataFra
 
 def field_history_mart(history: DataFrame) -> DataFrame:
     """Field areas and crops per year: rows marked unused are dropped; year-0
-    rows (no explicit year) take the calendar years of their validity."""
-    h = history.where(~F.coalesce(F.col("unused"), F.lit(False)))
-    dated = h.where(F.col("year") != 0).select("field_id", "year", "crop", "sown_area_ha", "total_area_ha",
-                                                "line_number")
-    open_rows = h.where((F.col("year") == 0) & F.col("valid_from").isNotNull() & F.col("valid_to").isNotNull())
-    spread = open_rows.select("field_id", F.explode(F.sequence(F.year("valid_from"), F.year("valid_to"))).alias("year"),
-                              "crop", "sown_area_ha", "total_area_ha", "line_number")
-    return dated.unionByName(spread)
+    rows (no explicit year, or none at all) take the calendar years of their
+    validity, and those still in force last to the last year of the history."""
+    h = history.where(~F.coalesce(F.col("unused"), F.lit(False))).withColumn("year", F.nullif("year", F.lit(0)))
+    last = h.agg(F.max(F.greatest("year", F.year("valid_from"), F.year("valid_to")))).scalar()
+    until = F.greatest(F.coalesce(F.year("valid_to"), last), F.year("valid_from"))
+    years = F.when(F.col("year").isNotNull(), F.array(F.col("year").cast("int"))).when(
+        F.col("valid_from").isNotNull(), F.sequence(F.year("valid_from"), until))
+    return h.select("field_id", F.explode(years).alias("year"), "crop", "sown_area_ha", "total_area_ha", "line_number")

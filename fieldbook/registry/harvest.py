@@ -370,6 +370,43 @@ def harvest_fact(t: Tables) -> DataFrame:
     return facts.append_harvest(existing, rows)
 
 
+@query("harvest_fact_routed", H_SD, hq(EXISTING_CROP_SQL + """,
+field_no AS (SELECT _id, row_number() OVER (ORDER BY _id) AS field_sk FROM (SELECT DISTINCT _id FROM sd_fields)),
+item_ids AS (SELECT CAST(item AS VARCHAR) AS id FROM item WHERE listed
+             UNION SELECT CAST(nomenklatura_id AS VARCHAR) FROM enr WHERE nomenklatura_id IS NOT NULL),
+item_no AS (SELECT id, row_number() OVER (ORDER BY id) AS nom_sk FROM item_ids),
+wide AS (
+  SELECT c.*, f.field_sk, n.nom_sk, k.crop_sk, CASE WHEN f.field_sk % 5 <> 0 THEN f.field_sk END AS ha
+  FROM crops c LEFT JOIN crop_dim k ON k.t = [variety, color, reproduction, irrigation]
+  LEFT JOIN item_no n ON n.id = CAST(c.nomenklatura_id AS VARCHAR) LEFT JOIN field_no f ON f._id = c.pole_id)
+SELECT src_doc_id AS src_doc_ref, CAST(CAST(doc_date AS DATE) AS VARCHAR) AS date_day, kolichestvo_kg::DOUBLE AS weight_kg,
+       CASE WHEN field_sk IS NULL OR nom_sk IS NULL THEN 'reject' WHEN field_sk % 2 = 0 THEN 'late fact' ELSE 'fact' END AS state,
+       CASE WHEN field_sk IS NOT NULL AND nom_sk IS NOT NULL THEN field_sk END AS field_sk,
+       CASE WHEN field_sk IS NOT NULL AND nom_sk IS NOT NULL THEN crop_sk END AS crop_sk,
+       CASE WHEN field_sk IS NOT NULL AND nom_sk IS NOT NULL THEN nom_sk END AS nom_sk,
+       CASE WHEN nom_sk IS NOT NULL AND ha > 0
+            THEN (2 * CAST(kolichestvo_kg * 100 AS HUGEINT) + 1000 * ha) // (2000 * ha) / 100 END AS yield_t_ha,
+       CASE WHEN field_sk IS NULL OR nom_sk IS NULL THEN concat_ws(', ',
+         CASE WHEN pole_id IS NULL THEN 'no field' WHEN field_sk IS NULL THEN 'unknown field' END,
+         CASE WHEN nomenklatura_id IS NULL THEN 'no item' WHEN nom_sk IS NULL THEN 'unknown item' END) END AS reasons
+FROM wide"""))
+def harvest_fact_routed(t: Tables) -> DataFrame:
+    """M-14: every harvest row is a fact or a reject with all its reasons; half
+    of the fields arrive after the first run, whose rejects are routed again.
+    Rows in = facts + late facts + rejects."""
+    e, field_dim, nom_dim, crop_dim = harvest_star(t)
+    field_dim = field_dim.withColumn("area_ha", F.when(F.col("field_sk") % 5 != 0, F.col("field_sk")))
+    routed = materialize(facts.route_harvest(e, field_dim.where("field_sk % 2 <> 0"), nom_dim, crop_dim), "harvest_routed")
+    again = materialize(facts.route_harvest(facts.harvest_rejects(routed), field_dim, nom_dim, crop_dim), "harvest_again")
+    cols = ["src_doc_ref", "date_day", "weight_kg", "state", "field_sk", "crop_sk", "nom_sk", "yield_t_ha", "reasons"]
+    first, late = [facts.harvest_facts(r).withColumns({"state": F.lit(s), "reasons": F.lit(None).cast("string")}).select(*cols)
+                   for r, s in ((routed, "fact"), (again, "late fact"))]
+    left = facts.harvest_rejects(again).select(
+        F.col("src_doc_id").cast("string").alias("src_doc_ref"), F.to_date("doc_date").alias("date_day"),
+        F.col("kolichestvo_kg").cast("decimal(18,2)").alias("weight_kg"), F.lit("reject").alias("state"), F.array_join("reasons", ", ").alias("reasons"))
+    return first.unionByName(late).unionByName(left, allowMissingColumns=True)
+
+
 @query("net_weight_check", ["sd_weighings"], """
 SELECT _id FROM sd_weighings WHERE ves_brutto_kg NOT IN (ves_netto_kg + ves_tary_kg)""")
 def net_weight_check(t: Tables) -> DataFrame:

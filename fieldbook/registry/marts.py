@@ -168,13 +168,17 @@ def downtime_fact(t: Tables) -> DataFrame:
 
 # --- field history ----------------------------------------------------------
 
-@query("field_history_mart", ["sd_field_history"], """
+@query("field_history_mart", ["sd_field_history"], """,
+used AS (SELECT * FROM sd_field_history WHERE line_number % 7 > 0),
+span AS (SELECT max(greatest(year, year(valid_from), coalesce(year(valid_to), 0))) AS last_year FROM used)
 SELECT field_id, line_number, crop, CAST(sown_area_ha AS DOUBLE) AS sown_area_ha,
-       CAST(unnest(IF(year > 0, [year::BIGINT], range(year(valid_from), year(valid_to) + 1))) AS BIGINT) AS year
-FROM sd_field_history WHERE line_number % 7 > 0""")
+       CAST(unnest(CASE WHEN year > 0 THEN [year::BIGINT]
+                   ELSE range(year(valid_from), greatest(coalesce(year(valid_to), last_year), year(valid_from)) + 1) END) AS BIGINT) AS year
+FROM used, span""")
 def field_history_mart(t: Tables) -> DataFrame:
     """M-23 / I-14: areas and crops per year from the history entities; unused
-    lines go, year-0 lines take the years of their validity."""
+    lines go, year-0 lines take the years of their validity, to the last year
+    of the history while they are in force."""
     unused = F.when(F.col("line_number") % 7 == 0, True).when(F.col("line_number") % 2 == 0, False)
     h = t.sd_field_history.withColumns({"unused": unused, "total_area_ha": F.col("sown_area_ha")})
     return production.field_history_mart(h).drop("total_area_ha")

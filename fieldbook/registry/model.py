@@ -65,6 +65,38 @@ def scd2_build(t: Tables) -> DataFrame:
     return versions(t)
 
 
+@query("dim_field_load", None, """
+WITH daily AS (
+  SELECT * FROM (
+    SELECT 'АК-' || o_custkey AS code, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS department, o_orderstatus AS organization,
+           row_number() OVER (PARTITION BY o_custkey, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
+    FROM orders) WHERE rn = 1),
+steps AS (
+  SELECT *, lag(d) OVER w IS NULL OR lag(department) OVER w IS DISTINCT FROM department
+            OR lag(organization) OVER w IS DISTINCT FROM organization AS starts
+  FROM daily WINDOW w AS (PARTITION BY code ORDER BY d)),
+v AS (SELECT *, lead(d) OVER (PARTITION BY code ORDER BY d) AS next_d FROM steps WHERE starts)
+SELECT code AS field_code_1c, 'Поле ' || code AS field_name, department, organization, department <> '5-LOW' AS is_active,
+       CAST(d AS VARCHAR) AS valid_from, CAST(coalesce(next_d, DATE '9999-12-31') AS VARCHAR) AS valid_to, next_d IS NULL AS is_current,
+       (SELECT count(*) FROM v) AS n_keys
+FROM v""")
+def dim_field_load(t: Tables) -> DataFrame:
+    """M-06: three loads of the field dimension, the middle years last: versions
+    already written are closed, split and joined; the result equals a rebuild
+    from all snapshots, and every version has a surrogate key of its own."""
+    o = t.raw("orders")
+    code = F.concat(F.lit("АК-"), F.col("o_custkey").cast("string"))
+    snapshots = o.select(code.alias("field_code_1c"), F.col("o_orderdate").alias("snapshot_date"), "o_orderkey",
+                         F.concat(F.lit("Поле "), code).alias("field_name"), F.col("o_orderpriority").alias("department"),
+                         F.lit(None).cast("decimal(10,2)").alias("area_ha"), F.col("o_orderstatus").alias("organization"),
+                         (F.col("o_orderpriority") != "5-LOW").alias("is_active"))
+    year, loaded = F.year("snapshot_date"), None
+    for part in (year < 1994, year >= 1997, (year >= 1994) & (year < 1997)):
+        loaded = dims.load_dim_field(loaded, snapshots.where(part), ["o_orderkey"])
+    keys = loaded.versions.agg(F.count_distinct("field_sk")).scalar()
+    return loaded.versions.drop("field_sk", "area_ha").withColumn("n_keys", keys)
+
+
 @query("scd2_asof_join", ["sd_docs", "sd_lines"], SCD2_SQL.replace("WITH daily", ", daily") + """,
 f AS (SELECT l.doc_id, l.line_number, CAST(l.ship_date AS DATE) AS ship_day, d.person_id AS o_custkey
       FROM sd_lines l JOIN sd_docs d ON d._id = l.doc_id)
