@@ -15,7 +15,7 @@ from fieldbook.registry.standins import Tables
 from fieldbook.session import scratch_path
 from fieldbook.sources import pages
 from fieldbook.sources.sinks import read_current
-from fieldbook.streaming import ingest
+from fieldbook.streaming import ingest, overlap
 
 
 def _base(t: Tables, name: str) -> str:
@@ -66,3 +66,49 @@ def stream_upsert_pages(t: Tables) -> DataFrame:
                              entity="events", log_dir=log, glob="*.json", transform=explode)
     ingest.run_to_end(q)
     return read_current(t.spark, target)
+
+
+def _overlapping_loads(t: Tables) -> str:
+    """Landed loads: two that overlap, one of old events, one sent twice in itself."""
+    landing = _base(t, "overlap-landing")
+    ev = t.raw("events").select("event_id", "ts", "event_type", "value")
+    n = F.col("event_id") % 10
+    for rows in (ev.where(n < 4), ev.where((n >= 2) & (n < 7)), ev.where((n == 7) | (n == 9)), ev.where(n == 8).unionByName(ev.where(n == 8))):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    return landing
+
+
+def _overlap_base(t: Tables) -> str:
+    landing, base = _overlapping_loads(t), _base(t, "overlap")
+    schema = t.spark.read.parquet(landing).schema
+    q = overlap.stream_overlap(t.spark, landing, schema, base, os.path.join(base, "_checkpoint"), max_files=1)
+    ingest.run_to_end(q)
+    return base
+
+
+@query("stream_overlap_volume", None, """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, COUNT(*) AS events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value
+FROM events GROUP BY 1, 2""")
+def stream_overlap_volume(t: Tables) -> DataFrame:
+    """W-02 / W-03: daily volume of overlapping and late loads, compared with the
+    accepted keys of the look-back and of the days touched only."""
+    return overlap.read_volume(t.spark, _overlap_base(t))
+
+
+@query("load_log_batches", None, """
+WITH e AS (SELECT event_id % 10 AS n, CAST(ts AS TIMESTAMP) AS ts FROM events),
+b AS (SELECT 0 AS batch_id, n, ts FROM e WHERE n < 4 UNION ALL SELECT 1, n, ts FROM e WHERE n >= 2 AND n < 7
+      UNION ALL SELECT 2, n, ts FROM e WHERE n IN (7, 9) UNION ALL SELECT 3, n, ts FROM e WHERE n = 8 UNION ALL SELECT 3, n, ts FROM e WHERE n = 8),
+high AS (SELECT batch_id, max(max(ts)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM b GROUP BY batch_id)
+SELECT CAST(b.batch_id AS BIGINT) AS batch_id, count(*) AS rows_read,
+       CAST(sum(CASE WHEN b.batch_id = 1 AND n < 4 THEN 0 WHEN b.batch_id = 3 THEN 0.5 ELSE 1 END) AS BIGINT) AS rows_accepted,
+       CAST(sum(CASE WHEN b.batch_id = 1 AND n < 4 THEN 1 WHEN b.batch_id = 3 THEN 0.5 ELSE 0 END) AS BIGINT) AS rows_repeated,
+       CAST(coalesce(sum(CASE WHEN ts < before - INTERVAL 48 HOUR AND NOT (b.batch_id = 1 AND n < 4) THEN CASE WHEN b.batch_id = 3 THEN 0.5 ELSE 1 END END), 0) AS BIGINT) AS rows_late
+FROM b JOIN high ON high.batch_id = b.batch_id GROUP BY b.batch_id""")
+def load_log_batches(t: Tables) -> DataFrame:
+    """W-04 / M-24: the load log of four batches, the second replayed after the
+    others: read, accepted, repeated and late rows, as observed while writing."""
+    base = _overlap_base(t)
+    again = t.raw("events").select("event_id", "ts", "event_type", "value").where("event_id % 10 >= 2 and event_id % 10 < 7")
+    overlap.load_batch(again, 1, base)
+    return overlap.read_log(t.spark, base).select("batch_id", "rows_read", "rows_accepted", "rows_repeated", "rows_late")

@@ -18,7 +18,7 @@ from __future__ import annotations
 import os
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -54,15 +54,12 @@ LOAD_LOG_SCHEMA = ("entity string, batch_id long, rows_read long, rows_written l
                    "loaded_at timestamp")
 
 
-def append_load_log(batch: DataFrame, log_dir: str, entity: str, batch_id: int, written: int | None) -> None:
+def append_load_log(spark: SparkSession, log_dir: str, entity: str, batch_id: int, read: int, written: int | None) -> None:
     """One row per (entity, batch), rewritten when the batch is replayed (then
-    nothing is written to the table); an aggregate of the batch, no rows to the
-    driver."""
-    n = F.lit(written or 0).cast("long")
-    (batch.agg(F.count(F.lit(1)).alias("rows_read"))
-          .select("rows_read", n.alias("rows_written"),
-                  F.lit(0).cast("long").alias("rows_rejected") if written is None else (F.col("rows_read") - n).alias("rows_rejected"),
-                  F.lit("replayed" if written is None else "loaded").alias("status"), F.current_timestamp().alias("loaded_at"))
+    nothing is written to the table)."""
+    row = (read, written or 0, 0 if written is None else read - written, "replayed" if written is None else "loaded")
+    (spark.createDataFrame([row], "rows_read long, rows_written long, rows_rejected long, status string")
+          .withColumn("loaded_at", F.current_timestamp()).coalesce(1)
           .write.mode("overwrite").parquet(os.path.join(log_dir, f"entity={entity}", f"batch_id={batch_id}")))
 
 
@@ -71,11 +68,16 @@ def _merge_batch(target_dir: str, keys: list[str], seq_cols: list[str], log_dir:
     def run(batch: DataFrame, batch_id: int) -> None:
         spark, run_id, written = batch.sparkSession, f"b{batch_id:012d}", None
         rows = transform(batch) if transform else batch
-        if not is_published(spark, target_dir, run_id):      # else a replay: the table has this batch
+        if is_published(spark, target_dir, run_id):          # a replay: the table has this batch
+            read = rows.count() if log_dir else 0
+        else:                                                # rows are counted while they are written
+            seen = Observation()
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
             updates = last_writer_wins(rows, keys, seq_cols) if seq_cols else rows
             written = publish_delta(updates, target_dir, run_id, keys, seq_cols)
+            read = seen.get["n"]
         if log_dir:
-            append_load_log(rows, log_dir, entity, batch_id, written)
+            append_load_log(spark, log_dir, entity, batch_id, read, written)
     return run
 
 
