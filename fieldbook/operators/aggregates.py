@@ -50,11 +50,12 @@ def duplicate_audit(tables: dict[str, DataFrame], keys: dict[str, list[str]]) ->
     return reduce(DataFrame.unionByName, parts)
 
 
-def with_total_row(grouped: DataFrame, label_col: str, measures: list[str],
-                   total_label: str = "TOTAL") -> DataFrame:
-    """A hand-made total row under a grouped result (one extra tiny aggregate)."""
-    total = grouped.agg(*[F.sum(m).alias(m) for m in measures]).withColumn(label_col, F.lit(total_label))
-    return grouped.unionByName(total.select(*grouped.columns))
+def with_total_row(df: DataFrame, label_col: str, measures: list[Column], total_label: str = "TOTAL") -> DataFrame:
+    """Groups of ``label_col`` and a total row, by one rollup: the rows are read
+    and pre-aggregated once.  A NULL label is a group of its own, not the total."""
+    rolled = df.rollup(label_col).agg(F.grouping(label_col).alias("__total"), *measures)
+    label = F.when(F.col("__total") == 1, F.lit(total_label)).otherwise(F.col(label_col))
+    return rolled.withColumn(label_col, label).drop("__total")
 
 
 def share_of_total(grouped: DataFrame, measure: str, share_col: str = "share") -> DataFrame:

@@ -16,6 +16,7 @@ from fieldbook.functions.labels import (
 from fieldbook.functions.movement import movement_type, quantity_sign
 from fieldbook.functions.parsers import parse_item_name, parse_party_name
 from fieldbook.functions.ratios import norm_completion_pct, yield_t_ha
+from fieldbook.operators.allocation import allocate_exactly
 from fieldbook.operators.balance import running_balance
 from fieldbook.operators.joins import lookup_join, null_safe_join, self_parent_join
 from fieldbook.operators.predicates import positive, strict_active, tolerant_active
@@ -274,3 +275,15 @@ def material_usage(writeoff: DataFrame, items: DataFrame, units: DataFrame) -> D
     w = lookup_join(lookup_join(writeoff, it, [("nomenklatura_id", "__it")]), u, [("edinica_id", "__u")])
     return w.groupBy(F.to_date("doc_date").alias("date_day"), "pole_id", "nomenklatura_id", "item_name",
                      "unit_name").agg(F.sum("kolichestvo").alias("quantity"))
+
+
+def fuel_usage(fuel: DataFrame, work: DataFrame, dim_equipment: DataFrame, dim_field: DataFrame) -> DataFrame:
+    """Fuel fact: a machine's litres of a month on the fields it worked, to the
+    last digit; litres without work have no field, those of an unknown machine
+    or field keep a NULL key."""
+    split = allocate_exactly(fuel, work, ["equipment_id", "month"], "field_id", "fuel_l", "area_ha")
+    e = dim_equipment.select(F.col("code_1c").alias("__e"), "eq_sk")
+    f = dim_field.where(F.col("is_current")).select(F.col("field_code_1c").alias("__f"), "field_sk")
+    keyed = lookup_join(lookup_join(split, e, [("equipment_id", "__e")]), f, [("field_id", "__f")])
+    return stamp(keyed.select(F.col("month").alias("date_day"), "equipment_id", "field_id", "eq_sk", "field_sk",
+                              F.col("allocated").alias("liters"), F.col("driver").alias("area_ha")))

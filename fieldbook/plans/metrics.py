@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldbook.functions.ratios import ratio_of_sums_pct, yield_t_ha
@@ -72,3 +72,12 @@ def freshness(specs: dict[str, tuple[DataFrame, str, str | None]]) -> DataFrame:
                             F.count(F.lit(1)).alias("rows"), fill.alias("fill_rate"))
                        .select(F.lit(name).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
+
+
+def freshness_lag(fresh: DataFrame) -> DataFrame:
+    """``freshness`` with each table's lag in whole hours behind the newest one
+    and whether it is empty (an empty table has no lag); one row per table, so
+    the window over all of them is small."""
+    last = F.to_timestamp_ntz("last_loaded_at")
+    newest = F.max(last).over(Window.partitionBy())
+    return fresh.withColumns({"lag_hours": F.timestamp_diff("HOUR", last, newest), "is_empty": F.col("rows") == 0})

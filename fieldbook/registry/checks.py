@@ -113,6 +113,22 @@ def data_freshness(t: Tables) -> DataFrame:
     return metrics.freshness({n: (t.raw(n), ts, fc) for n, (ts, fc) in FRESH.items()})
 
 
+@query("mart_freshness", None, """
+WITH f AS (
+  SELECT 'orders' AS table_name, max(CAST(o_orderdate AS TIMESTAMP)) AS last, count(*) AS rows FROM orders
+  UNION ALL SELECT 'lineitem', max(CAST(l_shipdate AS TIMESTAMP)), count(*) FROM lineitem
+  UNION ALL SELECT 'events', max(CAST(ts AS TIMESTAMP)), count(*) FROM events
+  UNION ALL SELECT 'undated', max(CAST(o_orderdate AS TIMESTAMP)), count(*) FROM orders WHERE o_orderstatus = 'X')
+SELECT table_name, rows, rows = 0 AS is_empty, epoch_ms(max(last) OVER () - last) // 3600000 AS lag_hours FROM f""")
+def mart_freshness(t: Tables) -> DataFrame:
+    """K-07: lag behind the newest table and empty marts."""
+    orders = t.raw("orders")
+    fresh = metrics.freshness({"orders": (orders, "o_orderdate", None), "lineitem": (t.raw("lineitem"), "l_shipdate", None),
+                               "events": (t.raw("events"), "ts", None),
+                               "undated": (orders.where("o_orderstatus = 'X'"), "o_orderdate", None)})
+    return metrics.freshness_lag(fresh).select("table_name", "rows", "is_empty", "lag_hours")
+
+
 @query("docs_without_lines", None, """
 SELECT o_orderkey FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
 def docs_without_lines(t: Tables) -> DataFrame:

@@ -10,7 +10,7 @@ from fieldbook.functions.ratios import productivity_kg_h, yield_t_ha
 from fieldbook.operators.indexing import dense_keys
 from fieldbook.operators.joins import asof_join
 from fieldbook.operators.scd2 import scd2_versions
-from fieldbook.plans import dims, metrics
+from fieldbook.plans import dims, facts, metrics
 from fieldbook.registry.base import query
 from fieldbook.registry.harvest import H_SD, enriched, hq
 from fieldbook.registry.standins import Tables
@@ -162,6 +162,39 @@ def fuel_allocation(t: Tables) -> DataFrame:
     return metrics.fuel_per_field(fuel, work)
 
 
+@query("fuel_usage_fact", ["sd_lines", "sd_machines", "sd_fields"], """,
+amt AS (SELECT machine_id, CAST(date_trunc('month', ship_date) AS DATE) AS month, CAST(SUM(qty) * 1000 AS HUGEINT) AS ml
+        FROM sd_lines WHERE linestatus = 'O' GROUP BY 1, 2),
+drv AS (SELECT machine_id, CAST(date_trunc('month', ship_date) AS DATE) AS month, 'F-' || operation_id AS field_id,
+               CAST(SUM(work_ha) * 10000 AS HUGEINT) AS d FROM sd_lines WHERE linestatus = 'F' AND work_ha > 0 GROUP BY 1, 2, 3),
+part AS (
+  SELECT a.machine_id, a.month, v.field_id, v.d, a.ml, a.ml * v.d // SUM(v.d) OVER g AS units, a.ml * v.d % SUM(v.d) OVER g AS rest
+  FROM amt a JOIN drv v ON v.machine_id = a.machine_id AND v.month = a.month WINDOW g AS (PARTITION BY a.machine_id, a.month)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY machine_id, month ORDER BY rest DESC, d DESC, field_id) AS rn,
+         ml - SUM(units) OVER (PARTITION BY machine_id, month) AS spare FROM part),
+split AS (
+  SELECT machine_id, month, field_id, CAST(units + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS ml, CAST(d AS BIGINT) AS d FROM placed
+  UNION ALL SELECT machine_id, month, NULL, CAST(ml AS BIGINT), NULL FROM amt a
+  WHERE NOT EXISTS (SELECT 1 FROM drv WHERE drv.machine_id = a.machine_id AND drv.month = a.month)),
+eq AS (SELECT _id, row_number() OVER (ORDER BY _id) AS eq_sk FROM sd_machines),
+fl AS (SELECT _id, row_number() OVER (ORDER BY _id) AS field_sk FROM (SELECT DISTINCT _id FROM sd_fields))
+SELECT CAST(s.month AS VARCHAR) AS date_day, s.machine_id AS equipment_id, s.field_id, eq_sk, field_sk, s.ml / 1000 AS liters, s.d / 10000 AS area_ha
+FROM split s LEFT JOIN eq ON eq._id = s.machine_id LEFT JOIN fl ON CAST(fl._id AS VARCHAR) = s.field_id""")
+def fuel_usage_fact(t: Tables) -> DataFrame:
+    """M-20 / K-02: fuel fact in whole millilitres, keyed to machine and field;
+    litres of a machine and month sum back to the source exactly."""
+    ln = t.sd_lines.withColumn("month", F.trunc(F.to_date("ship_date"), "month")).withColumnRenamed("machine_id", "equipment_id")
+    fuel = ln.where(F.col("linestatus") == "O").select("equipment_id", "month", F.col("qty").alias("fuel_l"))
+    work = ln.where(F.col("linestatus") == "F").select(
+        "equipment_id", "month", F.concat(F.lit("F-"), F.col("operation_id").cast("string")).alias("field_id"), F.col("work_ha").alias("area_ha"))
+    machines = dense_keys(t.sd_machines.select(F.col("_id").alias("code_1c")), ["code_1c"], "eq_sk")
+    fields = dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk")
+    fact = facts.fuel_usage(fuel, work, machines, fields.select(F.col("field_code_1c").cast("string").alias("field_code_1c"), "field_sk",
+                                                                F.lit(True).alias("is_current")))
+    return fact.drop("_loaded_at")
+
+
 @query("yield_guarded_ratio", ["sd_lines"], """,
 x AS (SELECT doc_id, line_number, amount, work_ha, norm_ha, CAST(amount * 1000 AS BIGINT) AS kg_m,
              CAST(work_ha * 10000 AS BIGINT) AS area_u, CAST(norm_ha * 1000 AS BIGINT) AS h_m FROM sd_lines)

@@ -126,13 +126,11 @@ SELECT * FROM g
 UNION ALL SELECT 'Итого', CAST(SUM(rows) AS BIGINT), CAST(SUM(item_resolved) AS BIGINT),
                  CAST(SUM(item_unresolved) AS BIGINT), CAST(SUM(unit_resolved) AS BIGINT) FROM g""")
 def movement_by_type(t: Tables) -> DataFrame:
-    """G-09: movement by type with resolution counts and a total row."""
-    g = tmc(t).groupBy("movement_type").agg(
+    """G-09 / U-01: movement by type with resolution counts and a total row, in one pass."""
+    return with_total_row(tmc(t), "movement_type", [
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("is_nomenclature_resolved")).alias("item_resolved"),
         F.count_if(~F.col("is_nomenclature_resolved")).alias("item_unresolved"),
-        F.count("uom_code").alias("unit_resolved"))
-    return with_total_row(g, "movement_type", ["rows", "item_resolved", "item_unresolved", "unit_resolved"],
-                          TOTAL_LABEL)
+        F.count("uom_code").alias("unit_resolved")], TOTAL_LABEL)
 
 
 @query("movement_by_unit", M_SD, MOVE_SQL + """

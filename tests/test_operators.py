@@ -189,3 +189,35 @@ def test_yield_takes_the_areas_of_the_crop(spark):
     got = {tuple(r[:3]): r.yield_t_ha for r in yield_by_field_crop_year(harvest, history).collect()}
     assert got == {("f", "a", 2024): D("2.00"), ("f", "b", 2024): None, ("f", "a", 2023): D("1.00"),
                    ("f", None, 2024): None, ("g", "a", 2024): None}
+
+
+def test_allocation_in_whole_units_sums_back(spark):
+    import random
+    from decimal import Decimal
+    from fieldbook.operators.allocation import allocate_exactly
+    rng = random.Random(6)
+    amounts = [(k, Decimal(rng.randint(-5000, 50_000)) / 1000) for k in range(60) for _ in range(2)]
+    drivers = [(k, f"f{n}", Decimal(rng.choice([0, 1, 1, 3, 7, 12_345])) / 10_000) for k in range(55) for n in range(rng.randint(0, 6))]
+    drivers += [(3, "bad", Decimal(-1)), (4, None, Decimal(1))]
+    got = allocate_exactly(spark.createDataFrame(amounts, "k int, amount decimal(12,3)"),
+                           spark.createDataFrame(drivers, "k int, field string, area decimal(12,4)"), ["k"], "field", "amount", "area").collect()
+    totals, parts = {}, {}
+    for k, a in amounts:
+        totals[k] = totals.get(k, 0) + a
+    for r in got:
+        parts.setdefault(r.k, []).append(r)
+    assert {k: sum(r.allocated for r in rs) for k, rs in parts.items()} == totals                  # to the last digit
+    for k, rs in parts.items():
+        whole = sum(r.driver or 0 for r in rs)
+        for r in rs:
+            assert r.field is None or r.driver is None or abs(r.allocated - totals[k] * r.driver / whole) < Decimal("0.001")
+    assert allocate_exactly(spark.createDataFrame([], "k int, amount decimal(12,3)"),
+                            spark.createDataFrame(drivers, "k int, field string, area decimal(12,4)"), ["k"], "field", "amount", "area").count() == 0
+
+
+def test_total_row_by_rollup_scans_once(spark):
+    from fieldbook.operators.aggregates import with_total_row
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 4)], "kind string, n int")
+    out = with_total_row(df, "kind", [F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows")], "TOTAL")
+    assert sorted(map(tuple, out.select("kind", "n", "rows").collect()), key=repr) == [("TOTAL", 7, 3), ("a", 3, 2), (None, 4, 1)]
+    assert out._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
