@@ -7,9 +7,9 @@ part, so any document or range of ids is found from the block index and
 unpacked with numpy without reading what stands before it.  The files are
 Parquet tables of such blocks plus a small table with the ids before each part.
 
-Encoding cuts a text at single spaces between two non-space characters, where
-the byte-level tokenizer cuts too, and keeps the ids of pieces it has met
-(bounded per worker); the ids are those of the whole text.
+Texts are cut where the byte-level tokenizer surely cuts too, and the ids of
+units met are kept in a bounded store per worker (``wordids``); the ids are
+those of the whole text.
 
 Defined cases: NULL and empty texts are the end id alone; NULL document ids
 come first; rows of one id stand in the order of their texts; an empty table
@@ -18,10 +18,6 @@ gives files without blocks.
 
 from __future__ import annotations
 
-import os
-import re
-from array import array
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -29,17 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbook.llm.frames import columns
+from fieldbook.llm.wordids import WordIds
 from fieldbook.llm.words import row_slices, text_buffers
 
 BLOCK_IDS = 1 << 16             # a block ends after the document that fills it
 PART_BYTES = 16 << 20           # text of one file part
-CACHED_PIECES = 400_000         # pieces kept by one worker
-PIECE_CHARS = 64                # longer pieces are not kept
 
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"[^\S ] | [^\S ]")
-_BREAK = re.compile(r"\S\n\S")          # a line break alone between signs is a piece
-_MARKS = frozenset(".,;:!?")            # never the start of a contraction
 _WORKER: dict = {}
 
 _FORMAT = ("part int, block int, before long, bits int, n_ids long, doc_ids array<long>, offsets array<long>, "
@@ -69,58 +60,10 @@ def unpack_ids(payload: bytes, bits: int, begin: int, end: int) -> np.ndarray:
     return (planes.reshape(-1, bits).astype("<u4") << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype="<u4")
 
 
-class _Pieces(dict):
-    """Ids (as bytes) of the pieces met, encoded when first asked for.
-
-    A word before its punctuation and the two sides of a line break are pieces
-    of their own, as the tokenizer cuts there as well.  The dictionary is
-    bounded: when it is full it becomes the older half, whose pieces come back
-    when asked for, and a new one begins.
-    """
-
-    def __init__(self, tokenizer, lead: str):
-        super().__init__()
-        self.tokenizer, self.lead, self.older, self.bare = tokenizer, lead, {}, self
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            word, mark = piece[:-1], piece[-1:]
-            if mark in _MARKS and word.isalpha():
-                ids = self[word] + self.bare[mark]
-            elif "\n" in piece and (at := _BREAK.search(piece)):
-                ids = self[piece[:at.start() + 1]] + self.bare["\n"] + self.bare[piece[at.end() - 1:]]
-            else:
-                found = self.tokenizer.encode_batch_fast([self.lead + piece], add_special_tokens=False)
-                ids = array("I", found[0].ids).tobytes()
-        if len(piece) <= PIECE_CHARS:
-            if len(self) >= CACHED_PIECES // 2:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-
-class Encoder:
-    """Ids of texts as little-endian bytes, with a bounded store of pieces."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
-        self.first, self.inner = _Pieces(self.tokenizer, ""), _Pieces(self.tokenizer, " ")
-        self.inner.bare = self.first
-
-    def encode(self, text: str) -> bytes:
-        odd = "  " in text or _ODD_SPACE.search(text)
-        first, *rest = _CUT.split(text) if odd else text.split(" ")
-        return (self.first[first] if first else b"") + b"".join(map(self.inner.__getitem__, rest))
-
-
-def _encoder(path: str) -> Encoder:
+def _store(path: str) -> WordIds:
     if path not in _WORKER:
-        _WORKER[path] = Encoder(path)
+        _WORKER.clear()                  # one tokenizer's words at a time
+        _WORKER[path] = WordIds(path, None)
     return _WORKER[path]
 
 
@@ -128,30 +71,29 @@ def _write_blocks(path: str, end_id: int, block_ids: int):
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("bits", pa.int32()),
                         ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("offsets", pa.list_(pa.int64())),
                         ("first_id", pa.int64()), ("last_id", pa.int64()), ("payload", pa.binary())])
-    end = np.array([end_id], "<u4").tobytes()
-
     def write(batches):
-        encoder, part = _encoder(path), TaskContext.get().partitionId()
-        block, before, docs, raw, n = 0, 0, [], [], 0
+        store, part = _store(path), TaskContext.get().partitionId()
+        bits = max(1, (len(store.marked) - 1).bit_length())
+        block, before, docs, held, n = 0, 0, [], [], 0
 
         def flush():
-            nonlocal block, before, docs, raw, n
-            ids = np.frombuffer(b"".join(raw), "<u4")
-            offsets = np.cumsum([0] + [len(r) // 4 for r in raw]).tolist()
+            nonlocal block, before, docs, held, n
+            offsets = np.cumsum([0] + [len(h) for h in held]).tolist()
             known = [d for d in docs if d is not None]
-            row = (part, block, before, encoder.bits, n, docs, offsets, min(known, default=None), max(known, default=None),
-                   pack_ids(ids, encoder.bits))
-            block, before, docs, raw, n = block + 1, before + n, [], [], 0
+            row = (part, block, before, bits, n, docs, offsets, min(known, default=None), max(known, default=None),
+                   pack_ids(np.concatenate(held), bits))
+            block, before, docs, held, n = block + 1, before + n, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            texts = batch.column("text")
-            for lo, hi in row_slices(text_buffers(texts)[0]):
-                own = batch.column("doc_id").slice(lo, hi - lo).to_pylist()
-                for doc_id, text in zip(own, texts.slice(lo, hi - lo).to_pylist(), strict=True):
+            offsets, data = text_buffers(batch.column("text"))
+            for lo, hi in row_slices(offsets):
+                ids, begin = store.encode(offsets, data, lo, hi, end_id)
+                cuts = begin.tolist()
+                for i, doc_id in enumerate(batch.column("doc_id").slice(lo, hi - lo).to_pylist()):
                     docs.append(doc_id)
-                    raw.append(encoder.encode(text or "") + end)
-                    n += len(raw[-1]) // 4
+                    held.append(ids[cuts[i]:cuts[i + 1]])
+                    n += len(held[-1])
                     if n >= block_ids:
                         yield flush()
         if docs:

@@ -1,7 +1,11 @@
-"""Token ids of texts for tokenizers that never look across white space.
-
-The tokenizer library encodes each distinct word once per worker; the words of
-a slice of text are found and looked up all at once.  The store is a flat hash
+"""Token ids of texts, each distinct word encoded once per worker.
+
+The tokenizer library encodes a word when it is first met; the words of a slice
+of text are found and looked up all at once.  Texts are cut where the tokenizer
+is certain to cut: at white space (``UnitSlice``, for tokenizers that drop it),
+or before single blanks and around single line breaks between letters, digits
+and signs (``ByteUnits``, for byte-level ones, which keep the blank with the
+word).  What is not certain stays one unit.  The store is a flat hash
 table keyed by 64-bit hashes of the words' bytes (A-Z lower-cased where the
 tokenizer does so), bounded by ``STORE_WORDS``: a full one is begun anew.
 
@@ -16,11 +20,12 @@ import os
 
 import numpy as np
 
-from fieldbook.llm.words import LOWER_ASCII, SPACE_WORDS, WordSlice
+from fieldbook.llm.words import LOWER_ASCII, SAME_BYTES, SPACE_WORDS, WordSlice
 
-STORE_WORDS = 1 << 21
+STORE_WORDS, STORE_IDS = 1 << 21, 1 << 24
 SLOTS = 1 << 22
 _U = np.uint64
+BLANK = "\u0120"            # how a byte-level vocabulary writes a blank
 
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,;:!?"]] = True
@@ -52,17 +57,52 @@ class UnitSlice(WordSlice):
         self.first = np.searchsorted(self.starts, edges)
 
 
+_SIGN = np.zeros(256, bool)               # one-byte characters that are no space
+_SIGN[0x21:0x7F] = True
+
+
+class ByteUnits(WordSlice):
+    """Units of a byte-level tokenizer: they cover every byte, a single blank
+    stands before its word, a single line break and a closing mark apart."""
+
+    def __init__(self, offsets, data, lo, hi):
+        super().__init__(offsets, data, lo, hi, SPACE_WORDS, SAME_BYTES)
+        d, n = self.data, len(self.data)
+        edges = (offsets[lo:hi + 1] - int(offsets[lo])).astype(np.int64)
+        at = np.flatnonzero((d[1:-1] == 32) | (d[1:-1] == 10)) + 1 if n > 2 else np.zeros(0, np.int64)
+        latin_before = _LATIN[d[at - 1]] & (at >= 2) & (d[np.maximum(at - 2, 0)] == 0xC3)
+        sure = (_SIGN[d[at - 1]] | latin_before) & (_SIGN[d[at + 1]] | (d[at + 1] == 0xC3))
+        inside = np.ones(n + 1, bool)
+        inside[edges] = False                        # neither side of a cut may belong to another text
+        at = at[sure & inside[at] & inside[at + 1]]
+        at = at[(d[at + 1] != 0xC3) | _LATIN[d[np.minimum(at + 2, n - 1)]]]
+        breaks = at[d[at] == 10]
+        closes = np.concatenate([at, edges[1:][edges[1:] > 0]])          # what follows a mark: blank, break or end
+        marks = closes[_MARK[d[closes - 1]] & (closes >= 2)] - 1
+        before = d[marks - 1]
+        ascii_letter = _LETTER[before | 0x20] & (before < 0x80)
+        latin = _LATIN[before] & (marks >= 2) & (d[np.maximum(marks - 2, 0)] == 0xC3)
+        marks = marks[(ascii_letter | latin) & inside[marks]]
+        texts = edges[:-1][np.diff(edges) > 0]
+        self.starts = np.unique(np.concatenate([texts, at, breaks + 1, marks]))
+        self.ends = np.append(self.starts[1:], n) if len(self.starts) else self.starts
+        self.first = np.searchsorted(self.starts, edges)
+
+
 class WordIds:
     """Ids of the units of slices, by the tokenizer file at ``path``."""
 
-    def __init__(self, path: str, word_end: str = "</w>"):
+    def __init__(self, path: str, word_end: str | None = "</w>"):
+        """``word_end``: how the vocabulary marks the end of a word; None for a
+        byte-level one."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.kind = np.uint16 if max(vocabulary.values()) < 1 << 16 else np.uint32
-        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends_word[[i for w, i in vocabulary.items() if w.endswith(word_end)]] = True
+        self.units, self.lead = (UnitSlice, "") if word_end else (ByteUnits, " ")
+        self.marked = np.zeros(max(vocabulary.values()) + 1, bool)       # ids that end a word, or begin one with its blank
+        self.marked[[i for w, i in vocabulary.items() if (w.endswith(word_end) if word_end else w.startswith(BLANK))]] = True
         self._begin_anew()
 
     def _begin_anew(self):
@@ -104,31 +144,32 @@ class WordIds:
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids of new words.  Words of letters only are one unit of
         the tokenizer each, so they go in one call and are told apart by the
-        ids that end a word; the others go one by one."""
-        sizes, parts = np.zeros(len(words), np.int64), [None] * len(words)
-        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        ids that end a word or begin one; the others go one by one."""
+        parts, lead = [None] * len(words), self.lead
+        plain = [i for i, w in enumerate(words) if w.startswith(lead) and w[len(lead):].isalpha()]
         if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([words[i] for i in plain])], add_special_tokens=False)[0].ids)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(plain) and ends[-1] == len(ids):
-                for i, part in zip(plain, np.split(ids, ends[:-1]), strict=True):
+            joined = ("" if lead else " ").join([words[i] for i in plain])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids)
+            cuts = np.flatnonzero(self.marked[ids])
+            cuts = np.append(cuts, len(ids)) if lead else np.append(0, cuts + 1)
+            if len(cuts) == len(plain) + 1 and cuts[0] == 0 and cuts[-1] == len(ids):
+                for i, part in zip(plain, np.split(ids, cuts[1:-1]), strict=True):
                     parts[i] = part
         rest = [i for i, p in enumerate(parts) if p is None]
         for i, found in zip(rest, self.tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
             parts[i] = np.array(found.ids, np.int64)
-        sizes[:] = [len(p) for p in parts]
-        return sizes, np.concatenate(parts).astype(self.kind)
+        return np.array([len(p) for p in parts]), np.concatenate(parts).astype(self.kind)
 
     def encode(self, offsets: np.ndarray, data: np.ndarray, lo: int, hi: int, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts ``lo .. hi`` one after the other, ``end_id`` after
         each, and where each text begins (one entry more than texts)."""
-        units = UnitSlice(offsets, data, lo, hi)
+        units = self.units(offsets, data, lo, hi)
         hashes = np.maximum(units.hashes, _U(1))
         number = self._find(hashes)
         new = np.flatnonzero(number < 0)
         if len(new):
             distinct, at = np.unique(hashes[new], return_index=True)
-            if self.n + len(distinct) > STORE_WORDS and self.n:
+            if self.n and (self.n + len(distinct) > STORE_WORDS or self.n_ids > STORE_IDS):
                 self._begin_anew()
                 return self.encode(offsets, data, lo, hi, end_id)
             self._keep(distinct, *self._encode([units.word(i).decode() for i in new[at]]))
