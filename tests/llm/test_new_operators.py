@@ -94,13 +94,15 @@ def test_collocations_of_nothing(spark):
 
 ATOMS = ["a", "Foo", "é", "É.", "foo.", "bar,", "don't", "DON'T.", "x's.", "'S", "<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>.",
          "x<|startoftext|>y", "”.", "é”.", "…", "1", "42.", "a1.", " ", "́", "é.", "İ", "ΑΣ", "Σ.", "ﬁ", "中文。", "a.b",
-         "--", "?!", "!", "×.", "Ã×.", "\x85", "\x1c", "ſ", "K", "👍🏽", "'ll", "i'LL,", "‍", "½.", "ᄒ", "ᅡ", "x" * 300]
+         "--", "?!", "!", "×.", "Ã×.", "\x85", "\x1c", "ſ", "K", "👍🏽", "'ll", "i'LL,", "‍", "½.", "ᄒ", "ᅡ", "x" * 300,
+         "\n", ".\n", "à", "ÿ.", "÷", "Ã", "\r\n", "ā.", " .", "a\nB", "b!\nc"]
 
 
-def test_words_are_encoded_as_texts_are():
+@pytest.mark.parametrize("name,word_end", [("word_bpe_49k.json", "</w>"), ("byte_bpe_50k.json", None)])
+def test_words_are_encoded_as_texts_are(name, word_end):
     from tokenizers import Tokenizer
-    path = public_tokenizers.path("word_bpe_49k.json")
-    library, store, rng = Tokenizer.from_file(path), WordIds(path), random.Random(1)
+    path = public_tokenizers.path(name)
+    library, store, rng = Tokenizer.from_file(path), WordIds(path, word_end), random.Random(1)
     texts = ["".join(rng.choice(ATOMS) + rng.choice(["", " ", "\n", "  ", "\t"]) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
     texts += ["", None, "long " * 30_000]
     offsets, data = text_buffers(pa.array(texts))
