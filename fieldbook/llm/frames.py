@@ -19,6 +19,14 @@ def columns(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in wanted])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, underlined until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list, as (node, comp) with
     the smallest node of the component; nodes without an edge are absent.

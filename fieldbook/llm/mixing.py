@@ -6,6 +6,12 @@ language and by topic meet their targets, until all agree.  Weights are
 expected tokens, calibrated to the wanted share of all and never more than the
 cell has; a document is kept with its cell's weight over tokens as probability.
 
+A target above what a value has is cut to that, and the others of its dimension
+take up the difference; a target of zero keeps nothing.  Targets that still
+contradict each other (a full cell in two dimensions) cannot all be met: the
+rounds end when they gain nothing more, and ``distance`` tells how far the
+worst total is from its target.
+
 The default targets are tempered shares, ``tokens ** TEMPER``, which lower a
 source that holds a third of all tokens; any table of shares may be given.
 The topic is the cell of ``TOPIC_PLANES`` random hyperplanes over the counts
@@ -33,6 +39,7 @@ KEEP = 0.5              # share of all tokens to keep
 TOPIC_PLANES = 3
 TOLERANCE = 1e-3        # greatest relative distance of a total from its target
 ROUNDS = 40
+STALLED = 3             # rounds without a gain of one per cent end the raking
 DIMENSIONS = ("source", "lang", "topic")
 _NULL = "\x00"          # stands for NULL among the cell keys
 
@@ -65,40 +72,55 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
         *["_whole"] * whole)
 
 
-def _targets(cells: DataFrame, dimension: str, given: DataFrame | None) -> DataFrame:
-    """(value, share) of a dimension, summing to one."""
+def _targets(cells: DataFrame, dimension: str, given: DataFrame | None, keep: float = KEEP) -> DataFrame:
+    """(value, share) of a dimension, summing to one, no share above what the
+    value's tokens can give when ``keep`` of all tokens are kept."""
     by = cells.groupBy(dimension).agg(F.sum("tokens").alias("tokens"))
+    total = cells.agg(F.sum("tokens")).first()[0] or 1
     if given is None:
-        by = by.select(dimension, F.pow("tokens", F.lit(TEMPER)).alias("part"))
+        by = by.select(dimension, "tokens", F.pow("tokens", F.lit(TEMPER)).alias("part"))
     else:
-        given = given.select(F.coalesce(F.col(given.columns[0]), F.lit(_NULL)).alias(dimension), F.col(given.columns[1]).alias("wanted"))
-        total = by.agg(F.sum("tokens")).first()[0] or 1
-        by = by.join(given, dimension, "left").select(dimension, F.coalesce("wanted", F.col("tokens") / total).alias("part"))
-    by = materialize(by, f"target-{dimension}")
-    whole = by.agg(F.sum("part")).first()[0] or 1.0
-    return by.select(dimension, (F.col("part") / whole).alias("target"))
+        value, share = given.columns[:2]
+        given = (given.groupBy(F.coalesce(F.col(f"`{value}`").cast("string"), F.lit(_NULL)).alias(dimension))
+                 .agg(F.sum(F.col(f"`{share}`").cast("double")).alias("wanted")))
+        by = by.join(given, dimension, "left").select(dimension, "tokens", F.coalesce("wanted", F.col("tokens") / total).alias("part"))
+    by = materialize(by.withColumn("most", F.col("tokens") / (keep * total)), f"target-{dimension}")
+    scale, cut = 0.0, -1
+    while True:                         # every turn cuts at least one more value, or is the last
+        full = F.col("part") * scale > F.col("most")
+        n, taken, left = by.agg(F.count(F.when(full, 1)), F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("part")))).first()
+        if n == cut:
+            break
+        cut, scale = n, max(0.0, 1.0 - (taken or 0.0)) / left if left else scale
+    return by.select(dimension, F.least("most", F.col("part") * scale).alias("target"))
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame], keep: float = KEEP) -> DataFrame:
     """``cells`` (dimensions, ``tokens``) with ``weight``, the expected tokens
     to keep: together ``keep`` of all, by dimension in the ``target`` shares,
     and no more than the cell has (what a full cell cannot give, the others
-    take up in the next round)."""
+    take up in the next round); and ``distance``, the greatest relative distance
+    of a total from its target that is left."""
     wanted = keep * (cells.agg(F.sum("tokens")).first()[0] or 0)
     cells = cells.withColumn("weight", F.col("tokens") * keep)
+    best, idle, worst = float("inf"), 0, 0.0
     for _ in range(ROUNDS):
         off = []
         for d, target in targets.items():
             now = cells.groupBy(d).agg(F.sum("weight").alias("now"))
-            factor = now.join(target, d).select(d, (F.col("target") * wanted / F.col("now")).alias(f"factor_{d}"))
+            # a total of zero stays: its target is zero, or another dimension's is
+            factor = now.join(target, d).select(
+                d, F.when(F.col("now") > 0, F.col("target") * wanted / F.col("now")).otherwise(F.lit(1.0)).alias(f"factor_{d}"))
             cells = cells.join(factor, d).withColumn("weight", F.least("tokens", F.col("weight") * F.col(f"factor_{d}")))
             off.append(F.max(F.abs(F.col(f"factor_{d}") - 1)))
         cells = materialize(cells, "cells")
         worst = cells.agg(F.greatest(*off)).first()[0] or 0.0
         cells = cells.drop(*[f"factor_{d}" for d in targets])
-        if worst < TOLERANCE:
+        idle = idle + 1 if worst > 0.99 * best else 0
+        best = min(best, worst)
+        if worst < TOLERANCE or idle >= STALLED:
             break
-    return cells
+    return cells.withColumn("distance", F.lit(float(worst)))
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -106,21 +128,21 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 
 def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP) -> DataFrame:
-    """(_source, _lang, _topic, probability) of every cell of ``measured`` rows."""
+    """(_source, _lang, _topic, probability, distance) of every cell of ``measured`` rows."""
     cells = _keyed(rows).groupBy(*[F.col(f"_{d}").alias(d) for d in DIMENSIONS]).agg(F.sum("tokens").alias("tokens"))
     cells = materialize(cells, "cells")
-    cells = raked(cells, {d: _targets(cells, d, (targets or {}).get(d)) for d in DIMENSIONS}, keep)
+    cells = raked(cells, {d: _targets(cells, d, (targets or {}).get(d), keep) for d in DIMENSIONS}, keep)
     probability = F.round(F.col("weight") / F.col("tokens"), 9)     # sums may differ in their last bits
-    return cells.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], probability.alias("probability"))
+    return cells.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS], probability.alias("probability"), "distance")
 
 
 def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, **names) -> DataFrame:
-    """(doc_id, source, lang, topic, tokens, probability, kept) of every
+    """(doc_id, source, lang, topic, tokens, probability, distance, kept) of every
     document; ``targets`` gives (value, share) tables by dimension."""
     rows = materialize(measured(docs, **names), "token-cells")
     cells = probabilities(rows, targets, keep)
     return _keyed(rows).join(cells, [f"_{d}" for d in DIMENSIONS]).select(
-        "doc_id", "source", "lang", "topic", "tokens", "probability", (F.col("chance") < F.col("probability")).alias("kept"))
+        "doc_id", "source", "lang", "topic", "tokens", "probability", "distance", (F.col("chance") < F.col("probability")).alias("kept"))
 
 
 def sampled(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, **names) -> DataFrame:

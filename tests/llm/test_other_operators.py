@@ -132,6 +132,63 @@ def test_mixing_meets_its_targets(spark):
     assert mixing.mixed(docs.limit(0)).count() == 0 and mixing.sampled(docs.limit(0)).count() == 0
 
 
+def brute_rake(cells, targets, keep, rounds=200):
+    """Weights by cell (source, lang, topic, tokens), raked in plain Python."""
+    wanted = keep * sum(c[3] for c in cells)
+    weights = [c[3] * keep for c in cells]
+    for _ in range(rounds):
+        for d in range(3):
+            now = Counter()
+            for c, w in zip(cells, weights, strict=True):
+                now[c[d]] += w
+            weights = [min(c[3], w * targets[d][c[d]] * wanted / now[c[d]]) if now[c[d]] else w
+                       for c, w in zip(cells, weights, strict=True)]
+    return weights
+
+
+def test_mixing_against_brute_force_and_hard_targets(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice("abc"), rng.choice(["en", "de", None]), " ".join(rng.choices("uvwxyz", k=rng.randint(1, 30)))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    topics = {r.topic for r in mixing.measured(docs).select("topic").distinct().collect()}
+    shares = lambda d: spark.createDataFrame(list(d.items()), "value string, share double")
+    given = [{"a": 0.4, "b": 0.3, "c": 0.3}, {"en": 0.35, "de": 0.35, None: 0.3}, dict.fromkeys(topics, 1 / len(topics))]
+    out = mixing.mixed(docs, {"source": shares(given[0]), "lang": shares(given[1])}, keep=0.2).collect()
+    tokens = Counter()
+    for r in out:
+        tokens[r.source, r.lang, r.topic] += r.tokens
+    have, total = Counter(), sum(tokens.values())
+    for (_, _, t), n in tokens.items():
+        have[t] += n / total                                 # no target given: the topics keep their share
+    cells = [(*c, n) for c, n in tokens.items()]
+    want = dict.fromkeys(topics)
+    for t, part in ((t, have[t] ** mixing.TEMPER) for t in topics):
+        want[t] = part
+    want = {t: p / sum(want.values()) for t, p in want.items()}
+    weights = brute_rake(cells, [given[0], given[1], want], 0.2)
+    chance = {c[:3]: w / c[3] for c, w in zip(cells, weights, strict=True)}
+    assert all(abs(r.probability - chance[r.source, r.lang, r.topic]) < 0.01 for r in out)
+    assert all(r.distance < mixing.TOLERANCE for r in out)
+
+    # a target of zero, a repeated value, one beyond its tokens: the rest is made up by the others
+    zero = mixing.mixed(docs, {"source": shares({"a": 0.0, "b": 0.5, "c": 0.5})}, keep=0.3).collect()
+    assert all(r.probability == 0 for r in zero if r.source == "a") and any(r.probability > 0 for r in zero)
+    twice = spark.createDataFrame([("a", 0.2), ("a", 0.2), ("b", 0.3), ("c", 0.3)], "value string, share double")
+    assert len(mixing.mixed(docs, {"source": twice}).collect()) == 300
+    much = mixing.mixed(docs, {"source": shares({"a": 0.98, "b": 0.01, "c": 0.01})}, keep=0.6).collect()
+    assert abs(sum(r.probability * r.tokens for r in much) / total - 0.6) < 0.01
+    assert all(r.probability > 0.99 for r in much if r.source == "a")
+
+
+def test_pipeline_takes_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns(
+        {c: F.lit("kept") for c in ("_language", "_least", "_Contamination", "_whole", "cell")})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        assert out.where("_language = 'kept' and _least = 'kept' and cell = 'kept'").count() == out.count() > 0
+
+
 def test_pipeline_stages(spark):
     """Each stage against its rule on its own input, and ``run`` as a whole."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
