@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbook.llm import decontam, jaccard, langid, mixing
-from fieldbook.llm.frames import table
+from fieldbook.llm.frames import free_name, table
 from fieldbook.llm.queries import tokens_of
 from fieldbook.session import materialize
 
@@ -25,22 +25,25 @@ from fieldbook.session import materialize
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects ``und`` and texts with too few n-grams of their language."""
     names = docs.columns
-    found = langid.predicted(docs, langid.fit(docs), into="_language")
-    known = (F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") >= langid.LEAST_COVERAGE)
-    return found.where(known).withColumn("lang", F.coalesce("lang", "_language.lang")).select(*[F.col(f"`{c}`") for c in names])
+    into = free_name(docs, "_language")
+    found = langid.predicted(docs, langid.fit(docs), into=into)
+    known = (F.col(f"{into}.lang") != langid.UNKNOWN) & (F.col(f"{into}.score") >= langid.LEAST_COVERAGE)
+    return found.where(known).withColumn("lang", F.coalesce("lang", f"{into}.lang")).select(*[F.col(f"`{c}`") for c in names])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows of one id and text stay once; a document alone always stays."""
-    least = jaccard.near_duplicate_components(docs).select(F.col("component_id").alias("_least")).distinct()
-    kept = docs.join(least, F.col("doc_id").eqNullSafe(F.col("_least")), "left_semi")
+    least = free_name(docs, "_least")
+    found = jaccard.near_duplicate_components(docs).select(F.col("component_id").alias(least)).distinct()
+    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col(least)), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"])
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
-    found = decontam.flagged(docs, table(spark, sf_dir, "benchmark"), into="_contamination")
-    return found.where("not _contamination.contaminated").select(*[F.col(f"`{c}`") for c in names])
+    into = free_name(docs, "_contamination")
+    found = decontam.flagged(docs, table(spark, sf_dir, "benchmark"), into=into)
+    return found.where(f"not {into}.contaminated").select(*[F.col(f"`{c}`") for c in names])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
