@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from fieldbook.llm.exchange import PACKED, Layout, chunked, lookup, pack, plan_layout, unpack
 from fieldbook.llm.frames import columns, components
-from fieldbook.llm.words import LOWER_ASCII, SPACE_WORDS, WordSlice, mix, row_slices, shingle_set, text_buffers, windows
+from fieldbook.llm.words import LOWER_ASCII, SPACE_WORDS, WordSlice, hand_back, mix, row_slices, shingle_set, text_buffers, windows
 from fieldbook.session import materialize
 
 WORDS_PER_SHINGLE = 5
@@ -86,6 +86,8 @@ def _frequencies(table: pa.Table) -> pa.Table:
         g = grade[place[at:at + len(own)]]
         at += len(own)
         out.append((pack(own[g > 0]), g[g > 0].tobytes()))
+    del values, place, total, grade, asked, counts
+    hand_back()
     return pa.table([table.column("bucket").combine_chunks(), table.column("chunk").combine_chunks(),
                      pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())],
                     schema=_REQUEST)

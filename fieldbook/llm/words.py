@@ -9,6 +9,7 @@ never shortened.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +17,10 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):           # another C library than glibc
+    _trim = None
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240611))
 _BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -43,7 +48,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 4 * SLICE_BYTES:          # the powers of a rare huge text are not kept
+        if size <= SLICE_BYTES + 64:         # the powers of a rare huge text are not kept
             _POWERS[int(base)] = have
     return have[:n]
 
@@ -71,13 +76,24 @@ def text_buffers(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return offsets, data
 
 
+def hand_back() -> None:
+    """Give freed memory back to the system: workers live on, and what one
+    stage leaves in them would add to what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def row_slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``limit`` bytes, or of one row."""
+    """Row ranges of at most ``limit`` bytes, or of one row; memory freed
+    meanwhile is handed back at the end of a large column."""
     at, n = 0, len(offsets) - 1
     while at < n:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
         yield at, min(to, n)
         at = min(to, n)
+    if int(offsets[-1]) - int(offsets[0]) > 4 * SLICE_BYTES:
+        hand_back()
 
 
 class WordSlice:
