@@ -269,12 +269,15 @@ def append_harvest(existing: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def material_usage(writeoff: DataFrame, items: DataFrame, units: DataFrame) -> DataFrame:
-    """Field material usage from write-offs: quantity per field, item and unit."""
+    """Field material usage from write-offs: quantity per field, item and unit.
+    Units are told apart by id, so units without a name are never summed
+    together; names are looked up for the sums only."""
+    used = writeoff.groupBy(F.to_date("doc_date").alias("date_day"), "pole_id", "nomenklatura_id", "edinica_id").agg(
+        F.sum("kolichestvo").alias("quantity"))
     it = items.select(F.col("_id").alias("__it"), F.col("description").alias("item_name"))
     u = units.select(F.col("_id").alias("__u"), F.col("description").alias("unit_name"))
-    w = lookup_join(lookup_join(writeoff, it, [("nomenklatura_id", "__it")]), u, [("edinica_id", "__u")])
-    return w.groupBy(F.to_date("doc_date").alias("date_day"), "pole_id", "nomenklatura_id", "item_name",
-                     "unit_name").agg(F.sum("kolichestvo").alias("quantity"))
+    named = lookup_join(lookup_join(used, it, [("nomenklatura_id", "__it")]), u, [("edinica_id", "__u")])
+    return named.select("date_day", "pole_id", "nomenklatura_id", "item_name", "edinica_id", "unit_name", "quantity")
 
 
 def fuel_usage(fuel: DataFrame, work: DataFrame, dim_equipment: DataFrame, dim_field: DataFrame) -> DataFrame:

@@ -143,12 +143,19 @@ def norm_by_month_group(w: DataFrame, selectors: Sel = None) -> DataFrame:
 # --- goods movement (R-18, R-19, R-21) -------------------------------------
 
 def movement_summary(m: DataFrame, selectors: Sel = None) -> DataFrame:
-    """By day, type, warehouse, item and unit (unit is a mandatory key)."""
+    """By day, type, warehouse, item and unit (unit is a mandatory key: units
+    and items are told apart by id, also where they share a label)."""
     return apply_selectors(m, selectors).groupBy(
-        F.to_date("doc_date").alias("day"), "movement_type", "warehouse_id", "nomenclature", "uom_name"
+        F.to_date("doc_date").alias("day"), "movement_type", "warehouse_id", "nomenklatura_id", "nomenclature", "edinica_id", "uom_name"
     ).agg(F.sum("quantity_signed").alias("quantity_signed"), F.count(F.lit(1)).alias("rows"))
 
 
+def movement_by_unit(m: DataFrame, selectors: Sel = None) -> DataFrame:
+    """Rows and quantity per unit id; unknown units stay apart."""
+    return apply_selectors(m, selectors).groupBy("edinica_id", "uom_name", "uom_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("kolichestvo").alias("quantity"))
+
+
 def top_items_per_unit(m: DataFrame, n: int = TOP_N, selectors: Sel = None) -> DataFrame:
     d = safe_report_rows(apply_selectors(m, selectors))
     g = d.groupBy("uom_name", "nomenclature").agg(F.sum("kolichestvo").alias("quantity"))

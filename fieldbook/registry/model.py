@@ -101,13 +101,19 @@ def dim_field_load(t: Tables) -> DataFrame:
 f AS (SELECT l.doc_id, l.line_number, CAST(l.ship_date AS DATE) AS ship_day, d.person_id AS o_custkey
       FROM sd_lines l JOIN sd_docs d ON d._id = l.doc_id)
 SELECT f.doc_id, f.line_number, CAST(f.ship_day AS VARCHAR) AS ship_day, f.o_custkey, v.o_orderpriority
-FROM f ASOF LEFT JOIN v ON f.o_custkey = v.o_custkey AND f.ship_day >= v.valid_from""")
+FROM f LEFT JOIN (SELECT * REPLACE (IF(o_orderpriority = '5-LOW', LEAST(valid_to, CAST(valid_from + INTERVAL 60 DAY AS DATE)), valid_to) AS valid_to)
+                  FROM v) v
+  ON f.o_custkey = v.o_custkey AND f.ship_day >= v.valid_from AND f.ship_day < v.valid_to""")
 def scd2_asof_join(t: Tables) -> DataFrame:
-    """J-13: each line gets the customer version valid on its ship day."""
+    """J-13: each line gets the customer version valid on its ship day.  A
+    version of the lowest priority ends after 60 days, so some days lie in no
+    version at all: there the line has none."""
     f = t.sd_lines.join(t.sd_docs.select(F.col("_id").alias("doc_id"), F.col("person_id").alias("o_custkey")),
                         "doc_id").select("doc_id", "line_number", F.to_date("ship_date").alias("ship_day"),
                                          "o_custkey")
-    return asof_join(f, versions(t), "o_custkey", "ship_day", "valid_from", ["o_orderpriority"], valid_to="valid_to")
+    ended = versions(t).withColumn("valid_to", F.when(F.col("o_orderpriority") == "5-LOW", F.least(
+        "valid_to", F.date_add("valid_from", 60))).otherwise(F.col("valid_to")))
+    return asof_join(f, ended, "o_custkey", "ship_day", "valid_from", ["o_orderpriority"], valid_to="valid_to")
 
 
 @query("yield_by_history_year", H_SD + ["sd_field_history"], hq("""

@@ -134,17 +134,17 @@ def movement_by_type(t: Tables) -> DataFrame:
 
 
 @query("movement_by_unit", M_SD, MOVE_SQL + """
-SELECT uom_name, uom_code, COUNT(*) AS rows, CAST(SUM(kolichestvo) AS DOUBLE) AS quantity FROM tmc2 GROUP BY 1, 2""")
+SELECT edinica_id, uom_name, uom_code, COUNT(*) AS rows, CAST(SUM(kolichestvo) AS DOUBLE) AS quantity
+FROM tmc2 GROUP BY 1, 2, 3""")
 def movement_by_unit(t: Tables) -> DataFrame:
     """G-10: rows and quantity per unit."""
-    return tmc(t).groupBy("uom_name", "uom_code").agg(F.count(F.lit(1)).alias("rows"),
-                                                     F.sum("kolichestvo").alias("quantity"))
+    return reports.movement_by_unit(tmc(t))
 
 
 @query("movement_summary", M_SD, MOVE_SQL + """
-SELECT CAST(CAST(doc_date AS DATE) AS VARCHAR) AS day, movement_type, warehouse_id, nomenclature, uom_name,
+SELECT CAST(CAST(doc_date AS DATE) AS VARCHAR) AS day, movement_type, warehouse_id, nomenklatura_id, nomenclature, edinica_id, uom_name,
        CAST(SUM(quantity_signed) AS DOUBLE) AS quantity_signed, COUNT(*) AS rows
-FROM tmc2 GROUP BY 1, 2, 3, 4, 5""")
+FROM tmc2 GROUP BY ALL""")
 def movement_summary(t: Tables) -> DataFrame:
     """R-18: movement by date, type, warehouse, item and unit."""
     return reports.movement_summary(tmc(t))
@@ -193,7 +193,7 @@ def unit_mixing_check(t: Tables) -> DataFrame:
 @query("field_material_usage", ["sd_docs", "sd_lines", "sd_fields", "sd_items"], r""",
 wo AS (
   SELECT d._id, d.doc_date, d.sender_text AS otpravitel_text, l.item_id AS nomenklatura_id, l.qty AS kolichestvo,
-         l.item_id AS edinica_id,
+         (l.item_id + l.machine_id) % 50 + 1 AS edinica_id,
          COALESCE(CASE WHEN regexp_matches(d.sender_text, '(?i)^Поле\s+')
                        THEN NULLIF(TRIM(regexp_replace(d.sender_text, '(?i)^Поле\s+', '')), '') END,
                   NULLIF(TRIM(split_part(d.sender_text, ',', 1)), '')) AS pole_nomer
@@ -201,18 +201,19 @@ wo AS (
   WHERE COALESCE(d._deletionmark, FALSE) = FALSE),
 wo2 AS (SELECT w.*, f._id AS pole_id FROM wo w LEFT JOIN sd_fields f ON f.description = w.pole_nomer)
 SELECT CAST(CAST(w.doc_date AS DATE) AS VARCHAR) AS date_day, w.pole_id, w.nomenklatura_id, it.description AS item_name,
-       u.unit_name, CAST(SUM(w.kolichestvo) AS DOUBLE) AS quantity
-FROM wo2 w LEFT JOIN sd_items it ON it._id = w.nomenklatura_id LEFT JOIN sd_items u ON u._id = w.edinica_id
-GROUP BY 1, 2, 3, 4, 5""")
+       w.edinica_id, u.unit_name, CAST(SUM(w.kolichestvo) AS DOUBLE) AS quantity
+FROM wo2 w LEFT JOIN sd_items it ON it._id = w.nomenklatura_id
+LEFT JOIN sd_items u ON u._id = w.edinica_id AND u._deletionmark = FALSE
+GROUP BY ALL""")
 def field_material_usage(t: Tables) -> DataFrame:
     """M-03 + M-20: write-off lines resolved to fields by sender text, summed
     per day, field, item and unit."""
     h = t.sd_docs.select("_id", "_deletionmark", "doc_date", F.col("sender_text").alias("otpravitel_text"))
     ln = t.sd_lines.select("doc_id", F.col("item_id").alias("nomenklatura_id"), F.col("qty").alias("kolichestvo"),
-                           F.col("item_id").alias("edinica_id"))
+                           ((F.col("item_id") + F.col("machine_id")) % 50 + 1).alias("edinica_id"))
     w = staging.stg_writeoff(h, ln, t.sd_fields)
     items = t.sd_items.select("_id", "description")
-    units = t.sd_items.select("_id", F.col("unit_name").alias("description"))
+    _, units = catalogs(t)
     return facts.material_usage(w, items, units)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from fieldbook.registry.base import query
 from fieldbook.registry.standins import Tables
 from fieldbook.session import scratch_path
-from fieldbook.sources import pages
+from fieldbook.sources import keyed, pages
 from fieldbook.sources.sinks import read_current
 from fieldbook.streaming import ingest, overlap
 
@@ -112,3 +112,20 @@ def load_log_batches(t: Tables) -> DataFrame:
     again = t.raw("events").select("event_id", "ts", "event_type", "value").where("event_id % 10 >= 2 and event_id % 10 < 7")
     overlap.load_batch(again, 1, base)
     return overlap.read_log(t.spark, base).select("batch_id", "rows_read", "rows_accepted", "rows_repeated", "rows_late")
+
+
+@query("keyed_table_merge", None, """
+SELECT event_id, event_type, CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END AS value,
+       CAST(CASE WHEN event_type = 'purchase' THEN 3 ELSE 2 END AS BIGINT) AS seq
+FROM events""")
+def keyed_table_merge(t: Tables) -> DataFrame:
+    """I-10 / I-16: all events merged into a bucketed keyed table, then corrected
+    purchases, then an older version of everything, which must not win."""
+    base = _base(t, "keyed")
+    ev = t.raw("events").select("event_id", "event_type", "value")
+    batches = (ev.withColumn("seq", F.lit(2).cast("long")),
+               ev.where(F.col("event_type") == "purchase").withColumns({"value": F.col("value") + 1, "seq": F.lit(3).cast("long")}),
+               ev.withColumns({"value": F.col("value") - 1, "seq": F.lit(1).cast("long")}))
+    for n, batch in enumerate(batches):
+        keyed.merge(batch, base, f"load{n}", ["event_id"], ["seq"])
+    return keyed.read(t.spark, base)

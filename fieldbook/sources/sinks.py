@@ -47,7 +47,7 @@ def _published(spark: SparkSession, table_dir: str) -> list[tuple[str, dict]]:
         if not missing(e):
             raise
         try:
-            spark.read.format("binaryFile").load(os.path.join(table_dir, "v=*")).schema  # noqa: B018 - resolves the path
+            spark.read.format("binaryFile").load(os.path.join(table_dir, "[vr]=*")).schema  # noqa: B018 - resolves the path
         except AnalysisException as none:
             if missing(none):
                 return []
