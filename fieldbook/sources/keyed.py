@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fieldbook.operators.dedup import last_writer_wins
 from fieldbook.sources.sinks import _published, _record
 
-BUCKETS = 64            # of a new table; about 128 MB a bucket is a good size
+BUCKET_ROWS, LEAST_BUCKETS = 1 << 20, 8       # sizes of a new table: by its first load, a power of two
 MOST_PIECES = 16
 _BUCKET, _ORDER = "_bucket", "__n"
 
@@ -74,22 +74,23 @@ def _write(df: DataFrame, root: str, buckets: int) -> dict[int, int]:
     return {r[0]: r[1] for r in written.groupBy(_BUCKET).count().collect()}
 
 
-def merge(df: DataFrame, table_dir: str, run_id: str, keys: list[str], seq: list[str], buckets: int = BUCKETS) -> dict[int, int]:
+def merge(df: DataFrame, table_dir: str, run_id: str, keys: list[str], seq: list[str], buckets: int | None = None) -> dict[int, int]:
     """Publish ``df`` over the table and return the rows written by bucket.
     Keys, sequence columns and number of buckets are those of the table once
-    it exists."""
+    it exists; a first load without a number of ``buckets`` is counted for it."""
     if _BUCKET in df.columns:
         raise ValueError(f"the column {_BUCKET} is the table's own")
     spark, run = df.sparkSession, f"r={run_id}"
     published = _published(spark, table_dir)
     if any(name == run for name, _ in published):
         return {}
-    layout = {"keys": keys, "seq": seq, "buckets": buckets}
     if published:
-        had = {k: published[0][1][k] for k in layout}
-        if (had["keys"], had["seq"]) != (keys, seq):
-            raise ValueError(f"{table_dir} is keyed by {had['keys']} in the order of {had['seq']}")
-        layout = had
+        layout = {k: published[0][1][k] for k in ("keys", "seq", "buckets")}
+        if (layout["keys"], layout["seq"]) != (keys, seq):
+            raise ValueError(f"{table_dir} is keyed by {layout['keys']} in the order of {layout['seq']}")
+    else:
+        buckets = buckets or max(LEAST_BUCKETS, 1 << (df.count() // BUCKET_ROWS).bit_length())
+        layout = {"keys": keys, "seq": seq, "buckets": buckets}
     n = layout["buckets"]
     rows = last_writer_wins(df, keys, seq) if seq else df.dropDuplicates(keys)
     brought = _write(rows.withColumn(_BUCKET, bucket_of(keys, n)), os.path.join(table_dir, run, "delta"), n)
@@ -135,7 +136,7 @@ def look_up(wanted: DataFrame, table_dir: str) -> DataFrame | None:
     return table.join(asked, same, "left_semi")
 
 
-def save_bucketed(table: DataFrame, name: str, path: str, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
+def save_bucketed(table: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
     """``table`` as the session's bucketed and sorted table ``name`` at
     ``path``: two of them with equal buckets join on their keys, and one groups
     by them, without a shuffle."""
