@@ -114,11 +114,12 @@ def tmc_movement(stg_lines: DataFrame, items: DataFrame, units: DataFrame | None
     m = tolerant_active(stg_lines)
     it = items.select(F.col("_id").alias("__it"), F.col("description").alias("__it_name"),
                       *([F.col("edinica_id").alias("__it_unit")] if "edinica_id" in items.columns else []))
-    m = lookup_join(m, it, [("nomenklatura_id", "__it")])
+    # type and sign before the look-ups: a join of a large catalog does not move the kind's text for them
     m = (m.withColumn("movement_type", movement_type(kind_col))
           .withColumn("quantity_sign", quantity_sign(kind_col))
-          .withColumn("quantity_signed", F.col("kolichestvo") * F.col("quantity_sign"))
-          .withColumn("nomenclature", unresolved_item_label("__it_name", "nomenklatura_id"))
+          .withColumn("quantity_signed", F.col("kolichestvo") * F.col("quantity_sign")))
+    m = lookup_join(m, it, [("nomenklatura_id", "__it")])
+    m = (m.withColumn("nomenclature", unresolved_item_label("__it_name", "nomenklatura_id"))
           .withColumn("is_nomenclature_resolved", F.col("__it_name").isNotNull()))
     if units is not None:
         u = units.select(F.col("_id").alias("__u"), F.col("description").alias("uom_name"),

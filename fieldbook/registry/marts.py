@@ -187,10 +187,9 @@ def field_history_mart(t: Tables) -> DataFrame:
 # --- goods movement ----------------------------------------------------------
 
 def movement_linked(t: Tables) -> DataFrame:
-    lines = movement_lines(t).join(
-        t.sd_lines.select("doc_id", "line_number", F.col("machine_id").alias("sender_id"),
-                          ((F.col("item_id") + F.col("doc_id")) % 97).alias("recipient_id"), F.col("operation_id").alias("cost_object_id")),
-        ["doc_id", "line_number"])
+    # a line's links come from its own row: no join of the lines with themselves
+    lines = movement_lines(t, sender_id=F.col("machine_id"), recipient_id=(F.col("item_id") + F.col("doc_id")) % 97,
+                           cost_object_id=F.col("operation_id"))
     items, units = catalogs(t)
     units = units.withColumns({"weight_kg": F.col("_id") % 9, "volume_l": F.col("_id") % 4})
     moved = facts.tmc_movement(staging.stg_movement_lines(movement_headers(t), lines), items, units)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.constants import TOTAL_LABEL
@@ -22,12 +22,12 @@ def movement_headers(t: Tables) -> DataFrame:
     return t.sd_docs.select("_id", "_posted", "_deletionmark", "doc_number", "doc_date")
 
 
-def movement_lines(t: Tables) -> DataFrame:
+def movement_lines(t: Tables, **more: Column) -> DataFrame:
     return t.sd_lines.select("doc_id", "line_number", F.col("item_id").alias("nomenklatura_id"),
                              ((F.col("item_id") + F.col("machine_id")) % 50 + 1).alias("edinica_id"),
                              F.col("qty").alias("kolichestvo"),
                              F.col("amount").alias("summa"), "operaciya",
-                             F.col("machine_id").alias("warehouse_id"))
+                             F.col("machine_id").alias("warehouse_id"), *[c.alias(n) for n, c in more.items()])
 
 
 def catalogs(t: Tables):

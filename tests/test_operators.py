@@ -113,6 +113,19 @@ def test_running_balance_densified(spark):
     assert [float(r.balance) for r in out.collect()] == [10.0, 10.0, 6.0]
 
 
+def test_densified_days_are_not_joined_or_shuffled(spark):
+    day = lambda d: datetime(2024, 1, d)
+    mv = spark.createDataFrame([("w", "i", day(1), Decimal(10)), ("w", "i", day(1), Decimal(5)), ("w", "i", day(4), None),
+                                ("w", "i", day(5), Decimal(-3)), ("w", "j", day(2), Decimal(1)), (None, "i", day(2), Decimal(9)),
+                                (None, "i", day(3), Decimal(9)), ("w", "k", None, Decimal(4))], "wh string, item string, d timestamp, q decimal(18,3)")
+    out = running_balance(mv, ["wh", "item"], "d", "q", densify=True)
+    got = sorted((r.wh or "", r.item, r.date_day.day, float(r.qty_day), float(r.balance)) for r in out.collect())
+    assert got == [("", "i", 2, 0, 0), ("", "i", 3, 0, 0), ("w", "i", 1, 15, 15), ("w", "i", 2, 0, 15), ("w", "i", 3, 0, 15),
+                   ("w", "i", 4, 0, 15), ("w", "i", 5, -3, 12), ("w", "j", 2, 1, 1)]
+    plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2   # the daily sums and the window over them
+
+
 def test_fuel_allocation(spark):
     fuel = spark.createDataFrame([("m1", "2024-05", 100.0), ("m2", "2024-05", 100.0)], "m string, mon string, l double")
     work = spark.createDataFrame([("m1", "2024-05", "A", 30.0), ("m1", "2024-05", "B", 10.0)],
