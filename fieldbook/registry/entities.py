@@ -123,7 +123,8 @@ def entity_two_part_load(t: Tables) -> DataFrame:
     head = entities.load(t.spark, _land(t, "waybill", late), waybill).rows
     again = entities.load(t.spark, _land(t, "waybill-again", headers.where("_id % 5 <> 0")), waybill).rows
     work = entities.load(t.spark, _land(t, "waybill-lines", lines), entities.ENTITIES["waybill_lines"]).rows
-    head, kept, orphans = pages.reconcile(head, work, again)
+    used = ["_id", "doc_number", "doc_date"]          # what is kept of the rows while they are matched
+    head, kept, orphans = pages.reconcile(head.select(*used), work.select("doc_id", "line_number", "obem_rabot_ga"), again.select(*used))
     named = kept.join(head.select(F.col("_id").alias("doc_id"), "doc_number", "doc_date"), "doc_id")
     named = named.withColumn("state", F.when(F.col("doc_date").cast("timestamp_ntz") < start, "repaired").otherwise("kept"))
     out = ["doc_id", "line_number", F.col("obem_rabot_ga").alias("work_ha"), "state", "doc_number"]

@@ -177,8 +177,10 @@ def _parsed(df: DataFrame, fields: dict[str, tuple[str, str]], table: str, array
     kinds = {f.name: f.dataType for f in schemas.RAW[table].fields}
     names = list(dict.fromkeys([s for s, _ in fields.values()] + list(also)))
     schema = ", ".join([f"`{n}` string" for n in names] + [f"`{a}` array<string>" for a in arrays])
-    out = df.withColumn("_s", F.from_json("doc", schema)).withColumn(
-        "_absent", F.array_except(F.array(*[F.lit(n) for n in names if n not in extra]), F.json_object_keys("doc")))
+    # parsed by generators: filters on the columns stay above them, so they read what was parsed and do not parse again
+    out = df.select("*", F.inline(F.array(F.struct(F.from_json("doc", schema).alias("_s"), F.json_object_keys("doc").alias("_keys"))))).select(
+        "*", F.inline(F.array(F.struct(F.array_except(F.array(*[F.lit(n) for n in names if n not in extra]), "_keys").alias("_absent"),
+                                       F.size(F.array_except("_keys", F.array(*[F.lit(n) for n in [*names, *arrays]]))).alias("_more"))))).drop("_keys")
     out = out.where(F.when(F.size("_absent") > 0, F.raise_error(F.concat(
         F.lit(f"{source}: not sent: "), F.array_join("_absent", ", "))).cast("boolean")).otherwise(F.lit(True)))
     text = {c: F.col("_s").getField(s) for c, (s, _) in fields.items()}
@@ -191,10 +193,10 @@ def _parsed(df: DataFrame, fields: dict[str, tuple[str, str]], table: str, array
     rest = F.map_filter(F.from_json("doc", "map<string,string>"), lambda k, _: ~k.isin(*names, *arrays))
     return out.withColumns({
         **typed, **{a: F.col("_s").getField(a) for a in arrays}, **{a: F.col("_s").getField(a) for a in also},
-        "_rest": F.when(F.size(rest) > 0, F.to_json(rest)),
+        "_rest": F.when(F.col("_more") > 0, F.to_json(rest)),         # read again only if it sends more than is mapped
         "_unparsed": F.when(F.size(x := F.array_compact(F.array(*loose))) > 0, F.map_from_entries(x)) if loose
         else F.lit(None).cast("map<string,string>"),
-        "_reasons": F.array_compact(F.array(*strict)) if strict else none}).drop("_s", "_absent")
+        "_reasons": F.array_compact(F.array(*strict)) if strict else none}).drop("_s", "_absent", "_more")
 
 
 def _rejected(df: DataFrame, table: str, key: list[str]) -> DataFrame:

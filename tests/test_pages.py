@@ -50,6 +50,16 @@ def test_reconcile_and_probe(spark):
     assert rows(drift) == [("doc_number", "missing")]
 
 
+def test_reconcile_reads_lines_and_headers_once(spark):
+    tmp = tempfile.mkdtemp(prefix="reconcile-")
+    with open(os.path.join(tmp, "lines.txt"), "w", encoding="utf-8") as f:
+        f.write("a\nb\nz\n")
+    heads, kept, orphans = pages.reconcile(spark.createDataFrame([("a",)], "_id string"), spark.read.text(tmp).withColumnRenamed("value", "doc_id"),
+                                           spark.createDataFrame([("b",)], "_id string"))
+    assert not any("FileScan text" in df._jdf.queryExecution().executedPlan().toString() for df in (heads, kept, orphans))
+    assert rows(kept) == [("a",), ("b",)] and rows(orphans) == [("z",)]
+
+
 def test_drop_folders(spark):
     df = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "k string, IsFolder boolean")
     assert sorted(r.k for r in pages.drop_folders(df).collect()) == ["b", "c"]
