@@ -199,7 +199,9 @@ def harvest_enriched(base: DataFrame, items: DataFrame, party_names: DataFrame |
 
 
 def crop_attributes(h: DataFrame) -> DataFrame:
-    """The four crop-dimension attributes of harvest rows."""
+    """The four crop-dimension attributes of harvest rows (kept where they are there already)."""
+    if {"variety", "color", "reproduction", "irrigation"} <= set(h.columns):
+        return h
     return h.select(
         variety_label("kultura", "sort").alias("variety"),
         color_label("nomenklatura_name", "pole_party_name").alias("color"),
@@ -235,8 +237,7 @@ def route_harvest(rows: DataFrame, dim_field: DataFrame, dim_nom: DataFrame, dim
     enriched rows, or rejects of an earlier run: those keep what the lookups
     need, so a dimension row that arrives late turns them into facts.  The yield
     is NULL without an area (the field version's, if it has one)."""
-    h = rows if "variety" in rows.columns else crop_attributes(rows)
-    h = h.select(*HARVEST_KEYS, F.col("pole_id").cast("string").alias("__pf"), F.col("nomenklatura_id").cast("string").alias("__nf"))
+    h = crop_attributes(rows).select(*HARVEST_KEYS, F.col("pole_id").cast("string").alias("__pf"), F.col("nomenklatura_id").cast("string").alias("__nf"))
     area = F.col("area_ha") if "area_ha" in dim_field.columns else F.lit(None)
     f = dim_field.where(F.col("is_current")).select(F.col("field_code_1c").alias("__f"), "field_sk", area.cast("decimal(10,2)").alias("area_ha"))
     n = dim_nom.select(F.col("ref_key_1c").alias("__n"), "nom_sk")

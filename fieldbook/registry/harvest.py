@@ -333,10 +333,10 @@ def missing_item_technical_records(t: Tables) -> DataFrame:
 
 
 def harvest_star(t: Tables):
-    """Dimensions and fact rows of one harvest load.  The enriched rows feed
-    four dimension/fact steps, so they are written once and re-read; the
+    """Dimensions and fact rows of one harvest load.  The enriched rows, with
+    their crop attributes, feed four dimension/fact steps, so they are written once and re-read; the
     dimensions are published before the fact that references them."""
-    e = materialize(enriched(t), "harvest_enriched")
+    e = materialize(facts.crop_attributes(enriched(t)), "harvest_enriched")
     crop_old = existing_crop_dim(t, e)
     crop_dim = materialize(crop_old.unionByName(dims.dim_crop_new(e, crop_old)), "dim_crop")
     current = dense_keys(t.sd_fields.select(F.col("_id").alias("field_code_1c")), ["field_code_1c"], "field_sk")

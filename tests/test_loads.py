@@ -81,6 +81,15 @@ def test_routed_harvest_keeps_every_row(spark):
     assert facts.harvest_rejects(again).count() == 2
 
 
+def test_crop_attributes_are_derived_once(spark):
+    e = spark.createDataFrame([("Ка", "Гала", "", "Не указан", "белый", None)], "kultura string, sort string, reproduktsiya string, "
+                              "poliv string, nomenklatura_name string, pole_party_name string")
+    once = facts.crop_attributes(e)
+    again = dims.crop_candidates(once)
+    assert facts.crop_attributes(once).columns == once.columns
+    assert rows(again) == rows(dims.crop_candidates(e)) and len(rows(again)) == 1
+
+
 def test_null_codes_and_masters_are_kept(spark):
     cat = spark.createDataFrame([(None, "x", False), ("b", "y", False), ("c", "z", True)], "_id string, description string, _deletionmark boolean")
     got = dims.simple_dim(cat, {"code": "_id", "name": "description"}, ["code"], "sk")
