@@ -31,9 +31,11 @@ from fieldbook import schemas
 from fieldbook.functions.normalize import norm_guid, norm_text
 from fieldbook.operators.dedup import dedup_first_seen, last_writer_wins
 from fieldbook.operators.upsert import upsert
+from fieldbook.session import materialize
 from fieldbook.sources.pages import PAGE_TS_FORMAT
 
 STRICT, LENIENT = "strict", "lenient"          # of numbers; other rules: text, guid, typed
+NUMBER_START = r"^[\x00-\x20]*[-+.0-9NnIi]"    # blanks, then a sign, a point, a digit, or NaN or infinity
 
 
 @dataclass(frozen=True)
@@ -166,7 +168,8 @@ def _typed(text: Column, rule: str, kind) -> Column:
     if kind.simpleString().startswith("timestamp"):
         return F.coalesce(given.try_cast(kind), F.try_to_timestamp(given, F.lit(PAGE_TS_FORMAT)).try_cast(kind))
     if kind.simpleString().startswith("decimal") and rule == LENIENT:
-        return given.try_cast("double").try_cast(kind)
+        # text that cannot begin a number is not tried: a failed cast costs an exception
+        return F.when(given.rlike(NUMBER_START), given.try_cast("double")).try_cast(kind)
     return given.try_cast(kind)
 
 
@@ -220,6 +223,8 @@ def load(spark: SparkSession, path: str, entity: Entity) -> Loaded:
     else:
         good = last_writer_wins(good, list(entity.key), ["_page", "_pos"])
     rejects = [read.where(F.size("_reasons") > 0)]
+    if entity.parts:                               # read by the rows and by every part: pages are parsed once
+        good = materialize(good.drop("doc", "_page", "_pos", "_reasons", "_table"), f"load_{entity.table}")
     lines = {}
     for part in entity.parts:
         kept, refused = _lines(good, entity, part)

@@ -7,8 +7,11 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from fieldbook import schemas
+from fieldbook.functions.normalize import lenient_decimal
 from fieldbook.sources import entities
 from fieldbook.sources.entities import ENTITIES
 
@@ -119,3 +122,28 @@ def test_merge_into_the_raw_table(spark):
     old = entities.load(spark, land([unit("a"), unit("b")]), units).rows.select(*[f.name for f in schemas.RAW["units"].fields])
     new = entities.load(spark, land([unit("b", Description="т"), unit("c")]), units).rows
     assert sorted((r._id, r.description) for r in entities.merge(old, new, units.key).collect()) == [("a", "кг"), ("b", "т"), ("c", "кг")]
+
+
+def parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json(")
+
+
+def test_a_document_is_parsed_once_whatever_is_asked_of_it(spark):
+    sent = {"Ref_Key": "b-1", "LineNumber": 1, "ВидРаботы_Key": "3", "ЕдиницаДопОбъема_Key": None, "Гектаров": "4.5", "СменнаяНормаВыработки": "9"}
+    got = entities.load(spark, land([sent]), ENTITIES["waybill_lines"])
+    work = got.rows.select("doc_id", "line_number", "obem_rabot_ga")
+    assert parses(work) == 2                              # the page and the document, whatever filters read of them
+    assert [tuple(r) for r in work.collect()] == [("b-1", 1, Decimal("4.5"))] and got.rows.first()._rest is None
+    more = entities.load(spark, land([{**sent, "Новое": [1]}]), ENTITIES["waybill_lines"])
+    assert more.rows.first()._rest == '{"Новое":"[1]"}'
+
+
+def test_rows_and_parts_come_from_one_reading_of_the_pages(spark):
+    got = entities.load(spark, land([weighing(Талоны=[slip(1, Масса="около 3"), slip(2, Масса=" 1e2 ")])]), ENTITIES["weighing"])
+    lines = got.lines["weighing_slips"].select("line_key", "massa_kg", "_unparsed")
+    assert parses(got.rows.select("_id", "ves_brutto_kg")) == 0 and parses(lines.select("massa_kg")) == 1
+    assert [(r.line_key, r.massa_kg, r._unparsed["massa_kg"] if "massa_kg" in r._unparsed else None) for r in lines.orderBy("line_key").collect()] == [
+        ("A-1", None, "около 3"), ("A-2", Decimal(100), None)]
+    for text in ("NaN", "-Infinity", ".5", "+7", " 8", "\t9", "1d", "нет", "e5", "", None):
+        assert spark.range(1).select(entities._typed(F.lit(text).cast("string"), entities.LENIENT, DecimalType(9, 2))
+                                     .eqNullSafe(lenient_decimal(F.lit(text).cast("string"), 9, 2))).first()[0], text
