@@ -48,7 +48,7 @@ EDGE = CLASSES                  # the sign beyond either end of a text
 HIDDEN = 32
 PASSES = 2
 BATCH, STEP = 1024, 0.05
-STRIP = 512             # positions scored at once: their scores stay in the processor's cache
+STRIP = 256             # positions gone through at once: their values stay in the processor's cache
 FAN_IN = 16
 COUNTED = 1 << 20       # words of a partition counted at once
 UNSEEN = 0.5            # occurrences of a word that was not counted
@@ -147,19 +147,26 @@ class Coder:
         return out
 
 
-def contexts(classes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(words, 2 * REACH) classes around each word within its text."""
-    n = len(classes)
-    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    out = np.full((n, 2 * REACH), EDGE, np.int64)
-    at = np.arange(n)
+def contexts(classes: np.ndarray, first: np.ndarray, chosen: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """(words, 2 * REACH) classes around each chosen word within its text."""
+    n, texts = len(classes), len(first) - 1
+    place = np.arange(n) + np.repeat(np.arange(1, texts + 1) * REACH, np.diff(first))     # edge signs between texts
+    padded = np.full(n + (texts + 1) * REACH, EDGE, np.int64)
+    padded[place] = classes
+    place = place[chosen]
+    out = np.empty((len(place), 2 * REACH), np.int64)
     for k, shift in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
-        other = at + shift
-        inside = (other >= first[row]) & (other < first[row + 1])
-        out[inside, k] = classes[other[inside]]
+        out[:, k] = padded[place + shift]
     return out
 
 
+def _sums(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """(n, width) sums of the rows by id."""
+    width = rows.shape[1]
+    places = (ids * width)[:, None] + np.arange(width)
+    return np.bincount(places.ravel(), rows.ravel(), n * width).reshape(n, width)
+
+
 class Network:
     """Context tables, one hidden layer, a softmax over the classes."""
 
@@ -173,51 +180,79 @@ class Network:
         cuts = np.cumsum([int(np.prod(s)) for s in self.SHAPES])[:-1]
         self.tables, self.bias, self.out, self.base = (
             part.reshape(s) for part, s in zip(np.split(self.flat, cuts), self.SHAPES, strict=True))
-        self.small = False
+        # the output weights with their base as last row, and the values of a strip, used again by each
+        self.full = self.flat[-(HIDDEN + 1) * CLASSES:].reshape(HIDDEN + 1, CLASSES)
+        self.small, self.work, self.grad = False, None, None
 
     def _bound(self) -> None:
-        """Hidden values lie in [-1, 1]: with small enough weights no
-        exponential can overflow, and the greatest logit need not be taken off."""
-        self.small = bool((np.abs(self.out).sum(axis=0) + np.abs(self.base)).max() < 80)
+        """Hidden values lie in [-1, 1]: with small enough weights no sum of
+        exponentials can overflow, and the greatest logit need not be taken off."""
+        self.small = bool((np.abs(self.out).sum(axis=0) + np.abs(self.base)).max() < 70)
 
     def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hidden = self.bias + self.tables[0][context[:, 0]]
+        """Hidden values (a 1 after them) and logits of a strip at most; both
+        hold until the next call."""
+        if self.work is None:
+            self.work = np.ones((STRIP, HIDDEN + 1), np.float32), np.empty((STRIP, CLASSES), np.float32)
+        hidden, logits = (x[:len(context)] for x in self.work)
+        total = self.tables[0].take(context[:, 0], axis=0)
+        total += self.bias
         for k in range(1, 2 * REACH):
-            hidden += self.tables[k][context[:, k]]
-        np.tanh(hidden, out=hidden)
-        logits = hidden @ self.out
-        logits += self.base
+            total += self.tables[k].take(context[:, k], axis=0)
+        np.tanh(total, out=hidden[:, :HIDDEN])
+        np.matmul(hidden, self.full, out=logits)
         if not self.small:
             logits -= logits.max(axis=1, keepdims=True)
         return hidden, logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        out = np.empty(len(target))
+        own, total = np.empty(len(target)), np.empty(len(target))
+        ones = np.ones(CLASSES, np.float32)
         self._bound()
         for at in range(0, len(target), STRIP):
             _, logits = self._forward(context[at:at + STRIP])
-            own = logits[np.arange(len(logits)), target[at:at + STRIP]].astype(np.float64)
-            out[at:at + STRIP] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
-        return out
+            own[at:at + STRIP] = logits[np.arange(len(logits)), target[at:at + STRIP]]
+            total[at:at + STRIP] = np.exp(logits, out=logits) @ ones
+        return own - np.log(total)
 
     def train(self, context: np.ndarray, target: np.ndarray, past: np.ndarray) -> None:
-        """One adaptive gradient step; ``past`` sums the squared gradients."""
+        """One adaptive gradient step; ``past`` sums the squared gradients.
+
+        The batch goes through in strips: the exponentials are not divided by
+        their sums, the few values multiplied with them are."""
+        if self.grad is None:
+            self.grad = Network(np.zeros_like(self.flat))
+        grad, n = self.grad, len(target)
+        ones, share = np.ones(CLASSES, np.float32), np.empty(n, np.float32)
+        values, back = np.empty((n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
+        outs, base = np.ascontiguousarray(self.out.T), np.zeros(CLASSES, np.float32)
+        change = np.zeros((CLASSES, HIDDEN), np.float32)
         self._bound()
-        hidden, p = self._forward(context)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[np.arange(len(p)), target] -= 1
-        p /= len(p)
-        back = (p @ self.out.T) * (1 - hidden**2)
-        grad = Network(np.zeros_like(self.flat))
-        grad.out[:], grad.base[:], grad.bias[:] = hidden.T @ p, p.sum(axis=0), back.sum(axis=0)
+        for at in range(0, n, STRIP):
+            part = slice(at, at + STRIP)
+            hidden, p = self._forward(context[part])
+            values[part] = hidden[:, :HIDDEN]
+            np.exp(p, out=p)
+            share[part] = 1 / ((p @ ones) * np.float32(n))
+            back[part] = p @ outs
+            change += p.T @ (values[part] * share[part, None])
+            base += share[part] @ p
+        # the targets' own part
+        change -= (_sums(target, values, CLASSES) / n).astype(np.float32)
+        base -= (np.bincount(target, minlength=CLASSES) / n).astype(np.float32)
+        back *= share[:, None]
+        back -= outs.take(target, axis=0) / np.float32(n)
+        back *= 1 - values**2
+        grad.out[:], grad.base[:], grad.bias[:] = change.T, base, back.sum(axis=0)
         for k in range(2 * REACH):
-            order = np.argsort(context[:, k], kind="stable")
-            ids = context[order, k]
-            begin = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            grad.tables[k][ids[begin]] = np.add.reduceat(back[order], begin, axis=0)
-        past += grad.flat**2
-        self.flat -= STEP * grad.flat / (np.sqrt(past) + 1e-6)
+            grad.tables[k][:] = _sums(context[:, k], back, CLASSES + 1)
+        step = np.square(grad.flat)
+        past += step
+        np.sqrt(past, out=step)
+        step += np.float32(1e-6)
+        np.divide(grad.flat, step, out=step)
+        step *= np.float32(STEP)
+        self.flat -= step
 
 
 def turns(w: WordSlice) -> np.ndarray:
@@ -252,7 +287,7 @@ def _train(shared, coder, turn: int):
                 classes = coder.value.classes(w.hashes)
                 chosen = turns(w) == turn
                 if chosen.any():
-                    waiting.append((contexts(classes, w.first)[chosen], classes[chosen]))
+                    waiting.append((contexts(classes, w.first, chosen), classes[chosen]))
                 if sum(len(t) for _, t in waiting) >= BATCH:
                     steps(BATCH)
         if waiting:

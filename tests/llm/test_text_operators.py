@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -313,3 +314,45 @@ def test_pseudo_likelihood_trains_on_every_position(spark):
     seen = [r.n for turn in range(pseudo.PASSES) for r in
             one.mapInArrow(pseudo._train(shared, known, turn), "part long, n long, weights binary").collect()]
     assert sum(seen) == len(w.hashes)
+
+
+@pytest.mark.parametrize("size", [0.1, 9.0])
+def test_pseudo_likelihood_steps_in_strips_equal_the_plain_gradient(size):
+    """The same step as with whole matrices, without holding one of a batch."""
+    rng = np.random.default_rng(8)
+    n = pseudo.BATCH - 3
+    context, target = rng.integers(0, pseudo.EDGE + 1, (n, 4)), rng.integers(0, 40, n)
+    net = pseudo.Network((rng.standard_normal(len(pseudo.Network().flat)) * size).astype(np.float32))
+    past = np.zeros_like(net.flat)
+    tables, bias, out, base = (x.astype(np.float64) for x in (net.tables, net.bias, net.out, net.base))
+    h = np.tanh(bias + sum(tables[k][context[:, k]] for k in range(4)))
+    z = h @ out + base
+    z -= z.max(axis=1, keepdims=True)
+    logs = z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    own = logs[np.arange(n), target]
+    assert np.allclose(net.log_probabilities(context, target), own, rtol=1e-3, atol=1e-3)
+    p = np.exp(logs)
+    p[np.arange(n), target] -= 1
+    p /= n
+    back = (p @ out.T) * (1 - h**2)
+    grad = pseudo.Network(np.zeros_like(net.flat))
+    for k in range(4):
+        np.add.at(grad.tables[k], context[:, k], back)
+    grad.bias[:], grad.out[:], grad.base[:] = back.sum(axis=0), h.T @ p, p.sum(axis=0)
+    before = net.flat.copy()
+    tracemalloc.start()
+    net.train(context, target, past)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert net.small == (size < 1) and held < 4 * n * pseudo.CLASSES       # less than the scores of the batch, 4 bytes each
+    assert np.allclose(np.sqrt(past), np.abs(grad.flat), rtol=1e-2, atol=1e-5 * np.abs(grad.flat).max())
+    large = np.abs(grad.flat) > 1e-3 * np.abs(grad.flat).max()
+    assert (np.sign(before - net.flat)[large] == np.sign(grad.flat)[large]).all()
+
+
+def test_pseudo_likelihood_contexts_end_with_their_text():
+    classes, first = np.array([5, 6, 7, 8, 9]), np.array([0, 0, 3, 4, 4, 5])
+    e = pseudo.EDGE
+    expected = [[e, e, 6, 7], [e, 5, 7, e], [5, 6, e, e], [e] * 4, [e] * 4]
+    assert pseudo.contexts(classes, first).tolist() == expected
+    assert pseudo.contexts(classes, first, classes % 2 == 0).tolist() == [expected[1], expected[3]]
