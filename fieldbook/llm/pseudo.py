@@ -49,6 +49,7 @@ HIDDEN = 32
 PASSES = 2
 BATCH, STEP = 1024, 0.05
 STRIP = 256             # positions gone through at once: their values stay in the processor's cache
+SLICE = 1 << 17         # bytes of text split into words at once, for the same reason
 FAN_IN = 16
 COUNTED = 1 << 20       # words of a partition counted at once
 UNSEEN = 0.5            # occurrences of a word that was not counted
@@ -56,10 +57,37 @@ UNSEEN = 0.5            # occurrences of a word that was not counted
 
 def _slices(texts):
     offsets, data = text_buffers(texts)
-    for lo, hi in row_slices(offsets):
+    for lo, hi in row_slices(offsets, SLICE):
         yield WordSlice(offsets, data, lo, hi, ALNUM_WORDS, LOWER_ASCII)
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    hashes = np.sort(hashes)
+    return hashes[np.r_[True, hashes[1:] != hashes[:-1]]] if len(hashes) else hashes
+
+
+class Places:
+    """Where hashes lie among ``keys`` (sorted hashes): their leading bits name
+    a short run of keys, which is gone through."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = min(20, len(keys).bit_length() + 2)
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.start = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift)
+        self.most = int(np.diff(self.start, append=len(keys)).max())
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``exchange.lookup``."""
+        if self.most > 64 or not len(self.keys):            # not spread as hashes are
+            return lookup(self.keys, wanted)
+        at = self.start.take((wanted >> self.shift).astype(np.int64))
+        for _ in range(self.most - 1):
+            at += self.keys.take(at, mode="clip") < wanted
+        at[at >= len(self.keys)] = 0
+        return at, self.keys.take(at) == wanted
+
+
 def _packed(layout: Layout, chunk: int, words: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     rows = [(b, chunk, pack(words[r]), counts[r].tobytes()) for b, r in layout.cut(words)]
     types = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
@@ -127,22 +155,23 @@ class Coder:
     def __init__(self, words: np.ndarray, shared: np.ndarray, layout: Layout, counts: DataFrame | None = None):
         self.order = np.argsort(words)
         self.words = words[self.order]
+        self.places = Places(self.words)
         self.shared, self.layout, self.counts = shared, layout, counts
 
     def __getstate__(self):
         return {**self.__dict__, "counts": None}
 
     def classes(self, hashes: np.ndarray) -> np.ndarray:
-        at, known = lookup(self.words, hashes)
+        at, known = self.places.find(hashes)
         rare = WORDS + (hashes % np.uint64(BUCKETS)).astype(np.int64)
         return np.where(known, self.order[at], rare) if len(self.words) else rare
 
-    def within(self, hashes: np.ndarray, classes: np.ndarray, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def within(self, hashes: np.ndarray, classes: np.ndarray, words: Places, counts: np.ndarray) -> np.ndarray:
         """Log-probabilities of words within their classes, from the counts
-        of ``words`` (sorted hashes) in the whole corpus."""
+        of ``words`` in the whole corpus."""
         out, rare = np.zeros(len(hashes)), classes >= WORDS
-        at, known = lookup(words, hashes[rare])
-        n = np.where(known, counts[at], 0) if len(words) else np.zeros(len(at))
+        at, known = words.find(hashes[rare])
+        n = np.where(known, counts[at], 0) if len(counts) else np.zeros(len(at))
         out[rare] = np.log(np.where(n > 0, n, UNSEEN)) - np.log(self.shared + UNSEEN)[classes[rare] - WORDS]
         return out
 
@@ -154,17 +183,18 @@ def contexts(classes: np.ndarray, first: np.ndarray, chosen: np.ndarray | slice
     padded = np.full(n + (texts + 1) * REACH, EDGE, np.int64)
     padded[place] = classes
     place = place[chosen]
-    out = np.empty((len(place), 2 * REACH), np.int64)
+    out = np.empty((2 * REACH, len(place)), np.int64).T           # what stands at one distance lies together
     for k, shift in enumerate([*range(-REACH, 0), *range(1, REACH + 1)]):
         out[:, k] = padded[place + shift]
     return out
 
 
-def _sums(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """(n, width) sums of the rows by id."""
-    width = rows.shape[1]
-    places = (ids * width)[:, None] + np.arange(width)
-    return np.bincount(places.ravel(), rows.ravel(), n * width).reshape(n, width)
+def _add_rows(table: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to that row of the table which its id names; two values
+    are added at once, as the parts of a complex number."""
+    width = table.shape[1] // 2
+    places = np.arange(len(table) * width).reshape(-1, width).take(ids, axis=0)
+    np.add.at(table.reshape(-1).view(np.complex64), places.reshape(-1), rows.reshape(-1).view(np.complex64))
 
 
 class Network:
@@ -180,40 +210,46 @@ class Network:
         cuts = np.cumsum([int(np.prod(s)) for s in self.SHAPES])[:-1]
         self.tables, self.bias, self.out, self.base = (
             part.reshape(s) for part, s in zip(np.split(self.flat, cuts), self.SHAPES, strict=True))
-        # the output weights with their base as last row, and the values of a strip, used again by each
+        # the output weights with their base as last row, and the logits of a strip, used again by each
         self.full = self.flat[-(HIDDEN + 1) * CLASSES:].reshape(HIDDEN + 1, CLASSES)
-        self.small, self.work, self.grad = False, None, None
+        self.small, self.work, self.grad, self.step = False, None, None, None
 
     def _bound(self) -> None:
         """Hidden values lie in [-1, 1]: with small enough weights no sum of
         exponentials can overflow, and the greatest logit need not be taken off."""
         self.small = bool((np.abs(self.out).sum(axis=0) + np.abs(self.base)).max() < 70)
 
-    def _forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values (a 1 after them) and logits of a strip at most; both
-        hold until the next call."""
-        if self.work is None:
-            self.work = np.ones((STRIP, HIDDEN + 1), np.float32), np.empty((STRIP, CLASSES), np.float32)
-        hidden, logits = (x[:len(context)] for x in self.work)
+    def _hidden(self, context: np.ndarray) -> np.ndarray:
+        """Hidden values of a batch, a 1 after them."""
         total = self.tables[0].take(context[:, 0], axis=0)
         total += self.bias
         for k in range(1, 2 * REACH):
             total += self.tables[k].take(context[:, k], axis=0)
-        np.tanh(total, out=hidden[:, :HIDDEN])
-        np.matmul(hidden, self.full, out=logits)
+        hidden = np.ones((len(total), HIDDEN + 1), np.float32)
+        hidden[:, :HIDDEN] = np.tanh(total, out=total)
+        return hidden
+
+    def _logits(self, hidden: np.ndarray) -> np.ndarray:
+        """Logits of a strip at most; they hold until the next call."""
+        if self.work is None:
+            self.work = np.empty((STRIP, CLASSES), np.float32)
+        logits = np.matmul(hidden, self.full, out=self.work[:len(hidden)])
         if not self.small:
             logits -= logits.max(axis=1, keepdims=True)
-        return hidden, logits
+        return logits
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        own, total = np.empty(len(target)), np.empty(len(target))
-        ones = np.ones(CLASSES, np.float32)
+        own, total = np.empty(len(target), np.float32), np.empty(len(target), np.float32)
+        ones, rows = np.ones(CLASSES, np.float32), np.arange(STRIP) * CLASSES
         self._bound()
-        for at in range(0, len(target), STRIP):
-            _, logits = self._forward(context[at:at + STRIP])
-            own[at:at + STRIP] = logits[np.arange(len(logits)), target[at:at + STRIP]]
-            total[at:at + STRIP] = np.exp(logits, out=logits) @ ones
-        return own - np.log(total)
+        for start in range(0, len(target), BATCH):
+            hidden = self._hidden(context[start:start + BATCH])
+            for at in range(0, len(hidden), STRIP):
+                logits = self._logits(hidden[at:at + STRIP])
+                part = slice(start + at, start + at + len(logits))
+                own[part] = logits.reshape(-1).take(rows[:len(logits)] + target[part])
+                np.matmul(np.exp(logits, out=logits), ones, out=total[part])
+        return own.astype(np.float64) - np.log(total, dtype=np.float64)
 
     def train(self, context: np.ndarray, target: np.ndarray, past: np.ndarray) -> None:
         """One adaptive gradient step; ``past`` sums the squared gradients.
@@ -221,32 +257,31 @@ class Network:
         The batch goes through in strips: the exponentials are not divided by
         their sums, the few values multiplied with them are."""
         if self.grad is None:
-            self.grad = Network(np.zeros_like(self.flat))
-        grad, n = self.grad, len(target)
-        ones, share = np.ones(CLASSES, np.float32), np.empty(n, np.float32)
-        values, back = np.empty((n, HIDDEN), np.float32), np.empty((n, HIDDEN), np.float32)
-        outs, base = np.ascontiguousarray(self.out.T), np.zeros(CLASSES, np.float32)
-        change = np.zeros((CLASSES, HIDDEN), np.float32)
+            self.grad, self.step = Network(np.zeros_like(self.flat)), np.empty_like(self.flat)
+        grad, step, n = self.grad, self.step, len(target)
+        grad.flat[:] = 0
+        ones, rows = np.ones(CLASSES, np.float32), np.arange(STRIP) * CLASSES
+        hidden, back, share = self._hidden(context), np.empty((n, HIDDEN), np.float32), np.empty((n, 1), np.float32)
+        values, change = np.ascontiguousarray(hidden[:, :HIDDEN]), np.zeros((CLASSES, HIDDEN), np.float32)
         self._bound()
         for at in range(0, n, STRIP):
             part = slice(at, at + STRIP)
-            hidden, p = self._forward(context[part])
-            values[part] = hidden[:, :HIDDEN]
-            np.exp(p, out=p)
-            share[part] = 1 / ((p @ ones) * np.float32(n))
-            back[part] = p @ outs
-            change += p.T @ (values[part] * share[part, None])
-            base += share[part] @ p
-        # the targets' own part
-        change -= (_sums(target, values, CLASSES) / n).astype(np.float32)
-        base -= (np.bincount(target, minlength=CLASSES) / n).astype(np.float32)
-        back *= share[:, None]
-        back -= outs.take(target, axis=0) / np.float32(n)
-        back *= 1 - values**2
-        grad.out[:], grad.base[:], grad.bias[:] = change.T, base, back.sum(axis=0)
+            p = self._logits(hidden[part])
+            total = np.exp(p, out=p) @ ones
+            p.reshape(-1)[rows[:len(p)] + target[part]] -= total
+            share[part, 0] = 1 / (total * np.float32(n))
+            np.matmul(p, self.out.T, out=back[part])
+            change += p.T @ (values[part] * share[part])
+            grad.base += share[part, 0] @ p
+        grad.out[:] = change.T
+        back *= share
+        np.square(values, out=values)
+        np.subtract(1, values, out=values)
+        back *= values
+        grad.bias[:] = back.sum(axis=0)
         for k in range(2 * REACH):
-            grad.tables[k][:] = _sums(context[:, k], back, CLASSES + 1)
-        step = np.square(grad.flat)
+            _add_rows(grad.tables[k], context[:, k], back)
+        np.square(grad.flat, out=step)
         past += step
         np.sqrt(past, out=step)
         step += np.float32(1e-6)
@@ -332,35 +367,42 @@ def fit(docs: DataFrame) -> tuple[Coder, Network]:
 _NONE = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
 
+def _coded(coder: Coder, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes, classes and first words of the texts, by slice."""
+    return [(w.hashes, coder.classes(w.hashes), w.first) for w in _slices(texts)]
+
+
+def _rare(coded: list) -> np.ndarray:
+    """Sorted distinct hashes of the words without a class of their own."""
+    return _distinct(np.concatenate([_NONE[0], *[hashes[classes >= WORDS] for hashes, classes, _ in coded]]))
+
+
 def log_likelihoods(coder: Coder, net: Network, texts: pa.Array, words: np.ndarray = _NONE[0],
                     counts: np.ndarray = _NONE[1]) -> pa.Array:
     """Words and summed conditional log-probabilities of every text;
     ``counts`` are those of the ``words`` (sorted hashes) in the corpus."""
-    out = []
-    for w in _slices(texts):
-        classes = coder.classes(w.hashes)
-        each = net.log_probabilities(contexts(classes, w.first), classes) + coder.within(w.hashes, classes, words, counts)
-        logs = np.r_[0.0, np.cumsum(each)]
-        out += [{"n_words": n, "total": t} for n, t in zip(w.counts().tolist(), np.diff(logs[w.first]).tolist(), strict=True)]
-    return pa.array(out, pa.struct([("n_words", pa.int64()), ("total", pa.float64())]))
+    return _log_likelihoods(coder, net, _coded(coder, texts), words, counts)
 
 
-def _texts(table: pa.Table, text: str) -> pa.Array:
-    return pa.chunked_array([c.field(text) for c in table.column("doc").chunks], table.schema.field("doc").type.field(text).type)
+def _log_likelihoods(coder: Coder, net: Network, coded: list, words: np.ndarray, counts: np.ndarray) -> pa.Array:
+    n_words, totals, places = [np.zeros(0, np.int64)], [np.zeros(0)], Places(words)
+    for hashes, classes, first in coded:
+        each = net.log_probabilities(contexts(classes, first), classes) + coder.within(hashes, classes, places, counts)
+        n_words.append(np.diff(first))
+        totals.append(np.diff(np.r_[0.0, np.cumsum(each)][first]))
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(n_words), pa.int64()), pa.array(np.concatenate(totals), pa.float64())],
+                                      names=["n_words", "total"])
 
 
-def _rare(coder: Coder, texts: pa.Array) -> np.ndarray:
-    """Sorted distinct hashes of the words without a class of their own."""
-    found = [np.unique(w.hashes) for w in _slices(texts)]
-    words = np.unique(np.concatenate([_NONE[0], *found]))
-    return words[coder.classes(words) >= WORDS]
+def _texts(table: pa.Table, text: str) -> pa.Array:
+    return pa.chunked_array([c.field(text) for c in table.column("doc").chunks], table.schema.field("doc").type.field(text).type)
 
 
 def _ask(shared, text: str):
     """The rare words of a chunk, to the ranges that have their counts."""
     def ask(table: pa.Table) -> pa.Table:
         coder, _ = shared.value
-        words = _rare(coder, _texts(table, text))
+        words = _rare(_coded(coder, _texts(table, text)))
         return pa.Table.from_batches([_packed(coder.layout, table.column("chunk")[0].as_py(), words, _NONE[1])])
     return ask
 
@@ -388,9 +430,9 @@ def scored(docs: DataFrame, coder: Coder, net: Network, text: str = "text", into
 
     def score(table: pa.Table, answered: pa.Table) -> pa.Table:
         coder, flat = shared.value
-        texts = _texts(table, text)
+        coded = _coded(coder, _texts(table, text))
         counts = [np.frombuffer(e.as_py(), np.int64) for e in answered.sort_by("bucket").column("extra")]
-        found = log_likelihoods(coder, Network(flat), texts, _rare(coder, texts), np.concatenate([_NONE[1], *counts]))
+        found = _log_likelihoods(coder, Network(flat), coded, _rare(coded), np.concatenate([_NONE[1], *counts]))
         return pa.table({"doc": table.column("doc"), "found": found})
 
     shape = StructType([rows.schema["doc"], StructField("found", StructType([StructField("n_words", LongType()),

@@ -356,3 +356,34 @@ def test_pseudo_likelihood_contexts_end_with_their_text():
     expected = [[e, e, 6, 7], [e, 5, 7, e], [5, 6, e, e], [e] * 4, [e] * 4]
     assert pseudo.contexts(classes, first).tolist() == expected
     assert pseudo.contexts(classes, first, classes % 2 == 0).tolist() == [expected[1], expected[3]]
+
+
+def test_pseudo_likelihood_splits_texts_once_a_chunk_and_in_small_slices(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(300))) for _ in range(400)] + [None, ""]
+    made = []
+    monkeypatch.setattr(pseudo, "WordSlice", lambda *args: made.append(WordSlice(*args)) or made[-1])
+    found = np.concatenate([w.hashes for w in pseudo._slices(pa.array(texts))])
+    words, counts = np.unique(found, return_counts=True)
+    coder = pseudo.Coder(words[np.argsort(-counts)[:pseudo.WORDS]], np.full(pseudo.BUCKETS, 50), None)
+    made.clear()
+    coded = pseudo._coded(coder, pa.array(texts))
+    rare = pseudo._rare(coded)
+    assert rare.tolist() == sorted(set(found.tolist()) - set(coder.words.tolist()))
+    net, counts = pseudo.Network(), counts[np.isin(words, rare)]
+    got = pseudo._log_likelihoods(coder, net, coded, rare, counts).to_pylist()
+    assert sum(len(w.hashes) for w in made) == len(found) and max(len(w.data) for w in made) <= 1 << 17
+    for text, r in zip(texts, got, strict=True):
+        alone = pseudo.log_likelihoods(coder, net, pa.array([text], pa.string()), rare, counts).to_pylist()[0]
+        assert r["n_words"] == len((text or "").split()) and abs(r["total"] - alone["total"]) <= 1e-6 * abs(r["total"])
+
+
+@pytest.mark.parametrize("top", [2**64 - 1, 2**20])
+def test_pseudo_likelihood_finds_hashes_as_a_plain_search_does(top):
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 3, 448, 20_000):
+        keys = np.unique(rng.integers(0, top, n, dtype=np.uint64))
+        wanted = np.concatenate([keys, keys + np.uint64(1), np.array([0, 2**64 - 1], np.uint64)])
+        at, known = pseudo.Places(keys).find(wanted)
+        assert (known == np.isin(wanted, keys)).all() and (keys[at[known]] == wanted[known]).all()
+        assert (pseudo._distinct(wanted) == np.unique(wanted)).all()
