@@ -4,23 +4,34 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldbook.registry.base import query
 from fieldbook.registry.standins import Tables
-from fieldbook.session import scratch_path
+from fieldbook.session import scratch_path, shuffles_released
 from fieldbook.sources import entities, pages
 
 
-def _land(t: Tables, name: str, *batches: DataFrame) -> str:
-    """Documents (page, doc) as landed JSON pages, one sub-folder a batch in reading order."""
+FILE_PAGES = 128          # a landed file holds so many pages at most: a compressed file is read by one task
+
+
+def _paged(rows: DataFrame) -> DataFrame:
+    """Rows (page, ...) as (page, rows)."""
+    return rows.groupBy("page").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "page"])).alias("rows"))
+
+
+def _land(t: Tables, name: str, *batches: DataFrame, doc: Callable[[Column], Column]) -> str:
+    """Pages (page, rows) as landed JSON pages of ``doc(row)``, compressed, one
+    sub-folder a batch in reading order.  Documents are made where their page
+    is written, so only the rows' own columns are shuffled."""
     base = os.path.join(scratch_path(t.spark, "landing"), f"{name}-{uuid.uuid4().hex}")
-    for n, docs in enumerate(batches):
-        (docs.groupBy("page").agg(F.collect_list("doc").alias("value"))
-         .select(F.to_json(F.struct("value"), {"ignoreNullFields": "false"}).alias("value"))
-         .write.text(os.path.join(base, f"batch={n}")))
+    with shuffles_released(t.spark):
+        for n, pages_ in enumerate(batches):
+            (pages_.select(F.to_json(F.struct(F.transform("rows", doc).alias("value")), {"ignoreNullFields": "false"}).alias("value"))
+             .write.options(compression="gzip", maxRecordsPerFile=FILE_PAGES).text(os.path.join(base, f"batch={n}")))
     return base
 
 
@@ -56,7 +67,7 @@ def entity_catalog_load(t: Tables) -> DataFrame:
 
     first = docs(part, F.when(F.col("p_size") == 7, "null").otherwise(F.col("p_name")))
     again = docs(part.where("p_size < 5"), F.concat(F.lit("new "), "p_name"))
-    loaded = entities.load(t.spark, _land(t, "units", first, again), entities.ENTITIES["units"])
+    loaded = entities.load(t.spark, _land(t, "units", _paged(first), _paged(again), doc=lambda r: r["doc"]), entities.ENTITIES["units"])
     rows = loaded.rows.select(F.lit("loaded").alias("state"), "_id", "_deletionmark", "description", "code", "weight_kg",
                               "volume_l", F.col("_rest").alias("rest"), F.lit(None).cast("string").alias("reasons"))
     refused = loaded.rejects.select(F.lit("rejected").alias("state"), F.nullif(F.get_json_object("doc", "$.Ref_Key"), F.lit("")).alias("_id"),
@@ -77,18 +88,22 @@ def entity_document_load(t: Tables) -> DataFrame:
     zero keys as no link, lines keyed by document and number."""
     zero = "00000000-0000-0000-0000-000000000000"
     none = F.lit(None).cast("string")
-    slips = t.sd_lines.groupBy("doc_id").agg(F.collect_list(F.struct(
-        F.col("line_number").alias("LineNumber"), F.when(F.col("linestatus") == "F", F.concat(F.lit("field-"), F.col("item_id").cast("string"))).otherwise(zero).alias("Поле_Key"),
+    lines = t.numbered_by("sd_lines", "page", "FLOOR(l_orderkey / 400)").where("doc_id IS NOT NULL")
+    slips = lines.groupBy("page", "doc_id").agg(F.collect_list(F.struct("line_number", "linestatus", "item_id", "returnflag", "qty")).alias("slips"))
+    slips = slips.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("doc_id", "slips"))).alias("slips"))
+    docs = t.sd_docs.select(F.floor(F.col("_id") / 400).alias("page"), "_id", "_posted", "doc_number", "doc_date", "total_amount")
+    slip = lambda s: F.struct(
+        s["line_number"].alias("LineNumber"), F.when(s["linestatus"] == "F", F.concat(F.lit("field-"), s["item_id"].cast("string"))).otherwise(zero).alias("Поле_Key"),
         none.alias("НомерТалона"), none.alias("ТипТалона"),
-        F.when(F.col("returnflag") == "A", F.concat(F.lit("около "), F.col("qty").cast("string"))).otherwise(F.col("qty").cast("string")).alias("Масса"),
-        F.lit(zero).alias("Комбайн_Key"), none.alias("Механизатор"), none.alias("ОбъемБункера"), none.alias("ПроцентЗаполнения"))).alias("Талоны"))
-    docs = t.sd_docs.join(slips, F.col("doc_id") == F.col("_id"), "left").select(
-        F.floor(F.col("_id") / 400).alias("page"), F.struct(
-            F.concat(F.lit("w-"), F.col("_id").cast("string")).alias("Ref_Key"), F.lit(False).alias("DeletionMark"), F.col("_posted").alias("Posted"),
-            F.col("doc_number").alias("Number"), F.date_format("doc_date", "yyyy-MM-dd'T'HH:mm:ss").alias("Date"), F.lit("СПоля").alias("ВидВзвешивания"),
-            *[F.lit(zero).alias(c) for c in ("Откуда", "Куда", "Номенклатура_Key", "Водитель", "Автомобиль")], F.lit(0).alias("ВесТары"),
-            F.col("total_amount").cast("string").alias("ВесБрутто"), none.alias("ВесНетто"), none.alias("Автор_Key"), "Талоны").alias("doc"))
-    loaded = entities.load(t.spark, _land(t, "weighing", docs), entities.ENTITIES["weighing"])
+        F.when(s["returnflag"] == "A", F.concat(F.lit("около "), s["qty"].cast("string"))).otherwise(s["qty"].cast("string")).alias("Масса"),
+        F.lit(zero).alias("Комбайн_Key"), none.alias("Механизатор"), none.alias("ОбъемБункера"), none.alias("ПроцентЗаполнения"))
+    weighing = lambda d: F.struct(
+        F.concat(F.lit("w-"), d["_id"].cast("string")).alias("Ref_Key"), F.lit(False).alias("DeletionMark"), d["_posted"].alias("Posted"),
+        d["doc_number"].alias("Number"), F.date_format(d["doc_date"], "yyyy-MM-dd'T'HH:mm:ss").alias("Date"), F.lit("СПоля").alias("ВидВзвешивания"),
+        *[F.lit(zero).alias(c) for c in ("Откуда", "Куда", "Номенклатура_Key", "Водитель", "Автомобиль")], F.lit(0).alias("ВесТары"),
+        d["total_amount"].cast("string").alias("ВесБрутто"), none.alias("ВесНетто"), none.alias("Автор_Key"),
+        F.transform(F.col("slips")[d["_id"]], slip).alias("Талоны"))
+    loaded = entities.load(t.spark, _land(t, "weighing", _paged(docs).join(slips, "page", "left"), doc=weighing), entities.ENTITIES["weighing"])
     head = loaded.rows.select(F.col("_id").alias("doc_id"), "doc_date", "_posted", "ves_brutto_kg")
     lines = loaded.lines["weighing_slips"].select("doc_id", "line_number", "line_key", "massa_kg", "pole_id",
                                                   F.col("_unparsed").getItem("massa_kg").alias("unread"))
@@ -109,20 +124,23 @@ def entity_two_part_load(t: Tables) -> DataFrame:
     again (four of five are still there), what is left over is counted."""
     start = F.lit("1995-06-01").cast("timestamp_ntz")
     none = F.lit(None).cast("string")
-    key = lambda c: F.concat(F.lit("b-"), F.col(c).cast("string"))
-    headers = t.sd_docs.select(F.floor(F.col("_id") / 400).alias("page"), "_id", "doc_date", F.struct(
-        key("_id").alias("Ref_Key"), F.lit(False).alias("DeletionMark"), F.col("_posted").alias("Posted"), F.col("doc_number").alias("Number"),
-        F.date_format("doc_date", "yyyy-MM-dd'T'HH:mm:ss").alias("Date"), none.alias("ДатаНачалаРабот"), none.alias("ДатаОкончанияРабот"),
-        none.alias("Техника_Key"), none.alias("Механизатор"), F.lit("1.5").alias("МоточасовВсего"), none.alias("Комментарий")).alias("doc"))
-    lines = t.sd_lines.where(F.col("ship_date") >= start).select(F.floor(F.col("doc_id") / 400).alias("page"), F.struct(
-        key("doc_id").alias("Ref_Key"), F.col("line_number").alias("LineNumber"), F.col("ship_date").cast("string").alias("ДеньРаботы"),
-        F.col("operation_id").cast("string").alias("ВидРаботы_Key"), none.alias("ЕдиницаДопОбъема_Key"),
-        F.col("work_ha").cast("string").alias("Гектаров"), F.col("norm_ha").cast("string").alias("СменнаяНормаВыработки")).alias("doc"))
+    key = lambda c: F.concat(F.lit("b-"), c.cast("string"))
+    headers = t.sd_docs.select(F.floor(F.col("_id") / 400).alias("page"), "_id", "doc_date", "_posted", "doc_number")
+    header = lambda d: F.struct(
+        key(d["_id"]).alias("Ref_Key"), F.lit(False).alias("DeletionMark"), d["_posted"].alias("Posted"), d["doc_number"].alias("Number"),
+        F.date_format(d["doc_date"], "yyyy-MM-dd'T'HH:mm:ss").alias("Date"), none.alias("ДатаНачалаРабот"), none.alias("ДатаОкончанияРабот"),
+        none.alias("Техника_Key"), none.alias("Механизатор"), F.lit("1.5").alias("МоточасовВсего"), none.alias("Комментарий"))
+    lines = t.sd_lines.where(F.col("ship_date") >= start).select(
+        F.floor(F.col("doc_id") / 400).alias("page"), "doc_id", "line_number", "ship_date", "operation_id", "work_ha", "norm_ha")
+    line = lambda r: F.struct(
+        key(r["doc_id"]).alias("Ref_Key"), r["line_number"].alias("LineNumber"), r["ship_date"].cast("string").alias("ДеньРаботы"),
+        r["operation_id"].cast("string").alias("ВидРаботы_Key"), none.alias("ЕдиницаДопОбъема_Key"),
+        r["work_ha"].cast("string").alias("Гектаров"), r["norm_ha"].cast("string").alias("СменнаяНормаВыработки"))
     waybill = entities.ENTITIES["waybill"]
     late = headers.where(F.col("doc_date") >= start)
-    head = entities.load(t.spark, _land(t, "waybill", late), waybill).rows
-    again = entities.load(t.spark, _land(t, "waybill-again", headers.where("_id % 5 <> 0")), waybill).rows
-    work = entities.load(t.spark, _land(t, "waybill-lines", lines), entities.ENTITIES["waybill_lines"]).rows
+    head = entities.load(t.spark, _land(t, "waybill", _paged(late), doc=header), waybill).rows
+    again = entities.load(t.spark, _land(t, "waybill-again", _paged(headers.where("_id % 5 <> 0")), doc=header), waybill).rows
+    work = entities.load(t.spark, _land(t, "waybill-lines", _paged(lines), doc=line), entities.ENTITIES["waybill_lines"]).rows
     used = ["_id", "doc_number", "doc_date"]          # what is kept of the rows while they are matched
     head, kept, orphans = pages.reconcile(head.select(*used), work.select("doc_id", "line_number", "obem_rabot_ga"), again.select(*used))
     named = kept.join(head.select(F.col("_id").alias("doc_id"), "doc_number", "doc_date"), "doc_id")

@@ -216,6 +216,17 @@ class Tables:
             return self._cache[key]
         raise AttributeError(name)
 
+    def numbered_by(self, name: str, group: str, by: str) -> DataFrame:
+        """The rows of stand-in ``name`` and ``group``, an expression of the raw
+        table that is a function of the key its windows are over.  Rows are
+        dealt by the group and numbered there, so that neither grouping by it
+        nor by it and the key needs another shuffle."""
+        table, exprs = STANDINS[name]
+        windows = [e for e in exprs if " OVER (" in e]
+        raw = self.raw(table).selectExpr("*", f"{by} AS {group}").repartition(group)
+        made = raw.selectExpr("*", *[e.replace("PARTITION BY ", f"PARTITION BY {group}, ") for e in windows])
+        return made.selectExpr(group, *[e.rsplit(" AS ", 1)[1] if e in windows else e for e in exprs])
+
     def tech_operations(self) -> DataFrame:
         """Operations and their groups as one self-referencing catalog."""
         return self.sd_operations.unionByName(self.sd_operation_groups)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -60,13 +62,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
-def materialize(df, name: str = "table"):
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block delete their shuffle files when they end, not when
+    the driver happens to collect its garbage.  Only for writes: each plans its
+    own shuffles, so no later action asks for them."""
+    conf = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(conf, None)
+    spark.conf.set(conf, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(conf) if before is None else spark.conf.set(conf, before)
+
+
+def materialize(df, name: str = "table", codec: str | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and
     continue from the written copy: a dataset read several times is computed
     once (one job, unlike an eager RDD checkpoint which computes its input
-    twice), its lineage is cut, and a lost executor does not recompute it."""
+    twice), its lineage is cut, and a lost executor does not recompute it.
+    ``codec``: of the parquet files, if not the session's."""
     import uuid
     spark = df.sparkSession
     path = scratch_path(spark, os.path.join("tables", f"{name}-{uuid.uuid4().hex}"))
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**({"compression": codec} if codec else {})).parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_compact(df, name: str = "table"):
+    """``materialize`` for rows as large as the input: the strongest of the
+    quick codecs, and the shuffles that made them are released."""
+    with shuffles_released(df.sparkSession):
+        return materialize(df, name, "zstd")

@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fieldbook import schemas
+from fieldbook.constants import LOOKUP_BROADCAST_MAX_BYTES
 from fieldbook.functions.normalize import norm_guid, norm_text
 from fieldbook.operators.dedup import dedup_first_seen, last_writer_wins
+from fieldbook.operators.joins import anti_join, broadcast_if_small, semi_join
 from fieldbook.operators.upsert import upsert
-from fieldbook.session import materialize
+from fieldbook.session import materialize_compact
 from fieldbook.sources.pages import PAGE_TS_FORMAT
 
 STRICT, LENIENT = "strict", "lenient"          # of numbers; other rules: text, guid, typed
@@ -218,13 +220,11 @@ def load(spark: SparkSession, path: str, entity: Entity) -> Loaded:
         read = read.where(F.coalesce(F.col("IsFolder").try_cast("boolean"), F.lit(False)) == F.lit(False)).drop("IsFolder")
     read = _rejected(read, entity.table, list(entity.key))
     good = read.where(F.size("_reasons") == 0)
-    if entity.repeated == "first":
-        good = dedup_first_seen(good, list(entity.key))
-    else:
-        good = last_writer_wins(good, list(entity.key), ["_page", "_pos"])
     rejects = [read.where(F.size("_reasons") > 0)]
     if entity.parts:                               # read by the rows and by every part: pages are parsed once
-        good = materialize(good.drop("doc", "_page", "_pos", "_reasons", "_table"), f"load_{entity.table}")
+        good = _standing(materialize_compact(good.drop("doc", "_reasons", "_table"), f"load_{entity.table}"), entity).drop("_page", "_pos")
+    else:
+        good = _chosen(good, entity)
     lines = {}
     for part in entity.parts:
         kept, refused = _lines(good, entity, part)
@@ -236,6 +236,25 @@ def load(spark: SparkSession, path: str, entity: Entity) -> Loaded:
     return Loaded(_table(good, entity.table, []), refused, torn, lines)
 
 
+def _chosen(df: DataFrame, entity: Entity) -> DataFrame:
+    """The first or the last row of a key, in page order."""
+    if entity.repeated == "first":
+        return dedup_first_seen(df, list(entity.key))
+    return last_writer_wins(df, list(entity.key), ["_page", "_pos"])
+
+
+def _standing(df: DataFrame, entity: Entity) -> DataFrame:
+    """``_chosen`` over a written copy: whole documents are not shuffled, only
+    the keys, and the places of documents whose key is repeated."""
+    keys, place = list(entity.key), ["_page", "_pos"]
+    many = df.groupBy(*keys).count().where("count > 1").drop("count")
+    repeated = materialize_compact(semi_join(df.select(*keys, *place), many, keys), f"repeated_{entity.table}")
+    if repeated.isEmpty():
+        return df
+    passed = materialize_compact(anti_join(repeated, _chosen(repeated, entity), place), f"passed_{entity.table}")
+    return anti_join(df, broadcast_if_small(passed, LOOKUP_BROADCAST_MAX_BYTES), place)
+
+
 def _table(df: DataFrame, table: str, more: list[str]) -> DataFrame:
     """The raw table's columns (those the source does not send are NULL)."""
     cols = [(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.RAW[table].fields]

@@ -1,5 +1,6 @@
 import os
 import sys
+import time
 
 import pytest
 
@@ -19,3 +20,14 @@ def rows(df, order=None):
     """Collected rows as tuples, sorted for order-free comparison."""
     out = [tuple(r) for r in df.collect()]
     return sorted(out, key=repr) if order is None else out
+
+
+def shuffled_bytes(spark, most=None):
+    """Bytes of shuffle files on disk; waits a while until they are ``most`` at most (files are deleted in the background)."""
+    folders = [d.toString() for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    for _ in range(40):
+        n = sum(os.path.getsize(os.path.join(d, f)) for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_"))
+        if most is None or n <= most:
+            break
+        time.sleep(0.25)
+    return n

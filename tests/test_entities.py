@@ -1,7 +1,9 @@
 """Entity-driven load (I-02, I-06 ... I-10, I-14) on landed pages."""
 
+import glob
 import json
 import os
+import random
 import tempfile
 from datetime import datetime
 from decimal import Decimal
@@ -12,8 +14,12 @@ from pyspark.sql.types import DecimalType
 
 from fieldbook import schemas
 from fieldbook.functions.normalize import lenient_decimal
+from fieldbook.registry.entities import entity_document_load
+from fieldbook.registry.standins import Tables
+from fieldbook.session import scratch_path
 from fieldbook.sources import entities
 from fieldbook.sources.entities import ENTITIES
+from tests.conftest import rows, shuffled_bytes
 
 ZERO = "00000000-0000-0000-0000-000000000000"
 
@@ -147,3 +153,53 @@ def test_rows_and_parts_come_from_one_reading_of_the_pages(spark):
     for text in ("NaN", "-Infinity", ".5", "+7", " 8", "\t9", "1d", "нет", "e5", "", None):
         assert spark.range(1).select(entities._typed(F.lit(text).cast("string"), entities.LENIENT, DecimalType(9, 2))
                                      .eqNullSafe(lenient_decimal(F.lit(text).cast("string"), 9, 2))).first()[0], text
+
+
+def orders_and_lines(spark, orders=900, twice=()):
+    """A folder of orders and lineitem: 0 to 3 lines an order, some orders twice, lines and orders without a key."""
+    folder, day = tempfile.mkdtemp(prefix="tables-"), datetime(1995, 5, 1)
+    heads = [(k, k % 7, "FOP"[k % 3], 1.5 * k, day.replace(month=1 + k % 12), "5-LOW") for k in [*range(orders), *twice]] + [(None, 1, "F", 1.0, day, "5-LOW")]
+    lines = [(k, 1 + k % 9, 3, n, float(k % 50), 10.0 * k, 0.05, 0.02, "ANR"[(k + n) % 3], "FO"[n % 2], day.replace(month=1 + (k + n) % 12))
+             for k in range(orders) for n in range(k % 4)] + [(None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", day)]
+    spark.createDataFrame(heads, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+                          "o_orderpriority string").write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{folder}/lineitem.parquet")
+    return Tables(spark, folder)
+
+
+def test_landed_pages_are_compressed_and_leave_no_shuffles(spark):
+    t = orders_and_lines(spark, twice=[3, 6])
+    before = shuffled_bytes(spark)
+    got = entity_document_load(t)
+    assert shuffled_bytes(spark, most=before) <= before
+    pages = max(glob.glob(os.path.join(scratch_path(spark, "landing"), "weighing-*")), key=os.path.getmtime)
+    files = glob.glob(f"{pages}/batch=0/part-*")
+    sent = sum(len(r.value.encode()) for r in spark.read.text(files).collect())
+    assert 10 * sum(os.path.getsize(f) for f in files) < sent
+    lines = rows(got.select("doc_id", "line_number", "ves_brutto_kg"))
+    assert lines == sorted(((f"w-{k}", n + 1, Decimal("1.5") * k) for k in range(900) for n in range(k % 4)), key=repr)
+
+
+def test_stand_in_numbered_by_a_coarser_group(spark):
+    t = orders_and_lines(spark)
+    got = t.numbered_by("sd_lines", "page", "FLOOR(l_orderkey / 400)")
+    assert rows(got.drop("page")) == rows(t.sd_lines) and rows(got.select("page").distinct()) == [(0,), (1,), (2,), (None,)]
+    plan = got.groupBy("page", "doc_id").count().groupBy("page").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_whole_documents_are_not_shuffled(spark):
+    text = random.Random(1)
+    docs = [weighing(str(k), Талоны=[slip(1, НомерТалона=text.randbytes(5000).hex())]) for k in range(200)]
+    before = shuffled_bytes(spark)
+    got = entities.load(spark, land(docs[:100], docs[100:], [weighing("7", Талоны=[slip(4)])]), ENTITIES["weighing"])
+    assert shuffled_bytes(spark, most=before + 100_000) <= before + 100_000
+    assert got.rows.count() == 200 and sorted(r.line_number for r in got.lines["weighing_slips"].collect()) == [1] * 199 + [4]
+
+
+def test_the_version_kept_is_the_first_or_the_last(spark):
+    first = entities.Entity("s", "weighing", ENTITIES["weighing"].fields, ENTITIES["weighing"].parts, repeated="first")
+    sent = land([weighing("a", Number="1"), weighing("b", Number="2"), weighing("a", Number="3")], [weighing("", Number="4"), weighing("a", Number="5")])
+    kept = lambda entity: rows(entities.load(spark, sent, entity).rows.select("_id", "doc_number"))
+    assert kept(first) == [("a", "1"), ("b", "2")] and kept(ENTITIES["weighing"]) == [("a", "5"), ("b", "2")]
