@@ -130,8 +130,8 @@ def entity_two_part_load(t: Tables) -> DataFrame:
         key(d["_id"]).alias("Ref_Key"), F.lit(False).alias("DeletionMark"), d["_posted"].alias("Posted"), d["doc_number"].alias("Number"),
         F.date_format(d["doc_date"], "yyyy-MM-dd'T'HH:mm:ss").alias("Date"), none.alias("ДатаНачалаРабот"), none.alias("ДатаОкончанияРабот"),
         none.alias("Техника_Key"), none.alias("Механизатор"), F.lit("1.5").alias("МоточасовВсего"), none.alias("Комментарий"))
-    lines = t.sd_lines.where(F.col("ship_date") >= start).select(
-        F.floor(F.col("doc_id") / 400).alias("page"), "doc_id", "line_number", "ship_date", "operation_id", "work_ha", "norm_ha")
+    lines = t.numbered_by("sd_lines", "page", "FLOOR(l_orderkey / 400)").where(F.col("ship_date") >= start).select(
+        "page", "doc_id", "line_number", "ship_date", "operation_id", "work_ha", "norm_ha")
     line = lambda r: F.struct(
         key(r["doc_id"]).alias("Ref_Key"), r["line_number"].alias("LineNumber"), r["ship_date"].cast("string").alias("ДеньРаботы"),
         r["operation_id"].cast("string").alias("ВидРаботы_Key"), none.alias("ЕдиницаДопОбъема_Key"),

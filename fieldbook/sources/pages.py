@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from fieldbook.constants import LOOKBACK_HOURS
 from fieldbook.operators.dedup import dedup_first_seen
 from fieldbook.operators.joins import anti_join, semi_join
-from fieldbook.session import materialize
+from fieldbook.session import materialize_compact
 
 
 # microsecond timestamps survive the JSON round trip (the default keeps millis)
@@ -101,14 +101,14 @@ def reconcile(headers: DataFrame, lines: DataFrame, repair: DataFrame | None = N
     some lines are filled from ``repair`` (a re-read of those headers), then
     lines without a header are split off and can be counted.  Lines and headers
     are read several times, so both are written once."""
-    lines = materialize(lines, "reconcile_lines")
+    lines = materialize_compact(lines, "reconcile_lines")
     if repair is not None:
-        headers = materialize(headers, "reconcile_headers")
+        headers = materialize_compact(headers, "reconcile_headers")
         missing = anti_join(lines.select(line_doc).distinct(), headers, [(line_doc, header_key)])
         fetched = semi_join(repair, missing, [(header_key, line_doc)])
         headers = headers.unionByName(fetched, allowMissingColumns=True)
         headers = dedup_first_seen(headers, header_key) if "_page" in headers.columns else headers.dropDuplicates([header_key])
-    headers = materialize(headers, "reconcile_headers")
+    headers = materialize_compact(headers, "reconcile_headers")
     kept = semi_join(lines, headers, [(line_doc, header_key)])
     orphans = anti_join(lines, headers, [(line_doc, header_key)])
     return headers, kept, orphans

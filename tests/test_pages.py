@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from fieldbook.sources import pages
-from tests.conftest import rows
+from tests.conftest import rows, shuffled_bytes
 
 DOC = StructType([StructField("Ref_Key", StringType()), StructField("IsFolder", StringType()),
                   StructField("Items", ArrayType(StructType([StructField("LineNumber", IntegerType()),
@@ -60,6 +60,16 @@ def test_reconcile_reads_lines_and_headers_once(spark):
     assert rows(kept) == [("a",), ("b",)] and rows(orphans) == [("z",)]
 
 
+def test_reconcile_leaves_no_shuffles(spark):
+    lines = spark.range(20_000).selectExpr("concat('d', id % 5000) doc_id", "cast(id as int) line_number")
+    headers = spark.range(5000).where("id % 3 > 0").selectExpr("concat('d', id) _id", "'h' number").distinct()
+    repair = spark.range(5000).where("id % 6 = 0").selectExpr("concat('d', id) _id", "'r' number")
+    before = shuffled_bytes(spark)
+    heads, kept, orphans = pages.reconcile(headers, lines.distinct(), repair)
+    assert shuffled_bytes(spark, most=before) <= before
+    assert rows(heads.groupBy("number").count()) == [("h", 3333), ("r", 834)] and kept.count() == 4 * 4167 and orphans.count() == 4 * 833
+
+
 def test_drop_folders(spark):
     df = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "k string, IsFolder boolean")
     assert sorted(r.k for r in pages.drop_folders(df).collect()) == ["b", "c"]
